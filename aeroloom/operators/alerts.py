@@ -122,6 +122,104 @@ def chunk_steps(times: np.ndarray, chunk_start: int, wait: int) -> tuple[np.ndar
     return times[: last + 1][run_end], ends[run_end]
 
 
+def _runs(pdf: pd.DataFrame, by) -> list[tuple[int, int]]:
+    """(start, stop) of equal neighbouring keys; nulls are equal."""
+    changed = np.zeros(max(len(pdf) - 1, 0), dtype=bool)
+    for k in by:
+        v, gone = pdf[k].to_numpy(), pdf[k].isna().to_numpy()
+        changed |= (v[1:] != v[:-1]) & ~(gone[1:] & gone[:-1])
+    edges = [0, *(np.flatnonzero(changed) + 1).tolist(), len(pdf)]
+    return list(zip(edges[:-1], edges[1:])) if len(pdf) else []
+
+
+def _key(pdf: pd.DataFrame, by, row: int) -> tuple:
+    return tuple(None if pd.isna(v) else v for v in (pdf[k].iat[row] for k in by))
+
+
+def _frame(rows, columns) -> pd.DataFrame:
+    return pd.DataFrame({c: [r[i] for r in rows] for i, c in enumerate(columns)}, columns=list(columns))
+
+
+def _steps_part(keys, chunk_len: int, wait: int):
+    by, columns = [*keys, "chunk"], [*keys, "chunk", "upper", "ends"]
+
+    def close(key, parts):
+        upper, ends = chunk_steps(np.concatenate(parts), int(key[-1]) * chunk_len, wait)
+        return [(*key, int(u), int(e)) for u, e in zip(upper, ends)]
+
+    def run(batches):
+        held, parts = None, []
+        for pdf in batches:
+            rows, t = [], pdf["t"].to_numpy()
+            for start, stop in _runs(pdf, by):
+                key = _key(pdf, by, start)
+                if parts and key != held:
+                    rows += close(held, parts)
+                    parts = []
+                held = key
+                parts.append(t[start:stop])
+            yield _frame(rows, columns)
+        if parts:
+            yield _frame(close(held, parts), columns)
+
+    return run
+
+
+def _entries_part(keys, wait: int):
+    """State on entry of each chunk; steps arrive by (key, chunk, upper), so only the state is held."""
+    by, columns = [*keys, "chunk"], [*keys, "chunk", "last_kept"]
+
+    def run(batches):
+        held, last, settled = None, 0, False
+        for pdf in batches:
+            rows, upper, ends = [], pdf["upper"].to_numpy(), pdf["ends"].to_numpy()
+            for start, stop in _runs(pdf, by):
+                key = _key(pdf, by, start)
+                if held is None or key[:-1] != held[:-1]:
+                    last = int(pdf["last_kept"].iat[start])
+                if key != held:
+                    rows.append((*key, last))
+                    settled, held = False, key
+                if not settled:
+                    i = start + int(np.searchsorted(upper[start:stop], last + wait, side="left"))
+                    if i < stop:
+                        last, settled = int(ends[i]), True
+            yield _frame(rows, columns)
+
+    return run
+
+
+def _walk_part(keys, wait: int):
+    """Kept times of each chunk; times arrive in order, so only the last kept one is held."""
+    by, columns = [*keys, "chunk"], [*keys, "kept_at"]
+
+    def run(batches):
+        held, last = None, 0
+        for pdf in batches:
+            rows, t = [], pdf["t"].to_numpy()
+            for start, stop in _runs(pdf, by):
+                key = _key(pdf, by, start)
+                if key != held:
+                    held, last = key, int(pdf["last_kept"].iat[start])
+                i = start + int(np.searchsorted(t[start:stop], last + wait, side="left"))
+                while i < stop:
+                    last = int(t[i])
+                    rows.append((*key[:-1], last))
+                    i = start + int(np.searchsorted(t[start:stop], last + wait, side="left"))
+            yield _frame(rows, columns)
+
+    return run
+
+
+def _matching(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on keys that may be null, keeping one copy of them."""
+    other = small.withColumnsRenamed({k: f"{k}__k" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(other[f"{k}__k"])
+    return df.join(other, same, how).drop(*[f"{k}__k" for k in keys])
+
+
 def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str = "timestamp", ties=("id",),
                    state: DataFrame | None = None, chunk_hours: int = 24) -> DataFrame:
     """Alerts that survive the cooldown: an alert is dropped when a kept one of its key is under ``minutes`` old.
@@ -134,63 +232,28 @@ def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str
     if chunk_len < wait:
         raise ValueError("a chunk must be at least as long as the cooldown")
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    key_types = {f.name: f.dataType.simpleString() for f in alerts.schema}
-    key_ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys)
+    types = {f.name: f.dataType.simpleString() for f in alerts.schema}
+    ddl = ", ".join(f"`{k}` {types[k]}" for k in keys)
     times = (alerts.filter(F.col(ts).isNotNull()).select(*keys, micros.alias("t")).distinct()
              .withColumn("chunk", F.floor(F.col("t") / chunk_len)))
 
-    def steps_of(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        upper, ends = chunk_steps(np.sort(pdf["t"].to_numpy()), int(key[-1]) * chunk_len, wait)
-        return pd.DataFrame({**{k: [v] * len(upper) for k, v in zip(keys, key)}, "chunk": int(key[-1]),
-                             "upper": upper, "ends": ends})
-
-    steps = times.groupBy(*keys, "chunk").applyInPandas(steps_of, f"{key_ddl}, chunk bigint, upper bigint, ends bigint")
-    never = -(1 << 62)
+    steps = (times.repartition(*keys, "chunk").sortWithinPartitions(*keys, "chunk", "t")
+             .mapInPandas(_steps_part(keys, chunk_len, wait), f"{ddl}, chunk bigint, upper bigint, ends bigint"))
+    never = F.lit(-(1 << 62)).cast("bigint")
     if state is None:
-        steps = steps.withColumn("last_kept", F.lit(never).cast("bigint"))
+        steps = steps.withColumn("last_kept", never)
     else:
-        known = state.select(*[F.col(k).alias(f"{k}__k") for k in keys], "last_kept")
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"{k}__k"))
-        steps = (steps.join(known, same, "left").drop(*[f"{k}__k" for k in keys])
-                 .withColumn("last_kept", F.coalesce("last_kept", F.lit(never).cast("bigint"))))
-
-    def entry_states(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["chunk", "upper"])
-        last, out = int(pdf["last_kept"].iloc[0]), []
-        for chunk, part in pdf.groupby("chunk", sort=True):
-            out.append((chunk, last))
-            i = int(np.searchsorted(part["upper"].to_numpy(), last + wait, side="left"))
-            if i < len(part):
-                last = int(part["ends"].iloc[i])
-        return pd.DataFrame({**{k: [v] * len(out) for k, v in zip(keys, key)},
-                             "chunk": [c for c, _ in out], "last_kept": [s for _, s in out]})
-
-    entries = steps.groupBy(*keys).applyInPandas(entry_states, f"{key_ddl}, chunk bigint, last_kept bigint")
-
-    def walk(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["t"].to_numpy())
-        kept, i = [], int(np.searchsorted(t, int(pdf["last_kept"].iloc[0]) + wait, side="left"))
-        while i < len(t):
-            kept.append(t[i])
-            i = int(np.searchsorted(t, t[i] + wait, side="left"))
-        return pd.DataFrame({**{k: [v] * len(kept) for k, v in zip(keys, key)},
-                             "kept_at": np.array(kept, dtype="int64")})
-
-    renamed = entries.select(*[F.col(k).alias(f"{k}__k") for k in keys], F.col("chunk").alias("chunk__k"), "last_kept")
-    same = F.col("chunk") == F.col("chunk__k")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}__k"))
-    kept = (times.join(renamed, same).select(*keys, "chunk", "t", "last_kept")
-            .groupBy(*keys, "chunk").applyInPandas(walk, f"{key_ddl}, kept_at bigint"))
-    marks = kept.select(*[F.col(k).alias(f"{k}__k") for k in keys], "kept_at")
-    same = micros == F.col("kept_at")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}__k"))
-    hits = alerts.join(marks, same).select(*[alerts[c] for c in alerts.columns])
+        steps = (_matching(steps, state.select(*keys, "last_kept"), keys, "left")
+                 .withColumn("last_kept", F.coalesce("last_kept", never)))
+    entries = (steps.repartition(*keys).sortWithinPartitions(*keys, "chunk", "upper")
+               .mapInPandas(_entries_part(keys, wait), f"{ddl}, chunk bigint, last_kept bigint"))
+    kept = (_matching(times, entries, [*keys, "chunk"]).repartition(*keys, "chunk")
+            .sortWithinPartitions(*keys, "chunk", "t").mapInPandas(_walk_part(keys, wait), f"{ddl}, kept_at bigint"))
+
+    at = "alert_micros__k"
+    hits = _matching(alerts.withColumn(at, micros), kept.withColumnRenamed("kept_at", at), [*keys, at]).drop(at)
     # Copies at one time: Spark keeps one row per key and task before the shuffle.
-    w = Window.partitionBy(*keys, ts).orderBy(*ties) if ties else Window.partitionBy(*keys, ts).orderBy(F.lit(1))
+    w = Window.partitionBy(*keys, ts).orderBy(*(ties or [F.lit(1)]))
     return hits.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aeroloom import vocab
 from aeroloom.functions.times import as_date, bin_start, season
@@ -243,16 +245,19 @@ def trend_slope(decomposed: DataFrame, key: str) -> DataFrame:
         .when(F.col("trend_slope") < -0.1, "decreasing").otherwise("stable"))
 
 
-def rank_by_metric(df: DataFrame, start, ts: str = "day_ts") -> DataFrame:
-    """Sensors ranked per metric by their average since ``start``."""
+def rank_by_metric(df: DataFrame, start, ts: str = "day_ts", digits: int | None = None) -> DataFrame:
+    """Sensors ranked per metric by their average since ``start``.
+
+    ``digits`` rounds the averages first, so that equal ones tie whatever order they were summed in.
+    """
+    mean = F.avg("avg_value") if digits is None else F.round(F.avg("avg_value"), digits)
     avg = (df.filter(F.col(ts) >= F.lit(as_date(start).isoformat()).cast(df.schema[ts].dataType))
-           .groupBy("native_sensor_id", "metric_name").agg(F.avg("avg_value").alias("avg_value")))
+           .groupBy("native_sensor_id", "metric_name").agg(mean.alias("avg_value")))
     return rank_within(avg, ["metric_name"], "avg_value", "sensor_rank")
 
 
 def week_over_week(df: DataFrame, as_of, ts: str = "day_ts") -> DataFrame:
     """Average of the last seven days against the seven before, per sensor and metric."""
-    import datetime as dt
     kind = df.schema[ts].dataType
     week = F.lit((as_date(as_of) - dt.timedelta(days=7)).isoformat()).cast(kind)
     two = F.lit((as_date(as_of) - dt.timedelta(days=14)).isoformat()).cast(kind)
@@ -260,6 +265,11 @@ def week_over_week(df: DataFrame, as_of, ts: str = "day_ts") -> DataFrame:
         F.avg(F.when(F.col(ts) >= week, F.col("avg_value"))).alias("current_avg"),
         F.avg(F.when(F.col(ts) < week, F.col("avg_value"))).alias("previous_avg")))
     diff = F.col("current_avg") - F.col("previous_avg")
+
+    def shown(col: Column, digits: int) -> Column:
+        # Float noise is rounded off first, so that 17.025 is a tie however it was computed.
+        return F.round(F.round(col, 8), digits)
+
     return (out.filter(F.col("current_avg").isNotNull() & F.col("previous_avg").isNotNull())
-            .withColumns({"change": F.round(diff, 2),
-                          "percent_change": F.round(F.try_divide(diff, F.col("previous_avg")) * 100, 1)}))
+            .withColumns({"change": shown(diff, 2),
+                          "percent_change": shown(F.try_divide(diff, F.col("previous_avg")) * 100, 1)}))
