@@ -45,7 +45,8 @@ def fit_scaler(train: DataFrame, cols):
 def estimators(seed: int = 42) -> dict:
     """Fixed model settings: 50 trees of depth 10, 50 boosting rounds of depth 6, and least squares."""
     return {
-        "random_forest": RandomForestRegressor(numTrees=50, maxDepth=10, featureSubsetStrategy="all", seed=seed),
+        "random_forest": RandomForestRegressor(numTrees=50, maxDepth=10, featureSubsetStrategy="all", seed=seed,
+                                               maxMemoryInMB=1024),
         "gradient_boosting": GBTRegressor(maxIter=50, maxDepth=6, stepSize=0.1, seed=seed),
         "linear_regression": LinearRegression(),
     }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from aeroloom import vocab
 from aeroloom.functions import air
 from aeroloom.functions.times import as_date, days_between
-from aeroloom.operators.normalize import float_coords
+from aeroloom.operators.normalize import ensure_columns, float_coords
 
 
 def positions(df: DataFrame, source: str, start, end, ts: str = "ts") -> DataFrame:
@@ -116,10 +116,13 @@ def upsert_status(dim: DataFrame, daily: DataFrame, now, parity: bool = False) -
 
     By default a status already set stays, so a retired sensor is not revived; ``parity=True`` sets all.
     """
-    when = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.col("day_ts"))
-    seen = daily.groupBy("native_sensor_id").agg(
-        F.min_by("latitude", when).alias("seen_lat"), F.min_by("longitude", when).alias("seen_lon"))
-    seen = seen.withColumn("hit", F.lit(True))
+    # The earliest point, ties going to the smaller coordinates; points are counted down to a few per sensor first.
+    points = daily.groupBy("native_sensor_id", "latitude", "longitude").agg(F.min("day_ts").alias("since"))
+    whole = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    seen = (points.groupBy("native_sensor_id")
+            .agg(F.min(F.when(whole, F.struct("since", "latitude", "longitude"))).alias("first"))
+            .select("native_sensor_id", F.col("first.latitude").alias("seen_lat"), F.col("first.longitude").alias("seen_lon"),
+                    F.lit(True).alias("hit")))
     j = dim.join(seen, "native_sensor_id", "full")
     now = F.lit(str(now)).cast("timestamp")
     revive = F.coalesce("hit", F.lit(False)) & (F.lit(parity) | F.col("status").isNull())
@@ -137,11 +140,9 @@ def upsert_status(dim: DataFrame, daily: DataFrame, now, parity: bool = False) -
 
 def seed_missing(dim: DataFrame, candidates: DataFrame, key: str, now) -> DataFrame:
     """The dimension plus the candidates it lacks; columns the candidates do not have are null."""
+    dim = dim.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
     new = candidates.join(dim.select(key), key, "left_anti").withColumn("updated_at", F.lit(str(now)).cast("timestamp"))
-    return dim.withColumn("updated_at", F.col("updated_at").cast("timestamp")).unionByName(
-        new.select([F.col(f.name).cast(f.dataType) if f.name in new.columns
-                    else F.lit(None).cast(f.dataType).alias(f.name)
-                    for f in dim.withColumn("updated_at", F.col("updated_at").cast("timestamp")).schema]))
+    return dim.unionByName(ensure_columns(new, dim.schema).select(dim.columns))
 
 
 def location_candidates(canonical: DataFrame) -> DataFrame:

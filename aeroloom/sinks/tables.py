@@ -89,9 +89,9 @@ def replace_window(df: DataFrame, path: str, start, end, cluster_cols=("native_s
     days = day_range(start, end)
     offset = F.datediff("dt", F.lit(days[0]))
     # 60 days per long: one bit per day.
-    words = [F.coalesce(F.bit_or(F.when(offset.between(i * 60, i * 60 + 59),
-                                        F.shiftleft(F.lit(1).cast("bigint"), F.least(F.greatest(offset - i * 60, F.lit(0)), F.lit(59))))),
-                        F.lit(0).cast("bigint")).alias(f"w{i}") for i in range((len(days) + 59) // 60)]
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(offset, F.lit(60)).cast("int"))
+    words = [F.coalesce(F.bit_or(F.when(offset.between(i * 60, i * 60 + 59), bit)), F.lit(0).cast("bigint")).alias(f"w{i}")
+             for i in range((len(days) + 59) // 60)]
     seen = Observation()
     inside = df.filter(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
     cols = [c for c in cluster_cols if c in df.columns]

@@ -1 +1,84 @@
-"""Placeholder."""
+"""Features and models (section 2.12, M6-M12)."""
+
+from pyspark.sql import functions as F
+
+from aeroloom.operators import forecasting as fc, timeseries
+from aeroloom.session import scratch_path
+from aeroloom.vocab import FORECAST_FEATURES
+from verification.registry import add
+
+_BY = "OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id"
+_MADE = ("(SELECT *, hour(timestamp)::INT AS hour, (isodow(timestamp) - 1)::INT AS day_of_week, month(timestamp)::INT AS month, "
+         + ", ".join(f"lag(pm25, {n}) {_BY}) AS pm25_lag_{n}h" for n in (1, 6, 12, 24)) + ", "
+         + ", ".join(f"avg(pm25) {_BY} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS pm25_ma_{n}h" for n in (3, 6, 24)) + " FROM history)")
+_DOUBLES = "pm25 temperature humidity pm25_lag_1h pm25_lag_6h pm25_lag_12h pm25_lag_24h pm25_ma_3h pm25_ma_6h pm25_ma_24h"
+
+
+def _features(d):
+    return fc.build_features(d.history(), ties=["event_id"])
+
+
+def _split(d):
+    rows = timeseries.chrono_split(_features(d), "timestamp", ties=["event_id"])
+    return rows.filter("split = 'train'"), rows.filter("split = 'test'")
+
+
+add("m06_build_features", _features, f"SELECT * FROM {_MADE} WHERE pm25_lag_24h IS NOT NULL", _DOUBLES)
+
+
+def _scaled(d):
+    """Mean and deviation of every feature of the training rows, as the scaler fitted them."""
+    train, _ = _split(d)
+    _, scaler = fc.fit_scaler(train, FORECAST_FEATURES)
+    rows = [(f, float(m), float(s)) for f, m, s in zip(FORECAST_FEATURES, scaler.mean, scaler.std)]
+    out = d.spark.createDataFrame(rows, "feature string, mean double, sd double")
+    return out.select("feature", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"))
+
+
+_TRAIN = f"""(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY timestamp, event_id) AS rn, count(*) OVER () AS n FROM {_MADE}
+    WHERE pm25_lag_24h IS NOT NULL) WHERE rn <= floor(0.8::DOUBLE * n))"""
+add("m07_fit_scaler", _scaled, " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round(avg({f}), 4) AS mean, round(stddev_samp({f}), 4) AS sd FROM {_TRAIN}" for f in FORECAST_FEATURES), "mean sd")
+
+
+def _trained(d, names=None):
+    train, test = _split(d)
+    return fc.train_models(train, FORECAST_FEATURES, names=names), train, test
+
+
+def _evaluated(d):
+    models, _, test = _trained(d)
+    return fc.evaluate(models, test)
+
+
+add("m08_m09_train_and_evaluate", _evaluated)
+
+
+def _saved(d):
+    models, _, test = _trained(d, ["linear_regression"])
+    path = scratch_path(d.spark, "model")
+    fc.save_model(models["linear_regression"], path)
+    return fc.evaluate({"linear_regression": fc.load_model(path)}, test)
+
+
+add("m10_save_model", _saved)
+
+
+def _forecast(d, hours=48):
+    models, _, _ = _trained(d, ["linear_regression"])
+    return fc.forecast(models["linear_regression"], fc.current_conditions(d.history(), ties=["event_id"]), hours)
+
+
+add("m11_forecast", _forecast)
+add("m12_forecast_summary", lambda d: fc.forecast_summary(_forecast(d, 24), "native_sensor_id"))
+
+
+def _metadata(d):
+    models, train, test = _trained(d, ["linear_regression"])
+    meta = fc.model_metadata(fc.evaluate(models, test), FORECAST_FEATURES, train.count(), "2024-01-31 00:00:00")
+    return meta.select("best_model", "training_date", F.size("feature_columns").cast("bigint").alias("features"), "training_samples")
+
+
+add("m09_model_metadata", _metadata,
+    f"""SELECT 'linear_regression' AS best_model, timestamp '2024-01-31' AS training_date, 12::BIGINT AS features, count(*)::BIGINT AS training_samples
+        FROM {_TRAIN}""")

@@ -1 +1,79 @@
-"""Placeholder."""
+"""Structured Streaming (section 2.13): streams over the given files, run to the end, then read back."""
+
+from pyspark.sql import functions as F
+
+from aeroloom.operators import alerts as al, normalize
+from aeroloom.session import scratch_path
+from aeroloom.streaming import streams
+from verification.checks_domain import _ALERTS, _LACK, _KEPT
+from verification.feeds import TSI_FED
+from verification.registry import add
+
+
+def _events(d):
+    """The air-quality table as a stream of files."""
+    # A pattern, since the table may be one file or a folder of them.
+    return streams.read_stream(d.spark, f"{d.dir}/events.parque[t]", d.table("events").schema)
+
+
+def _readings(d):
+    return _events(d).selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id",
+        "CASE WHEN event_id % 5 <> 0 THEN value END AS pm25", "CASE WHEN event_id % 7 <> 0 THEN CAST(event_id % 70 - 25 AS DOUBLE) END AS temperature",
+        "CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 101 AS DOUBLE) END AS humidity")
+
+
+def _written(d, df, **how):
+    out, checkpoint = scratch_path(d.spark, "stream"), scratch_path(d.spark, "checkpoint")
+    streams.append_parquet(df, out, checkpoint, **how).awaitTermination()
+    return d.spark.read.parquet(out)
+
+
+_SPARSE_ALERTS = _ALERTS.replace("FROM history", "FROM sparse")
+add("r01_stream_alerts",
+    lambda d: _written(d, streams.stream_alerts(_readings(d))).select("native_sensor_id", "id", "type", "level", "timestamp", "value", "message"),
+    f"""SELECT native_sensor_id, id, type, level, timestamp, value, message FROM ({_SPARSE_ALERTS}) UNION ALL
+        SELECT native_sensor_id, 'data_missing_' || strftime(timestamp, '%Y%m%d_%H%M%S'), 'data_quality', 'medium', timestamp, NULL::DOUBLE,
+        'DATA MISSING: Critical metrics unavailable: ' || {_LACK} FROM sparse WHERE {_LACK} <> ''""", "value")
+
+
+def _dense(d):
+    """Stream of the complete history's threshold alerts."""
+    rows = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id",
+                                 "value AS pm25", "CAST(event_id % 70 - 25 AS DOUBLE) AS temperature", "CAST(event_id % 101 AS DOUBLE) AS humidity")
+    return al.threshold_alerts(rows)
+
+
+def _cooled(d):
+    out, state, checkpoint = (scratch_path(d.spark, n) for n in ("kept", "state", "checkpoint"))
+    streams.stream_cooldown(_dense(d), out, state, checkpoint, keys=["type"]).awaitTermination()
+    return d.spark.read.parquet(out).select("type", "timestamp", "id")
+
+
+add("r02_stream_cooldown", _cooled, f"SELECT k AS type, timestamp, id FROM {_KEPT('type', '')}")
+
+
+def _long_stream(d):
+    wide = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id", "event_type AS metric_name", "value")
+    return wide.filter("value IS NOT NULL")
+
+
+# Hours whose end the final watermark (latest time less two hours) has passed.
+add("r03_stream_hourly", lambda d: _written(d, streams.stream_hourly(_long_stream(d))),
+    """SELECT * FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_ts, 'd' || CAST(user_id AS VARCHAR) AS native_sensor_id, event_type AS metric_name,
+       avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*)::BIGINT AS samples FROM events GROUP BY 1, 2, 3)
+       WHERE hour_ts + interval 1 hour <= (SELECT date_trunc('millisecond', max(ts)) - interval 2 hour FROM events)""", "avg_value min_value max_value")
+
+
+def _landed(d):
+    root, checkpoint = scratch_path(d.spark, "stream-landing"), scratch_path(d.spark, "checkpoint")
+    pick = lambda kind, name: f"CASE WHEN event_type='{kind}' THEN value END AS {name}"
+    rows = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id",
+                                 pick("click", "pm2_5"), pick("error", "pm10"), pick("purchase", "pm1_0"), pick("signup", "temperature"), pick("view", "humidity"))
+    streams.stream_landing(rows, root, checkpoint, "TSI").awaitTermination()
+    return d.spark.read.parquet(root).select("timestamp", "native_sensor_id", *TSI_FED, "source", "agg", F.col("dt").cast("date").alias("dt"))
+
+
+add("r04_stream_landing", _landed,
+    f"SELECT ts AS timestamp, native_sensor_id, {', '.join(TSI_FED)}, 'TSI' AS source, 'raw' AS agg, CAST(ts AS DATE) AS dt FROM tsi", " ".join(TSI_FED))
+assert normalize
