@@ -88,14 +88,24 @@ def unpivot_metrics(df: DataFrame, ids, metrics, metric_filter=None) -> DataFram
     types = {f.name: f.dataType for f in df.schema}
     wanted = [m for m in metrics if m in types and (metric_filter is None or m in metric_filter)]
     id_cols = [F.col(i) if isinstance(i, str) else i for i in ids]
-    values = [numeric(F.col(m), types[m]).alias(f"metric {m}") for m in wanted]
-    flat = df.select(*id_cols, *values)
-    id_names = flat.columns[: len(id_cols)]
+    id_names = df.select(*id_cols).columns
+    # A metric named like an id is moved aside for the unpivot; all others keep their name.
+    aside = {m: f"metric {m}" for m in wanted if m in id_names}
+    flat = df.select(*id_cols, *[numeric(F.col(m), types[m]).alias(aside.get(m, m)) for m in wanted])
     if not wanted:
         return flat.select(*id_names, F.lit("").alias("metric_name"), F.lit(None).cast("double").alias("value")).limit(0)
-    long = flat.unpivot(id_names, [f"metric {m}" for m in wanted], "metric_name", "value")
-    return (long.filter(F.col("value").isNotNull())
-            .withColumn("metric_name", F.substring("metric_name", len("metric ") + 1, 1000)))
+    long = (flat.unpivot(id_names, [aside.get(m, m) for m in wanted], "metric_name", "value")
+            .filter(F.col("value").isNotNull()))
+    if aside:
+        back = F.col("metric_name")
+        long = long.withColumn("metric_name", F.when(back.startswith("metric "), F.expr("substring(metric_name, 8)")).otherwise(back))
+    return long
+
+
+def has_reading(df: DataFrame, metrics) -> DataFrame:
+    """Rows with at least one of the metrics: the rows an unpivot would keep."""
+    types = {f.name: f.dataType for f in df.schema}
+    return df.filter(F.coalesce(*[numeric(F.col(m), types[m]) for m in metrics if m in types]).isNotNull())
 
 
 def source_long(df: DataFrame, source: str, metrics=None, ts: str = "ts") -> DataFrame:

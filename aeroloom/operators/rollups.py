@@ -10,8 +10,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from aeroloom import vocab
 from aeroloom.functions import air
+from aeroloom.functions.numbers import numeric
 from aeroloom.functions.times import as_date, bin_start, days_between, interval_seconds
+from aeroloom.operators.normalize import float_coords, has_reading, union_all
 
 GRAINS = {"hour": "hour_ts", "day": "day_ts"}
 
@@ -39,6 +42,61 @@ def rollup(long_df: DataFrame, grain: str) -> DataFrame:
         "avg_value", "min_value", "max_value", "samples")
 
 
+# Metrics aggregated side by side: six buffers each keep a pass under Spark's limit of 100 generated fields.
+METRICS_PER_PASS = 10
+
+
+def rollup_wide(df: DataFrame, source: str, grain: str, metrics=None, ts: str = "ts") -> DataFrame:
+    """The same rollup straight from one source's wide rows.
+
+    Wide rows are aggregated first and only the groups are unpivoted, so a row is hashed once per pass instead
+    of once per metric, and neither the long fact nor its expansion is read.  A pass scans its own metrics.
+    """
+    wanted = [m for m in vocab.METRICS[source] if m in df.columns and (metrics is None or m in metrics)]
+    return union_all(*[_rollup_pass(df, source, grain, wanted[i:i + METRICS_PER_PASS], ts)
+                       for i in range(0, max(len(wanted), 1), METRICS_PER_PASS)])
+
+
+def _rollup_pass(df: DataFrame, source: str, grain: str, wanted, ts: str) -> DataFrame:
+    out = GRAINS[grain]
+    pairs = vocab.COORDS[source]
+    (lat, _), (lon, _) = pairs
+    types = {f.name: f.dataType for f in df.schema}
+    wide = float_coords(df, pairs).filter(F.col(ts).isNotNull()).select(
+        F.date_trunc(grain, ts).alias(out), "native_sensor_id", F.col(ts).alias("at"), F.col(lat).alias("lat"),
+        F.col(lon).alias("lon"), *[numeric(F.col(m), types[m]).alias(f"v {m}") for m in wanted])
+    aggs = []
+    for m in wanted:
+        v = F.col(f"`v {m}`")
+        seen = F.when(v.isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col("at"))
+        aggs += [F.min_by("lat", seen).alias(f"lat {m}"), F.min_by("lon", seen).alias(f"lon {m}"), F.sum(v).alias(f"sum {m}"),
+                 F.min(v).alias(f"min {m}"), F.max(v).alias(f"max {m}"), F.count(v).alias(f"n {m}")]
+    lines = F.array(*[F.struct(
+        F.lit(m).alias("metric_name"), F.col(f"`lat {m}`").alias("latitude"), F.col(f"`lon {m}`").alias("longitude"),
+        F.try_divide(F.col(f"`sum {m}`"), F.col(f"`n {m}`").cast("double")).alias("avg_value"),
+        F.col(f"`min {m}`").alias("min_value"), F.col(f"`max {m}`").alias("max_value"), F.col(f"`n {m}`").alias("samples"))
+        for m in wanted])
+    grouped = wide.groupBy(out, "native_sensor_id").agg(*aggs).select(out, "native_sensor_id", F.inline(lines))
+    return grouped.filter(F.col("samples") > 0).select(
+        out, "native_sensor_id", "metric_name", "latitude", "longitude",
+        air.geo_point(F.col("latitude"), F.col("longitude")).alias("geog"),
+        "avg_value", "min_value", "max_value", "samples")
+
+
+def rollup_sources(wide: dict[str, DataFrame], grain: str, metrics=None, ts: str = "ts") -> DataFrame:
+    """Rollup of all sources from their wide rows.
+
+    A sensor id belongs to one source; a metric both sources report under one id would give two rows.
+    """
+    return union_all(*[rollup_wide(df, source, grain, metrics, ts) for source, df in wide.items()])
+
+
+def observed_sensors(wide: dict[str, DataFrame]) -> DataFrame:
+    """Distinct sensors with at least one reading, without unpivoting."""
+    parts = [has_reading(df, vocab.METRICS[s]).select("native_sensor_id") for s, df in wide.items()]
+    return union_all(*parts).distinct()
+
+
 def hourly_rollup(long_df: DataFrame, d=None, end=None) -> DataFrame:
     """Hourly rollup of one day, of the days ``d``..``end``, or of everything."""
     if d is not None:

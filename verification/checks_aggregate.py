@@ -16,6 +16,8 @@ _MATRIX = ["temperature", "humidity", "pm2_5", "wind_speed_avg"]
 add("a01_hourly_rollup", lambda d: rollups.hourly_rollup(d.long(), PROC_DATE).drop("geog"),
     "SELECT * FROM hourly WHERE hour_ts >= timestamp '2024-01-30' AND hour_ts < timestamp '2024-01-31'", _STATS)
 add("a02_daily_rollup", lambda d: rollups.daily_rollup(d.long(), PROC_DATE).drop("geog"), "SELECT * FROM week", _STATS)
+add("a01_hourly_from_wide", lambda d: d.hourly().drop("geog"), "SELECT * FROM hourly", _STATS)
+add("a02_daily_from_wide", lambda d: d.week().drop("geog"), "SELECT * FROM week", _STATS)
 add("a03_hourly_row_id", lambda d: rollups.rollup_with_row_id(d.long(), "hour", "sha2"),
     """SELECT hour_ts, CAST(hour_ts AS DATE) AS hour_date, native_sensor_id, metric_name, avg_value, min_value, max_value, samples,
        sha256(strftime(hour_ts, '%Y-%m-%d %H:%M:%S') || '|' || native_sensor_id || '|' || metric_name) AS row_id FROM hourly""",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aeroloom import vocab
 from aeroloom.operators import locations, normalize, rollups
+from aeroloom.operators.filters import between_days
 from aeroloom.plans import views
 from aeroloom.session import configure
 
@@ -70,16 +71,20 @@ class Feeds:
         return normalize.union_all(normalize.source_long(self.wu(), "WU", metrics),
                                    normalize.source_long(self.tsi(), "TSI", metrics))
 
+    def wide(self) -> dict[str, DataFrame]:
+        return {"WU": self.wu(), "TSI": self.tsi()}
+
     def hourly(self) -> DataFrame:
-        return rollups.hourly_rollup(self.long())
+        return rollups.rollup_sources(self.wide(), "hour")
 
     def daily(self) -> DataFrame:
         """Daily rollup of the whole month."""
-        return rollups.daily_rollup(self.long())
+        return rollups.rollup_sources(self.wide(), "day")
 
     def week(self) -> DataFrame:
         """Daily rollup of the seven days up to the processing date."""
-        return rollups.daily_rollup(self.long(), PROC_DATE)
+        recent = {s: between_days(df, "ts", WEEK_START, PROC_DATE) for s, df in self.wide().items()}
+        return rollups.rollup_sources(recent, "day")
 
     def id_map(self) -> DataFrame:
         return self.table("supplier").selectExpr(
@@ -102,7 +107,7 @@ class Feeds:
         return locations.canonical_location(self.wu(), self.tsi(), PROC_DATE)
 
     def current(self) -> DataFrame:
-        return locations.current_locations(self.daily(), self.canonical(), self.curated())
+        return locations.current_locations(rollups.observed_sensors(self.wide()), self.canonical(), self.curated())
 
     def enriched(self) -> DataFrame:
         return views.enriched(self.daily(), self.id_map(), self.current())
