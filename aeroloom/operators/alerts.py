@@ -158,7 +158,8 @@ def _steps_part(keys, chunk_len: int, wait: int):
                     parts = []
                 held = key
                 parts.append(t[start:stop])
-            yield _frame(rows, columns)
+            if rows:
+                yield _frame(rows, columns)
         if parts:
             yield _frame(close(held, parts), columns)
 
@@ -184,7 +185,8 @@ def _entries_part(keys, wait: int):
                     i = start + int(np.searchsorted(upper[start:stop], last + wait, side="left"))
                     if i < stop:
                         last, settled = int(ends[i]), True
-            yield _frame(rows, columns)
+            if rows:
+                yield _frame(rows, columns)
 
     return run
 
@@ -206,7 +208,8 @@ def _walk_part(keys, wait: int):
                     last = int(t[i])
                     rows.append((*key[:-1], last))
                     i = start + int(np.searchsorted(t[start:stop], last + wait, side="left"))
-            yield _frame(rows, columns)
+            if rows:
+                yield _frame(rows, columns)
 
     return run
 

@@ -37,21 +37,24 @@ def sequence_rows(df: DataFrame, keys, ts: str, ties=(), slice_rows: int = SLICE
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"), F.min(micros).alias("key_from"),
-                                  (F.max(micros) - F.min(micros) + 1).alias("key_span"))
+    # Keys travel as one struct: it equals itself when a field is null, and joins and windows share its partitioning.
+    rows = df.withColumn("seq_key", F.struct(*keys))
+    sizes = rows.groupBy("seq_key").agg(F.count(F.lit(1)).alias("key_rows"), F.min(micros).alias("key_from"),
+                                        (F.max(micros) - F.min(micros) + 1).alias("key_span"))
     # A key of n rows gets ceil(n / slice_rows) slices of equal length.
     sizes = sizes.withColumn("slice_len", F.ceil(F.col("key_span") / F.ceil(F.col("key_rows") / slice_rows)))
-    sliced = (_attach(df, sizes, keys)
+    sliced = (rows.join(sizes, "seq_key")
               .withColumn("slice", F.floor((micros - F.col("key_from")) / F.col("slice_len")))
               .drop("key_from", "key_span", "slice_len"))
+    inside = Window.partitionBy("seq_key", "slice").orderBy(ts, *ties)
+    numbered = sliced.withColumn("at_slice", F.row_number().over(inside))
     # At most key_rows / slice_rows rows per key reach this window.
-    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (sliced.groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
-    inside = Window.partitionBy(*keys, "slice").orderBy(ts, *ties)
-    return (_attach(sliced, shifts, [*keys, "slice"])
-            .withColumn("seq", F.col("shift") + F.row_number().over(inside))
-            .drop("shift", "slice"))
+    before = Window.partitionBy("seq_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (sliced.groupBy("seq_key", "slice").agg(F.count(F.lit(1)).alias("n"))
+              .select("seq_key", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")))
+    # The numbered rows already lie by (key, slice), so this join moves none of them.
+    return (numbered.join(shifts, ["seq_key", "slice"])
+            .withColumn("seq", F.col("shift") + F.col("at_slice")).select(*df.columns, "key_rows", "seq"))
 
 
 def lookback(df: DataFrame, keys, halo: int, columns, block_rows: int = BLOCK_ROWS) -> DataFrame:
