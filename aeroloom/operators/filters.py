@@ -58,13 +58,11 @@ def in_set(df: DataFrame, other: DataFrame, key: str, negate: bool = False) -> D
     Spark's own null-aware anti join always broadcasts the set, whatever its size.  Here the set may be
     large: a plain anti join on equality, and a scalar that empties the result when the set holds a null.
     """
-    keys = other.select(key).distinct()
     if not negate:
-        return df.join(keys, key, "left_semi")
-    nulls = keys.agg(F.count_if(F.col(key).isNull())).scalar()
-    size = keys.agg(F.count(F.lit(1))).scalar()
-    kept = df.join(keys.filter(F.col(key).isNotNull()), key, "left_anti")
-    return kept.filter((nulls == 0) & (F.col(key).isNotNull() | (size == 0)))
+        return df.join(other.select(key), key, "left_semi")
+    facts = other.agg(F.struct(F.count_if(F.col(key).isNull()).alias("nulls"), F.count(F.lit(1)).alias("size"))).scalar()
+    kept = df.join(other.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    return kept.filter((facts["nulls"] == 0) & (F.col(key).isNotNull() | (facts["size"] == 0)))
 
 
 def has_samples(df: DataFrame) -> DataFrame:

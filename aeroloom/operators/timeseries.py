@@ -99,7 +99,8 @@ def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, key: str | None = No
 
     Over the whole table by default, or per key.
     """
-    keyed = df.withColumn("split_key", F.lit(0)) if key is None else df
+    # One key for all rows, computed from the data: a literal would turn the key joins into nested loops.
+    keyed = df.withColumn("split_key", F.pmod(F.hash(ts), F.lit(1))) if key is None else df
     k = key or "split_key"
     out = sequence_rows(keyed, [k], ts, ties, slice_rows).withColumn(
         "split", F.when(F.col("seq") <= F.floor(F.col("key_rows") * frac), "train").otherwise("test"))

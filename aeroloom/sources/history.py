@@ -48,8 +48,11 @@ def read_csv_union(spark: SparkSession, files, **tags) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_history_csv(spark: SparkSession, root: str) -> DataFrame:
-    """History of the first place that has any: master files, raw pulls per source, then five processed files."""
+def read_history_csv(spark: SparkSession, root: str, processed_limit: int | None = None) -> DataFrame:
+    """History of the first place that has any: master files, raw pulls per source, then processed files.
+
+    All processed files are read; ``processed_limit=5`` reads the first five only.
+    """
     master = _list_csv(spark, f"{root}/master_data")
     preferred = [f for n in vocab.HISTORY_FILES for f in master if _name(f) == n]
     found = read_csv_union(spark, preferred or master)
@@ -59,7 +62,7 @@ def read_history_csv(spark: SparkSession, root: str) -> DataFrame:
     pulls = [p for p in pulls if p is not None]
     if pulls:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pulls)
-    found = read_csv_union(spark, _list_csv(spark, f"{root}/processed")[:5])
+    found = read_csv_union(spark, _list_csv(spark, f"{root}/processed")[:processed_limit])
     if found is None:
         raise ValueError(f"no CSV history under {root}")
     return found

@@ -104,12 +104,12 @@ _E = "latitude longitude avg_value min_value max_value value"
 add("c12_enriched", lambda d: d.enriched().drop("geog"), "SELECT * FROM enriched", _E)
 add("c12_all_enriched", lambda d: views.all_daily_enriched(d.daily(), d.id_map(), d.current()).drop("geog"), "SELECT * FROM all_enriched", _E)
 add("c12_long_enriched",
-    lambda d: views.long_enriched(d.long(["temperature"]), d.id_map(), d.current()).drop("geog"),
+    lambda d: views.long_enriched(d.long(), d.id_map(), d.current()).drop("geog"),
     """SELECT f.timestamp, f.native_sensor_id, coalesce(m.sensor_id, f.native_sensor_id) AS sensor_id, f.metric_name, f.value, lc.latitude,
        lc.longitude, lc.status, lc.effective_date FROM long f LEFT JOIN id_map m ON f.native_sensor_id = m.native_sensor_id
        AND (m.effective_start_date IS NULL OR CAST(f.timestamp AS DATE) >= m.effective_start_date)
        AND (m.effective_end_date IS NULL OR CAST(f.timestamp AS DATE) <= m.effective_end_date)
-       LEFT JOIN current_loc lc ON f.native_sensor_id = lc.native_sensor_id WHERE f.metric_name = 'temperature'""", "latitude longitude value")
+       LEFT JOIN current_loc lc ON f.native_sensor_id = lc.native_sensor_id""", "latitude longitude value")
 add("c12_metric_subset_view",
     lambda d: views.metric_subset_view(d.daily(), d.id_map(), d.current(), ["humidity", "wind_direction_avg"], "WU")
     .drop("geog", "metric", "value"),
@@ -123,7 +123,7 @@ add("c14_canonical_location", lambda d: d.canonical().drop("canonical_geog"), "S
 def _catalog(d):
     """Catalogue: every supplier, some renamed, plus sensors that are in no other table."""
     base = d.table("supplier").selectExpr(
-        "concat('KNCDURHA', s_suppkey * 2) AS native_sensor_id", "'WU' AS sensor_type",
+        "concat('KNCDURHA', s_suppkey * 2) AS native_sensor_id", "CASE WHEN s_suppkey >= 0 THEN 'WU' END AS sensor_type",
         "CASE WHEN s_suppkey % 3 = 0 THEN concat('renamed ', s_suppkey) ELSE s_name END AS friendly_name",
         "CASE WHEN s_suppkey % 4 = 0 THEN concat('roof ', s_suppkey) END AS location", "36.0D AS latitude", "-78.9D AS longitude",
         "CASE WHEN s_suppkey % 5 = 0 THEN date'2024-01-03' END AS start_date")
@@ -133,7 +133,7 @@ def _catalog(d):
 def _maintained(d, part):
     seen = locations.identity_candidates(d.history()).select("native_sensor_id")
     first = (d.history().groupBy("native_sensor_id").agg(F.to_date(F.min("timestamp")).alias("first_date"))
-             .join(seen, "native_sensor_id").withColumn("sensor_type", F.lit("TSI")))
+             .join(seen, "native_sensor_id").withColumn("sensor_type", F.when(F.col("first_date").isNotNull(), "TSI")))
     return locations.maintain_deployments(d.sensors(), d.deployments(), _catalog(d), first, "2024-01-31", algo="sha2")[part]
 
 
