@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aeroloom.llm import bpe, files, fingerprints, packing, token_files
+from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
+    model = language.train(docs.where(~F.col("held_out")))
+    return (language.predict(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score")))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +48,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
+    model = quality.train(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels").where(~language.held_out()))
+    return (quality.predict(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted")))
+
+
 @query
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
