@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, token_files
+from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,23 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
 
 
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = warc.mark_revisits(table(spark, sf_dir, "pages"))
+    archives = warc.write_archives(marked, files.fresh(spark, "warc-whole"))
+    return warc.read_archives(warc.normalise_archives(archives, files.fresh(spark, "warc-members"))).drop("url")
+
+
+ORACLES["op8_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+d AS (SELECT page_id, octet_length(raw) AS payload_bytes, sha256(raw) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
