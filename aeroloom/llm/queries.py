@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, token_files, warc
+from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, setjoin, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,11 @@ FROM d LEFT JOIN f USING (payload_digest)
 """
 
 
+@query
+def op9_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.similar_classes(table(spark, sf_dir, "documents"), size=4, threshold=(17, 20))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
