@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aeroloom.llm import bpe, files, fingerprints, language, packing, quality, setjoin, token_files, warc
+from aeroloom.llm import bpe, files, fingerprints, language, packing, pseudonyms, quality, setjoin, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="a key that only the owner of the corpus has")
+
+
 @query
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
