@@ -11,8 +11,10 @@ Equal sets are one class from the start.  Candidates are found in two rounds, bo
 
 1. in each group of equal signatures, every member is compared with the group's smallest member, and what links is
    joined into components: copies of one text need as many comparisons as there are copies;
-2. groups that still hold members of different components, which are few, are settled inside tasks: members are
-   compared across components until none is left, in blocks if a group is large.
+2. groups that still hold members of different components are looked through inside tasks, in blocks if a group is
+   large.  A parity sketch of each set bounds the difference of two sets from below, so most pairs are ruled out
+   without the sets; the others are taken for links, and as many as connect them are compared exactly.  What proves
+   wrong is struck out and the groups are looked through again, until no pair is left to try.
 """
 
 from __future__ import annotations
@@ -142,15 +144,35 @@ def _signature_rows(docs: DataFrame, size: int, threshold: tuple[int, int]) -> D
     return docs.mapInPandas(run, "sig long, doc_id long")
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """Parity of the number of elements in each of M slots, M a power of two and at least four per element.
+
+    The sketches of two sets differ in no more slots than the sets differ in elements.  Folded in half by exclusive or,
+    a sketch is the one with M / 2 slots."""
+    slots = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def unfold(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest one's slots."""
+    width = min(map(len, sketches)) // 8
+    out = np.zeros((len(sketches), width), np.uint64)
+    for i, raw in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(raw, "<u8").reshape(-1, width), axis=0)
+    return out
+
+
 def _sets(classes: DataFrame, size: int) -> DataFrame:
-    """(rep, elements) of ``rep, text``: the sets themselves, as little-endian 64-bit numbers."""
+    """(rep, n, sketch, elements) of ``rep, text``; elements are the set itself, as little-endian 64-bit numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = shingle_sets(batch["text"].tolist(), size)
-            yield pd.DataFrame({"rep": batch["rep"].array, "elements": [s.astype("<u8").tobytes() for s in sets]})
+            yield pd.DataFrame({"rep": batch["rep"].array, "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
+                                "elements": [s.astype("<u8").tobytes() for s in sets]})
 
-    return classes.mapInPandas(run, "rep long, elements binary")
+    return classes.mapInPandas(run, "rep long, n long, sketch binary, elements binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -192,40 +214,51 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _settle(groups: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links between members of different components within each group (cell, left, rep, root, elements).
+def _promising(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) that may link members of different components within each cell (cell, side, rep, root, n, sketch, failed).
 
-    A cell is a group, or two blocks of a large one; then only pairs of one block with the other are compared, or all
-    pairs of a block with itself.  Members that have come together are not compared again."""
+    A cell is a group, or two blocks of a large one; then only pairs of one block with the other are looked at.  Pairs
+    that the sketches don't rule out are taken for links, so a cell gives fewer pairs than it has members.  ``failed``
+    lists the smaller partners with which a member has been compared in vain."""
+    p, q = threshold
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep", kind="stable")
-        sets = [np.frombuffer(x, "<u8") for x in pdf["elements"]]
-        rep, root, side = pdf["rep"].tolist(), pdf["root"].tolist(), pdf["side"].tolist()
-        two = len(set(side)) > 1
-        parent = {r: r for r in root}
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        found = []
-        size = np.array([len(s) for s in sets])
-        p, q = threshold
-        for i in range(len(rep)):
-            fit = np.flatnonzero((q * np.minimum(size[i], size[:i]) >= p * np.maximum(size[i], size[:i]))) if i else []
-            for j in fit:
-                if two and side[i] == side[j]:
-                    continue
-                x, y = find(root[i]), find(root[j])
-                if x != y and linked(sets[i], sets[j], threshold):
-                    parent[max(x, y)] = min(x, y)
+        bits, n, rep, side = unfold(pdf["sketch"].tolist()), pdf["n"].to_numpy(np.int64), pdf["rep"].to_numpy(np.int64), pdf["side"].to_numpy()
+        label = np.unique(pdf["root"].to_numpy(np.int64), return_inverse=True)[1]
+        two, failed, found = len(np.unique(side)) > 1, pdf["failed"].tolist(), []
+        for i in range(1, len(rep)):
+            both = n[i] + n[:i]
+            fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
+            if two:
+                fit &= side[:i] != side[i]
+            if failed[i] is not None:
+                fit &= ~np.isin(rep[:i], failed[i])
+            near = np.flatnonzero(fit)
+            if len(near) == 0:
+                continue
+            differ = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            for j in near[differ * (p + q) <= both[near] * (q - p)]:
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
                     found.append((rep[j], rep[i]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return groups.groupBy("cell").applyInPandas(run, "a long, b long")
+    return cells.groupBy("cell").applyInPandas(run, "a long, b long").distinct()
+
+
+def _cells(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, side, rep, root) of the groups (sig, rep) that hold several components; groups with the same members once."""
+    rooted = members.select("sig", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    rooted = files.written(rooted.select("sig", "rep", "root"), "rooted")
+    groups = (rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"), F.min("rep").alias("least"))
+              .where("lo != hi").groupBy("n", "who", "least").agg(F.min("sig").alias("sig")).select("sig", "n"))
+    return (rooted.join(groups, "sig").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            # A member of block i meets every block j: it goes to the cell of the two.
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.concat_ws(":", "sig", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), F.col("block").alias("side"), "rep", "root"))
 
 
 def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -258,22 +291,20 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
             .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
     links = files.written(_verified(pairs, in_question, threshold).unionByName(tied), "links")
     roots = components(links)
-    # Round 2: groups that still hold several components.
-    rooted = members.select("sig", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    rooted = files.written(rooted.select("sig", "rep", "root"), "rooted")
-    # Groups with the same members are settled once.
-    open_groups = (rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                             F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"), F.min("rep").alias("least"))
-                   .where("lo != hi").groupBy("n", "who", "least").agg(F.min("sig").alias("sig")).select("sig", "n"))
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    grouped = (rooted.join(open_groups, "sig").withColumn("blocks", blocks)
-               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-               # A member of block i meets every block j: it goes to the cell of the two.
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select(F.concat_ws(":", "sig", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), F.col("block").alias("side"), "rep", "root"))
-    more = files.written(_settle(grouped.join(in_question, "rep"), threshold), "more-links")
-    final = components(links.unionByName(more)) if not more.isEmpty() else roots
-    named = (stands.join(final.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    # Round 2: groups that still hold several components, until no pair is left to try.
+    vain = spark.createDataFrame([], "a long, b long")
+    while True:
+        struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_list("a").alias("failed"))
+        cells = _cells(members, roots).join(in_question.select("rep", "n", "sketch"), "rep").join(struck, "rep", "left")
+        pairs = files.written(_promising(cells, threshold), "pairs")
+        if pairs.isEmpty():
+            break
+        more = files.written(_verified(pairs, in_question, threshold), "more-links")
+        vain = files.written(vain.unionByName(pairs.join(more, ["a", "b"], "left_anti")), "no-links")
+        if not more.isEmpty():
+            links = files.written(links.unionByName(more), "links")
+            roots = components(links)
+    named = (stands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
              .select("doc_id", F.coalesce("root", "rep").alias("component_id")).distinct())
     out = described.join(named, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

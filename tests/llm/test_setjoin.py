@@ -108,3 +108,13 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 400), (5, 5)]
     got = {r.node: r.root for r in setjoin.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got.get(i, i) == 0 for i in range(41)) and all(got.get(i, i) == 100 for i in range(100, 130)) and got[500] == 400
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2 ** 63, rng.integers(1, 400)).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.integers(0, len(a)):], rng.integers(0, 2 ** 63, rng.integers(0, 400)).astype(np.uint64)]))
+        if len(b):
+            x, y = setjoin.unfold([setjoin.sketch(a), setjoin.sketch(b)])
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
