@@ -29,7 +29,14 @@ _PHONE = r"(?<![A-Za-z0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9
 _WORLD_PHONE = r"(?<![A-Za-z0-9+])\+[0-9]{8,15}(?![A-Za-z0-9])"
 _SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 _CARD = r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})(?![A-Za-z0-9])"
-_ANY = "|".join([_EMAIL, _SECRET, _ACCESS_KEY, _IBAN, _IP, _ISO_DATE, _DATE, _PHONE, _WORLD_PHONE, _SSN, _CARD])
+# One look-behind for all, then what can begin with the character at hand: most places fail at once.
+_ANY = ("(?<![A-Za-z0-9])(?:(?=[0-9+(])(?:" + "|".join([_EMAIL, _IP, _ISO_DATE, _DATE, _PHONE, _WORLD_PHONE, _SSN, _CARD])
+        + ")|(?=[A-Za-z._%-])(?:" + "|".join([_EMAIL, _SECRET, _ACCESS_KEY, _IBAN]) + "))")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _is(c: Column, pattern: str) -> Column:
@@ -62,6 +69,10 @@ def permute(index: Column, a: int, b: int, key: str, tag: str, inverse: bool = F
 
 def permute_digits(digits: Column, key: str, tag: str, inverse: bool = False) -> Column:
     """Keyed permutation of the digit strings of one length, up to 18 digits."""
+    return _let(digits, lambda d: _permute_digits(d, key, tag, inverse))
+
+
+def _permute_digits(digits: Column, key: str, tag: str, inverse: bool) -> Column:
     n = F.length(digits)
     half = F.floor(n / 2).cast("int")
     a, b = (F.round(F.pow(F.lit(10.0), k)).cast("long") for k in (n - half, half))
@@ -92,6 +103,10 @@ def _moved(c: Column, by: Column, alphabets: tuple[str, ...]) -> Column:
 
 def permute_string(value: Column, key: str, tag: str, alphabets: tuple[str, ...] = (DIGITS, LOWER, UPPER), inverse: bool = False) -> Column:
     """Keyed permutation of the strings with the same pattern of alphabets; signs stay where they are."""
+    return _let(value, lambda v: _permute_string(v, key, tag, alphabets, inverse))
+
+
+def _permute_string(value: Column, key: str, tag: str, alphabets: tuple[str, ...], inverse: bool) -> Column:
     n = F.length(value)
     cut = F.ceil(n / 2).cast("int")
     start = F.struct(F.substr(value, F.lit(1), cut).alias("l"), F.substr(value, cut + 1, n).alias("r"))
@@ -99,8 +114,8 @@ def permute_string(value: Column, key: str, tag: str, alphabets: tuple[str, ...]
 
     def shifted(moving: Column, other: Column, k: Column) -> Column:
         stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), k.cast("string"), other), 512)
-        return F.array_join(F.transform(F.split(moving, ""), lambda c, i: _moved(
-            c, sign * F.conv(F.substr(stream, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int"), alphabets)), "")
+        return _let(stream, lambda hexes: F.array_join(F.transform(F.split(moving, ""), lambda c, i: _moved(
+            c, sign * F.conv(F.substr(hexes, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int"), alphabets)), ""))
 
     def turn(s: Column, k: Column) -> Column:
         left = k % 2 == 0
@@ -116,14 +131,18 @@ def _digits(c: Column) -> Column:
 
 def _refill(shape: Column, digits: Column, skip: int = 0) -> Column:
     """``shape`` with its digits (after the first ``skip``) replaced in order by ``digits``."""
-    def put(c: Column, i: Column) -> Column:
+    def put(c: Column, i: Column, new: Column) -> Column:
         at = F.length(_digits(F.substr(shape, F.lit(1), i + 1))) - skip
-        return F.when(c.rlike("[0-9]") & (at > 0), F.substr(digits, at, F.lit(1))).otherwise(c)
-    return F.array_join(F.transform(F.split(shape, ""), put), "")
+        return F.when(c.rlike("[0-9]") & (at > 0), F.substr(new, at, F.lit(1))).otherwise(c)
+    return _let(digits, lambda new: F.array_join(F.transform(F.split(shape, ""), lambda c, i: put(c, i, new)), ""))
 
 
 def luhn_sum(digits: Column) -> Column:
     """Luhn sum of a digit string, its last digit being the check digit."""
+    return _let(digits, _luhn_sum)
+
+
+def _luhn_sum(digits: Column) -> Column:
     n = F.length(digits)
     doubled = lambda d: F.when(d > 4, d * 2 - 9).otherwise(d * 2)
 
@@ -143,22 +162,27 @@ def _mod97(text: Column) -> Column:
 
 
 def _card(m: Column, key: str, inverse: bool) -> Column:
-    d = _digits(m)
-    body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permute_digits(F.substr(d, F.lit(2), F.length(d) - 2), key, "card", inverse))
-    check = F.pmod(F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return F.when(luhn_sum(d) % 10 == 0, _refill(m, F.concat(body, check))).otherwise(m)
+    def checked(body: Column) -> Column:
+        return F.concat(body, F.pmod(F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string"))
+
+    def new(d: Column) -> Column:
+        body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permute_digits(F.substr(d, F.lit(2), F.length(d) - 2), key, "card", inverse))
+        return F.when(luhn_sum(d) % 10 == 0, _refill(m, _let(body, checked))).otherwise(m)
+    return _let(_digits(m), new)
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
     """North American numbers: area code and exchange from 200 to 999."""
-    d = F.right(_digits(m), F.lit(10))
-    area, exchange = F.substr(d, F.lit(1), F.lit(3)).cast("long"), F.substr(d, F.lit(4), F.lit(3)).cast("long")
-    index = ((area - 200) * 800 + exchange - 200) * 10000 + F.right(d, F.lit(4)).cast("long")
-    new = permute(index, 80000, 80000, key, "phone", inverse)
-    line, rest = new % 10000, F.floor(new / 10000)
-    out = F.concat((F.floor(rest / 800) + 200).cast("string"), (rest % 800 + 200).cast("string"), F.lpad(line.cast("string"), 4, "0"))
-    has_country = F.length(_digits(m)) == 11
-    return F.when((area >= 200) & (exchange >= 200), F.when(has_country, _refill(m, out, 1)).otherwise(_refill(m, out))).otherwise(m)
+    def written(n: Column) -> Column:
+        rest = F.floor(n / 10000)
+        return F.concat((F.floor(rest / 800) + 200).cast("string"), (rest % 800 + 200).cast("string"), F.lpad((n % 10000).cast("string"), 4, "0"))
+
+    def new(d: Column) -> Column:
+        area, exchange = F.substr(d, F.lit(1), F.lit(3)).cast("long"), F.substr(d, F.lit(4), F.lit(3)).cast("long")
+        index = ((area - 200) * 800 + exchange - 200) * 10000 + F.right(d, F.lit(4)).cast("long")
+        out = _let(permute(index, 80000, 80000, key, "phone", inverse), written)
+        return F.when((area >= 200) & (exchange >= 200), F.when(F.length(_digits(m)) == 11, _refill(m, out, 1)).otherwise(_refill(m, out))).otherwise(m)
+    return _let(F.right(_digits(m), F.lit(10)), new)
 
 
 def _world_phone(m: Column, key: str, inverse: bool) -> Column:
@@ -169,19 +193,22 @@ def _world_phone(m: Column, key: str, inverse: bool) -> Column:
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
     area, group, serial = (F.substr(m, F.lit(s), F.lit(n)).cast("long") for s, n in ((1, 3), (5, 2), (8, 4)))
     slot = F.when(area > 666, area - 2).otherwise(area - 1)
-    new = permute((slot * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, key, "ssn", inverse)
-    front = F.floor(new / 9999)
-    place = F.floor(front / 99)
-    area_out = F.when(place >= 665, place + 2).otherwise(place + 1)
-    out = F.concat_ws("-", F.lpad(area_out.cast("string"), 3, "0"), F.lpad((front % 99 + 1).cast("string"), 2, "0"), F.lpad((new % 9999 + 1).cast("string"), 4, "0"))
+
+    def written(n: Column) -> Column:
+        front = F.floor(n / 9999)
+        place = F.floor(front / 99)
+        area_out = F.when(place >= 665, place + 2).otherwise(place + 1)
+        return F.concat_ws("-", F.lpad(area_out.cast("string"), 3, "0"), F.lpad((front % 99 + 1).cast("string"), 2, "0"), F.lpad((n % 9999 + 1).cast("string"), 4, "0"))
+
+    out = _let(permute((slot * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, key, "ssn", inverse), written)
     return F.when((area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0), out).otherwise(m)
 
 
 def _ip(m: Column, key: str, inverse: bool) -> Column:
     parts = F.transform(F.split(m, r"\."), lambda p: p.cast("long"))
     index = F.aggregate(parts, F.expr("0L"), lambda x, p: x * 256 + p)
-    new = permute(index, 65536, 65536, key, "ip", inverse)
-    out = F.array_join(F.transform(F.array(*[F.lit(s) for s in (24, 16, 8, 0)]), lambda s: (F.floor(new / F.pow(F.lit(2.0), s)).cast("long") % 256).cast("string")), ".")
+    out = _let(permute(index, 65536, 65536, key, "ip", inverse), lambda n: F.array_join(F.transform(
+        F.array(*[F.lit(s) for s in (24, 16, 8, 0)]), lambda s: (F.floor(n / F.pow(F.lit(2.0), s)).cast("long") % 256).cast("string")), "."))
     return F.when(F.forall(parts, lambda p: p < 256), out).otherwise(m)
 
 
@@ -203,9 +230,9 @@ def _dates(m: Column, forms: list[str], key: str, inverse: bool) -> Column:
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
     country, check, account = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(3), F.lit(2)), F.substr(m, F.lit(5), F.length(m))
-    new = permute_string(account, key, "iban", (DIGITS, UPPER), inverse)
-    digits = F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(_mod97(F.concat(account, country, check)) == 1, F.concat(country, digits, new)).otherwise(m)
+    out = _let(permute_string(account, key, "iban", (DIGITS, UPPER), inverse), lambda new: F.concat(
+        country, F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new))
+    return F.when(_mod97(F.concat(account, country, check)) == 1, out).otherwise(m)
 
 
 def _email(m: Column, key: str, inverse: bool) -> Column:
