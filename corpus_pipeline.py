@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aeroloom.llm import files, language, packing, pseudonyms, quality, setjoin
 from aeroloom.llm.queries import vocabulary
@@ -47,12 +47,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     classes = setjoin.similar_classes(docs.select("doc_id", "text"), size=5, threshold=(4, 5))
     kept = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
-    # Rows that repeat a doc_id: the first in the order of their columns stays.
-    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    order = Window.partitionBy("doc_id").orderBy(*(F.col(c).asc_nulls_last() for c in COLUMNS[1:]))
-    once = (named.join(repeated, "doc_id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").select(*COLUMNS))
-    return (named.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(once)
-            .unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS)))
+    # Rows that repeat a doc_id: the least stays.  The join has dealt and sorted the rows by doc_id already.
+    once = named.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return once.unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
