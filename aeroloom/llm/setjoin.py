@@ -12,9 +12,11 @@ Equal sets are one class from the start.  Candidates are found in two rounds, bo
 1. in each group of equal signatures, every member is compared with the group's smallest member, and what links is
    joined into components: copies of one text need as many comparisons as there are copies;
 2. groups that still hold members of different components are looked through inside tasks, in blocks if a group is
-   large.  A parity sketch of each set bounds the difference of two sets from below, so most pairs are ruled out
-   without the sets; the others are taken for links, and as many as connect them are compared exactly.  What proves
-   wrong is struck out and the groups are looked through again, until no pair is left to try.
+   large.  Pairs that may link are taken for links, and as many as connect their members are compared exactly.  What
+   proves wrong is struck out and the groups are looked through again, until no pair is left to try.
+
+A parity sketch of each set, some bits per element, bounds the difference of two sets from below.  It rules out most
+candidates in both rounds, so whole sets move for the others alone.
 """
 
 from __future__ import annotations
@@ -114,7 +116,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles and set_key (two 64-bit sums that name the set; null for the empty set) of every document."""
+    """doc_id, n_shingles, set_key (two 64-bit sums that name the set; null for the empty set) and sketch of every document."""
     T.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,9 +127,9 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 two = np.array([T.mix64(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for s in sets], np.uint64)
             n = [len(s) for s in sets]
             key = [f"{x:016x}{y:016x}" if k else None for x, y, k in zip(one.tolist(), two.tolist(), n)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "n_shingles": n, "set_key": key})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "n_shingles": n, "set_key": key, "sketch": [sketch(s) for s in sets]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_shingles long, set_key string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_shingles long, set_key string, sketch binary")
 
 
 def _signature_rows(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
@@ -145,11 +147,11 @@ def _signature_rows(docs: DataFrame, size: int, threshold: tuple[int, int]) -> D
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of M slots, M a power of two and at least four per element.
+    """Parity of the number of elements in each of M slots, M a power of two and at least one per element.
 
     The sketches of two sets differ in no more slots than the sets differ in elements.  Folded in half by exclusive or,
     a sketch is the one with M / 2 slots."""
-    slots = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    slots = max(64, 1 << int(len(elements) - 1).bit_length()) if len(elements) else 64
     odd = np.bincount((elements & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -163,29 +165,53 @@ def unfold(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def _sets(classes: DataFrame, size: int) -> DataFrame:
-    """(rep, n, sketch, elements) of ``rep, text``; elements are the set itself, as little-endian 64-bit numbers."""
+def _not_ruled_out(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (a, b) that sizes and sketches let link."""
+    p, q = threshold
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n, m = batch["n"].to_numpy(np.int64), batch["m"].to_numpy(np.int64)
+            differ = np.zeros(len(batch), np.int64)
+            for i, pair in enumerate(zip(batch["x"], batch["y"])):
+                x, y = unfold(list(pair))
+                differ[i] = np.bitwise_count(x ^ y).sum()
+            yield batch.loc[(q * np.minimum(n, m) >= p * np.maximum(n, m)) & (differ * (p + q) <= (n + m) * (q - p)), ["a", "b"]]
+
+    joined = (pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("x"), "n"), "a")
+              .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("m")), "b"))
+    return joined.select("a", "b", "x", "y", "n", "m").mapInPandas(run, "a long, b long")
+
+
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, elements) of ``doc_id, text``: the set itself, as little-endian 64-bit numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = shingle_sets(batch["text"].tolist(), size)
-            yield pd.DataFrame({"rep": batch["rep"].array, "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
-                                "elements": [s.astype("<u8").tobytes() for s in sets]})
+            yield pd.DataFrame({"rep": batch["doc_id"].array, "elements": [s.astype("<u8").tobytes() for s in sets]})
 
-    return classes.mapInPandas(run, "rep long, n long, sketch binary, elements binary")
+    return texts.mapInPandas(run, "rep long, elements binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link."""
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (a, b) whose sets link, made anew from the texts of their documents."""
+    spark = pairs.sparkSession
+    # Spark may sift the texts by a Bloom filter of the wanted ids before it deals them; by itself it does so for large
+    # tables only.  The number of the round is a condition that makes it take the ids for selective.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16MB")
+    ids = files.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().withColumn("wanted", F.lit(1)), "wanted-ids")
+    sets = files.written(_sets(texts.join(ids.where("wanted = 1").select("doc_id"), "doc_id", "left_semi"), size), "sets")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ok = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), threshold) for x, y in zip(batch["x"], batch["y"])]
             yield batch.loc[ok, ["a", "b"]]
 
-    joined = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("x")), "a")
-              .join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("y")), "b"))
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    joined = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("y")), "b")
+              .join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("x")), "a"))
+    # A doc_id with several texts links if one of them does.
+    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame, rounds: int = 200) -> DataFrame:
@@ -272,10 +298,14 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     n = files.parts(spark)
     T.small_batches(spark)
     described = files.written(describe(docs, size), "described")
-    known = described.where("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key").distinct()
+    known = described.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     # Each set once: its smallest doc_id stands for all its copies.
     reps = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    stands = files.written(known.join(reps, "set_key"), "representatives")
+    stands = files.written(known.select("doc_id", "set_key").distinct().join(reps, "set_key"), "representatives")
+    # One sketch per representative; a repeated doc_id that stands for several sets keeps them all.
+    sketches = files.written(known.select("doc_id", "set_key", "sketch", F.col("n_shingles").alias("n"))
+                             .join(reps.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"], "left_semi")
+                             .select(F.col("doc_id").alias("rep"), "n", "sketch").distinct(), "sketches")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     rows = _signature_rows(texts, size, threshold).repartition(n, "sig")
     shared = rows.groupBy("sig").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("sig")
@@ -285,21 +315,21 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     members = files.written(of_sets.join(pivots, "sig"), "members")
     # Round 1: each member with the smallest of its group.
     pairs = members.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    in_question = files.written(_sets(texts.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi"), size), "sets")
+    pairs = files.written(_not_ruled_out(pairs, sketches, threshold).distinct(), "pairs")
     # One doc_id with several texts is one node: it ties the sets that it stands in.
     tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
             .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
-    links = files.written(_verified(pairs, in_question, threshold).unionByName(tied), "links")
+    links = files.written(_verified(pairs, texts, size, threshold).unionByName(tied), "links")
     roots = components(links)
     # Round 2: groups that still hold several components, until no pair is left to try.
     vain = spark.createDataFrame([], "a long, b long")
     while True:
         struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_list("a").alias("failed"))
-        cells = _cells(members, roots).join(in_question.select("rep", "n", "sketch"), "rep").join(struck, "rep", "left")
+        cells = _cells(members, roots).join(sketches, "rep").join(struck, "rep", "left")
         pairs = files.written(_promising(cells, threshold), "pairs")
         if pairs.isEmpty():
             break
-        more = files.written(_verified(pairs, in_question, threshold), "more-links")
+        more = files.written(_verified(pairs, texts, size, threshold), "more-links")
         vain = files.written(vain.unionByName(pairs.join(more, ["a", "b"], "left_anti")), "no-links")
         if not more.isEmpty():
             links = files.written(links.unionByName(more), "links")

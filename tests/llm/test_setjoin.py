@@ -118,3 +118,4 @@ def test_sketches_bound_the_difference():
         if len(b):
             x, y = setjoin.unfold([setjoin.sketch(a), setjoin.sketch(b)])
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+            assert len(setjoin.sketch(a)) * 8 >= len(a)
