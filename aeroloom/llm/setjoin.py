@@ -240,19 +240,18 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _promising(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) that may link members of different components within each cell (cell, side, rep, root, n, sketch, failed).
+def _promising(cells: DataFrame, threshold: tuple[int, int], most: int) -> DataFrame:
+    """Pairs (cell, a, b) that may link members of different components within each cell (cell, side, rep, root, n, sketch, failed).
 
     A cell is a group, or two blocks of a large one; then only pairs of one block with the other are looked at.  Pairs
-    that the sketches don't rule out are taken for links, so a cell gives fewer pairs than it has members.  ``failed``
-    lists the smaller partners with which a member has been compared in vain."""
+    that the sketches don't rule out are taken for links: a member gives no more than ``most`` for each other component,
+    and is then of it.  ``failed`` lists the smaller partners with which a member has been compared in vain.  Cells come in
+    order, so that a batch holds many of the small ones."""
     p, q = threshold
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep", kind="stable")
-        bits, n, rep, side = unfold(pdf["sketch"].tolist()), pdf["n"].to_numpy(np.int64), pdf["rep"].to_numpy(np.int64), pdf["side"].to_numpy()
-        label = np.unique(pdf["root"].to_numpy(np.int64), return_inverse=True)[1]
-        two, failed, found = len(np.unique(side)) > 1, pdf["failed"].tolist(), []
+    def settle(cell, side, rep, root, n, sketches, failed) -> list[tuple]:
+        bits, label = unfold(sketches), np.unique(root, return_inverse=True)[1]
+        two, found = len(np.unique(side)) > 1, []
         for i in range(1, len(rep)):
             both = n[i] + n[:i]
             fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
@@ -264,22 +263,46 @@ def _promising(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
             if len(near) == 0:
                 continue
             differ = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            for j in near[differ * (p + q) <= both[near] * (q - p)]:
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    found.append((rep[j], rep[i]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            near = near[differ * (p + q) <= both[near] * (q - p)]
+            for other in np.unique(label[near]):
+                found += [(cell, int(rep[j]), int(rep[i])) for j in near[label[near] == other][:most]]
+            label[np.isin(label, label[near])] = label[i]
+        return found
 
-    return cells.groupBy("cell").applyInPandas(run, "a long, b long").distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            whole = pd.concat([*held, batch], ignore_index=True) if held else batch
+            last = whole["cell"].iloc[-1] if len(whole) else None
+            ready = whole[whole["cell"] != last]
+            held = [whole[whole["cell"] == last]]
+            if len(ready):
+                yield look(ready)
+        if held and len(held[0]):
+            yield look(held[0])
+
+    def look(pdf: pd.DataFrame) -> pd.DataFrame:
+        cell = pdf["cell"].to_numpy()
+        cut = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
+        side, rep, root, n = (pdf[c].to_numpy(np.int64) for c in ("side", "rep", "root", "n"))
+        sketches, failed, found = pdf["sketch"].tolist(), pdf["failed"].tolist(), []
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            found += settle(cell[lo], side[lo:hi], rep[lo:hi], root[lo:hi], n[lo:hi], sketches[lo:hi], failed[lo:hi])
+        return pd.DataFrame(found, columns=["cell", "a", "b"])
+
+    dealt = cells.repartition(files.parts(cells.sparkSession), "cell").sortWithinPartitions("cell", "rep")
+    return dealt.select("cell", "side", "rep", "root", "n", "sketch", "failed").mapInPandas(run, "cell string, a long, b long")
 
 
 def _cells(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, side, rep, root) of the groups (sig, rep) that hold several components; groups with the same members once."""
+    """(cell, side, rep, root) of the groups (sig, rep) that hold several components; groups with the same members once.
+
+    Groups of two are settled: their one pair has been compared."""
     rooted = members.select("sig", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = files.written(rooted.select("sig", "rep", "root"), "rooted")
     groups = (rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"),
                                         F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"), F.min("rep").alias("least"))
-              .where("lo != hi").groupBy("n", "who", "least").agg(F.min("sig").alias("sig")).select("sig", "n"))
+              .where("lo != hi AND n > 2").groupBy("n", "who", "least").agg(F.min("sig").alias("sig")).select("sig", "n"))
     return (rooted.join(groups, "sig").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             # A member of block i meets every block j: it goes to the cell of the two.
@@ -322,18 +345,24 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     links = files.written(_verified(pairs, texts, size, threshold).unionByName(tied), "links")
     roots = components(links)
     # Round 2: groups that still hold several components, until no pair is left to try.
-    vain = spark.createDataFrame([], "a long, b long")
+    vain = files.written(pairs.join(links, ["a", "b"], "left_anti"), "no-links")
+    cells, most = files.written(_cells(members, roots), "cells"), 4
     while True:
-        struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_list("a").alias("failed"))
-        cells = _cells(members, roots).join(sketches, "rep").join(struck, "rep", "left")
-        pairs = files.written(_promising(cells, threshold), "pairs")
-        if pairs.isEmpty():
+        struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_set("a").alias("failed"))
+        tried = files.written(_promising(cells.join(sketches, "rep").join(struck, "rep", "left"), threshold, most), "tried")
+        if tried.isEmpty():
             break
+        pairs = files.written(tried.select("a", "b").distinct(), "pairs")
         more = files.written(_verified(pairs, texts, size, threshold), "more-links")
-        vain = files.written(vain.unionByName(pairs.join(more, ["a", "b"], "left_anti")), "no-links")
+        wrong = pairs.join(more, ["a", "b"], "left_anti")
+        vain = files.written(vain.unionByName(wrong), "no-links")
         if not more.isEmpty():
             links = files.written(links.unionByName(more), "links")
             roots = components(links)
+        # A cell whose pairs have all proved right is settled.  The others are looked through again, with more pairs each time.
+        again = cells.join(tried.join(wrong, ["a", "b"], "left_semi").select("cell").distinct(), "cell", "left_semi").drop("root")
+        again = again.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        cells, most = files.written(again.select("cell", "side", "rep", "root"), "cells"), most * 8
     named = (stands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
              .select("doc_id", F.coalesce("root", "rep").alias("component_id")).distinct())
     out = described.join(named, "doc_id", "left")
