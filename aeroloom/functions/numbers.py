@@ -1,4 +1,4 @@
-"""Numeric parsing and order-preserving buckets."""
+"""Numeric parsing and exact rounding."""
 
 from __future__ import annotations
 
@@ -17,16 +17,16 @@ def numeric(col: Column, data_type: T.DataType) -> Column:
     return F.lit(None).cast("double")
 
 
-def spread(col: Column) -> Column:
-    """Signed fourth root: strictly order preserving, and it tames outliers before equal-width bucketing."""
-    return F.signum(col) * F.sqrt(F.sqrt(F.abs(col)))
-
-
 def fixed(col: Column, digits: int = 1) -> Column:
     """Text with ``digits`` decimals, rounded on the exact binary value, half to even."""
     return F.call_function("format_number", col.cast("double"), F.lit("0." + "0" * digits if digits else "0"))
 
 
 def exact_round(col: Column, digits: int = 1) -> Column:
-    """Rounding of the exact binary value, half to even (Spark's ``round`` looks at the decimal text)."""
-    return fixed(col, digits).cast("double")
+    """Rounding of the exact binary value, half to even (Spark's ``round`` looks at the decimal text).
+
+    Infinite values and NaN stay as they are.
+    """
+    value = col.cast("double")
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    return F.when(odd, value).otherwise(fixed(F.when(~odd, value), digits).cast("double"))

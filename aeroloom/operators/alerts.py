@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from aeroloom import vocab
 from aeroloom.functions.numbers import fixed
 from aeroloom.operators.health import alert_recommendations
-from aeroloom.operators.sequence import lookback, sequence_rows
+from aeroloom.operators.sequence import SALTS, lookback, sequence_rows
+from aeroloom.session import materialize
 
 _NO_TEXT = "array<string>"
 
@@ -227,10 +228,13 @@ def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str
                    state: DataFrame | None = None, chunk_hours: int = 24) -> DataFrame:
     """Alerts that survive the cooldown: an alert is dropped when a kept one of its key is under ``minutes`` old.
 
-    Of several alerts of a key at one time the first by ``ties`` is kept.  ``state`` (keys, last_kept in
-    microseconds) carries the last kept times of an earlier run.
+    Of several alerts of a key at one time the first by ``ties``, then by all other columns, is kept, so the result
+    does not depend on the order of the input.  ``state`` (keys, last_kept in microseconds) carries the last kept times of
+    an earlier run.
     """
     keys = list(keys)
+    # The alerts are read three times below: planned once.
+    alerts = materialize(alerts)
     wait, chunk_len = minutes * 60_000_000, chunk_hours * 3_600_000_000
     if chunk_len < wait:
         raise ValueError("a chunk must be at least as long as the cooldown")
@@ -256,7 +260,8 @@ def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str
     at = "alert_micros__k"
     hits = _matching(alerts.withColumn(at, micros), kept.withColumnRenamed("kept_at", at), [*keys, at]).drop(at)
     # Copies at one time: Spark keeps one row per key and task before the shuffle.
-    w = Window.partitionBy(*keys, ts).orderBy(*(ties or [F.lit(1)]))
+    rest = [f.name for f in alerts.schema if f.name not in {*keys, ts, *ties} and not isinstance(f.dataType, T.MapType)]
+    w = Window.partitionBy(*keys, ts).orderBy(*[F.col(c).asc_nulls_last() for c in [*ties, *rest]] or [F.lit(1)])
     return hits.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
@@ -284,9 +289,11 @@ def alert_summary(alerts: DataFrame, now, hours: int = 24, ts: str = "timestamp"
             .unionByName(line(counts.groupBy("type").agg(F.sum("n").alias("alerts")), "type", F.col("type"))))
 
 
-def recent_critical(alerts: DataFrame, now, hours: int = 24, last: int = 10, ts: str = "timestamp", ties=("id",)) -> DataFrame:
-    """Critical and high alerts among the last ``last`` of the period."""
-    newest = recent_alerts(alerts, now, hours, ts).orderBy(F.desc(ts), *[F.desc(t) for t in ties]).limit(last)
+def recent_critical(alerts: DataFrame, now, hours: int = 24, last: int | None = 10, ts: str = "timestamp", ties=("id",)) -> DataFrame:
+    """Critical and high alerts among the last ``last`` of the period, or among all of them."""
+    newest = recent_alerts(alerts, now, hours, ts)
+    if last is not None:
+        newest = newest.orderBy(F.desc(ts), *[F.desc(t) for t in ties]).limit(last)
     return newest.filter(F.col("level").isin("critical", "high"))
 
 
@@ -342,11 +349,16 @@ def sensor_health(df: DataFrame, metric: str, now, config=vocab.ALERT_CONFIG, ts
     stats = df.groupBy(key).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"))
     z = F.abs(F.col(metric) - F.col("mean")) / F.nullif(F.col("sd"), F.lit(0.0))
     now = F.unix_micros(F.lit(str(now)).cast("timestamp"))
-    out = seen.join(stats, key).groupBy(key).agg(
-        F.count_if(F.col("run") >= run).alias("consecutive_runs"), F.max("gap").alias("longest_gap_hours"),
-        ((now - F.max(at)) / 3.6e9).alias("silent_hours"),
-        (100.0 * F.sum(F.coalesce("repeated", F.lit(0))) / F.count(F.lit(1))).alias("repeated_pct"),
-        F.count_if(z > vocab.ZSCORE_LIMITS[metric]).alias("outliers"))
+    # A sensor's rows meet its statistics in as many tasks as there are salts, and are summed up there first.
+    seen = seen.withColumn("salt", F.pmod(F.xxhash64(ts), F.lit(SALTS)).cast("int"))
+    stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = seen.join(stats, [key, "salt"]).groupBy(key, "salt").agg(
+        F.count_if(F.col("run") >= run).alias("runs"), F.max("gap").alias("gap"), F.max(at).alias("at"),
+        F.sum(F.coalesce("repeated", F.lit(0))).alias("same"), F.count(F.lit(1)).alias("n"),
+        F.count_if(z > vocab.ZSCORE_LIMITS[metric]).alias("far"))
+    out = parts.groupBy(key).agg(
+        F.sum("runs").alias("consecutive_runs"), F.max("gap").alias("longest_gap_hours"), ((now - F.max("at")) / 3.6e9).alias("silent_hours"),
+        (100.0 * F.sum("same") / F.sum("n")).alias("repeated_pct"), F.sum("far").alias("outliers"))
     return out.withColumns({
         "sustained": F.col("consecutive_runs") > 0,
         "missing_data": F.greatest(F.coalesce("longest_gap_hours", F.lit(0.0)), "silent_hours") > dq["missing_data_hours"],

@@ -117,18 +117,25 @@ def current_conditions(df: DataFrame, ts: str = "timestamp", key: str = "native_
     return last_n(df, ts, 1, key, ties)
 
 
+def _normal(key: Column, hour: int, seed: int) -> Column:
+    """Standard normal value of a sensor and an hour, whatever task reckons it (Box-Muller over two hashes)."""
+    u = [(F.pmod(F.xxhash64(key, F.lit(hour), F.lit(seed), F.lit(k)), F.lit(1 << 52)) + 0.5) / float(1 << 52) for k in (1, 2)]
+    return F.sqrt(-2.0 * F.log(u[0])) * F.cos(2.0 * F.pi() * u[1])
+
+
 def forecast(model: PipelineModel, current: DataFrame, hours: int = 24, noise: float = 0.0, seed: int = 42,
              start=None, key: str = "native_sensor_id", ts: str = "timestamp", cut_every: int = 12) -> DataFrame:
     """Hourly forecast per sensor, each hour fed by the predictions before it.
 
     ``current`` has one row per sensor.  Missing values take the defaults.  A lag longer than the predictions
     made so far is the current value, and so is an average over too few.  Predictions are clamped to 0..500;
-    ``noise`` adds that share of seeded normal variation.  Hours count from ``start``, by default from each
-    sensor's latest reading, and are limited to 1..48.
+    ``noise`` adds that share of normal variation, drawn from sensor, hour and seed.  Hours count from ``start``, by
+    default from each sensor's latest reading.
 
     All sensors advance together; the state is one short array per sensor, checkpointed every few hours.
     """
-    hours = max(1, min(hours, 48))
+    if hours < 1:
+        raise ValueError("a forecast has at least one hour")
     base = F.lit(str(start)).cast("timestamp") if start is not None else F.col(ts).cast("timestamp")
     default = lambda name: (F.coalesce(F.col(name).cast("double"), F.lit(vocab.FORECAST_DEFAULTS[name]))
                             if name in current.columns else F.lit(vocab.FORECAST_DEFAULTS[name]))
@@ -154,7 +161,7 @@ def forecast(model: PipelineModel, current: DataFrame, hours: int = 24, noise: f
         value = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(500.0))
         scored = model.transform(step).withColumn("value", value)
         if noise:
-            scored = scored.withColumn("value", F.greatest(F.col("value") * (1 + F.randn(seed + hour) * noise), F.lit(0.0)))
+            scored = scored.withColumn("value", F.greatest(F.col("value") * (1 + _normal(F.col(key), hour, seed) * noise), F.lit(0.0)))
         state = scored.withColumns({
             "recent": F.slice(F.concat("recent", F.array("value")), F.greatest(F.size("recent") - 22, F.lit(1)), 24),
             "made": F.concat("made", F.array("value"))}).select(*keep)
@@ -169,8 +176,20 @@ def forecast(model: PipelineModel, current: DataFrame, hours: int = 24, noise: f
         air.aqi(F.col("value")).alias("aqi"), air.confidence(F.col("at") + 1).alias("confidence"))
 
 
-def forecast_summary(predictions: DataFrame, key: str | None = None) -> DataFrame:
+def forecast_summary(predictions: DataFrame, key: str | None = None, model: str | None = None, features=(),
+                     current: DataFrame | None = None, target: str = "pm25") -> DataFrame:
+    """Least, largest and mean prediction, of all or per key; with ``model`` also its name, features and the baseline:
+    the current value the forecast set out from (its mean, without ``key``)."""
     by = [key] if key else []
     v = "predicted_pm25"
-    return predictions.groupBy(*by).agg(
+    out = predictions.groupBy(*by).agg(
         exact_round(F.min(v), 1).alias("min"), exact_round(F.max(v), 1).alias("max"), exact_round(F.avg(v), 1).alias("avg"))
+    if model is None:
+        return out
+    out = out.withColumns({"model": F.lit(model), "features": F.array(*[F.lit(f) for f in features]).cast("array<string>")})
+    if current is None:
+        return out
+    base = F.coalesce(F.col(target).cast("double"), F.lit(vocab.FORECAST_DEFAULTS[target]))
+    if key:
+        return out.join(current.select(key, base.alias("baseline")), key, "left")
+    return out.withColumn("baseline", current.agg(F.avg(base)).scalar())

@@ -82,11 +82,20 @@ def with_recommendations(df: DataFrame, level: str, table: DataFrame | None = No
     return df.join(table.withColumnRenamed("level_name", level), level, "left")
 
 
-def health_report(df: DataFrame, ts: str = "timestamp", value: str = "pm25", last: int = 168, ties=(),
+def health_report(df: DataFrame, ts: str = "timestamp", value: str = "pm25", last: int | None = None, ties=(), hours: float | None = 168,
                   population: int = vocab.POPULATION, share: float = vocab.SENSITIVE_SHARE) -> DataFrame:
-    """One-row report over the last ``last`` readings: period, summary, distribution, exposure and advice."""
-    recent = last_n(df.select(ts, value, *ties), ts, last, ties=ties)
-    hours = population_impact(advisory_level(exposure_hours(recent, value)), population, share)
+    """One-row report: period, summary, distribution, exposure and advice.
+
+    Covers the ``hours`` up to the latest reading, however many sensors there are (None: all); ``last=168`` takes that many
+    readings instead, which is a week of hours for one sensor.
+    """
+    recent = df.select(ts, value, *ties)
+    if last is not None:
+        recent = last_n(recent, ts, last, ties=ties)
+    elif hours is not None:
+        at = F.unix_micros(F.col(ts).cast("timestamp"))
+        recent = recent.filter(at > recent.agg(F.max(at)).scalar() - int(hours * 3_600_000_000))
+    exposure = population_impact(advisory_level(exposure_hours(recent, value)), population, share)
     shares = category_distribution(recent, value)
     summary = recent.agg(
         F.min(ts).alias("period_start"), F.max(ts).alias("period_end"), F.count(F.lit(1)).alias("total_readings"),
@@ -101,7 +110,7 @@ def health_report(df: DataFrame, ts: str = "timestamp", value: str = "pm25", las
     return base.withColumns({
         "predominant_category": dist.select("predominant_category").scalar(),
         "distribution": dist.select("distribution").scalar(),
-        "exposure": hours.select(F.struct("*")).scalar()})
+        "exposure": exposure.select(F.struct("*")).scalar()})
 
 
 def forecast_advisory(forecast: DataFrame, hours: int = 24, key: str | None = None) -> DataFrame:

@@ -66,13 +66,22 @@ def pm25_daily(df: DataFrame, metric: str, start) -> DataFrame:
             .withColumn("aqi_category", air.aqi_bucket(F.col("avg_pm25"))))
 
 
-def metric_matrix(df: DataFrame, keys, metrics, value: str = "avg_value") -> DataFrame:
+def metric_matrix(df: DataFrame, keys, metrics, value: str = "avg_value", last_reading: str | None = None) -> DataFrame:
     """One column per listed metric: the largest ``value`` per key.
 
-    The metrics are given, so no pass over the data is needed to find the columns.
+    The metrics are given, so no pass over the data is needed to find the columns.  With ``last_reading``, the name of a
+    time column, its largest value comes along under that name.
     """
+    more = [F.max(last_reading).alias("last_reading")] if last_reading else []
     return df.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("metric_name") == m, F.col(value))).alias(m) for m in metrics])
+        F.max(F.when(F.col("metric_name") == m, F.col(value))).alias(m) for m in metrics], *more)
+
+
+def latest_positions(df: DataFrame, ts: str = "day_ts") -> DataFrame:
+    """Active rows with a location of each sensor's latest day."""
+    rows = active_or_unknown(df).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    days = rows.groupBy("native_sensor_id").agg(F.max(ts).alias(ts))
+    return rows.join(days, ["native_sensor_id", ts]).select(df.columns)
 
 
 def correlation_rows(df: DataFrame, start, metrics, required) -> DataFrame:

@@ -22,9 +22,10 @@ GRAINS = {"hour": "hour_ts", "day": "day_ts"}
 def representative(lat: str, lon: str, order: str) -> tuple[Column, Column]:
     """The earliest complete point of a group as (latitude, longitude) aggregates.
 
-    Both aggregates follow the same ordering value, so the two coordinates come from one row.
+    Both aggregates follow the same ordering, time and then the point itself, so the two coordinates come from one row
+    and a retried task gives the same one.
     """
-    when = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.col(order))
+    when = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.struct(order, lat, lon))
     return F.min_by(lat, when).alias("latitude"), F.min_by(lon, when).alias("longitude")
 
 
@@ -68,7 +69,7 @@ def _rollup_pass(df: DataFrame, source: str, grain: str, wanted, ts: str) -> Dat
     aggs = []
     for m in wanted:
         v = F.col(f"`v {m}`")
-        seen = F.when(v.isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col("at"))
+        seen = F.when(v.isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("at", "lat", "lon"))
         aggs += [F.min_by("lat", seen).alias(f"lat {m}"), F.min_by("lon", seen).alias(f"lon {m}"), F.sum(v).alias(f"sum {m}"),
                  F.min(v).alias(f"min {m}"), F.max(v).alias(f"max {m}"), F.count(v).alias(f"n {m}")]
     lines = F.array(*[F.struct(
@@ -196,17 +197,16 @@ def distinct_of(df: DataFrame, cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def profile(df: DataFrame, max_numeric: int = 40) -> DataFrame:
-    """Per column: type, non-null count and, for the first numeric and the time columns, the range.
+def profile(df: DataFrame) -> DataFrame:
+    """Per column: type, non-null count and, for numeric and time columns, the range.
 
     One aggregate row over the table, then turned to one row per column.
     """
-    numeric, aggs = [], [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema):
         col = F.col(f"`{f.name}`")
         aggs.append(F.count(col).alias(f"n{i}"))
-        if isinstance(f.dataType, T.NumericType) and len(numeric) < max_numeric:
-            numeric.append(i)
+        if isinstance(f.dataType, T.NumericType):
             aggs += [F.min(col).cast("double").alias(f"min{i}"), F.max(col).cast("double").alias(f"max{i}"),
                      F.avg(col).cast("double").alias(f"mean{i}")]
         elif "time" in f.name.lower() or isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aeroloom.functions.numbers import spread
 from aeroloom.session import materialize
 
 SLICE_ROWS = 1_000_000
 BLOCK_ROWS = 1_000_000
+#: Copies of each key's small row; a key's rows are dealt over as many tasks where they meet it.
+SALTS = 16
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys) -> Column:
@@ -33,19 +34,23 @@ def _attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:
 def sequence_rows(df: DataFrame, keys, ts: str, ties=(), slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``seq`` (1-based position by ``ts`` then ``ties`` within the key) and ``key_rows`` (rows of the key).
 
-    ``ts`` must not be null.  Equal (ts, ties) rows are numbered in any order.
+    Equal (ts, ties) rows are numbered in any order.  Rows without a time stay: they have no ``seq`` and are not counted.
     """
     keys = list(keys)
+    timeless = df.filter(F.col(ts).isNull()).withColumns({"key_rows": F.lit(None).cast("bigint"), "seq": F.lit(None).cast("bigint")})
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     # Keys travel as one struct: it equals itself when a field is null, and joins and windows share its partitioning.
-    rows = df.withColumn("seq_key", F.struct(*keys))
+    rows = df.filter(F.col(ts).isNotNull()).withColumn("seq_key", F.struct(*keys))
     sizes = rows.groupBy("seq_key").agg(F.count(F.lit(1)).alias("key_rows"), F.min(micros).alias("key_from"),
                                         (F.max(micros) - F.min(micros) + 1).alias("key_span"))
     # A key of n rows gets ceil(n / slice_rows) slices of equal length.
     sizes = sizes.withColumn("slice_len", F.ceil(F.col("key_span") / F.ceil(F.col("key_rows") / slice_rows)))
-    sliced = (rows.join(sizes, "seq_key")
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sliced = (rows.withColumn("salt", F.pmod(F.xxhash64(ts, *ties), F.lit(SALTS)).cast("int")).join(salted, ["seq_key", "salt"])
               .withColumn("slice", F.floor((micros - F.col("key_from")) / F.col("slice_len")))
-              .drop("key_from", "key_span", "slice_len"))
+              .drop("salt", "key_from", "key_span", "slice_len")
+              # Without it the partitioning by key alone, where the join left one, would do for the window too.
+              .repartition("seq_key", "slice"))
     inside = Window.partitionBy("seq_key", "slice").orderBy(ts, *ties)
     numbered = sliced.withColumn("at_slice", F.row_number().over(inside))
     # At most key_rows / slice_rows rows per key reach this window.
@@ -54,15 +59,17 @@ def sequence_rows(df: DataFrame, keys, ts: str, ties=(), slice_rows: int = SLICE
               .select("seq_key", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")))
     # The numbered rows already lie by (key, slice), so this join moves none of them.
     return (numbered.join(shifts, ["seq_key", "slice"])
-            .withColumn("seq", F.col("shift") + F.col("at_slice")).select(*df.columns, "key_rows", "seq"))
+            .withColumn("seq", F.col("shift") + F.col("at_slice")).select(*df.columns, "key_rows", "seq").unionByName(timeless))
 
 
 def lookback(df: DataFrame, keys, halo: int, columns, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add window columns that look back at most ``halo`` rows of ``seq`` order.
 
-    ``columns`` maps each new name to a function of the window (partitioned and ordered, without frame).
+    ``columns`` maps each new name to a function of the window (partitioned and ordered, without frame).  Rows without a
+    ``seq`` get nulls.
     """
     keys = list(keys)
+    timeless, df = df.filter(F.col("seq").isNull()), df.filter(F.col("seq").isNotNull())
     block_rows = max(block_rows, halo)
     zero = F.col("seq") - 1
     block = F.floor(zero / block_rows)
@@ -72,28 +79,37 @@ def lookback(df: DataFrame, keys, halo: int, columns, block_rows: int = BLOCK_RO
     placed = (df.withColumn("at", F.explode(F.when(carried, F.array(home, ahead)).otherwise(F.array(home))))
               .select(*df.columns, "at.block", "at.copy"))
     window = Window.partitionBy(*keys, "block").orderBy("seq")
-    return (placed.withColumns({name: make(window) for name, make in columns.items()})
+    made = (placed.repartition(*keys, "block").withColumns({name: make(window) for name, make in columns.items()})
             .filter(~F.col("copy")).drop("block", "copy"))
+    types = {f.name: f.dataType for f in made.schema}
+    return made.unionByName(timeless.withColumns({name: F.lit(None).cast(types[name]) for name in columns}))
 
 
-def rank_within(df: DataFrame, keys, value: str, name: str = "rank", buckets: int = 4096,
+def _cuts(v: Column, buckets: int) -> Column:
+    """Aggregate: approximate quantiles of ``v``, the borders of buckets with about as many rows each."""
+    return F.percentile_approx(v, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("cuts")
+
+
+def _bucket(v: Column) -> Column:
+    """Number of borders below ``v``: order preserving, whatever the borders are."""
+    return F.coalesce(F.size(F.filter("cuts", lambda c: c < v)), F.lit(0))
+
+
+def rank_within(df: DataFrame, keys, value: str, name: str = "rank", buckets: int = 64,
                 descending: bool = True) -> DataFrame:
     """RANK() of ``value`` within the key, ties sharing a rank, nulls last.
 
-    Values are bucketed by an order-preserving transform between the key's extremes, ranked per bucket and
-    shifted by the rows of better buckets.  The input is checkpointed first: the bucket counts and the rows
+    Values are bucketed between approximate quantiles of the key, ranked per bucket and shifted by the rows of better
+    buckets.  The input is checkpointed first: the bucket counts and the rows
     must see bit-identical values, and float sums may differ between two runs of one plan.
     """
     keys = list(keys)
     fixed = materialize(df)
-    s = spread(F.col(value))
-    ends = fixed.groupBy(*keys).agg(F.min(s).alias("low"), F.max(s).alias("high"))
-    scaled = (s - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    step = F.floor(F.coalesce(scaled, F.lit(0.0)) * (buckets - 1))
+    v = F.col(value).cast("double")
+    placed = _attach(fixed, fixed.groupBy(*keys).agg(_cuts(v, buckets)), keys)
+    step = _bucket(v)
     step = F.lit(buckets) - step if descending else step
-    placed = (_attach(fixed, ends, keys)
-              .withColumn("bucket", F.when(F.col(value).isNull(), F.lit(buckets + 1)).otherwise(step))
-              .drop("low", "high"))
+    placed = placed.withColumn("bucket", F.when(F.col(value).isNull(), F.lit(buckets + 1)).otherwise(step)).drop("cuts")
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (placed.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
@@ -104,7 +120,7 @@ def rank_within(df: DataFrame, keys, value: str, name: str = "rank", buckets: in
 
 
 def exact_quantile(df: DataFrame, keys, value: str, q: float, name: str = "quantile",
-                   buckets: int = 4096) -> DataFrame:
+                   buckets: int = 64) -> DataFrame:
     """Exact linear-interpolated quantile per key.
 
     Distinct values are counted map-side; bucket counts locate the one or two buckets that hold the wanted
@@ -114,12 +130,8 @@ def exact_quantile(df: DataFrame, keys, value: str, q: float, name: str = "quant
     keys = list(keys)
     counts = materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v"))
                          .agg(F.count(F.lit(1)).alias("n")))
-    s = spread(F.col("v"))
-    ends = counts.groupBy(*keys).agg(
-        F.min(s).alias("low"), F.max(s).alias("high"), ((F.sum("n") - 1) * F.lit(float(q))).alias("pos"))
-    scaled = (s - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    placed = (_attach(counts, ends, keys)
-              .withColumn("bucket", F.floor(F.coalesce(scaled, F.lit(0.0)) * (buckets - 1))).drop("low", "high"))
+    ends = counts.groupBy(*keys).agg(_cuts(F.col("v"), buckets), ((F.sum("n") - 1) * F.lit(float(q))).alias("pos"))
+    placed = _attach(counts, ends, keys).withColumn("bucket", _bucket(F.col("v"))).drop("cuts")
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = (placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("rows"), F.first("pos").alias("pos"))
               .withColumn("shift", F.coalesce(F.sum("rows").over(before), F.lit(0))))

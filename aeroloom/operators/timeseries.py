@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from aeroloom import vocab
 from aeroloom.functions.times import as_date, bin_start, season
 from aeroloom.operators.sequence import BLOCK_ROWS, SLICE_ROWS, lookback, rank_within, sequence_rows
+from aeroloom.session import materialize
 
 
 def lag_features(df: DataFrame, key: str, ts: str, col: str, lags=vocab.LAGS, ties=(),
@@ -67,20 +68,24 @@ def cadence(df: DataFrame, key: str, ts: str, ties=()) -> DataFrame:
                         F.when(F.col("gaps") > 0, F.when(is_short, 900).otherwise(3600)).alias("step_seconds"))
 
 
-def cadence_gaps(df: DataFrame, key: str, ts: str, first: int | None = 25, ties=()) -> tuple[DataFrame, DataFrame]:
+def cadence_gaps(df: DataFrame, key: str, ts: str, first: int | None = None, ties=()) -> tuple[DataFrame, DataFrame]:
     """(summary, missing slots): expected slots per key at its inferred step, and those without a reading.
 
-    ``first`` keeps the first slots per key in the listing, as the report does; the summary counts all.
+    All missing slots are listed; ``first=25`` keeps the first per key, as a printed report does.  The summary counts all.
     """
-    steps = cadence(df, key, ts, ties).filter(F.col("step_seconds").isNotNull())
+    # One small row per key, fixed: what follows reads it three times.
+    steps = materialize(cadence(df, key, ts, ties).filter(F.col("step_seconds").isNotNull()))
     step = F.col("step_seconds")
     low = F.floor(F.unix_seconds(F.col("time_min").cast("timestamp")) / step)
     high = F.ceil(F.unix_micros(F.col("time_max").cast("timestamp")) / 1e6 / step)
     spans = steps.select(key, "step_seconds", low.cast("bigint").alias("low"), high.cast("bigint").alias("high"))
-    slots = spans.select(key, "step_seconds", F.explode(F.sequence("low", "high")).alias("slot"))
-    # One row per occupied slot: counted map-side, so a dense sensor shrinks before it is shuffled.
-    seen = (df.filter(F.col(ts).isNotNull()).select(key, ts).join(steps.select(key, "step_seconds"), key)
-            .select(key, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / step).alias("slot")).distinct())
+    # A day's slots at a time, so that no record holds a key's whole timeline.
+    slots = (spans.withColumn("from", F.explode(F.expr("sequence(low, high, 96L)")))
+             .select(key, "step_seconds", F.explode(F.sequence("from", F.least(F.col("from") + 95, F.col("high")))).alias("slot")))
+    # One row per occupied quarter hour, reduced map-side before anything is shuffled; an hour is four of them.
+    quarters = (df.filter(F.col(ts).isNotNull()).select(key, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 900).alias("quarter")).distinct())
+    seen = (quarters.join(steps.select(key, "step_seconds"), key)
+            .select(key, F.floor(F.col("quarter") * 900 / step).alias("slot")).distinct())
     missing = slots.join(seen, [key, "slot"], "left_anti").select(
         key, F.timestamp_seconds(F.col("slot") * step).alias("missing_slot"))
     summary = (spans.join(missing.groupBy(key).agg(F.count(F.lit(1)).alias("missing_count")), key, "left")
@@ -97,13 +102,13 @@ def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, key: str | None = No
                  slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``split``: the first ``frac`` of the rows in time order train, the rest test.
 
-    Over the whole table by default, or per key.
+    Over the whole table by default, or per key.  Rows without a time are kept and belong to neither.
     """
     # One key for all rows, computed from the data: a literal would turn the key joins into nested loops.
     keyed = df.withColumn("split_key", F.pmod(F.hash(ts), F.lit(1))) if key is None else df
     k = key or "split_key"
     out = sequence_rows(keyed, [k], ts, ties, slice_rows).withColumn(
-        "split", F.when(F.col("seq") <= F.floor(F.col("key_rows") * frac), "train").otherwise("test"))
+        "split", F.when(F.col("seq") <= F.floor(F.col("key_rows") * frac), "train").when(F.col("seq").isNotNull(), "test"))
     return out.drop("seq", "key_rows", *([] if key else ["split_key"]))
 
 
@@ -190,12 +195,22 @@ def trend_change(daily: DataFrame, n: int = 7, band: float = 2) -> DataFrame:
         F.when(change < -band, "improving").when(change > band, "worsening").otherwise("stable").alias("trend_direction"))
 
 
+def decompose_status(daily: DataFrame, key: str, period: int | None = None, min_days: int = 30) -> DataFrame:
+    """Per key: days, the period `decompose` takes and whether it gives rows (``ok``, ``too short`` or ``no period``)."""
+    sized = daily.groupBy(key).agg(F.count(F.lit(1)).alias("days"))
+    p = F.lit(period) if period else F.least(F.lit(30), F.floor(F.col("days") / 4)).cast("int")
+    status = (F.when(F.col("days") < min_days, "too short").when((F.col("period") < 7) | (F.col("period") * 2 > F.col("days")), "no period")
+              .otherwise("ok"))
+    return sized.withColumn("period", p).withColumn("status", status)
+
+
 def decompose(daily: DataFrame, key: str, period: int | None = None, min_days: int = 30) -> DataFrame:
     """Additive decomposition of each key's daily series: ``trend``, ``seasonal`` and ``resid`` per day.
 
     The trend is a centred moving average (even periods weigh the two ends by half), extended at both ends
     by a line fitted to its first and last ``period - 1`` points.  ``period`` defaults to a quarter of the
-    series, at most 30; series shorter than ``min_days``, or with a period under 7, give no rows.
+    series, at most 30; series shorter than ``min_days``, or with a period under 7, give no rows
+    (`decompose_status` names them).
 
     Series are addressed by day position, and every sum is a grouped aggregate, so a key's series (one row
     per day) is never gathered into one record.

@@ -28,6 +28,10 @@ def raw_path(warehouse: str, source: str) -> str:
     return f"{warehouse}/{source.lower()}_raw_materialized"
 
 
+def rejected_path(warehouse: str, source: str) -> str:
+    return f"{warehouse}/{source.lower()}_raw_rejected"
+
+
 def days_of(spark: SparkSession, path: str, schema: str, start, end) -> DataFrame:
     """Table rows of a range of days, pruned by partition; empty where the table does not exist yet."""
     if not tables.exists(spark, path):
@@ -42,9 +46,10 @@ def _wide_schema(source: str) -> str:
 
 def materialize_range(spark: SparkSession, landing_root: str, warehouse: str, start, end, sources=("WU", "TSI"),
                       fallback_root: str | None = None) -> None:
-    """Copy landed days to the raw tables with one canonical ``ts``, one job per source.
+    """Copy landed days to the raw tables with one canonical ``ts``.
 
-    Days absent from the landing tree are taken from ``fallback_root``.
+    Days absent from the landing tree are taken from ``fallback_root``.  A row lands in the day of its own time.  What has
+    no time, or one outside the range, goes to `rejected_path`, by the day of the folder that it came from.
     """
     for source in sources:
         rows = landing.scan_landing(spark, landing_root, source, "raw", start, end)
@@ -52,11 +57,14 @@ def materialize_range(spark: SparkSession, landing_root: str, warehouse: str, st
             have = rows.select("dt").distinct()
             spare = landing.scan_landing(spark, fallback_root, source, "raw", start, end)
             rows = rows.unionByName(spare.join(have, "dt", "left_anti"))
-        # The raw time columns collapse to ts; a row whose time is outside its folder's day is left out.
-        fixed = normalize_time(rows.drop("ts")).filter(F.to_date("ts") == F.col("dt"))
-        fixed = fixed.withColumn("timestamp", F.col("ts"))
+        # The raw time columns collapse to ts.
+        timed = normalize_time(rows.drop("ts")).withColumn("own", F.to_date("ts"))
+        inside = F.coalesce(F.col("own").between(F.lit(as_date(start)), F.lit(as_date(end))), F.lit(False))
+        fixed = timed.filter(inside).withColumns({"timestamp": F.col("ts"), "dt": F.col("own")})
         out = normalize.conform(fixed, _wide_schema(source))
         tables.replace_window(out, raw_path(warehouse, source), start, end, ("native_sensor_id",))
+        left = normalize.conform(timed.filter(~inside).withColumn("timestamp", F.col("ts")), _wide_schema(source))
+        tables.replace_window(left, rejected_path(warehouse, source), start, end, ("native_sensor_id",))
 
 
 def raw_days(spark: SparkSession, warehouse: str, start, end) -> dict[str, DataFrame]:
@@ -111,9 +119,10 @@ def backfill(spark: SparkSession, landing_root: str, warehouse: str, start, end,
 
 def merge_range(spark: SparkSession, target: str, staging: str, start, end, sources=("wu", "tsi"),
                 only_if_changed: bool = False) -> None:
-    """Merge the staged days of a range into the star fact in one pass."""
-    staged = landing.scan_staging(spark, staging, sources, start, end)
-    # Two sources never share a deployment, so a key's copies come from one source; the larger value breaks ties.
+    """Merge the staged days of a range into the star fact in one pass.
+
+    Of a key's copies the one staged last wins, by the time its file was written; within one load the larger value."""
+    staged = landing.scan_staging(spark, staging, sources, start, end).withColumn("loaded", F.col("_metadata.file_modification_time"))
     once = staged.filter(F.col("value").isNotNull()).groupBy("timestamp", "deployment_fk", "metric_name").agg(
-        F.max("value").alias("value"))
+        F.max(F.struct("loaded", "value")).alias("last")).select("timestamp", "deployment_fk", "metric_name", "last.value")
     tables.merge_into(spark, target, once, ["timestamp", "deployment_fk", "metric_name"], only_if_changed=only_if_changed)

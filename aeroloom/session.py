@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,7 +17,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``).
+
+    Where it is unset and all of Spark runs on this machine, a temporary folder that goes when the process ends; on a
+    cluster that would be a folder of each machine by itself, so there it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -23,7 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if current is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="aeroloom-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(current)
         return current
     # The context appends a run id to the folder it was given; scratch data may live beside it.

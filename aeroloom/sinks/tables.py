@@ -33,6 +33,16 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def days_present(spark: SparkSession, path: str) -> list[str]:
+    """Days of a table's ``dt=`` folders that hold files, from the file system's listing alone: no data is scanned."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("dt=")]
+    filled = [d for d in found if any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(d))]
+    return sorted(d.getName()[3:] for d in filled)
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
@@ -62,9 +72,8 @@ def write_landing(df: DataFrame, root: str, source: str, agg: str = "raw", force
             .withColumns({"source": F.lit(source), "agg": F.lit(agg), "dt": F.to_date(ts)}))
     spark = df.sparkSession
     if not force and exists(spark, f"{root}/source={source}/agg={agg}"):
-        # Only day folders are listed: the scan needs no data column.
-        landed = spark.read.parquet(f"{root}/source={source}/agg={agg}").select(F.col("dt").cast("date").alias("dt")).distinct()
-        rows = rows.join(landed, "dt", "left_anti")
+        landed = days_present(spark, f"{root}/source={source}/agg={agg}")
+        rows = rows.filter(~F.col("dt").isin(landed)) if landed else rows
     out = layout(rows, "dt", [c for c in ("native_sensor_id", ts) if c in df.columns])
     writer = out.write.partitionBy("source", "agg", "dt").option("compression", "snappy")
     if force:
@@ -128,20 +137,28 @@ def upsert(target: DataFrame, source: DataFrame, keys, value: str = "value", onl
     return j.select(*keys, F.when(take, F.col("s")).otherwise(F.col("t")).alias("row")).select(*keys, "row.*").select(target.columns)
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Rows of ``source`` whose key the target lacks, one per key."""
-    once = source.dropDuplicates(list(keys))
-    return once.join(target.select(*keys), list(keys), "left_anti").select(target.columns)
+def first_of(df: DataFrame, keys, seq: str | None = None) -> DataFrame:
+    """One row per key: the least by ``seq``, then by the other columns in order."""
+    others = [c for c in df.columns if c not in set(keys)]
+    order = ([seq] if seq else []) + [c for c in others if c != seq]
+    if not order:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("row")).select(*keys, "row.*").select(df.columns)
 
 
-def append_absent(spark: SparkSession, path: str, source: DataFrame, keys, ts: str = "timestamp") -> None:
+def insert_absent(target: DataFrame, source: DataFrame, keys, seq: str | None = None) -> DataFrame:
+    """Rows of ``source`` whose key the target lacks, one per key: the first by ``seq``, then by all columns in order."""
+    return first_of(source, keys, seq).join(target.select(*keys), list(keys), "left_anti").select(target.columns)
+
+
+def append_absent(spark: SparkSession, path: str, source: DataFrame, keys, ts: str = "timestamp", seq: str | None = None) -> None:
     """Append the rows whose key is new; existing rows win.  Only the source's days are read."""
     rows = with_dt(source, ts)
     if not exists(spark, path):
-        layout(rows.dropDuplicates(list(keys)), "dt", keys).write.partitionBy("dt").parquet(path)
+        layout(first_of(rows, keys, seq), "dt", keys).write.partitionBy("dt").parquet(path)
         return
     target = _only_days(spark, path, rows)
-    layout(insert_absent(target, rows, keys), "dt", keys).write.mode("append").partitionBy("dt").parquet(path)
+    layout(insert_absent(target, rows, keys, seq), "dt", keys).write.mode("append").partitionBy("dt").parquet(path)
 
 
 def _only_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
@@ -188,10 +205,10 @@ def drop_staging_day(spark: SparkSession, path: str, d, sources=("wu", "tsi")) -
 
 def staging_partitions(spark: SparkSession, path: str) -> DataFrame:
     """(source, dt) partitions present in the staging dataset."""
-    try:
-        return spark.read.parquet(path).select("source", F.col("dt").cast("date").alias("dt")).distinct()
-    except AnalysisException:
-        return spark.createDataFrame([], "source string, dt date")
+    fs, p = _folder(spark, path)
+    sources = [s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("source=")] if fs.exists(p) else []
+    found = [(s.removeprefix("source="), d) for s in sorted(sources) for d in days_present(spark, f"{path}/{s}")]
+    return spark.createDataFrame(found, "source string, dt string").withColumn("dt", F.col("dt").cast("date"))
 
 
 def append_run_log(df: DataFrame, path: str) -> None:

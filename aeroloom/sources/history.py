@@ -34,9 +34,18 @@ def read_csv_union(spark: SparkSession, files, **tags) -> DataFrame | None:
     Files are grouped by header, so the plan grows with the number of layouts rather than of files.  Values
     stay text; numeric parsing is the caller's.
     """
+    files = list(files)
+    if not files:
+        return None
+    # First lines of all files in one job; headers may hold quoted names, so each distinct one is parsed by the reader.
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    heads = lines.filter("at = 0").groupBy("path").agg(F.first("value").alias("head")).collect()
     layouts: dict[tuple, list[str]] = {}
-    for f in files:
-        layouts.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
+    columns_of: dict[str, tuple] = {}
+    for r in sorted(heads):
+        if r["head"] not in columns_of:
+            columns_of[r["head"]] = tuple(spark.read.option("header", True).csv(r["path"]).columns)
+        layouts.setdefault(columns_of[r["head"]], []).append(r["path"])
     parts = []
     for columns, group in layouts.items():
         schema = ", ".join(f"`{c}` string" for c in columns)
@@ -48,21 +57,23 @@ def read_csv_union(spark: SparkSession, files, **tags) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_history_csv(spark: SparkSession, root: str, processed_limit: int | None = None) -> DataFrame:
-    """History of the first place that has any: master files, raw pulls per source, then processed files.
+def read_history_csv(spark: SparkSession, root: str, first_only: bool = False) -> DataFrame:
+    """History of all places below ``root``, with ``place``: master files, raw pulls per source and processed files.
 
-    All processed files are read; ``processed_limit=5`` reads the first five only.
+    ``first_only`` reads the first place that has any file, in that order, and of the master files only the preferred
+    ones, if there are any.
     """
     master = _list_csv(spark, f"{root}/master_data")
     preferred = [f for n in vocab.HISTORY_FILES for f in master if _name(f) == n]
-    found = read_csv_union(spark, preferred or master)
-    if found is not None:
-        return found
-    pulls = [read_csv_union(spark, _list_csv(spark, f"{root}/raw_pulls/{s}"), data_source=s) for s in ("wu", "tsi")]
-    pulls = [p for p in pulls if p is not None]
-    if pulls:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pulls)
-    found = read_csv_union(spark, _list_csv(spark, f"{root}/processed")[:processed_limit])
-    if found is None:
+    places = [("master_data", [(preferred or master if first_only else master, {})]),
+              ("raw_pulls", [(_list_csv(spark, f"{root}/raw_pulls/{s}"), {"data_source": s}) for s in ("wu", "tsi")]),
+              ("processed", [(_list_csv(spark, f"{root}/processed"), {})])]
+    parts = []
+    for place, groups in places:
+        found = [read_csv_union(spark, files, place=place, **tags) for files, tags in groups]
+        parts += [f for f in found if f is not None]
+        if parts and first_only:
+            break
+    if not parts:
         raise ValueError(f"no CSV history under {root}")
-    return found
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

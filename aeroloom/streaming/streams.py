@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aeroloom import vocab
+from aeroloom.functions import air
 from aeroloom.operators.alerts import apply_cooldown, reading_alerts
+from aeroloom.operators.rollups import representative
 from aeroloom.sinks import tables
 
 
@@ -24,15 +26,19 @@ def stream_alerts(readings: DataFrame, config=vocab.ALERT_CONFIG, ts: str = "tim
 
 
 def stream_hourly(readings: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Hourly rollup of a stream of long readings.
+    """Hourly rollup of a stream of long readings, with one location if the readings have coordinates.
 
-    An hour is emitted once the watermark passes its end; rows later than ``lateness`` are dropped.
+    An hour is emitted once the watermark passes its end.  Rows later than ``lateness`` are not in it: land the same
+    stream too (`stream_landing`), and the batch rollup of the day counts them.
     """
     hour = F.window("timestamp", "1 hour")
+    placed = {"latitude", "longitude"} <= set(readings.columns)
+    where = list(representative("latitude", "longitude", "timestamp")) if placed else []
     grouped = (readings.withWatermark("timestamp", lateness).groupBy(hour, "native_sensor_id", "metric_name")
-               .agg(F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
+               .agg(*where, F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
                     F.max("value").alias("max_value"), F.count(F.lit(1)).alias("samples")))
-    return grouped.select(F.col("window.start").alias("hour_ts"), "native_sensor_id", "metric_name",
+    at = ["latitude", "longitude", air.geo_point(F.col("latitude"), F.col("longitude")).alias("geog")] if placed else []
+    return grouped.select(F.col("window.start").alias("hour_ts"), "native_sensor_id", "metric_name", *at,
                           "avg_value", "min_value", "max_value", "samples")
 
 
@@ -57,14 +63,16 @@ def stream_landing(readings: DataFrame, root: str, checkpoint: str, source: str,
     return append_parquet(rows, root, checkpoint, ("source", "agg", "dt"), available_now)
 
 
-def cooldown_batch(out: str, state: str, minutes: int = 60, keys=("type",), ts: str = "timestamp", ties=("id",)):
+def cooldown_batch(out: str, state: str, minutes: int = 60, keys=("type",), ts: str = "timestamp", ties=("id",), late: str | None = None):
     """``foreachBatch`` function that keeps alerts past their cooldown and carries the last kept times.
 
     State and output are written per batch id, each from the state of the batch before: a batch that is run
     again after a failure overwrites its own folders.  The batch itself uses the time-split batch fold, so a
-    hot key does not gather in one task.  An event older than its key's last kept one counts as within the
-    cooldown and is dropped.
+    hot key does not gather in one task.  An event older than its key's last kept one came late: whether it would have
+    been kept can't be told without undoing what was sent, so it goes to the folder ``late`` (by default ``out`` with
+    ``-late``), batch by batch, and nothing is lost.
     """
+    late = late or f"{out.rstrip('/')}-late"
     keys = list(keys)
 
     def handle(alerts: DataFrame, batch_id: int) -> None:
@@ -74,6 +82,15 @@ def cooldown_batch(out: str, state: str, minutes: int = 60, keys=("type",), ts:
             if tables.exists(spark, f"{state}/batch={b}/_SUCCESS"):
                 earlier = spark.read.parquet(f"{state}/batch={b}")
                 break
+        if earlier is not None:
+            before = earlier.withColumnsRenamed({k: f"{k}__k" for k in keys})
+            same = F.lit(True)
+            for k in keys:
+                same = same & alerts[k].eqNullSafe(before[f"{k}__k"])
+            known = alerts.join(before, same, "left")
+            old = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")) < F.col("last_kept"), F.lit(False))
+            known.filter(old).select(alerts.columns).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+            alerts = known.filter(~old).select(alerts.columns)
         kept = apply_cooldown(alerts, minutes, keys, ts, ties, earlier)
         kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         # Later steps read what was written, so the fold runs once.
@@ -87,9 +104,9 @@ def cooldown_batch(out: str, state: str, minutes: int = 60, keys=("type",), ts:
 
 
 def stream_cooldown(alerts: DataFrame, out: str, state: str, checkpoint: str, minutes: int = 60, keys=("type",),
-                    ts: str = "timestamp", ties=("id",), available_now: bool = True) -> StreamingQuery:
-    """Alerts of a stream that survive the cooldown, written below ``out``."""
-    writer = (alerts.writeStream.foreachBatch(cooldown_batch(out, state, minutes, keys, ts, ties))
+                    ts: str = "timestamp", ties=("id",), available_now: bool = True, late: str | None = None) -> StreamingQuery:
+    """Alerts of a stream that survive the cooldown, written below ``out``; late ones below ``late``."""
+    writer = (alerts.writeStream.foreachBatch(cooldown_batch(out, state, minutes, keys, ts, ties, late))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -113,3 +113,22 @@ def test_auto_resolve_boundary(spark):
     out = {r["id"]: r["status"] for r in al.auto_resolve(df, BASE + dt.timedelta(hours=2)).collect()}
     assert out == {"a": "active", "b": "auto_resolved"}
     assert al.recent_alerts(df, BASE + dt.timedelta(hours=24)).count() == 0 and F
+
+
+def test_cooldown_does_not_depend_on_input_order(spark):
+    """Alerts of several sensors at one time share an id."""
+    rows = [("pm", BASE, "x", s, v) for s, v in (("c", 3.0), ("a", 9.0), ("b", 1.0))]
+    schema = "type string, timestamp timestamp, id string, native_sensor_id string, value double"
+    kept = {tuple(al.apply_cooldown(spark.createDataFrame(order, schema)).first()) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
+    assert kept == {("pm", BASE, "x", "a", 9.0)}
+
+
+def test_late_alerts_are_kept_apart(spark):
+    src, out, state, checkpoint = (scratch_path(spark, n) for n in ("alerts", "kept", "state", "checkpoint"))
+    batches = [[("a", BASE + dt.timedelta(hours=5), 1)], [("a", BASE, 2), ("a", BASE + dt.timedelta(hours=7), 3), ("b", BASE, 4)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "type string, timestamp timestamp, id int").coalesce(1).write.mode("append").parquet(src)
+    stream = streams.read_stream(spark, src, "type string, timestamp timestamp, id int", max_files=1)
+    streams.stream_cooldown(stream, out, state, checkpoint).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 3, 4]
+    assert [r["id"] for r in spark.read.schema("type string, timestamp timestamp, id int").parquet(f"{out}-late/*").collect()] == [2]

@@ -52,10 +52,12 @@ def test_forecast_feeds_predictions_back(spark, history):
         recent.append(value)
 
 
-def test_hours_are_limited_and_summarised(spark, history):
+def test_any_number_of_hours_is_forecast_and_summarised(spark, history):
     model = fc.train_models(fc.build_features(history), vocab.FORECAST_FEATURES, names=["linear_regression"])["linear_regression"]
     out = fc.forecast(model, fc.current_conditions(history), 99, cut_every=24)
-    assert out.agg(F.max("hours_ahead")).first()[0] == 48
+    assert out.agg(F.max("hours_ahead")).first()[0] == 99
+    with pytest.raises(ValueError):
+        fc.forecast(model, fc.current_conditions(history), 0)
     assert fc.forecast_summary(out).first()["min"] <= fc.forecast_summary(out).first()["max"]
     assert health.forecast_advisory(out).count() == 1
 

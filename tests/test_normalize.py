@@ -142,7 +142,10 @@ def test_history_prefers_master_files(spark, tmp_path):
         p = tmp_path / rel
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_text(text)
-    rows = history.read_history_csv(spark, str(tmp_path)).collect()
+    every = history.read_history_csv(spark, str(tmp_path)).collect()
+    assert sorted((r["place"], r["source_file"]) for r in every) == [
+        ("master_data", "other.csv"), ("master_data", "wu_master_historical_data.csv"), ("raw_pulls", "a.csv")]
+    rows = history.read_history_csv(spark, str(tmp_path), first_only=True).collect()
     assert [(r["tempAvg"], r["source_file"]) for r in rows] == [("5", "wu_master_historical_data.csv")]
 
 
@@ -166,3 +169,15 @@ def test_test_sensors_are_split(spark):
     df = spark.createDataFrame([("TEST-1",), ("BS-2",), (None,)], "native_sensor_id string")
     test, production = filters.split_test(df)
     assert (test.count(), production.count()) == (1, 2)
+
+
+def test_rounding_of_values_that_are_not_finite(spark):
+    df = spark.createDataFrame([(0.25,), (float("inf"),), (float("-inf"),), (float("nan"),), (None,)], "v double")
+    got = [r[0] for r in df.select(exact_round(F.col("v"), 1)).collect()]
+    assert got[0] == 0.2 and got[1] == float("inf") and got[2] == float("-inf") and got[3] != got[3] and got[4] is None
+
+
+def test_profile_covers_every_numeric_column(spark):
+    df = spark.range(3).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(60)])
+    rows = {r["column_name"]: r for r in rollups.profile(df).collect()}
+    assert len(rows) == 60 and all(rows[f"c{i}"]["max_value"] == i + 2 for i in range(60))

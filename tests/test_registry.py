@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from verification import catalog as checked
 from verification.run import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,8 @@ def con():
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert {n for n in QUERIES if n not in ORACLES} == {"m08_m09_train_and_evaluate", "m10_save_model", "m11_forecast", "m12_forecast_summary"}
+    # Trees and the full linear model; each has a query on one feature that is compared.
+    assert {n for n in checked.QUERIES if n not in checked.ORACLES} == {"m08_m09_train_and_evaluate", "m10_save_model", "m11_forecast", "m12_forecast_summary"}
 
 
 def test_entry_gives_rows(spark):

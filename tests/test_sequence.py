@@ -128,3 +128,57 @@ def test_decompose_default_period_and_short_series(spark):
             for k, n in (("long", 40), ("short", 29)) for i in range(n)]
     out = t.decompose(spark.createDataFrame(rows, "key string, day date, value double"), "key")
     assert {(r["key"], r["period"]) for r in out.collect()} == {("long", 10)}
+
+
+def _rows_per_task(spark, df, run):
+    """Largest number of rows that a task held of the frame that ``run`` gives."""
+    return run(df).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+
+
+def test_hot_key_is_spread_without_a_broadcast(spark):
+    """Half of all rows are one key's; neither join is a broadcast."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(40_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id % 400) END AS key",
+                                            "timestamp_seconds(1700000000 + id * 7) AS ts", "CAST(id % 13 AS DOUBLE) AS v")
+        numbered = lambda d: sequence.sequence_rows(d, ["key"], "ts", ["id"], slice_rows=500)
+        assert _rows_per_task(spark, df, numbered) < 9_000
+        looked = lambda d: sequence.lookback(numbered(d), ["key"], 3, {"back": lambda w: F.lag("v", 3).over(w)}, block_rows=500)
+        assert _rows_per_task(spark, df, looked) < 9_000
+        assert looked(df).filter("key = 'hot'").agg(F.max("seq")).first()[0] == 20_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_without_a_time_stay(spark):
+    rows = [(i, "k", None if i % 4 == 0 else (pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i)).to_pydatetime(), float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, key string, ts timestamp, v double")
+    out = {r["id"]: r for r in t.lag_features(df, "key", "ts", "v").collect()}
+    assert len(out) == 12 and all(out[i]["v_lag_1h"] is None for i in (0, 4, 8)) and out[2]["v_lag_1h"] == 1.0
+    split = {r["id"]: r["split"] for r in t.chrono_split(df, "ts").collect()}
+    assert [i for i, s in split.items() if s is None] == [0, 4, 8] and split[11] == "test"
+
+
+def test_one_outlier_does_not_gather_the_rest(spark):
+    """Borders are quantiles: a value of 1e18 leaves the others in many buckets."""
+    df = spark.range(5000).selectExpr("id", "'k' AS key", "CASE WHEN id = 7 THEN 1e18D ELSE CAST(id AS DOUBLE) END AS v")
+    cuts = df.groupBy("key").agg(sequence._cuts(F.col("v"), 16))
+    per = df.join(cuts, "key").groupBy(sequence._bucket(F.col("v")).alias("b")).count().collect()
+    assert len(per) == 16 and max(r["count"] for r in per) < 700
+
+
+def test_short_series_are_named(spark):
+    rows = [(k, (pd.Timestamp("2024-01-01") + pd.Timedelta(days=i)).date(), float(i % 5)) for k, n in (("long", 40), ("short", 29)) for i in range(n)]
+    got = {r["key"]: (r["days"], r["status"]) for r in t.decompose_status(spark.createDataFrame(rows, "key string, day date, value double"), "key").collect()}
+    assert got == {"long": (40, "ok"), "short": (29, "too short")}
+
+
+def test_cadence_scans_little(spark):
+    df = _frame(spark).filter("key IS NOT NULL")
+    summary, _ = t.cadence_gaps(df, "key", "ts")
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 4

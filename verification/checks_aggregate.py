@@ -77,8 +77,12 @@ add("a10_metric_coverage", lambda d: quality.metric_coverage(d.tsi(), "ts", ["pm
         count(*) FILTER ({m} IS NULL)::BIGINT AS null_count, count({m})::BIGINT AS valid_count FROM tsi GROUP BY 1"""
         for m in ("pm2_5", "pm10", "temperature")))
 _PICK = ", ".join(f"max(CASE WHEN metric_name = '{m}' THEN avg_value END) AS {m}" for m in _MATRIX)
-add("a11_metric_matrix", lambda d: reports.metric_matrix(d.enriched(), ["native_sensor_id"], _MATRIX),
-    f"SELECT native_sensor_id, {_PICK} FROM enriched GROUP BY 1", " ".join(_MATRIX))
+add("a11_metric_matrix", lambda d: reports.metric_matrix(d.enriched(), ["native_sensor_id"], _MATRIX, last_reading="day_ts"),
+    f"SELECT native_sensor_id, {_PICK}, max(day_ts) AS last_reading FROM enriched GROUP BY 1", " ".join(_MATRIX))
+add("a11_latest_positions", lambda d: reports.latest_positions(d.enriched()).select("native_sensor_id", "day_ts", "metric_name", "avg_value", "latitude", "longitude"),
+    f"""SELECT native_sensor_id, day_ts, metric_name, avg_value, latitude, longitude FROM (SELECT *, rank() OVER (PARTITION BY native_sensor_id
+        ORDER BY day_ts DESC) AS r FROM enriched WHERE {_ACTIVE} AND latitude IS NOT NULL AND longitude IS NOT NULL) WHERE r = 1""",
+    "avg_value latitude longitude")
 add("a11_correlation_rows", lambda d: reports.correlation_rows(d.enriched(), MONTH, ["temperature", "humidity", "pm2_5"], ["temperature", "humidity"]),
     f"""SELECT CAST(day_ts AS DATE) AS date, native_sensor_id, max(CASE WHEN metric_name = 'temperature' THEN avg_value END) AS temperature,
         max(CASE WHEN metric_name = 'humidity' THEN avg_value END) AS humidity, max(CASE WHEN metric_name = 'pm2_5' THEN avg_value END) AS pm2_5
@@ -91,9 +95,9 @@ add("a12_spatial_grid", lambda d: reports.spatial_grid(d.enriched(), WEEK),
         avg(CASE WHEN metric_name = 'pm2_5' THEN avg_value END) AS avg_pm25 FROM enriched WHERE day_ts >= '{WEEK}' AND {_ACTIVE} GROUP BY 1, 2""",
     "lat_cluster lng_cluster avg_temperature avg_pm25")
 _AVGS = ", ".join(f"avg(CASE WHEN metric_name = '{m}' THEN avg_value END) AS {m}" for m in _MATRIX)
-add("a13_pivot_totals", lambda d: reports.pivot_totals(d.week(), "native_sensor_id", _MATRIX),
-    f"""SELECT native_sensor_id, {_AVGS}, avg(avg_value) AS total FROM week GROUP BY 1 UNION ALL
-        SELECT 'TOTAL', {_AVGS}, avg(avg_value) FROM week""", " ".join(_MATRIX) + " total")
+add("a13_pivot_totals", lambda d: reports.pivot_totals(d.daily(), "native_sensor_id", _MATRIX),
+    f"""SELECT native_sensor_id, {_AVGS}, avg(avg_value) AS total FROM daily GROUP BY 1 UNION ALL
+        SELECT 'TOTAL', {_AVGS}, avg(avg_value) FROM daily""", " ".join(_MATRIX) + " total")
 add("a14_availability", lambda d: reports.availability(d.daily(), "pm2_5", "2023-11-01", PROC_DATE),
     """SELECT native_sensor_id, CAST(day_ts AS DATE) AS date, count(*)::BIGINT AS readings FROM daily
        WHERE metric_name = 'pm2_5' GROUP BY 1, 2""")

@@ -63,15 +63,15 @@ add("c07_recommendations",
     f"SELECT event_id, {_ADVISE} AS advice FROM history")
 
 
-def _report(d):
-    r = h.health_report(d.history(), ties=["event_id"])
+def _report(d, **how):
+    r = h.health_report(d.history(), ties=["event_id"], **how)
     return r.select("period_start", "period_end", "total_readings", "average_pm25", "maximum_pm25", "predominant_category",
                     "exposure.health_advisory_level", "exposure.unhealthy_hours", F.size("distribution").cast("bigint").alias("categories"),
                     F.concat_ws(" / ", "recommendations").alias("advice"))
 
 
 _LAST = "(SELECT * FROM history ORDER BY timestamp DESC, event_id DESC LIMIT 168)"
-add("c08_health_report", _report,
+add("c08_health_report_last", lambda d: _report(d, last=168),
     f"""SELECT period_start, period_end, total_readings, average_pm25, maximum_pm25, predominant_category, {_ADVICE} AS health_advisory_level,
         unhealthy_hours, categories, {_ADVISE} AS advice FROM (SELECT min(timestamp) AS period_start, max(timestamp) AS period_end,
         count(*)::BIGINT AS total_readings, round(avg(pm25), 1) AS average_pm25, round(max(pm25), 1) AS maximum_pm25, avg(pm25) AS pm25,
@@ -88,6 +88,27 @@ def _predicted(d):
     return numbered.select("native_sensor_id", F.col("seq").cast("int").alias("hours_ahead"), F.round(F.col("pm25") / 4, 2).alias("predicted_pm25"))
 
 
+_AHEAD = """(SELECT native_sensor_id, row_number() OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id) AS hours_ahead,
+    round(pm25 / 4, 2) AS predicted_pm25 FROM (SELECT *, row_number() OVER (PARTITION BY native_sensor_id ORDER BY timestamp DESC, event_id DESC) AS rn
+    FROM history) WHERE rn <= 30)"""
+_WEEK = "(SELECT * FROM history WHERE epoch_us(timestamp) > (SELECT max(epoch_us(timestamp)) FROM history) - 168 * 3600000000::BIGINT)"
+add("c08_health_report", _report,
+    f"""SELECT period_start, period_end, total_readings, average_pm25, maximum_pm25, predominant_category, {_ADVICE} AS health_advisory_level,
+        unhealthy_hours, categories, {_ADVISE} AS advice FROM (SELECT min(timestamp) AS period_start, max(timestamp) AS period_end,
+        count(*)::BIGINT AS total_readings, round(avg(pm25), 1) AS average_pm25, round(max(pm25), 1) AS maximum_pm25, avg(pm25) AS pm25,
+        (SELECT category FROM (SELECT {_HEALTH('pm25')} AS category, count(*) AS n FROM {_WEEK} GROUP BY 1) ORDER BY n DESC, category LIMIT 1) AS predominant_category,
+        count(DISTINCT {_HEALTH('pm25')})::BIGINT AS categories, count(*) FILTER (pm25 > 35.5 AND pm25 <= 55.5) AS unhealthy_sensitive_hours,
+        count(*) FILTER (pm25 > 55.5 AND pm25 <= 150.5)::BIGINT AS unhealthy_hours, count(*) FILTER (pm25 > 150.5) AS very_unhealthy_hours,
+        count(*) AS total_hours FROM {_WEEK})""", "average_pm25 maximum_pm25")
+
+
+def _predicted(d):
+    """Hourly values per sensor standing in for a forecast: the n-th latest reading is n hours ahead."""
+    late = timeseries.last_n(d.history(), "timestamp", 30, "native_sensor_id", ["event_id"])
+    numbered = timeseries.sequence_rows(late, ["native_sensor_id"], "timestamp", ["event_id"])
+    return numbered.select("native_sensor_id", F.col("seq").cast("int").alias("hours_ahead"), F.round(F.col("pm25") / 4, 2).alias("predicted_pm25"))
+
+
 _AHEAD = """(SELECT native_sensor_id, row_number() OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id) AS hours_ahead,
     round(pm25 / 4, 2) AS predicted_pm25 FROM (SELECT *, row_number() OVER (PARTITION BY native_sensor_id ORDER BY timestamp DESC, event_id DESC) AS rn
     FROM history) WHERE rn <= 30)"""
@@ -193,7 +214,8 @@ add("m02_missing_metric_alerts", lambda d: flat_alerts(al.missing_metric_alerts(
         NULL::DOUBLE AS value, NULL::DOUBLE AS threshold, 'DATA MISSING: Critical metrics unavailable: ' || {_LACK} AS message, {_LACK} AS missing,
         {_quoted(vocab.ALERT_RECOMMENDATIONS['data_completeness'][0][2])} AS advice, 'active' AS status FROM sparse WHERE {_LACK} <> ''""",
     "value threshold")
-_KEPT = lambda part, order: f"""(WITH RECURSIVE a AS (SELECT {part} AS k, timestamp, min(id) AS id FROM ({_ALERTS}) GROUP BY 1, 2),
+_KEPT = lambda part, order: f"""(WITH RECURSIVE a AS (SELECT {part} AS k, timestamp, id, level, native_sensor_id, value FROM ({_ALERTS})
+      QUALIFY row_number() OVER (PARTITION BY k, timestamp ORDER BY id, native_sensor_id, level, value) = 1),
     kept AS (SELECT k, min(timestamp) AS timestamp FROM a GROUP BY 1 UNION ALL
       SELECT k.k, (SELECT min(a.timestamp) FROM a WHERE a.k = k.k AND a.timestamp >= k.timestamp + interval 60 minute) FROM kept k
       WHERE (SELECT min(a.timestamp) FROM a WHERE a.k = k.k AND a.timestamp >= k.timestamp + interval 60 minute) IS NOT NULL)
@@ -204,11 +226,11 @@ def _cooled(d, keys):
     return al.apply_cooldown(al.threshold_alerts(d.history()), 60, keys)
 
 
-add("m03_apply_cooldown", lambda d: _cooled(d, ["type"]).select("type", "timestamp", "id"),
-    f"SELECT k AS type, timestamp, id FROM {_KEPT('type', '')}")
+add("m03_apply_cooldown", lambda d: _cooled(d, ["type"]).select("type", "timestamp", "id", "native_sensor_id", "level", "value"),
+    f"SELECT k AS type, timestamp, id, native_sensor_id, level, value FROM {_KEPT('type', '')}", "value")
 add("m03_apply_cooldown_by_sensor",
-    lambda d: _cooled(d, ["native_sensor_id", "type"]).select(F.concat_ws("/", "native_sensor_id", "type").alias("key"), "timestamp", "id"),
-    f"""SELECT k AS key, timestamp, id FROM {_KEPT("native_sensor_id || '/' || type", '')}""")
+    lambda d: _cooled(d, ["native_sensor_id", "type"]).select(F.concat_ws("/", "native_sensor_id", "type").alias("key"), "timestamp", "id", "level", "value"),
+    f"""SELECT k AS key, timestamp, id, level, value FROM {_KEPT("native_sensor_id || '/' || type", '')}""", "value")
 add("m04_auto_resolve", lambda d: al.auto_resolve(al.threshold_alerts(d.history()), "2024-01-30 12:00:00").groupBy("type", "status")
     .agg(F.count(F.lit(1)).alias("alerts")),
     f"""SELECT type, CASE WHEN timestamp < timestamp '2024-01-30 10:00:00' THEN 'auto_resolved' ELSE 'active' END AS status, count(*)::BIGINT AS alerts
@@ -240,13 +262,14 @@ add("m13_zscore_anomalies",
         JOIN {_NET} y ON y.metric_name = x.metric_name AND CAST(y.timestamp AS DATE) < x.day AND CAST(y.timestamp AS DATE) >= x.day - 7 GROUP BY 1, 2) b
         ON b.metric_name = r.metric_name AND b.day = CAST(r.timestamp AS DATE) WHERE b.sd > 0 AND abs((r.value - b.m) / b.sd) > {_LIMIT}""", "value")
 add("m14_sensor_health",
-    lambda d: al.sensor_health(d.history(), "pm25", NOW, ties=["event_id"]).drop("outliers", "noisy"),
+    lambda d: al.sensor_health(d.history(), "pm25", NOW, ties=["event_id"]),
     """SELECT native_sensor_id, count(*) FILTER (run >= 3)::BIGINT AS consecutive_runs, max(gap) AS longest_gap_hours,
        (epoch_us(timestamp '2024-01-31') - max(epoch_us(timestamp))) / 3.6e9 AS silent_hours, 100.0::DOUBLE * count(*) FILTER (same) / count(*) AS repeated_pct,
        count(*) FILTER (run >= 3) > 0 AS sustained, greatest(coalesce(max(gap), 0), (epoch_us(timestamp '2024-01-31') - max(epoch_us(timestamp))) / 3.6e9) > 6 AS missing_data,
-       100.0::DOUBLE * count(*) FILTER (same) / count(*) > 20 AS stuck FROM (SELECT native_sensor_id, timestamp,
+       100.0::DOUBLE * count(*) FILTER (same) / count(*) > 20 AS stuck,
+       count(*) FILTER (z > 2.5)::BIGINT AS outliers, count(*) FILTER (z > 2.5) > 10 AS noisy FROM (SELECT native_sensor_id, timestamp,
+         abs(pm25 - avg(pm25) OVER (PARTITION BY native_sensor_id)) / nullif(stddev_samp(pm25) OVER (PARTITION BY native_sensor_id), 0) AS z,
          sum(CAST(pm25 >= 35.5 AS INT)) OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS run,
          (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id))) / 3.6e9 AS gap,
          pm25 = lag(pm25) OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id) AS same FROM history) GROUP BY 1""",
     "longest_gap_hours silent_hours repeated_pct")
-assert PROC_DATE

@@ -53,6 +53,42 @@ def _evaluated(d):
 
 add("m08_m09_train_and_evaluate", _evaluated)
 
+# The linear model on one feature has a closed form, so its training, scores and forecast can be compared.
+_ONE = ["pm25_lag_1h"]
+_PARTS = f"""(SELECT *, rn <= floor(0.8::DOUBLE * n) AS train FROM (SELECT *, row_number() OVER (ORDER BY timestamp, event_id) AS rn, count(*) OVER () AS n
+    FROM {_MADE} WHERE pm25_lag_24h IS NOT NULL))"""
+_LINE = f"""(SELECT regr_slope(pm25, pm25_lag_1h) AS a, regr_intercept(pm25, pm25_lag_1h) AS b FROM {_PARTS} WHERE train)"""
+_SCORES = f"""SELECT 'linear_regression' AS model, round(avg(abs(e)), 5) AS mae, round(avg(e * e), 5) AS mse, round(sqrt(avg(e * e)), 5) AS rmse,
+    round(1 - sum(e * e) / (var_pop(pm25) * count(*)), 5) AS r2, count(*)::BIGINT AS samples, true AS best
+    FROM (SELECT pm25, pm25 - (a * pm25_lag_1h + b) AS e FROM {_PARTS}, {_LINE} WHERE NOT train)"""
+
+
+def _simple(d):
+    train, test = _split(d)
+    return fc.train_models(train, _ONE, names=["linear_regression"])["linear_regression"], train, test
+
+
+def _rounded(metrics):
+    return metrics.withColumns({c: F.round(c, 5) for c in ("mae", "mse", "rmse", "r2")})
+
+
+def _coefficients(d):
+    """Slope and intercept on the unscaled feature."""
+    model, _, _ = _simple(d)
+    scaler, linear = model.stages[1], model.stages[2]
+    slope = float(linear.coefficients[0]) / float(scaler.std[0])
+    row = (slope, float(linear.intercept) - slope * float(scaler.mean[0]))
+    return d.spark.createDataFrame([row], "slope double, intercept double").select(F.round("slope", 5).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+def _simple_scores(d):
+    model, _, test = _simple(d)
+    return _rounded(fc.evaluate({"linear_regression": model}, test))
+
+
+add("m08_linear_coefficients", _coefficients, f"SELECT round(a, 5) AS slope, round(b, 4) AS intercept FROM {_LINE}")
+add("m09_linear_scores", _simple_scores, _SCORES)
+
 
 def _saved(d):
     models, _, test = _trained(d, ["linear_regression"])
@@ -64,12 +100,49 @@ def _saved(d):
 add("m10_save_model", _saved)
 
 
+def _saved_simple(d):
+    """The saved and the loaded model, row by row."""
+    model, _, test = _simple(d)
+    path = scratch_path(d.spark, "model")
+    fc.save_model(model, path)
+    return fc.load_model(path).transform(test).select("event_id", F.round("prediction", 5).alias("prediction"))
+
+
+add("m10_loaded_predictions", _saved_simple, f"SELECT event_id, round(a * pm25_lag_1h + b, 5) AS prediction FROM {_PARTS}, {_LINE} WHERE NOT train")
+
+
 def _forecast(d, hours=48):
     models, _, _ = _trained(d, ["linear_regression"])
     return fc.forecast(models["linear_regression"], fc.current_conditions(d.history(), ties=["event_id"]), hours)
 
 
 add("m11_forecast", _forecast)
+
+
+def _simple_forecast(d, hours=30):
+    model, _, _ = _simple(d)
+    current = fc.current_conditions(d.history(), ties=["event_id"])
+    return fc.forecast(model, current, hours), current
+
+
+_NOW = """(SELECT native_sensor_id, arg_max(pm25, (timestamp, event_id)) AS pm25, max(timestamp) AS since FROM history GROUP BY 1)"""
+_AHEAD = f"""(WITH RECURSIVE line AS {_LINE}, f AS (SELECT native_sensor_id, since, 0 AS h, pm25 AS v FROM {_NOW} UNION ALL
+    SELECT native_sensor_id, since, h + 1, least(greatest(a * v + b, 0), 500) FROM f, line WHERE h < 30) SELECT * FROM f WHERE h > 0)"""
+add("m11_linear_forecast", lambda d: _simple_forecast(d)[0].select("native_sensor_id", "timestamp", F.col("hours_ahead").cast("int").alias("hours_ahead"), "predicted_pm25", "confidence"),
+    f"""SELECT native_sensor_id, since + to_hours(h) AS timestamp, h AS hours_ahead, round(v, 1) AS predicted_pm25,
+        CASE WHEN h <= 6 THEN 'high' WHEN h <= 24 THEN 'medium' ELSE 'low' END AS confidence FROM {_AHEAD}""", "predicted_pm25")
+
+
+def _simple_summary(d):
+    made, current = _simple_forecast(d)
+    out = fc.forecast_summary(made, "native_sensor_id", "linear_regression", _ONE, current)
+    return out.withColumn("features", F.concat_ws(",", "features"))
+
+
+add("m12_linear_summary", _simple_summary,
+    f"""SELECT native_sensor_id, round(min(round(v, 1)), 1) AS min, round(max(round(v, 1)), 1) AS max, round(avg(round(v, 1)), 1) AS avg,
+        'linear_regression' AS model, 'pm25_lag_1h' AS features, any_value(n.pm25) AS baseline FROM {_AHEAD} f JOIN {_NOW} n USING (native_sensor_id)
+        GROUP BY 1""", "min max avg baseline")
 add("m12_forecast_summary", lambda d: fc.forecast_summary(_forecast(d, 24), "native_sensor_id"))
 
 

@@ -272,4 +272,22 @@ def _merged_range(d):
 add("b03_merge_range", _merged_range,
     f"""SELECT timestamp, deployment_fk, metric_name, CASE WHEN CAST(timestamp AS DATE) BETWEEN date '2024-01-12' AND date '2024-01-18' THEN value
         ELSE 0 END AS value FROM {_ONE}""", "value")
-assert quality and _SEL
+
+
+def _misfiled(d):
+    """Rows filed under other days than their own: those of the range go to their day, the others are kept apart."""
+    root, warehouse = scratch_path(d.spark, "landing"), scratch_path(d.spark, "warehouse")
+    rows = d.tsi().withColumnRenamed("ts", "timestamp").withColumns(
+        {"source": F.lit("TSI"), "agg": F.lit("raw"), "dt": F.when(F.hour("timestamp") < 6, F.date_add(F.to_date("timestamp"), -1)).otherwise(F.to_date("timestamp"))})
+    rows.write.partitionBy("source", "agg", "dt").parquet(root)
+    daily_plan.materialize_range(d.spark, root, warehouse, "2024-01-24", "2024-01-26", ["TSI"])
+    kept = d.spark.read.parquet(daily_plan.raw_path(warehouse, "TSI")).withColumn("kind", F.lit("kept"))
+    left = d.spark.read.parquet(daily_plan.rejected_path(warehouse, "TSI")).withColumn("kind", F.lit("rejected"))
+    return kept.unionByName(left).select("ts", "native_sensor_id", "kind", F.col("dt").cast("date").alias("dt"), *TSI_FED)
+
+
+add("b02_rows_of_other_days", _misfiled,
+    f"""SELECT ts, native_sensor_id, CASE WHEN CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26' THEN 'kept' ELSE 'rejected' END AS kind,
+        CASE WHEN CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26' THEN CAST(ts AS DATE) ELSE folder END AS dt, {', '.join(TSI_FED)}
+        FROM (SELECT *, CAST(ts AS DATE) - CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS folder FROM tsi)
+        WHERE folder BETWEEN date '2024-01-24' AND date '2024-01-26'""", " ".join(TSI_FED))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from aeroloom.operators import alerts as al, normalize
+from aeroloom.operators import alerts as al
 from aeroloom.session import scratch_path
 from aeroloom.streaming import streams
 from verification.checks_domain import _ALERTS, _LACK, _KEPT
@@ -47,22 +47,25 @@ def _dense(d):
 def _cooled(d):
     out, state, checkpoint = (scratch_path(d.spark, n) for n in ("kept", "state", "checkpoint"))
     streams.stream_cooldown(_dense(d), out, state, checkpoint, keys=["type"]).awaitTermination()
-    return d.spark.read.parquet(out).select("type", "timestamp", "id")
+    return d.spark.read.parquet(out).select("type", "timestamp", "id", "native_sensor_id", "level", "value")
 
 
-add("r02_stream_cooldown", _cooled, f"SELECT k AS type, timestamp, id FROM {_KEPT('type', '')}")
+add("r02_stream_cooldown", _cooled, f"SELECT k AS type, timestamp, id, native_sensor_id, level, value FROM {_KEPT('type', '')}", "value")
 
 
 def _long_stream(d):
-    wide = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id", "event_type AS metric_name", "value")
+    wide = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id", "event_type AS metric_name", "value",
+                                 "36.0D + (user_id % 7)*0.01D AS latitude", "-78.9D AS longitude")
     return wide.filter("value IS NOT NULL")
 
 
 # Hours whose end the final watermark (latest time less two hours) has passed.
-add("r03_stream_hourly", lambda d: _written(d, streams.stream_hourly(_long_stream(d))),
+add("r03_stream_hourly", lambda d: _written(d, streams.stream_hourly(_long_stream(d))).withColumns({"geog_lat": F.col("geog.latitude"), "geog_lon": F.col("geog.longitude")}).drop("geog"),
     """SELECT * FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_ts, 'd' || CAST(user_id AS VARCHAR) AS native_sensor_id, event_type AS metric_name,
-       avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*)::BIGINT AS samples FROM events GROUP BY 1, 2, 3)
-       WHERE hour_ts + interval 1 hour <= (SELECT date_trunc('millisecond', max(ts)) - interval 2 hour FROM events)""", "avg_value min_value max_value")
+       min(36.0::DOUBLE + (user_id % 7)*0.01::DOUBLE) AS latitude, min(-78.9::DOUBLE) AS longitude,
+       avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*)::BIGINT AS samples,
+       min(36.0::DOUBLE + (user_id % 7)*0.01::DOUBLE) AS geog_lat, min(-78.9::DOUBLE) AS geog_lon FROM events GROUP BY 1, 2, 3)
+       WHERE hour_ts + interval 1 hour <= (SELECT date_trunc('millisecond', max(ts)) - interval 2 hour FROM events)""", "avg_value min_value max_value latitude longitude geog_lat geog_lon")
 
 
 def _landed(d):
@@ -76,4 +79,3 @@ def _landed(d):
 
 add("r04_stream_landing", _landed,
     f"SELECT ts AS timestamp, native_sensor_id, {', '.join(TSI_FED)}, 'TSI' AS source, 'raw' AS agg, CAST(ts AS DATE) AS dt FROM tsi", " ".join(TSI_FED))
-assert normalize

@@ -60,6 +60,8 @@ add("w06_cadence_summary", lambda d: t.cadence_gaps(d.wu(), "native_sensor_id",
         coalesce(m.n, 0)::BIGINT AS missing_count FROM (SELECT native_sensor_id, step_seconds, count(*)::BIGINT AS n FROM {_SLOTS} GROUP BY 1, 2) a
         LEFT JOIN (SELECT native_sensor_id, count(*) AS n FROM {_MISSING} GROUP BY 1) m ON a.native_sensor_id = m.native_sensor_id""")
 add("w06_missing_slots", lambda d: t.cadence_gaps(d.wu(), "native_sensor_id", "ts")[1],
+    f"""SELECT native_sensor_id, make_timestamp(slot * step_seconds::BIGINT * 1000000) AS missing_slot FROM {_MISSING}""")
+add("w06_missing_slots_first", lambda d: t.cadence_gaps(d.wu(), "native_sensor_id", "ts", first=25)[1],
     f"""SELECT native_sensor_id, make_timestamp(slot * step_seconds::BIGINT * 1000000) AS missing_slot FROM (SELECT *, row_number() OVER (
         PARTITION BY native_sensor_id ORDER BY slot) AS rn FROM {_MISSING}) WHERE rn <= 25""")
 add("w07_chrono_split", lambda d: t.chrono_split(d.history(), "timestamp", ties=["event_id"]).select("event_id", "split"),
