@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from aeroloom.llm import files
 
-#: Vectors per block: a task compares one block of queries with one block of candidates of a part.
-BLOCK = 2048
+#: Queries per block, and vectors per shard: neighbouring parts make a shard, a larger part makes several blocks.  A task
+#: compares a block of queries with a shard, each query with the parts that it visits.
+BLOCK, SHARD = 2048, 16384
 
 
 @dataclass
@@ -202,6 +203,12 @@ def search(rows: DataFrame, queries: DataFrame, model: Model, k: int = 20) -> Da
     sizes = np.zeros(model.parts, np.int64)
     for r in indexed.groupBy("part").count().collect():  # one number per part
         sizes[r["part"]] = r["count"]
+    shard_of, held = np.zeros(model.parts, np.int64), 0
+    for p in range(1, model.parts):
+        held += sizes[p - 1]
+        new = held + sizes[p] > SHARD
+        shard_of[p], held = shard_of[p - 1] + new, 0 if new else held
+    shards = np.bincount(shard_of, sizes).astype(np.int64)
     enough = 8 * (k + 1)
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,50 +216,60 @@ def search(rows: DataFrame, queries: DataFrame, model: Model, k: int = 20) -> Da
             if len(batch) == 0:
                 continue
             order = shared.value.ranking(np.stack(batch["vec"].to_numpy()))
-            held = np.cumsum(sizes[order], axis=1)
-            want = np.maximum(shared.value.probes, (held < enough).sum(axis=1) + 1)
+            filled = np.cumsum(sizes[order], axis=1)
+            want = np.maximum(shared.value.probes, (filled < enough).sum(axis=1) + 1)
             keep = (np.arange(order.shape[1]) < want[:, None]) & (sizes[order] > 0)
             i, j = np.nonzero(keep)
-            yield pd.DataFrame({"query_id": batch["query_id"].to_numpy()[i], "vec": batch["vec"].to_numpy()[i], "part": order[i, j]})
-
-    asked = queries.select("query_id", "vec").mapInPandas(visit, "query_id long, vec array<double>, part int")
-    asked = files.written(asked, "queries-in-parts")
-    loads = np.zeros(model.parts, np.int64)
-    for r in asked.groupBy("part").count().collect():
-        loads[r["part"]] = r["count"]
-    blocks = lambda counts: F.array(*[F.lit(int(max(1, -(-c // BLOCK)))) for c in counts])[F.col("part")]
-    # Cell: a block of a part's vectors and a block of its queries.  Each side goes to all blocks of the other.
-    left = (asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), blocks(loads)).cast("int"))
-            .withColumn("cb", F.explode(F.sequence(F.lit(0), blocks(sizes) - 1))))
-    right = (indexed.withColumn("cb", F.pmod(F.xxhash64("vec_id"), blocks(sizes)).cast("int"))
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), blocks(loads) - 1))))
+            part = order[i, j]
+            order = np.lexsort((part, shard_of[part], i))
+            i, part = i[order], part[order]
+            cut = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (shard_of[part[1:]] != shard_of[part[:-1]])))
+            yield pd.DataFrame({"query_id": batch["query_id"].to_numpy()[i[cut]], "vec": batch["vec"].to_numpy()[i[cut]], "shard": shard_of[part[cut]],
+                                "visits": np.split(part.astype(np.int32), cut[1:])})
+
+    asked = queries.select("query_id", "vec").mapInPandas(visit, "query_id long, vec array<double>, shard int, visits array<int>")
+    asked = files.written(asked, "queries-in-shards")
+    loads = np.zeros(len(shards), np.int64)
+    for r in asked.groupBy("shard").count().collect():
+        loads[r["shard"]] = r["count"]
+    blocks = lambda counts, size: F.array(*[F.lit(int(max(1, -(-c // size)))) for c in counts])[F.col("shard")]
+    # Cell: a block of a shard's vectors and a block of its queries.  Each side goes to all blocks of the other.
+    left = (asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), blocks(loads, BLOCK)).cast("int"))
+            .withColumn("cb", F.explode(F.sequence(F.lit(0), blocks(shards, SHARD) - 1))))
+    right = (indexed.withColumn("shard", F.array(*[F.lit(int(x)) for x in shard_of])[F.col("part")])
+             .withColumn("cb", F.pmod(F.xxhash64("vec_id"), blocks(shards, SHARD)).cast("int"))
+             .withColumn("qb", F.explode(F.sequence(F.lit(0), blocks(loads, BLOCK) - 1))))
 
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        c = c.sort_values("vec_id", kind="stable")
-        x, ids = np.stack(c["vec"].to_numpy()), c["vec_id"].to_numpy()
+        c = c.sort_values(["part", "vec_id"], kind="stable")
+        x, ids, part = np.stack(c["vec"].to_numpy()), c["vec_id"].to_numpy(), c["part"].to_numpy()
         y, own = np.stack(q["vec"].to_numpy()), q["query_id"].to_numpy()
-        out_q, out_v, out_s = [], [], []
-        for lo in range(0, len(y), 256):
-            s = y[lo:lo + 256] @ x.T
-            s[own[lo:lo + 256, None] == ids] = -np.inf
-            kth = np.partition(s, -min(k, s.shape[1]), axis=1)[:, -min(k, s.shape[1])]
-            # Products of a block may differ in the last bits from those of another: what is near the limit is kept and
-            # reckoned again row by row, so that equal vectors get equal scores.
-            near = s >= (kth - 1e-9 * np.maximum(1, np.abs(kth)))[:, None]
-            i, j = np.nonzero(near & (s > -np.inf))
-            exact = np.einsum("ij,ij->i", y[lo + i], x[j])
-            order = np.lexsort((ids[j], -exact, i))
-            i, j, exact = i[order], j[order], exact[order]
-            place = np.arange(len(i)) - np.searchsorted(i, i)
-            best = place < k
-            out_q.append(own[lo + i[best]])
-            out_v.append(ids[j[best]])
-            out_s.append(exact[best])
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
-
-    cell = ["part", "cb", "qb"]
+        visitor = np.repeat(np.arange(len(q)), q["visits"].map(len).to_numpy())
+        visited = np.concatenate(q["visits"].to_numpy())
+        found: list[tuple] = []
+        for p in np.unique(part):
+            a, b = np.searchsorted(part, p), np.searchsorted(part, p, "right")
+            asking = visitor[visited == p]
+            for lo in range(0, len(asking), 256):
+                i = asking[lo:lo + 256]
+                s = y[i] @ x[a:b].T
+                s[own[i, None] == ids[a:b]] = -np.inf
+                kth = np.partition(s, -min(k, b - a), axis=1)[:, -min(k, b - a)]
+                # Products of a block may differ in the last bits from those of another: what is near the limit is
+                # kept and reckoned again row by row, so that equal vectors get equal scores.
+                row, j = np.nonzero((s >= (kth - 1e-9 * np.maximum(1, np.abs(kth)))[:, None]) & (s > -np.inf))
+                found.append((i[row], a + j, np.einsum("ij,ij->i", y[i[row]], x[a + j])))
+        if not found:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        i, j, exact = (np.concatenate(f) for f in zip(*found))
+        order = np.lexsort((ids[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        best = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return pd.DataFrame({"query_id": own[i[best]], "vec_id": ids[j[best]], "score": exact[best]})
+
+    cell = ["shard", "cb", "qb"]
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -27,7 +27,8 @@ def made(spark):
 
 
 def test_exact_scores_and_recall(spark, made, monkeypatch):
-    monkeypatch.setattr(nearest, "BLOCK", 300)
+    monkeypatch.setattr(nearest, "BLOCK", 60)
+    monkeypatch.setattr(nearest, "SHARD", 300)
     good, df = made
     rows = nearest.usable(df)
     model = nearest.fit(rows, sample=1200, part_size=150)
