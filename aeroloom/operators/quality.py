@@ -347,3 +347,28 @@ def best_device(df: DataFrame, fields=("pm1_0", "pm2_5", "pm10")) -> DataFrame:
     filled = sum((F.col(f).isNotNull().cast("int") for f in fields), F.lit(0))
     return (df.groupBy("native_sensor_id").agg(F.max(filled).alias("fields_filled"))
             .orderBy(F.desc("fields_filled"), "native_sensor_id").limit(1))
+
+
+def quality_report(wide: DataFrame, long_df: DataFrame, hourly: DataFrame, start, end, metrics, ts: str = "ts", min_rows: int = 100,
+                   max_null_pct: float = vocab.MAX_NULL_PCT, threshold: float | None = None, samples_per_hour: float = 1.0) -> DataFrame:
+    """All findings of a range of days in one table: ``check``, ``status`` and the finding's fields as JSON in ``details``.
+
+    Runs `check_days`, `check_null_rate`, `check_metric_coverage` and `check_rollup_ratio`; a check without findings has one
+    line with status ``ok``.  The frames are those of the range.  ``threshold`` is the share of valid values below which a
+    metric's day is reported, by default the least of the configured ones.
+    """
+    inside = lambda df, col: df.filter(F.to_date(col).between(F.lit(as_date(start)), F.lit(as_date(end))))
+    wide = inside(wide, ts)
+    least = min(vocab.COVERAGE_THRESHOLDS.values()) if threshold is None else threshold
+    checks = {
+        "days": check_days(wide, ts, start, end, min_rows),
+        "null_rate": check_null_rate(wide, ts, metrics, max_null_pct),
+        "metric_coverage": check_metric_coverage(wide, ts, start, end, metrics, least),
+        "rollup_ratio": check_rollup_ratio(inside(long_df, "timestamp"), inside(hourly, "hour_ts"), samples_per_hour)}
+    parts = []
+    for name, found in checks.items():
+        lines = found.select(F.lit(name).alias("check"), F.lit("finding").alias("status"), F.to_json(F.struct(*found.columns)).alias("details"))
+        none = lines.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
+            F.lit(name).alias("check"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("details"))
+        parts += [lines, none]
+    return reduce(lambda a, b: a.unionByName(b), parts)

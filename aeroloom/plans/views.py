@@ -61,7 +61,14 @@ def wu_daily_enriched(daily: DataFrame, id_map: DataFrame, current: DataFrame) -
 
 
 def all_daily_enriched(daily: DataFrame, id_map: DataFrame, current: DataFrame) -> DataFrame:
-    return tsi_daily_enriched(daily, id_map, current).unionByName(wu_daily_enriched(daily, id_map, current))
+    """Enriched rows of both kinds; a sensor in both lists has its rows twice.
+
+    Enriched once and joined to one table of sensors with their kinds, so that location and id are attached in one branch.
+    """
+    kinds = [(tsi_sensor_list, "TSI", "Air Quality"), (wu_sensor_list, "WU", "Weather")]
+    tagged = [sensors(daily).select("native_sensor_id").distinct().withColumns({"sensor_source": F.lit(s), "sensor_category": F.lit(c)}) for sensors, s, c in kinds]
+    rows = enriched(filters.has_samples(daily), id_map, current)
+    return rows.join(tagged[0].unionByName(tagged[1]), "native_sensor_id").select(*DAILY_COLUMNS, "sensor_source", "sensor_category")
 
 
 def metric_subset_view(daily: DataFrame, id_map: DataFrame, current: DataFrame, metrics, sensor_type: str) -> DataFrame:

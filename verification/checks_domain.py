@@ -6,7 +6,7 @@ from aeroloom import vocab
 from aeroloom.functions import air
 from aeroloom.operators import alerts as al, health as h, locations, reports, timeseries
 from aeroloom.plans import views
-from verification.feeds import NOW, PROC_DATE
+from verification.feeds import NOW
 from verification.registry import add
 
 _HEALTH = lambda v: f"""CASE WHEN {v} <= 12 THEN 'Good' WHEN {v} <= 35.5 THEN 'Moderate' WHEN {v} <= 55.5 THEN 'Unhealthy for Sensitive Groups'

@@ -23,7 +23,7 @@ add("f06_in_set", lambda d: f.in_set(d.daily().select(_day), d.curated(), "nativ
     f"SELECT {_DAY} FROM daily WHERE native_sensor_id IN (SELECT native_sensor_id FROM curated)", "avg_value")
 add("f06_not_in_set", lambda d: f.in_set(d.daily().select(_day), d.curated(), "native_sensor_id", negate=True).select(_day),
     f"SELECT {_DAY} FROM daily WHERE native_sensor_id NOT IN (SELECT native_sensor_id FROM curated)", "avg_value")
-add("f07_has_samples", lambda d: f.has_samples(d.week()).select(_day), f"SELECT {_DAY} FROM week WHERE samples > 0", "avg_value")
+add("f07_has_samples", lambda d: f.has_samples(d.daily()).select(_day), f"SELECT {_DAY} FROM daily WHERE samples > 0", "avg_value")
 add("f08_active_or_unknown", lambda d: f.active_or_unknown(d.enriched()).select(*_day, "status"),
     f"SELECT {_DAY}, status FROM enriched WHERE status = 'active' OR status IS NULL", "avg_value")
 add("f09_plausible", lambda d: f.plausible(d.sparse()),

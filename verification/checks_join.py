@@ -20,12 +20,12 @@ add("j01_attach_deployment",
     lambda d: j.attach_deployment(d.history(), _active(d), "TSI").select("timestamp", "deployment_fk", "pm25"),
     """SELECT h.timestamp, p.deployment_pk AS deployment_fk, h.pm25 FROM history h JOIN sensors s USING (native_sensor_id)
        JOIN deployments p ON p.sensor_fk = s.sensor_pk WHERE p.end_date IS NULL AND s.sensor_type = 'TSI'""", "pm25")
-add("j02_keep_sensors", lambda d: j.keep_sensors(d.week(), views.tsi_sensor_list(d.daily())).drop("geog"),
-    "SELECT w.* FROM week w JOIN tsi_list USING (native_sensor_id)", "latitude longitude avg_value min_value max_value")
+add("j02_keep_sensors", lambda d: j.keep_sensors(d.daily(), views.tsi_sensor_list(d.daily())).drop("geog"),
+    "SELECT w.* FROM daily w JOIN tsi_list USING (native_sensor_id)", "latitude longitude avg_value min_value max_value")
 add("j03_left_attach",
-    lambda d: j.left_attach(d.week().select("day_ts", "native_sensor_id", "metric_name"),
+    lambda d: j.left_attach(d.daily().select("day_ts", "native_sensor_id", "metric_name"),
                             d.curated().select("native_sensor_id", "status", "notes"), "native_sensor_id"),
-    "SELECT w.day_ts, native_sensor_id, w.metric_name, c.status, c.notes FROM week w LEFT JOIN curated c USING (native_sensor_id)")
+    "SELECT w.day_ts, native_sensor_id, w.metric_name, c.status, c.notes FROM daily w LEFT JOIN curated c USING (native_sensor_id)")
 add("j04_current_locations", lambda d: d.current().drop("geog"),
     "SELECT native_sensor_id, latitude, longitude, status, effective_date, notes, updated_at FROM current_loc", "latitude longitude")
 add("j05_map_sensor_id",

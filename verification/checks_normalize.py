@@ -126,15 +126,16 @@ add("n13_melt_numeric",
 add("n14_drop_columns", lambda d: n.drop_columns(d.tsi(), ["latitude", "longitude", "absent"]),
     "SELECT * EXCLUDE (latitude, longitude) FROM tsi", " ".join(TSI_FED))
 add("n15_geo_point",
-    lambda d: d.curated().select("native_sensor_id", air.geo_point(F.col("latitude"), F.col("longitude")).alias("g"))
-    .select("native_sensor_id", F.col("g").isNotNull().alias("has_point"), "g.longitude", "g.latitude"),
-    """SELECT native_sensor_id, latitude IS NOT NULL AS has_point, CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude, latitude
-       FROM curated""", "longitude latitude")
+    lambda d: d.tsi().selectExpr("ts", "native_sensor_id", "CASE WHEN minute(ts) % 4 <> 0 THEN latitude END AS latitude", "longitude")
+    .select("ts", "native_sensor_id", air.geo_point(F.col("latitude"), F.col("longitude")).alias("g"))
+    .select("ts", "native_sensor_id", F.col("g").isNotNull().alias("has_point"), "g.longitude", "g.latitude"),
+    """SELECT ts, native_sensor_id, latitude IS NOT NULL AS has_point, CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude, latitude
+       FROM (SELECT ts, native_sensor_id, CASE WHEN minute(ts) % 4 <> 0 THEN latitude END AS latitude, longitude FROM tsi)""", "longitude latitude")
 add("n16_row_id",
     lambda d: d.history().select("event_id", air.row_id(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "native_sensor_id", "event_id", algo="sha2").alias("row_id")),
     "SELECT event_id, sha256(strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '|' || native_sensor_id || '|' || event_id) AS row_id FROM history")
-add("n17_tag_source", lambda d: n.tag_source(d.week().drop("geog"), "TSI", "Air Quality"),
-    "SELECT *, metric_name AS metric, avg_value AS value, 'TSI' AS sensor_source, 'Air Quality' AS sensor_category FROM week",
+add("n17_tag_source", lambda d: n.tag_source(d.daily().drop("geog"), "TSI", "Air Quality"),
+    "SELECT *, metric_name AS metric, avg_value AS value, 'TSI' AS sensor_source, 'Air Quality' AS sensor_category FROM daily",
     "latitude longitude avg_value min_value max_value value")
 add("n18_resolve_logical",
     lambda d: n.resolve_logical(n.resolve_logical(d.sparse().selectExpr(

@@ -10,9 +10,9 @@ from verification.registry import add
 _ALL = sorted({m for v in MANIFEST.values() for m in v["metrics"]})
 _VALUES = "(SELECT unnest([" + ", ".join(f"'{m}'" for m in _ALL) + "]) AS metric_name)"
 
-add("o01_order_by", lambda d: t.order_by(d.week().select("native_sensor_id", "metric_name", "day_ts", "avg_value"),
+add("o01_order_by", lambda d: t.order_by(d.daily().select("native_sensor_id", "metric_name", "day_ts", "avg_value"),
                                          F.desc(F.abs(F.col("avg_value"))), "native_sensor_id"),
-    "SELECT native_sensor_id, metric_name, day_ts, avg_value FROM week ORDER BY abs(avg_value) DESC, native_sensor_id", "avg_value")
+    "SELECT native_sensor_id, metric_name, day_ts, avg_value FROM daily ORDER BY abs(avg_value) DESC, native_sensor_id", "avg_value")
 add("o02_latest_n", lambda d: t.latest_n(d.history(), "timestamp", 5, ties=["event_id"]),
     "SELECT * FROM history ORDER BY timestamp DESC, event_id DESC LIMIT 5", "pm25 temperature humidity")
 add("o04_head_tail", lambda d: t.head_tail(d.history(), "timestamp", 7, ties=["event_id"]),

@@ -127,3 +127,27 @@ add("q18_active_deployments", lambda d: q.check_unique(
     d.deployments().unionByName(d.deployments().filter("sensor_fk LIKE 'w%'")).filter("end_date IS NULL"), ["sensor_fk"]),
     "SELECT sensor_fk, 2::BIGINT AS occurrences FROM deployments WHERE end_date IS NULL AND sensor_fk LIKE 'w%'")
 assert NOW
+
+
+_METRICS = ("pm2_5", "pm10", "humidity")
+
+
+def _quality_report(d):
+    hourly = d.hourly().filter("day(hour_ts) % 5 > 0 AND NOT (day(hour_ts) % 7 = 0 AND hour(hour_ts) > 6)")
+    out = q.quality_report(_thin(d), d.long(), hourly, "2024-01-01", "2024-02-02", _METRICS, max_null_pct=12.0, threshold=0.2, samples_per_hour=1.4)
+    return out.groupBy("check", "status").agg(F.count(F.lit(1)).alias("lines"), F.min(F.get_json_object("details", "$.date")).alias("first_day"))
+
+
+_FOUND = {
+    "days": f"""SELECT g.date FROM {_DAYS} g LEFT JOIN (SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM {_THIN} GROUP BY 1) c ON g.date = c.date
+        WHERE n IS NULL OR n < 100""",
+    "null_rate": " UNION ALL ".join(f"SELECT CAST(ts AS DATE) AS date FROM {_THIN} GROUP BY 1 HAVING 100.0::DOUBLE * count(*) FILTER ({m} IS NULL) / count(*) > 12"
+                                    for m in _METRICS),
+    "metric_coverage": " UNION ALL ".join(f"SELECT CAST(ts AS DATE) AS date FROM {_THIN} GROUP BY 1 HAVING count({m}) / count(*)::DOUBLE < 0.2" for m in _METRICS)
+        + f" UNION ALL SELECT g.date FROM {_DAYS} g WHERE g.date NOT IN (SELECT CAST(ts AS DATE) FROM {_THIN})",
+    "rollup_ratio": """SELECT date FROM (SELECT l.date, l.n AS a, coalesce(h.n, 0) AS b FROM (SELECT CAST(timestamp AS DATE) AS date, count(*) AS n FROM long GROUP BY 1) l
+        LEFT JOIN (SELECT CAST(hour_ts AS DATE) AS date, count(*) AS n FROM hourly WHERE day(hour_ts) % 5 > 0
+          AND NOT (day(hour_ts) % 7 = 0 AND hour(hour_ts) > 6) GROUP BY 1) h USING (date)) WHERE b / (a / 1.4::DOUBLE) NOT BETWEEN 0.5 AND 1.5"""}
+add("q04_q07_quality_report", _quality_report, "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT '{name}' AS check, CASE WHEN count(*) > 0 THEN 'finding' ELSE 'ok' END AS status, greatest(count(*), 1)::BIGINT AS lines,
+        CAST(CAST(min(date) AS DATE) AS VARCHAR) AS first_day FROM ({sql})""" for name, sql in _FOUND.items()) + ")")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from aeroloom import vocab
-from aeroloom.operators import locations, normalize, quality, rollups
+from aeroloom.operators import locations, normalize, rollups
 from aeroloom.plans import daily as daily_plan, views
 from aeroloom.session import scratch_path
 from aeroloom.sinks import tables as t
@@ -291,3 +291,38 @@ add("b02_rows_of_other_days", _misfiled,
         CASE WHEN CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26' THEN CAST(ts AS DATE) ELSE folder END AS dt, {', '.join(TSI_FED)}
         FROM (SELECT *, CAST(ts AS DATE) - CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS folder FROM tsi)
         WHERE folder BETWEEN date '2024-01-24' AND date '2024-01-26'""", " ".join(TSI_FED))
+
+
+# --- ingest and analysis ---
+def _ingested(d):
+    """Telemetry files taken in for ten days, then read back from staging."""
+    from aeroloom.plans import ingest
+    from aeroloom.sources import payloads
+    from verification.checks_source import _tsi_files
+
+    root, staging, log = (scratch_path(d.spark, n) for n in ("landing", "staging", "log"))
+    ingest.ingest({"TSI": payloads.read_tsi_json(d.spark, _tsi_files(d))}, root, staging, log, "2024-01-10", "2024-01-19")
+    logged = d.spark.read.parquet(log).select("row_count")
+    return landing.scan_staging(d.spark, staging).select("timestamp", "deployment_fk", "metric_name", "value", "source").withColumn("row_count", logged.scalar())
+
+
+add("b04_ingest", _ingested,
+    "SELECT timestamp, native_sensor_id AS deployment_fk, metric_name, value, 'tsi' AS source, (SELECT count(*)::BIGINT FROM "
+    "(SELECT * FROM sparse WHERE event_id % 13 <> 0 AND CAST(timestamp AS DATE) BETWEEN date '2024-01-10' AND date '2024-01-19')) AS row_count FROM ("
+    + " UNION ALL ".join(f"SELECT timestamp, native_sensor_id, '{name}' AS metric_name, {col} AS value FROM sparse WHERE event_id % 13 <> 0 AND {col} IS NOT NULL"
+                         for name, col in (("pm2_5", "pm25"), ("temperature", "temperature"), ("humidity", "humidity")))
+    + ") WHERE CAST(timestamp AS DATE) BETWEEN date '2024-01-10' AND date '2024-01-19'", "value")
+
+
+def _analysed(d):
+    from aeroloom.plans import analysis
+
+    out = analysis.analyse(d.history(), 6, ["linear_regression"], ties=["event_id"])
+    return out["seasonal"].filter("kind = 'month'").select("period", "mean", "min", "max", "count").withColumns(
+        {c: out["metrics"].select(c).scalar() for c in ("model", "best")})
+
+
+add("b05_analysis", _analysed,
+    """SELECT CAST(month(day) AS VARCHAR) AS period, avg(v) AS mean, min(v) AS min, max(v) AS max, count(*)::BIGINT AS count, 'linear_regression' AS model, true AS best
+       FROM (SELECT CAST(timestamp AS DATE) AS day, avg(pm25) AS v FROM history WHERE pm25 BETWEEN 0 AND 1000 AND temperature BETWEEN -50 AND 60
+       AND humidity BETWEEN 0 AND 100 GROUP BY 1) GROUP BY 1""", "mean min max")
