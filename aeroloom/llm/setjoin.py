@@ -33,7 +33,7 @@ from aeroloom.llm import files, text as T
 SPARE = 2
 RATIO = 1.4
 #: Members of a group that one task settles; larger groups are settled in pairs of blocks of this size.
-BLOCK = 256
+BLOCK = 4096
 
 
 def bands(threshold: tuple[int, int], largest: int) -> list[tuple[int, int, int, int]]:
@@ -346,7 +346,7 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     roots = components(links)
     # Round 2: groups that still hold several components, until no pair is left to try.
     vain = files.written(pairs.join(links, ["a", "b"], "left_anti"), "no-links")
-    cells, most = files.written(_cells(members, roots), "cells"), 4
+    cells, most = files.written(_cells(members, roots), "cells"), 16
     while True:
         struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_set("a").alias("failed"))
         tried = files.written(_promising(cells.join(sketches, "rep").join(struck, "rep", "left"), threshold, most), "tried")
@@ -362,7 +362,9 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         # A cell whose pairs have all proved right is settled.  The others are looked through again, with more pairs each time.
         again = cells.join(tried.join(wrong, ["a", "b"], "left_semi").select("cell").distinct(), "cell", "left_semi").drop("root")
         again = again.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        cells, most = files.written(again.select("cell", "side", "rep", "root"), "cells"), most * 8
+        again = files.written(again.select("cell", "side", "rep", "root"), "cells")
+        mixed = again.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("cell")
+        cells, most = files.written(again.join(mixed, "cell", "left_semi"), "cells"), most * 16
     named = (stands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
              .select("doc_id", F.coalesce("root", "rep").alias("component_id")).distinct())
     out = described.join(named, "doc_id", "left")
