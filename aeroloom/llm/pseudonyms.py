@@ -181,7 +181,11 @@ def _phone(m: Column, key: str, inverse: bool) -> Column:
         area, exchange = F.substr(d, F.lit(1), F.lit(3)).cast("long"), F.substr(d, F.lit(4), F.lit(3)).cast("long")
         index = ((area - 200) * 800 + exchange - 200) * 10000 + F.right(d, F.lit(4)).cast("long")
         out = _let(permute(index, 80000, 80000, key, "phone", inverse), written)
-        return F.when((area >= 200) & (exchange >= 200), F.when(F.length(_digits(m)) == 11, _refill(m, out, 1)).otherwise(_refill(m, out))).otherwise(m)
+        # Area codes below 200 are not given out, but written as numbers all the same: permuted among themselves.
+        low = _let(permute((area * 800 + exchange - 200) * 10000 + F.right(d, F.lit(4)).cast("long"), 40000, 40000, key, "low phone", inverse),
+                   lambda n: F.lpad((n + 2000000 + F.floor(n / 8000000) * 2000000).cast("string"), 10, "0"))
+        either = F.when(area >= 200, out).otherwise(low)
+        return F.when(exchange >= 200, F.when(F.length(_digits(m)) == 11, _refill(m, either, 1)).otherwise(_refill(m, either))).otherwise(m)
     return _let(F.right(_digits(m), F.lit(10)), new)
 
 
