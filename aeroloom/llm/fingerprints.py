@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
 A document is a weighted set: its words and its pairs of neighbouring words, each weighing as often as it occurs.  For
-sample d and term k, three values are drawn from a stream that (k, d) fixes: r and c from Gamma(2, 1), b uniform.  With
+sample d and term k, three values are drawn from hashes of (k, d) alone: r and c from Gamma(2, 1), b uniform.  With
 t = floor(ln w / r + b) and ln a = ln c - r (t - b) - r, the sample is the (k, t) whose a is least.  Two documents give
 the same sample with the probability sum(min) / sum(max) of their weights, the generalised Jaccard similarity.
 """
@@ -18,45 +18,80 @@ from pyspark.sql import DataFrame, Window, functions as F
 from aeroloom.llm import files, text as T
 
 SAMPLES = 64
-#: Draws in the pool; a term reads one for each sample, at places that a double hash of the term gives.
-POOL = 1 << 16
-_pool: list[np.ndarray] = []
+#: Terms looked at together; for 64 samples the arrays of a block stay near a core's cache.
+BLOCK = 800
 
 
-def _draws() -> list[np.ndarray]:
-    """r, ln c, b and, for weight 1, ln a: the same on every machine."""
-    if not _pool:
-        bits = [(T.mix64(np.arange(POOL, dtype=np.uint64) + np.uint64((k + 1) << 32)) >> np.uint64(11)).astype(np.float64) for k in range(5)]
-        u = [(x + 0.5) / 2.0 ** 53 for x in bits]
-        r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]
-        log_c = np.log(c)
-        _pool.extend(x.astype(np.float32) for x in (r, log_c, b, log_c + r * b - r))
-    return _pool
+def _hash(terms: np.ndarray, samples: int) -> np.ndarray:
+    """A 64-bit hash of each (sample, term)."""
+    return T.mix64(terms ^ T.mix64(np.arange(1, samples + 1, dtype=np.uint64))[:, None])
+
+
+def _draws(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b of each hash, in double precision.
+
+    Each of the four uniforms behind r and c has its upper 16 bits from the hash and 16 more from a second one.
+    """
+    more = T.mix64(hashes ^ np.uint64(0x9E3779B97F4A7C15))
+    b = (T.mix64(more ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)) / 2.0 ** 53
+    quarter = np.arange(0, 64, 16, dtype=np.uint64)[:, None]
+    upper, lower = (x >> quarter & np.uint64(0xFFFF) for x in (hashes, more))
+    u = (upper + lower / 65536 + 2.0 ** -17) / 65536
+    gamma = -np.log(u[::2] * u[1::2])
+    return gamma[0], np.log(gamma[1]), b
+
+
+def _bounds(hashes: np.ndarray) -> np.ndarray:
+    """(1 - u2 u3) u0 u1 of each hash, or a little less, from the upper 16 bits of the uniforms."""
+    scale, one, low = np.float32(2.0 ** -32), np.float32(1), np.uint32(0xFFFF)
+    real = lambda x: x.view(np.int32).astype(np.float32)  # noqa: E731  (faster than from unsigned numbers)
+    right, left = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32)
+    x, y = real(right >> np.uint32(16)), real(right & low)
+    x += one
+    y += one
+    x *= y
+    x *= scale
+    np.subtract(np.float32(1 - 2e-7), x, out=x)  # two parts in ten million make up for rounding
+    x *= real(left >> np.uint32(16))
+    x *= real(left & low)
+    x *= scale
+    return x
 
 
 def signature(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
-    """16-bit digest of each sample of one weighted set (distinct 64-bit terms, weights above 0)."""
-    r, log_c, b, ones = _draws()
-    at = np.arange(samples, dtype=np.uint32)[:, None]
-    best, chosen, level = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
-    for lo in range(0, len(terms), 4096):
-        k, w = terms[lo:lo + 4096], weights[lo:lo + 4096]
-        first, step = k.astype(np.uint32), (k >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-        place = (first + at * step) & np.uint32(POOL - 1)
-        value = ones[place]
-        heavy = np.flatnonzero(w != 1)
-        if len(heavy):
-            p = place[:, heavy]
-            rr, bb = r[p], b[p]
-            t = np.floor(np.log(w[heavy]).astype(np.float32) / rr + bb)
-            value[:, heavy] = log_c[p] - rr * (t - bb) - rr
-        i = value.argmin(axis=1)
-        v = value[np.arange(samples), i]
-        won = v < best
-        best[won], chosen[won] = v[won], k[i[won]]
-        j = place[np.arange(samples), i][won]
-        wi = w[i[won]]
-        level[won] = np.where(wi == 1, 0, np.floor(np.log(wi).astype(np.float32) / r[j] + b[j])).astype(np.int64)
+    """16-bit digest of each sample of one weighted set (distinct 64-bit terms, weights above 0).
+
+    Every term has its own draws for every sample.  With r and c the negated logarithms of u0 u1 and u2 u3, no a is less
+    than (1 - u2 u3) u0 u1 / w, as -ln x >= 1 - x and r (t - b) <= ln w.  Only terms whose bound is not above an a that
+    was found already can be the least; logarithms are taken of those alone.
+    """
+    best, chosen, level = np.full(samples, np.inf), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
+    for lo in range(0, len(terms), BLOCK):
+        k, w = terms[lo:lo + BLOCK], weights[lo:lo + BLOCK]
+        n, log_w = len(k), np.log(w)
+        hashes = _hash(k, samples)
+        bound = _bounds(hashes)
+        if log_w.any():
+            bound /= w.astype(np.float32)
+
+        def compete(at: np.ndarray) -> None:
+            """The pairs at ascending places ``at`` of the block; of equal ones the first wins."""
+            row = at // n
+            i = at - row * n
+            r, log_c, b = _draws(hashes.ravel()[at])
+            t = np.floor(log_w[i] / r + b)
+            value = log_c - r * (t - b) - r
+            starts = np.flatnonzero(np.diff(row, prepend=-1))
+            least = np.minimum.reduceat(value, starts)
+            won = np.flatnonzero((value == np.repeat(least, np.diff(starts, append=len(at)))) & (value < best[row]))[::-1]
+            at = row[won]
+            best[at], chosen[at], level[at] = value[won], k[i[won]], t[won]
+
+        if lo == 0:
+            compete(bound.argmin(axis=1) + np.arange(samples) * n)
+        rest = np.flatnonzero(bound <= (np.exp(best) * (1 + 1e-5)).astype(np.float32)[:, None])
+        if len(rest):
+            compete(rest)
     return (T.mix64(chosen ^ T.mix64(level.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16)
 
 

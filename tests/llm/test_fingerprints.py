@@ -58,3 +58,31 @@ def test_query(spark, given):
     from tests.llm.conftest import SF
 
     same(queries.op1_fingerprints(spark, SF).collect(), [(r.doc_id, r.text) for r in given("documents")])
+
+
+def test_every_term_has_its_own_draws():
+    """Long Zipf texts: words and pairs of each, against the exact weighted Jaccard."""
+    rng, off = np.random.default_rng(3), []
+    for n in (50_000, 200_000):
+        sets = []
+        for _ in range(2):
+            words = T.mix64((rng.zipf(1.2, n) % 30_000).astype(np.uint64))
+            sets.append(np.unique(np.concatenate([words, T.shingle_hashes(words, 2)]), return_counts=True))
+        terms = np.union1d(sets[0][0], sets[1][0])
+        w = np.zeros((2, len(terms)))
+        for x, (k, counts) in zip(w, sets):
+            x[np.searchsorted(terms, k)] = counts
+        s = [fingerprints.signature(k, counts.astype(float), 512) for k, counts in sets]
+        off.append((s[0] == s[1]).mean() - np.minimum(*w).sum() / np.maximum(*w).sum())
+    assert np.abs(off).max() < 0.08  # the standard deviation is 0.022
+
+
+def test_terms_ruled_out_by_their_bounds_are_never_the_least():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 300, 2000):
+        k, w = np.unique(T.mix64(np.arange(n, dtype=np.uint64))), rng.choice([0.3, 1.0, 1.0, 2.0, 70.5], n)
+        r, log_c, b = (x.reshape(64, n) for x in fingerprints._draws(fingerprints._hash(k, 64).ravel()))
+        t = np.floor(np.log(w) / r + b)
+        i = (log_c - r * (t - b) - r).argmin(axis=1)
+        plain = T.mix64(k[i] ^ T.mix64(t[np.arange(64), i].astype(np.int64).astype(np.uint64))) >> np.uint64(48)
+        assert (fingerprints.signature(k, w) == plain).all()
