@@ -21,12 +21,23 @@ FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31; 17 * 4297
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 _SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.-]{8,256}+"
 _ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+#: Length of an IBAN by country, which says where one printed in groups ends.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_GROUPED_IBAN = "(?:" + "|".join(
+    f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, countries in _IBAN_LENGTHS.items()) + ")"
+_IBAN = r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|" + _GROUPED_IBAN + r")(?![A-Za-z0-9])"
 _IP = r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![A-Za-z0-9]|\.[0-9])"
 _ISO_DATE = r"(?<![A-Za-z0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-SU-Za-z-])"
 _DATE = r"(?<![A-Za-z0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![A-Za-z0-9/])"
-_PHONE = r"(?<![A-Za-z0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}(?![A-Za-z0-9])"
-_WORLD_PHONE = r"(?<![A-Za-z0-9+])\+[0-9]{8,15}(?![A-Za-z0-9])"
+_PHONE = r"(?<![A-Za-z0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9])"
+# What begins behind a number and a blank or hyphen is not taken for more of its digits.
+_OTHER = (r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}|(?:[0-9]{1,3}\.){3}|[0-9]{2}[./][0-9]{2}[./]|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+          r"|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[A-Za-z0-9._%+-]{1,64}@")
+_WORLD_PHONE = rf"(?<![A-Za-z0-9+])\+[0-9](?:[ -]?[0-9]){{6}}(?:[0-9]|[ -](?!{_OTHER})[0-9]){{1,8}}(?![A-Za-z0-9])"
 _SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 _CARD = r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})(?![A-Za-z0-9])"
 # One look-behind for all, then what can begin with the character at hand: most places fail at once.
@@ -172,7 +183,7 @@ def _card(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
-    """North American numbers: area code and exchange from 200 to 999."""
+    """North American numbers: area code and exchange from 200 to 999, and those below among themselves."""
     def written(n: Column) -> Column:
         rest = F.floor(n / 10000)
         return F.concat((F.floor(rest / 800) + 200).cast("string"), (rest % 800 + 200).cast("string"), F.lpad((n % 10000).cast("string"), 4, "0"))
@@ -184,14 +195,17 @@ def _phone(m: Column, key: str, inverse: bool) -> Column:
         # Area codes below 200 are not given out, but written as numbers all the same: permuted among themselves.
         low = _let(permute((area * 800 + exchange - 200) * 10000 + F.right(d, F.lit(4)).cast("long"), 40000, 40000, key, "low phone", inverse),
                    lambda n: F.lpad((n + 2000000 + F.floor(n / 8000000) * 2000000).cast("string"), 10, "0"))
-        either = F.when(area >= 200, out).otherwise(low)
-        return F.when(exchange >= 200, F.when(F.length(_digits(m)) == 11, _refill(m, either, 1)).otherwise(_refill(m, either))).otherwise(m)
+        # Nor are exchanges below 200.
+        short = _let(permute((area * 200 + exchange) * 10000 + F.right(d, F.lit(4)).cast("long"), 50000, 40000, key, "low exchange", inverse), lambda n: F.concat(
+            F.lpad(F.floor(n / 2000000).cast("string"), 3, "0"), F.lpad((F.floor(n / 10000) % 200).cast("string"), 3, "0"), F.lpad((n % 10000).cast("string"), 4, "0")))
+        either = F.when(exchange < 200, short).when(area >= 200, out).otherwise(low)
+        return F.when(F.length(_digits(m)) == 11, _refill(m, either, 1)).otherwise(_refill(m, either))
     return _let(F.right(_digits(m), F.lit(10)), new)
 
 
 def _world_phone(m: Column, key: str, inverse: bool) -> Column:
     """International numbers: the first two digits, with the country in them, stay."""
-    return F.concat(F.substr(m, F.lit(1), F.lit(3)), permute_digits(F.substr(m, F.lit(4), F.length(m)), key, "world phone", inverse))
+    return _let(_digits(m), lambda d: _refill(m, permute_digits(F.substr(d, F.lit(3), F.length(d)), key, "world phone", inverse), 2))
 
 
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
@@ -233,10 +247,17 @@ def _dates(m: Column, forms: list[str], key: str, inverse: bool) -> Column:
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
-    country, check, account = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(3), F.lit(2)), F.substr(m, F.lit(5), F.length(m))
-    out = _let(permute_string(account, key, "iban", (DIGITS, UPPER), inverse), lambda new: F.concat(
-        country, F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new))
-    return F.when(_mod97(F.concat(account, country, check)) == 1, out).otherwise(m)
+    """Printed whole or in groups; in groups that fail the check, a card number is looked for."""
+    def new(d: Column) -> Column:
+        country, check, account = F.substr(d, F.lit(1), F.lit(2)), F.substr(d, F.lit(3), F.lit(2)), F.substr(d, F.lit(5), F.length(d))
+        out = _let(permute_string(account, key, "iban", (DIGITS, UPPER), inverse), lambda new: F.concat(
+            country, F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new))
+        grouped = _let(out, lambda o: F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike("[A-Z0-9]"), F.substr(
+            o, F.length(F.regexp_replace(F.substr(m, F.lit(1), i + 1), "[ -]", "")), F.lit(1))).otherwise(c)), ""))
+        card = F.regexp_extract(m, r"(?<![A-Za-z0-9])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![A-Za-z0-9])", 0)
+        other = _let(card, lambda c: F.when(c != "", F.replace(m, c, _card(c, key, inverse))).otherwise(m))
+        return F.when(_mod97(F.concat(account, country, check)) == 1, F.when(F.length(d) == F.length(m), out).otherwise(grouped)).otherwise(other)
+    return _let(F.regexp_replace(m, "[ -]", ""), new)
 
 
 def _email(m: Column, key: str, inverse: bool) -> Column:
@@ -272,7 +293,9 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
 def pseudonymise(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
     """``docs`` with the personal data in ``text`` replaced; all other columns and all other text stay.
 
-    Covers e-mail addresses, North American and international phone numbers, payment cards (Luhn), IBANs (mod 97), US
+    Covers e-mail addresses, North American phone numbers with blanks, dots or hyphens, international ones ('+' and 8 to
+    15 digits, with single blanks or hyphens or none), payment cards (Luhn), IBANs (mod 97; whole, or in groups of four with
+    blanks or hyphens if the country is in ``_IBAN_LENGTHS``), US
     social security numbers, IPv4 addresses, dates from 1900 to 2099 (yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy, and mm/dd/yyyy
     where the other order is no date), access keys and the values of passwords and tokens.  A number that fails its
     validation stays.  A null text stays null, an empty one empty.  ``inverse`` with the same key turns pseudonyms back

@@ -102,3 +102,17 @@ def test_query_hides_all_and_only_personal_data(spark, given, private):
 def test_no_python_in_the_plan(spark):
     plan = queries.op2_pseudonyms(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_spaced_ibans_and_phones(docs_of):
+    texts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "BE68-5390-0754-7034 EUR1", "GB29 NWBK 6016 1331 9268 19.", "+44 20 7946 0958", "+442079460958",
+             "+49-151-1234567", "555 123 4567", "+1 555 123 4567", "555-123-4567", "(988) 055-2485", "DE00 4041 8949 7460 8795 00", "+49 151 1234567 123-45-6789"]
+    got = run(docs_of, texts)
+    assert all(a != b and re.sub("[0-9]", "0", re.sub("[A-Z]", "A", a)) == re.sub("[0-9]", "0", re.sub("[A-Z]", "A", b)) for a, b in zip(texts, got))
+    assert got[0].replace(" ", "") == got[1] and got[4].replace(" ", "") == got[5] and got[7] == got[8][3:] == got[9].replace("-", " ")
+    for text, country in ((got[0], "DE"), (got[2][:19], "BE"), (got[3][:-1], "GB")):
+        plain = re.sub("[ -]", "", text)
+        assert plain[:2] == country and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert got[2].endswith(" EUR1") and got[4].startswith("+44 ") and luhn_ok(re.sub(" ", "", got[11][5:24])) and got[12][-11:] == run(docs_of, ["123-45-6789"])[0]
+    back = pseudonyms.pseudonymise(docs_of(list(enumerate(got))), KEY, inverse=True).collect()
+    assert [r.text for r in sorted(back, key=lambda r: r.doc_id)] == texts
