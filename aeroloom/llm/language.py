@@ -54,18 +54,20 @@ def held_out():
 
 
 def train(labelled: DataFrame, rows_per_language: int = 4000, seed: int = 17, smoothing: float = 0.5) -> Model:
-    """Fit on ``text, lang`` rows, of which a language gives about ``rows_per_language``, drawn by a hash of the text.
+    """Fit on ``doc_id, text, lang`` rows, of which a language gives about ``rows_per_language``.
 
-    Rows without text or language take no part.  A language with fewer rows gives them all.  Counting is a Spark job
+    They are drawn by a hash of doc_id and text, so copies are drawn each by itself; every language gives a row at least.  Rows without text or language take no part.  A language with fewer rows gives them all.  Counting is a Spark job
     whose result has at most 2**BITS rows per language.  Without rows the model has no language.
     """
     T.small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+        "text", "lang", F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1_000_000)).alias("draw"))
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
+    sizes = {r["lang"]: r["n"] for r in found}
     if not sizes:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
-    share = F.create_map(*[c for k, n in sizes.items() for c in (F.lit(k), F.lit(rows_per_language / n))])
-    drawn = rows.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    below = F.create_map(*[c for r in found for c in (F.lit(r["lang"]), F.lit(max(rows_per_language / r["n"] * 1_000_000, r["least"] + 1.0)))])
+    drawn = rows.where(F.col("draw") < below[F.col("lang")]).select("text", "lang")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}

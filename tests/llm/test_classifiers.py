@@ -91,3 +91,10 @@ def test_quality_of_odd_rows(spark, docs_of):
             same.setdefault(r.text or "", set()).add(r.quality_score)
         assert all(len(s) == 1 for s in same.values())
     assert quality.predict(docs_of([]), model).collect() == []
+
+
+def test_copies_of_one_text_are_drawn_each_by_itself(docs_of):
+    rows = [(100 * k + i, f"text of language {k}", f"l{k}") for k in range(8) for i in range(100)]
+    model = language.train(docs_of(rows), rows_per_language=20)
+    assert model.languages == [f"l{k}" for k in range(8)]
+    assert language.train(docs_of(rows), rows_per_language=0.001).languages == model.languages
