@@ -342,8 +342,8 @@ class WordBpe:
         n = self.count[at][back]
         stop = np.cumsum(n)
         take = np.arange(stop[-1]) + np.repeat(self.begin[at][back] - (stop - n), n)
-        per_text = np.add.reduceat(np.append(n, 0), np.searchsorted(starts, offsets[:-1]))
-        per_text[np.diff(offsets) == 0] = 0
+        # Differences of the running sum: a text of blanks alone has no word, and so no id.
+        per_text = np.diff(np.concatenate([[0], stop])[np.searchsorted(starts, offsets)])
         return self.ids[take], per_text
 
     def _with_specials(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -142,6 +142,5 @@ class PieceEncoder:
         n = self.count[at][back]
         stop = np.cumsum(n)
         take = np.arange(stop[-1]) + np.repeat(self.begin[at][back] - (stop - n), n)
-        per_text = np.add.reduceat(np.append(n, 0), np.searchsorted(starts, offsets[:-1])) if len(texts) else n
-        per_text[np.diff(offsets) == 0] = 0
+        per_text = np.diff(np.concatenate([[0], stop])[np.searchsorted(starts, offsets)])
         return self.ids[take], per_text

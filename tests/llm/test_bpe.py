@@ -38,6 +38,17 @@ def test_random_texts(library, letters):
     assert 0 < codec.failed < codec.words
 
 
+def test_texts_of_blanks_among_others(library):
+    codec = bpe.WordBpe(VOCABULARY)
+    kinds = ["", " ", "\n\t ", "\u3000", "hello world", "a", " lead", "trail "]
+    for x in kinds:
+        for y in kinds:
+            for texts in ([x, y], [x, y, "hello"], [x, x, y, x], [x, "<|endoftext|>", y]):
+                ids, begins = codec.encode(texts)
+                assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == [
+                    e.ids for e in library.encode_batch(texts, add_special_tokens=False)], texts
+
+
 def test_compatible_pairs_are_those_that_merge_to_themselves():
     codec, rng = bpe.codec(VOCABULARY), np.random.default_rng(3)
     sound = codec.token_at[codec.token_at >= 0]
@@ -59,6 +70,9 @@ def test_documents(spark, docs_of, library):
     got = bpe.digests(docs_of(rows), VOCABULARY).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(str((i, *want(library, t))) for i, t in rows)
     assert bpe.digests(docs_of([]), VOCABULARY).collect() == []
+    plain = [(i, t) for i, t in enumerate([" ", "hello world", "\n", "", None, "\u3000", "so it is", " ", "end"])]  # no special token: one chunk
+    got = bpe.digests(docs_of(plain).coalesce(1), VOCABULARY).collect()
+    assert sorted(map(tuple, got)) == sorted((i, *want(library, t)) for i, t in plain)
     for r in bpe.encode_decode(docs_of(rows), VOCABULARY).collect():
         e = library.encode(r.text or "", add_special_tokens=False)
         assert r.ids == e.ids and bytes(r.decoded).decode() == library.decode(e.ids, skip_special_tokens=False)
