@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from aeroloom import vocab
 from aeroloom.functions.numbers import fixed
 from aeroloom.operators.health import alert_recommendations
-from aeroloom.operators.sequence import SALTS, lookback, sequence_rows
+from aeroloom.operators.sequence import BLOCK_ROWS, lookback, sequence_rows
 from aeroloom.session import materialize
 
 _NO_TEXT = "array<string>"
@@ -346,13 +346,13 @@ def sensor_health(df: DataFrame, metric: str, now, config=vocab.ALERT_CONFIG, ts
             "gap": lambda w: (at - F.lag(at, 1).over(w)) / 3.6e9,
             "repeated": lambda w: (F.col(metric) == F.lag(metric, 1).over(w)).cast("int")}
     seen = lookback(rows, [key], max(run - 1, 1), made)
-    stats = df.groupBy(key).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"))
+    stats = df.groupBy(key).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"), F.count(F.lit(1)).alias("rows"))
     z = F.abs(F.col(metric) - F.col("mean")) / F.nullif(F.col("sd"), F.lit(0.0))
     now = F.unix_micros(F.lit(str(now)).cast("timestamp"))
-    # A sensor's rows meet its statistics in as many tasks as there are salts, and are summed up there first.
-    seen = seen.withColumn("salt", F.pmod(F.xxhash64(ts), F.lit(SALTS)).cast("int"))
-    stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    parts = seen.join(stats, [key, "salt"]).groupBy(key, "salt").agg(
+    # A sensor's rows meet its statistics block by block, and are summed up there first.
+    seen = seen.withColumn("at_block", F.floor((F.col("seq") - 1) / BLOCK_ROWS))
+    stats = stats.withColumn("at_block", F.explode(F.expr(f"sequence(0L, CAST(floor((rows - 1) / {BLOCK_ROWS}) AS BIGINT))"))).drop("rows")
+    parts = seen.join(stats, [key, "at_block"]).groupBy(key, "at_block").agg(
         F.count_if(F.col("run") >= run).alias("runs"), F.max("gap").alias("gap"), F.max(at).alias("at"),
         F.sum(F.coalesce("repeated", F.lit(0))).alias("same"), F.count(F.lit(1)).alias("n"),
         F.count_if(z > vocab.ZSCORE_LIMITS[metric]).alias("far"))

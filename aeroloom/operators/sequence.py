@@ -1,65 +1,58 @@
 """Ordered per-key computations that never put a whole key into one task.
 
 A plain ``Window.partitionBy(sensor)`` sends every row of a sensor to one task, which fails when one sensor
-holds a large share of all rows.  Here a key's timeline is cut into time slices sized from its row count;
-row numbers are counted per slice and shifted by the rows of earlier slices.  Frames that look back a fixed
-number of rows then run per block of rows, each block carrying the rows just before it.
+holds a large share of all rows.  Here rows are dealt by ranges of (key, time), so that a key with many rows takes many
+partitions.  Rows are counted per key and run, a run being up to `RUN_BITS` bits of rows of one partition; a row's number
+is its place in its run plus the key's rows in earlier runs.  Frames that look back a fixed number of rows then run per block of rows, each block carrying the
+rows just before it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aeroloom.session import materialize
+from aeroloom.session import materialize, saved
 
-SLICE_ROWS = 1_000_000
 BLOCK_ROWS = 1_000_000
-#: Copies of each key's small row; a key's rows are dealt over as many tasks where they meet it.
-SALTS = 16
+#: A run has at most 2 ** RUN_BITS rows: so many meet in one task, and a key of n rows has about n / 2 ** RUN_BITS runs.
+RUN_BITS = 20
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[f"{k}__k"])
-    return cond
+def number_rows(df: DataFrame, keys, order, seq: str = "seq", total: str = "key_rows", weight: str | None = None,
+                run_bits: int = RUN_BITS) -> DataFrame:
+    """Add ``seq`` (1-based position by ``order`` within the key) and ``total`` (rows of the key); nulls come first.
 
-
-def _attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:
-    """Add the columns of a per-key table; null keys match, no side is forced to broadcast."""
-    renamed = small.withColumnsRenamed({k: f"{k}__k" for k in keys})
-    return df.join(renamed, _null_safe(df, renamed, keys)).drop(*[f"{k}__k" for k in keys])
-
-
-def sequence_rows(df: DataFrame, keys, ts: str, ties=(), slice_rows: int = SLICE_ROWS) -> DataFrame:
+    With ``weight``, a column of whole numbers, ``seq`` is the weight of the rows before and ``total`` that of the key.
+    Null keys are a key like any other.  Rows that are equal in keys and order stand together, in any order.  Works on
+    a saved copy of the rows, dealt by ranges of (keys, order): positions must not change between two readings.
+    """
+    keys, order = list(keys), list(order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    # An id is the partition in its upper bits and the row's place in the partition in the lower 33.
+    placed = saved(dealt.withColumn("seq_at", F.monotonically_increasing_id()), "numbered")
+    # Keys travel as one struct: it equals itself when a field is null.
+    placed = placed.withColumns({"seq_key": F.struct(*keys), "seq_part": F.shiftright("seq_at", run_bits)})
+    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    runs = placed.groupBy("seq_key", "seq_part").agg(counted.alias("seq_n"), F.min("seq_at").alias("seq_from"))
+    key = Window.partitionBy("seq_key")
+    earlier = (Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("seq_n").over(key.orderBy("seq_part").rowsBetween(*earlier)), F.lit(0))
+    runs = runs.select("seq_key", "seq_part", "seq_from", before.alias("seq_before"), F.sum("seq_n").over(key).alias(total))
+    inside = F.col("seq_at") - F.col("seq_from") + 1
+    if weight is not None:
+        part = Window.partitionBy("seq_key", "seq_part").orderBy("seq_at").rowsBetween(*earlier)
+        inside = F.coalesce(F.sum(weight).over(part), F.lit(0))
+    return placed.join(runs, ["seq_key", "seq_part"]).withColumn(seq, F.col("seq_before") + inside).select(*df.columns, total, seq)
+
+
+def sequence_rows(df: DataFrame, keys, ts: str, ties=(), run_bits: int = RUN_BITS) -> DataFrame:
     """Add ``seq`` (1-based position by ``ts`` then ``ties`` within the key) and ``key_rows`` (rows of the key).
 
     Equal (ts, ties) rows are numbered in any order.  Rows without a time stay: they have no ``seq`` and are not counted.
     """
-    keys = list(keys)
     timeless = df.filter(F.col(ts).isNull()).withColumns({"key_rows": F.lit(None).cast("bigint"), "seq": F.lit(None).cast("bigint")})
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    # Keys travel as one struct: it equals itself when a field is null, and joins and windows share its partitioning.
-    rows = df.filter(F.col(ts).isNotNull()).withColumn("seq_key", F.struct(*keys))
-    sizes = rows.groupBy("seq_key").agg(F.count(F.lit(1)).alias("key_rows"), F.min(micros).alias("key_from"),
-                                        (F.max(micros) - F.min(micros) + 1).alias("key_span"))
-    # A key of n rows gets ceil(n / slice_rows) slices of equal length.
-    sizes = sizes.withColumn("slice_len", F.ceil(F.col("key_span") / F.ceil(F.col("key_rows") / slice_rows)))
-    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    sliced = (rows.withColumn("salt", F.pmod(F.xxhash64(ts, *ties), F.lit(SALTS)).cast("int")).join(salted, ["seq_key", "salt"])
-              .withColumn("slice", F.floor((micros - F.col("key_from")) / F.col("slice_len")))
-              .drop("salt", "key_from", "key_span", "slice_len")
-              # Without it the partitioning by key alone, where the join left one, would do for the window too.
-              .repartition("seq_key", "slice"))
-    inside = Window.partitionBy("seq_key", "slice").orderBy(ts, *ties)
-    numbered = sliced.withColumn("at_slice", F.row_number().over(inside))
-    # At most key_rows / slice_rows rows per key reach this window.
-    before = Window.partitionBy("seq_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (sliced.groupBy("seq_key", "slice").agg(F.count(F.lit(1)).alias("n"))
-              .select("seq_key", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")))
-    # The numbered rows already lie by (key, slice), so this join moves none of them.
-    return (numbered.join(shifts, ["seq_key", "slice"])
-            .withColumn("seq", F.col("shift") + F.col("at_slice")).select(*df.columns, "key_rows", "seq").unionByName(timeless))
+    return number_rows(df.filter(F.col(ts).isNotNull()), keys, [ts, *ties], run_bits=run_bits).unionByName(timeless)
 
 
 def lookback(df: DataFrame, keys, halo: int, columns, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -85,63 +78,35 @@ def lookback(df: DataFrame, keys, halo: int, columns, block_rows: int = BLOCK_RO
     return made.unionByName(timeless.withColumns({name: F.lit(None).cast(types[name]) for name in columns}))
 
 
-def _cuts(v: Column, buckets: int) -> Column:
-    """Aggregate: approximate quantiles of ``v``, the borders of buckets with about as many rows each."""
-    return F.percentile_approx(v, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("cuts")
-
-
-def _bucket(v: Column) -> Column:
-    """Number of borders below ``v``: order preserving, whatever the borders are."""
-    return F.coalesce(F.size(F.filter("cuts", lambda c: c < v)), F.lit(0))
-
-
-def rank_within(df: DataFrame, keys, value: str, name: str = "rank", buckets: int = 64,
-                descending: bool = True) -> DataFrame:
+def rank_within(df: DataFrame, keys, value: str, name: str = "rank", descending: bool = True, run_bits: int = RUN_BITS) -> DataFrame:
     """RANK() of ``value`` within the key, ties sharing a rank, nulls last.
 
-    Values are bucketed between approximate quantiles of the key, ranked per bucket and shifted by the rows of better
-    buckets.  The input is checkpointed first: the bucket counts and the rows
-    must see bit-identical values, and float sums may differ between two runs of one plan.
+    Distinct values are counted map-side and their counts summed in order over ranges; rows then take the rank of their
+    value.  The input is checkpointed first: counts and rows must see bit-identical values, and float sums may
+    differ between two runs of one plan.
     """
     keys = list(keys)
     fixed = materialize(df)
-    v = F.col(value).cast("double")
-    placed = _attach(fixed, fixed.groupBy(*keys).agg(_cuts(v, buckets)), keys)
-    step = _bucket(v)
-    step = F.lit(buckets) - step if descending else step
-    placed = placed.withColumn("bucket", F.when(F.col(value).isNull(), F.lit(buckets + 1)).otherwise(step)).drop("cuts")
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (placed.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    counts = fixed.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("seq_rows"))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    inside = Window.partitionBy(*keys, "bucket").orderBy(order)
-    return (_attach(placed, shifts, [*keys, "bucket"])
-            .withColumn(name, F.col("shift") + F.rank().over(inside)).drop("shift", "bucket"))
+    ranks = number_rows(counts, keys, [order], "seq", "seq_total", "seq_rows", run_bits)
+    ranks = ranks.select(F.struct(*keys, value).alias("seq_key"), (F.col("seq") + 1).alias(name))
+    return fixed.withColumn("seq_key", F.struct(*keys, value)).join(ranks, "seq_key").select(*df.columns, name)
 
 
-def exact_quantile(df: DataFrame, keys, value: str, q: float, name: str = "quantile",
-                   buckets: int = 64) -> DataFrame:
+def exact_quantile(df: DataFrame, keys, value: str, q: float, name: str = "quantile", run_bits: int = RUN_BITS) -> DataFrame:
     """Exact linear-interpolated quantile per key.
 
-    Distinct values are counted map-side; bucket counts locate the one or two buckets that hold the wanted
-    positions, and only those buckets' values are ordered.  Spark's ``percentile`` would gather every
-    distinct value of a key in one task.
+    Distinct values are counted map-side and their counts summed in order over ranges, which tells the values at the
+    wanted positions.  Spark's ``percentile`` would gather every distinct value of a key in one task.
     """
     keys = list(keys)
-    counts = materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v"))
-                         .agg(F.count(F.lit(1)).alias("n")))
-    ends = counts.groupBy(*keys).agg(_cuts(F.col("v"), buckets), ((F.sum("n") - 1) * F.lit(float(q))).alias("pos"))
-    placed = _attach(counts, ends, keys).withColumn("bucket", _bucket(F.col("v"))).drop("cuts")
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("rows"), F.first("pos").alias("pos"))
-              .withColumn("shift", F.coalesce(F.sum("rows").over(before), F.lit(0))))
-    below, above = F.floor("pos"), F.ceil("pos")
-    holding = totals.filter((above >= F.col("shift")) & (below < F.col("shift") + F.col("rows"))).drop("rows", "pos")
-    inside = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (_attach(placed, holding, [*keys, "bucket"])
-              .withColumn("start", F.col("shift") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-              .withColumn("stop", F.col("start") + F.col("n")))
-    lower = F.max(F.when((below >= F.col("start")) & (below < F.col("stop")), F.col("v")))
-    upper = F.max(F.when((above >= F.col("start")) & (above < F.col("stop")), F.col("v")))
-    fraction = F.first("pos") - F.floor(F.first("pos"))
-    return ranked.groupBy(*keys).agg((lower + (upper - lower) * fraction).alias(name))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = number_rows(counts, keys, ["v"], "start", "rows", "n", run_bits)
+    pos = (F.col("rows") - 1) * F.lit(float(q))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((place >= F.col("start")) & (place < F.col("start") + F.col("n")), F.col("v")))
+
+    lower, upper = at(F.floor(pos)), at(F.ceil(pos))
+    return placed.groupBy(*keys).agg((lower + (upper - lower) * (F.max(pos) - F.floor(F.max(pos)))).alias(name))

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aeroloom import vocab
 from aeroloom.functions.times import as_date, bin_start, season
-from aeroloom.operators.sequence import BLOCK_ROWS, SLICE_ROWS, lookback, rank_within, sequence_rows
+from aeroloom.operators.sequence import BLOCK_ROWS, lookback, rank_within, sequence_rows
 from aeroloom.session import materialize
 
 
 def lag_features(df: DataFrame, key: str, ts: str, col: str, lags=vocab.LAGS, ties=(),
-                 slice_rows: int = SLICE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Values 1, 6, 12 and 24 rows back, per sensor."""
-    rows = sequence_rows(df, [key], ts, ties, slice_rows)
+    rows = sequence_rows(df, [key], ts, ties)
     made = {f"{col}_lag_{n}h": (lambda w, n=n: F.lag(col, n).over(w)) for n in lags}
     return lookback(rows, [key], max(lags), made, block_rows).drop("seq", "key_rows")
 
@@ -27,12 +27,12 @@ def _mean(col: str, size: int, include_current: bool):
 
 def moving_averages(df: DataFrame, key: str, ts: str, col: str, sizes=vocab.MOVING_AVERAGES,
                     include_current: bool = False, ties=(),
-                    slice_rows: int = SLICE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean of up to n rows, per sensor.
 
     The current row is left out by default, since it is what a forecast predicts.
     """
-    rows = sequence_rows(df, [key], ts, ties, slice_rows)
+    rows = sequence_rows(df, [key], ts, ties)
     made = {f"{col}_ma_{n}h": _mean(col, n, include_current) for n in sizes}
     return lookback(rows, [key], max(sizes), made, block_rows).drop("seq", "key_rows")
 
@@ -46,21 +46,33 @@ def history_features(df: DataFrame, key: str, ts: str, col: str, include_current
     return lookback(rows, [key], max(*lags, *sizes), made).drop("seq", "key_rows")
 
 
-def cadence(df: DataFrame, key: str, ts: str, ties=()) -> DataFrame:
+def cadence(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Per key: first and last time and the inferred step in seconds (900 or 3600).
 
     The step is 15 minutes when the median gap is at most 20 minutes.  Whether the median is at most a
-    bound follows from counts on both sides of it, so no gap list is gathered.
+    bound follows from counts on both sides of it, so no gap list is gathered.  Gaps are taken within each day of a
+    key and between neighbouring days.
     """
-    rows = lookback(sequence_rows(df.filter(F.col(ts).isNotNull()).select(key, ts, *ties), [key], ts, ties), [key], 1, {
-        "gap": lambda w: (F.unix_micros(F.col(ts).cast("timestamp"))
-                          - F.unix_micros(F.lag(F.col(ts).cast("timestamp"), 1).over(w))) / 1e6})
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    times = df.filter(F.col(ts).isNotNull()).select(key, ts, at.alias("at"), F.floor(at / 86_400_000_000).alias("at_day"))
+    inside = Window.partitionBy(key, "at_day").orderBy("at")
+    rows = times.withColumn("gap", (F.col("at") - F.lag("at", 1).over(inside)) / 1e6)
     limit = 1200.0
-    gap = F.col("gap")
-    stats = rows.groupBy(key).agg(
-        F.min(ts).alias("time_min"), F.max(ts).alias("time_max"), F.count("gap").alias("gaps"),
-        F.count_if(gap <= limit).alias("short"), F.max(F.when(gap <= limit, gap)).alias("below"),
-        F.min(F.when(gap > limit, gap)).alias("above"))
+
+    def counted(gap: Column) -> dict[str, Column]:
+        return {"gaps": F.count(gap), "short": F.count_if(gap <= limit), "below": F.max(F.when(gap <= limit, gap)),
+                "above": F.min(F.when(gap > limit, gap))}
+
+    # The rows already lie by (key, day); what is left is a row per day, and the gap from the day before.
+    days = rows.groupBy(key, "at_day").agg(F.min(ts).alias("time_min"), F.max(ts).alias("time_max"), F.min("at").alias("at_min"), F.max("at").alias("at_max"),
+                                           *[c.alias(name) for name, c in counted(F.col("gap")).items()])
+    across = Window.partitionBy(key).orderBy("at_day")
+    days = days.withColumn("gap", (F.col("at_min") - F.lag("at_max", 1).over(across)) / 1e6)
+    border = counted(F.col("gap"))
+    stats = days.groupBy(key).agg(
+        F.min("time_min").alias("time_min"), F.max("time_max").alias("time_max"), (F.sum("gaps") + border["gaps"]).alias("gaps"),
+        (F.sum("short") + border["short"]).alias("short"), F.greatest(F.max("below"), border["below"]).alias("below"),
+        F.least(F.min("above"), border["above"]).alias("above"))
     # More than half short: short median.  Exactly half: the median is the mean of the two middle gaps.
     is_short = (F.col("short") * 2 > F.col("gaps")) | (
         (F.col("short") * 2 == F.col("gaps")) & ((F.col("below") + F.col("above")) / 2 <= limit))
@@ -68,13 +80,13 @@ def cadence(df: DataFrame, key: str, ts: str, ties=()) -> DataFrame:
                         F.when(F.col("gaps") > 0, F.when(is_short, 900).otherwise(3600)).alias("step_seconds"))
 
 
-def cadence_gaps(df: DataFrame, key: str, ts: str, first: int | None = None, ties=()) -> tuple[DataFrame, DataFrame]:
+def cadence_gaps(df: DataFrame, key: str, ts: str, first: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(summary, missing slots): expected slots per key at its inferred step, and those without a reading.
 
     All missing slots are listed; ``first=25`` keeps the first per key, as a printed report does.  The summary counts all.
     """
     # One small row per key, fixed: what follows reads it three times.
-    steps = materialize(cadence(df, key, ts, ties).filter(F.col("step_seconds").isNotNull()))
+    steps = materialize(cadence(df, key, ts).filter(F.col("step_seconds").isNotNull()))
     step = F.col("step_seconds")
     low = F.floor(F.unix_seconds(F.col("time_min").cast("timestamp")) / step)
     high = F.ceil(F.unix_micros(F.col("time_max").cast("timestamp")) / 1e6 / step)
@@ -98,8 +110,7 @@ def cadence_gaps(df: DataFrame, key: str, ts: str, first: int | None = None, tie
     return summary, missing
 
 
-def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, key: str | None = None, ties=(),
-                 slice_rows: int = SLICE_ROWS) -> DataFrame:
+def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, key: str | None = None, ties=()) -> DataFrame:
     """Add ``split``: the first ``frac`` of the rows in time order train, the rest test.
 
     Over the whole table by default, or per key.  Rows without a time are kept and belong to neither.
@@ -107,7 +118,7 @@ def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, key: str | None = No
     # One key for all rows, computed from the data: a literal would turn the key joins into nested loops.
     keyed = df.withColumn("split_key", F.pmod(F.hash(ts), F.lit(1))) if key is None else df
     k = key or "split_key"
-    out = sequence_rows(keyed, [k], ts, ties, slice_rows).withColumn(
+    out = sequence_rows(keyed, [k], ts, ties).withColumn(
         "split", F.when(F.col("seq") <= F.floor(F.col("key_rows") * frac), "train").when(F.col("seq").isNotNull(), "test"))
     return out.drop("seq", "key_rows", *([] if key else ["split_key"]))
 

@@ -48,3 +48,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: fixes values that several branches of one plan must agree on."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: fixed, without lineage, and read by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ def _frame(spark, seed=1):
 
 def test_sequence_rows_and_lookback_match_pandas(spark):
     df = _frame(spark)
-    seq = sequence.sequence_rows(df, ["key"], "ts", ["id"], slice_rows=7)
+    seq = sequence.sequence_rows(df, ["key"], "ts", ["id"], run_bits=3)
     made = {"back3": lambda w: F.lag("v", 3).over(w), "sum4": lambda w: F.sum("v").over(w.rowsBetween(-3, 0))}
     got = sequence.lookback(seq, ["key"], 3, made, block_rows=5).toPandas().sort_values("id").reset_index(drop=True)
     assert len(got) == 600
@@ -42,7 +42,7 @@ def test_sequence_rows_and_lookback_match_pandas(spark):
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.75, 1.0])
 def test_exact_quantile_matches_pandas(spark, q):
     df = _frame(spark, 2)
-    got = {r["key"]: r["m"] for r in sequence.exact_quantile(df, ["key"], "v", q, "m", buckets=16).collect()}
+    got = {r["key"]: r["m"] for r in sequence.exact_quantile(df, ["key"], "v", q, "m", run_bits=4).collect()}
     want = df.toPandas().groupby("key", dropna=False)["v"].quantile(q)
     assert len(got) == len(want)
     for key, value in want.items():
@@ -52,14 +52,14 @@ def test_exact_quantile_matches_pandas(spark, q):
 @pytest.mark.parametrize("descending", [True, False])
 def test_rank_within_matches_pandas(spark, descending):
     df = _frame(spark, 3)
-    got = sequence.rank_within(df, ["key"], "v", "r", buckets=8, descending=descending).toPandas().sort_values("id")
+    got = sequence.rank_within(df, ["key"], "v", "r", run_bits=4, descending=descending).toPandas().sort_values("id")
     want = df.toPandas().sort_values("id")
     want["r"] = want.groupby("key", dropna=False)["v"].rank(method="min", ascending=not descending, na_option="bottom")
     np.testing.assert_array_equal(got["r"].to_numpy(), want["r"].astype(int).to_numpy())
 
 
 def test_chrono_split_counts(spark):
-    out = t.chrono_split(_frame(spark), "ts", 0.8, ties=["id"], slice_rows=11)
+    out = t.chrono_split(_frame(spark), "ts", 0.8, ties=["id"])
     counts = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count("*").alias("n")).collect()}
     assert counts == {"train": 480, "test": 120}
     ends = out.groupBy("split").agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).collect()
@@ -135,23 +135,42 @@ def _rows_per_task(spark, df, run):
     return run(df).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
 
 
-def test_hot_key_is_spread_without_a_broadcast(spark):
-    """Half of all rows are one key's; neither join is a broadcast."""
+@pytest.fixture
+def without_broadcasts(spark):
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = spark.range(40_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id % 400) END AS key",
-                                            "timestamp_seconds(1700000000 + id * 7) AS ts", "CAST(id % 13 AS DOUBLE) AS v")
-        numbered = lambda d: sequence.sequence_rows(d, ["key"], "ts", ["id"], slice_rows=500)
-        assert _rows_per_task(spark, df, numbered) < 9_000
-        looked = lambda d: sequence.lookback(numbered(d), ["key"], 3, {"back": lambda w: F.lag("v", 3).over(w)}, block_rows=500)
-        assert _rows_per_task(spark, df, looked) < 9_000
-        assert looked(df).filter("key = 'hot'").agg(F.max("seq")).first()[0] == 20_000
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_key_is_spread_without_a_broadcast(spark, without_broadcasts):
+    """Half of all rows are one key's: no task of the ranges, the runs or the blocks gets more than two even shares."""
+    share = 40_000 // 16
+    df = spark.range(40_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id % 400) END AS key",
+                                        "timestamp_seconds(1700000000 + id * 7) AS ts", "CAST(id % 13 AS DOUBLE) AS v")
+    numbered = lambda d: sequence.sequence_rows(d, ["key"], "ts", ["id"], run_bits=7)
+    assert _rows_per_task(spark, df, lambda d: d.repartitionByRange(16, "key", "ts", "id")) < 2 * share
+    assert _rows_per_task(spark, df, numbered) < 2 * share
+    looked = lambda d: sequence.lookback(numbered(d), ["key"], 3, {"back": lambda w: F.lag("v", 3).over(w)}, block_rows=128)
+    assert _rows_per_task(spark, df, looked) < 2 * share
+    assert looked(df).filter("key = 'hot'").agg(F.max("seq")).first()[0] == 20_000
+
+
+def test_one_metric_is_spread_without_a_broadcast(spark, without_broadcasts):
+    """Selection within one metric, one value of it far off: as above, and the results are exact."""
+    share = 40_000 // 16
+    df = spark.range(40_000).selectExpr("id", "'pm2_5' AS metric", "CASE WHEN id = 7 THEN 1e18D ELSE CAST(id * 7919 % 40009 AS DOUBLE) END AS v")
+    ranked = lambda d: sequence.rank_within(d, ["metric"], "v", "r", run_bits=7)
+    assert _rows_per_task(spark, df, ranked) < 2 * share
+    counts = df.groupBy("metric", "v").agg(F.count("*").alias("n"))
+    assert _rows_per_task(spark, counts, lambda d: sequence.number_rows(d, ["metric"], ["v"], "start", "rows", "n", 7)) < 2 * share
+    want = df.toPandas()
+    assert sequence.exact_quantile(df, ["metric"], "v", 0.5, "m", run_bits=7).first()["m"] == want["v"].median()
+    got = ranked(df).toPandas().sort_values("id")["r"].to_numpy()
+    np.testing.assert_array_equal(got, want.sort_values("id")["v"].rank(method="min", ascending=False).astype(int).to_numpy())
 
 
 def test_rows_without_a_time_stay(spark):
@@ -163,14 +182,6 @@ def test_rows_without_a_time_stay(spark):
     assert [i for i, s in split.items() if s is None] == [0, 4, 8] and split[11] == "test"
 
 
-def test_one_outlier_does_not_gather_the_rest(spark):
-    """Borders are quantiles: a value of 1e18 leaves the others in many buckets."""
-    df = spark.range(5000).selectExpr("id", "'k' AS key", "CASE WHEN id = 7 THEN 1e18D ELSE CAST(id AS DOUBLE) END AS v")
-    cuts = df.groupBy("key").agg(sequence._cuts(F.col("v"), 16))
-    per = df.join(cuts, "key").groupBy(sequence._bucket(F.col("v")).alias("b")).count().collect()
-    assert len(per) == 16 and max(r["count"] for r in per) < 700
-
-
 def test_short_series_are_named(spark):
     rows = [(k, (pd.Timestamp("2024-01-01") + pd.Timedelta(days=i)).date(), float(i % 5)) for k, n in (("long", 40), ("short", 29)) for i in range(n)]
     got = {r["key"]: (r["days"], r["status"]) for r in t.decompose_status(spark.createDataFrame(rows, "key string, day date, value double"), "key").collect()}

@@ -41,7 +41,7 @@ add("w05_moving_averages_current",
     f"SELECT *, {_MAS(0, 'CURRENT ROW')} FROM history", "pm25 temperature humidity pm25_ma_3h pm25_ma_6h pm25_ma_24h")
 # The same operators with slices and blocks of a few rows, so that every carry-over path is taken.
 add("w04_lag_features_sliced",
-    lambda d: t.lag_features(d.history(), "native_sensor_id", "timestamp", "pm25", ties=["event_id"], slice_rows=7, block_rows=25),
+    lambda d: t.lag_features(d.history(), "native_sensor_id", "timestamp", "pm25", ties=["event_id"], block_rows=25),
     f"SELECT *, {_LAGS} FROM history",
     "pm25 temperature humidity pm25_lag_1h pm25_lag_6h pm25_lag_12h pm25_lag_24h")
 
@@ -68,7 +68,7 @@ add("w07_chrono_split", lambda d: t.chrono_split(d.history(), "timestamp", ties=
     """SELECT event_id, CASE WHEN row_number() OVER (ORDER BY timestamp, event_id) <= floor(0.8::DOUBLE * count(*) OVER ()) THEN 'train'
        ELSE 'test' END AS split FROM history""")
 add("w07_chrono_split_by_sensor",
-    lambda d: t.chrono_split(d.history(), "timestamp", key="native_sensor_id", ties=["event_id"], slice_rows=10).select("event_id", "split"),
+    lambda d: t.chrono_split(d.history(), "timestamp", key="native_sensor_id", ties=["event_id"]).select("event_id", "split"),
     """SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY native_sensor_id ORDER BY timestamp, event_id)
        <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY native_sensor_id)) THEN 'train' ELSE 'test' END AS split FROM history""")
 
