@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aeroloom.llm import bpe, files, fingerprints, language, merkle, nearest, packing, pseudonyms, quality, setjoin, token_files, warc
+from aeroloom.llm import bpe, files, fingerprints, hyperminhash, language, merkle, nearest, packing, pseudonyms, quality, setjoin, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,8 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     rows = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], seen={"text": lowered}, when=tampered)
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=5, threshold=(17, 20))
