@@ -1,13 +1,13 @@
 """Near-duplicate documents by HyperMinHash: compressed registers, banding, corrected estimates, exact confirmation.
 
 A set of shingle hashes is dealt into `REGISTERS` buckets.  A register keeps its bucket's smallest hash value as a short
-floating-point number: the count of its leading zeros and `MANTISSA` bits after them, 16 bits in all.  Two sets agree in
+floating-point number: the count of its leading zeros and `MANTISSA` bits after them, 8 bits in all.  Two sets agree in
 a register about as often as they are similar.  Small sets would leave most buckets empty, so each element is dealt
-several times, by hashes of its own; how often follows from the set's size class (powers of two), and a set whose
-partners may be of the next class has registers for both.
+several times, by hashes of its own; how often follows from the set's size class (powers of two), and so does the least
+count of zeros worth telling apart.  A set whose partners may be of the next class has registers for both.
 
 1. Every `ROWS` registers make a band; sets with equal bands are candidates.  Sets of a similarity of 0.85 miss each other
-   in all `BANDS` bands with a probability of 2e-8, and are lost by the estimate below with about 1e-9.
+   in all `BANDS` bands with a probability of 2.4e-7, and are lost by the estimate below with about 1e-9.
 2. Stars: in the first `STAR_BANDS` bands, each member of a group of equal bands is paired with the group's smallest.
    Agreeing registers, less those expected to agree by chance, estimate the similarity; pairs that are `SIGMAS` standard
    deviations below the threshold go, the rest are confirmed on their full sets.  Links make components.
@@ -29,15 +29,18 @@ from pyspark.sql import DataFrame, functions as F
 from aeroloom.llm import files, text as T
 from aeroloom.llm.setjoin import components, linked, shingle_sets
 
-ROWS, BANDS = 8, 56
+ROWS, BANDS = 8, 48
 REGISTERS = ROWS * BANDS
-MANTISSA = 10
+#: Bits of a register for the mantissa; the others hold a count of zeros from 1 to `MOST`, 0 being an empty bucket.
+MANTISSA, MOST = 4, 15
 #: Dealt elements per register, at least.
 FILL = 4
 STAR_BANDS = 8
 SIGMAS = 6
 #: Members of a group that one task looks through; larger groups go in pairs of blocks of this size.
 BLOCK = 2048
+#: Band and class within a band's key.
+BAND, CLASS = "CAST(sig & 63 AS INT)", "CAST((sig >> 6) & 63 AS INT)"
 _SEEDS = T.mix64(np.arange(1, FILL * REGISTERS + 1, dtype=np.uint64))
 
 
@@ -54,16 +57,21 @@ def times(cls: int) -> int:
     return max(1, -(-FILL * REGISTERS >> cls))
 
 
+def fewest_zeros(cls: int) -> int:
+    """Leading zeros that a bucket's least value of this class has but for one bucket in some thousand; fewer count as these."""
+    return max(0, ((times(cls) << cls) // REGISTERS).bit_length() - 4)
+
+
 def registers(elements: np.ndarray, cls: int) -> np.ndarray:
-    """Registers of one set: (leading zeros + 1) in the upper bits, the complement of the mantissa below; 0 if empty."""
+    """Registers of one set: the count of zeros in the upper bits, the complement of the mantissa below; 0 if empty."""
     dealt = T.mix64((elements[:, None] ^ _SEEDS[:times(cls)]).ravel())
     bucket = ((dealt >> np.uint64(32)) * np.uint64(REGISTERS)) >> np.uint64(32)
     value = (T.mix64(dealt ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)).astype(np.float64)  # 53 bits, exact
     fraction, exponent = np.frexp(value)
+    zeros = np.clip(54 - exponent - fewest_zeros(cls), 1, MOST)
     mantissa = np.maximum((fraction * 2 - 1) * (1 << MANTISSA), 0).astype(np.int64)
-    held = ((54 - exponent) << MANTISSA) + ((1 << MANTISSA) - 1 - mantissa)
-    out = np.zeros(REGISTERS, np.uint16)
-    np.maximum.at(out, bucket.astype(np.int64), held.astype(np.uint16))
+    out = np.zeros(REGISTERS, np.uint8)
+    np.maximum.at(out, bucket.astype(np.int64), ((zeros << MANTISSA) + ((1 << MANTISSA) - 1 - mantissa)).astype(np.uint8))
     return out
 
 
@@ -81,8 +89,11 @@ def chance(n: np.ndarray, m: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 
 def estimate(equal: np.ndarray, either: np.ndarray, n: np.ndarray, m: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Jaccard similarity from the counts of registers that agree and that either set fills."""
-    return np.maximum(equal - chance(n, m, cls), 0) / np.maximum(either, 1)
+    """Jaccard similarity from the counts of registers that agree and that either set fills.
+
+    Registers without a common least element agree by chance too, so that share is taken off."""
+    by_chance = np.minimum(chance(n, m, cls) / REGISTERS, 0.5)
+    return np.maximum(equal / np.maximum(either, 1) - by_chance, 0) / (1 - by_chance)
 
 
 def least_estimate(threshold: tuple[int, int]) -> float:
@@ -91,12 +102,12 @@ def least_estimate(threshold: tuple[int, int]) -> float:
 
 
 def band_keys(held: np.ndarray, cls: int) -> np.ndarray:
-    """A 64-bit key of each band of a set's registers."""
+    """A key of each band of a set's registers: 52 bits of a hash, 6 of the class and 6 of the band."""
     out = T.mix64(np.arange(BANDS, dtype=np.uint64) + np.uint64((cls + 1) << 8))
     wide = held.reshape(BANDS, ROWS).astype(np.uint64)
     for k in range(ROWS):
         out = T.mix64(out * np.uint64(0x100000001B3) + wide[:, k])
-    return out.view(np.int64)
+    return (((out >> np.uint64(12)) << np.uint64(12)) + np.uint64(cls << 6) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def sketches(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
@@ -110,7 +121,7 @@ def sketches(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFram
                     names = [f"{int(T.mix64(s).sum(dtype=np.uint64)):016x}{int(T.mix64(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)):016x}"
                              if len(s) else None for s in sets]
                 classes = [size_classes(len(s), threshold) for s in sets]
-                held = [[registers(s, c).astype("<u2").tobytes() for c in cs] for s, cs in zip(sets, classes)]
+                held = [[registers(s, c).tobytes() for c in cs] for s, cs in zip(sets, classes)]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[lo:hi].array, "n_shingles": [len(s) for s in sets], "set_key": names,
                                     "classes": classes, "registers": held})
 
@@ -119,19 +130,20 @@ def sketches(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFram
 
 
 def _unpacked(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<u2").reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, REGISTERS)
 
 
 def _band_rows(held: DataFrame) -> DataFrame:
-    """(sig, band, cls, rep) of (rep, cls, registers)."""
+    """(sig, rep) of (rep, cls, registers), dealt by sig.
+
+    A set has one row per band, so even a group of all sets has no more than one in `BANDS` of the rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = [band_keys(r, c) for r, c in zip(_unpacked(batch["registers"]), batch["cls"].tolist())]
             if keys:
-                yield pd.DataFrame({"sig": np.concatenate(keys), "band": np.tile(np.arange(BANDS), len(keys)),
-                                    "cls": np.repeat(batch["cls"].to_numpy(), BANDS), "rep": np.repeat(batch["rep"].to_numpy(), BANDS)})
+                yield pd.DataFrame({"sig": np.concatenate(keys), "rep": np.repeat(batch["rep"].to_numpy(), BANDS)})
 
-    return held.select("rep", "cls", "registers").mapInPandas(run, "sig long, band int, cls int, rep long")
+    return held.select("rep", "cls", "registers").mapInPandas(run, "sig long, rep long").repartition(files.parts(held.sparkSession), "sig")
 
 
 def _estimated(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -154,23 +166,29 @@ def _estimated(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) ->
             .mapInPandas(run, "a long, b long").distinct())
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int, narrow: bool = False) -> DataFrame:
-    """(rep, elements) of the wanted documents, made anew from their texts: 64-bit hashes, or their distinct lower halves."""
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(rep, elements) of the wanted documents, made anew from their texts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
             for lo, hi in T.chunks(texts):
-                sets = shingle_sets(texts[lo:hi], size)
-                raw = [np.unique(s.astype(np.uint32)).astype("<u4").tobytes() if narrow else s.astype("<u8").tobytes() for s in sets]
+                raw = [s.astype("<u8").tobytes() for s in shingle_sets(texts[lo:hi], size)]
                 yield pd.DataFrame({"rep": batch["doc_id"].iloc[lo:hi].array, "elements": raw})
 
     return docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInPandas(run, "rep long, elements binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets link."""
-    sets = files.written(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), size), "hmh-sets")
+def _shortened(rows: DataFrame) -> DataFrame:
+    """The same rows with the distinct lower halves of their elements."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(elements=[np.unique(np.frombuffer(e, "<u8").astype("<u4")).tobytes() for e in batch["elements"]])
+
+    return rows.mapInPandas(run, rows.schema)
 
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ok = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), threshold) for x, y in zip(batch["x"], batch["y"])]
@@ -254,7 +272,7 @@ def _cells(bands: DataFrame, roots: DataFrame) -> DataFrame:
     return (rooted.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(F.concat_ws(":", "sig", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), F.col("block").alias("side"),
-                    "band", "cls", "rep", "root"))
+                    F.expr(BAND).alias("band"), F.expr(CLASS).alias("cls"), "rep", "root"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -265,32 +283,40 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     nothing and is kept.  A null doc_id takes no part, has a null component and is kept; rows with one doc_id are
     each described, and are one node.  An empty table gives no rows.
     """
-    described = files.written(sketches(docs, size, threshold), "hmh-described")
+    sketched = files.written(sketches(docs, size, threshold), "hmh-sketches")
+    described = files.written(sketched.select("doc_id", "n_shingles", "set_key"), "hmh-described")
     known = described.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     # Each set once: its smallest doc_id stands for all its copies.
     reps = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     stands = files.written(known.select("doc_id", "set_key").distinct().join(reps, "set_key"), "hmh-stands")
-    first = known.join(reps.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key", "doc_id"])
-    held = files.written(first.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("classes", "registers")).alias("s"))
+    first = sketched.where("size(classes) > 0").join(stands.where("doc_id = rep").select("doc_id", "set_key"), ["set_key", "doc_id"], "left_semi")
+    held = files.written(first.dropDuplicates(["set_key", "doc_id"])
+                         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("classes", "registers")).alias("s"))
                          .select("rep", "n", F.col("s.classes").alias("cls"), F.col("s.registers").alias("registers")), "hmh-registers")
-    rows = files.written(_band_rows(held), "hmh-bands")
+    files.drop(sketched)
+    rows = _band_rows(held)
     pivots = rows.groupBy("sig").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a != top").drop("top")
     bands = files.written(rows.join(pivots, "sig"), "hmh-groups")
+    # Only sets that share a band are made, once, and keep their registers.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    wanted = files.written(bands.select("rep").distinct(), "hmh-candidates")
+    sets = files.written(_sets(texts, wanted, size), "hmh-sets")
+    candidates = files.written(held.join(wanted, "rep", "left_semi"), "hmh-candidate-registers")
+    files.drop(held)
     # Stars.
-    pairs = bands.where((F.col("band") < STAR_BANDS) & (F.col("rep") != F.col("a"))).select("cls", "a", F.col("rep").alias("b")).distinct()
-    pairs = files.written(_estimated(pairs, held, threshold), "hmh-pairs")
+    pairs = bands.where((F.expr(BAND) < STAR_BANDS) & (F.col("rep") != F.col("a"))).select(F.expr(CLASS).alias("cls"), "a", F.col("rep").alias("b")).distinct()
+    pairs = files.written(_estimated(pairs, candidates, threshold), "hmh-pairs")
     # One doc_id with several texts is one node: it ties the sets that it stands in.
     tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
             .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
-    links = files.written(_confirmed(pairs, texts, size, threshold).unionByName(tied), "hmh-links")
+    links = files.written(_confirmed(pairs, sets, threshold).unionByName(tied), "hmh-links")
     roots = components(links)
     # Cells: by short sets, and by whole ones if a short one has misled.
-    cells = files.written(_cells(bands.select("sig", "band", "cls", "rep"), roots), "hmh-cells")
-    for narrow in (True, False):
-        sets = files.written(_sets(texts, cells.select("rep"), size, narrow), "hmh-short-sets")
-        tried = files.written(_passing(cells.join(held, ["rep", "cls"]).join(sets, "rep"), threshold, narrow), "hmh-passing")
-        more = files.written(_confirmed(tried, texts, size, threshold), "hmh-more-links")
+    cells = files.written(_cells(bands.select("sig", "rep"), roots), "hmh-cells")
+    loads = candidates.join(sets, "rep").join(cells.select("rep").distinct(), "rep", "left_semi")
+    for short in (True, False):
+        tried = files.written(_passing(cells.join(_shortened(loads) if short else loads, ["rep", "cls"]), threshold, short), "hmh-passing")
+        more = files.written(_confirmed(tried, sets, threshold), "hmh-more-links")
         if tried.join(more, ["a", "b"], "left_anti").isEmpty():
             break
     if not more.isEmpty():
