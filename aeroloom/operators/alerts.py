@@ -15,6 +15,7 @@ from aeroloom.operators.sequence import BLOCK_ROWS, lookback, sequence_rows
 from aeroloom.session import materialize
 
 _NO_TEXT = "array<string>"
+_RULES = vocab.ALERT_CONFIG["alert_rules"]
 
 
 def _alert(prefix: str, kind: str, level: Column, ts: str, metric: str, value: Column, threshold: Column,
@@ -224,7 +225,7 @@ def _matching(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> Data
     return df.join(other, same, how).drop(*[f"{k}__k" for k in keys])
 
 
-def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str = "timestamp", ties=("id",),
+def apply_cooldown(alerts: DataFrame, minutes: int = _RULES["cooldown_minutes"], keys=("type",), ts: str = "timestamp", ties=("id",),
                    state: DataFrame | None = None, chunk_hours: int = 24) -> DataFrame:
     """Alerts that survive the cooldown: an alert is dropped when a kept one of its key is under ``minutes`` old.
 
@@ -265,7 +266,7 @@ def apply_cooldown(alerts: DataFrame, minutes: int = 60, keys=("type",), ts: str
     return hits.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
-def auto_resolve(alerts: DataFrame, now, hours: float = 2, ts: str = "timestamp") -> DataFrame:
+def auto_resolve(alerts: DataFrame, now, hours: float = _RULES["auto_resolve_hours"], ts: str = "timestamp") -> DataFrame:
     """Active alerts older than ``hours`` become ``auto_resolved``."""
     cutoff = F.lit(str(now)).cast("timestamp") - F.expr(f"interval {int(hours * 60)} minutes")
     old = (F.col("status") == "active") & (F.col(ts).cast("timestamp") < cutoff)

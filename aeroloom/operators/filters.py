@@ -48,7 +48,8 @@ def metric_in(df: DataFrame, metrics, col: str = "metric_name") -> DataFrame:
     return df.filter(F.col(col).isin(list(metrics)))
 
 
-def id_prefix(df: DataFrame, prefixes, col: str = "native_sensor_id") -> DataFrame:
+def id_prefix(df: DataFrame, prefixes=vocab.PRODUCTION_PREFIXES, col: str = "native_sensor_id") -> DataFrame:
+    """Sensors whose id begins with one of the prefixes; production sensors by default."""
     return df.filter(_any([F.col(col).startswith(p) for p in prefixes]))
 
 

@@ -53,7 +53,11 @@ def conformance(df: DataFrame, expected: dict[str, str]) -> DataFrame:
 
 
 def check_null_coverage(df: DataFrame, critical, min_coverage: float) -> DataFrame:
-    """Share of non-null values per critical column; a missing column and an empty table fail."""
+    """Share of non-null values per critical column; a missing column and an empty table fail.
+
+    ``critical`` lists the columns, or names the source whose critical columns are meant.
+    """
+    critical = vocab.CRITICAL_COLUMNS[critical] if isinstance(critical, str) else critical
     present = [c for c in critical if c in df.columns]
     row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"n {c}") for c in present])
     entries = []

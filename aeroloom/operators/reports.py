@@ -77,8 +77,13 @@ def metric_matrix(df: DataFrame, keys, metrics, value: str = "avg_value", last_r
         F.max(F.when(F.col("metric_name") == m, F.col(value))).alias(m) for m in metrics], *more)
 
 
-def latest_positions(df: DataFrame, ts: str = "day_ts") -> DataFrame:
-    """Active rows with a location of each sensor's latest day."""
+def latest_positions(df: DataFrame, ts: str = "day_ts", per_sensor: bool = False) -> DataFrame:
+    """Active rows of the table's latest day, with or without a location.
+
+    ``per_sensor`` takes each sensor's own latest day with a location instead, and only rows that have one.
+    """
+    if not per_sensor:
+        return active_or_unknown(df.filter(F.col(ts) == df.agg(F.max(ts)).scalar()))
     rows = active_or_unknown(df).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     days = rows.groupBy("native_sensor_id").agg(F.max(ts).alias(ts))
     return rows.join(days, ["native_sensor_id", ts]).select(df.columns)

@@ -7,6 +7,7 @@ one hot sensor or metric costs no more than its number of result rows.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -19,13 +20,24 @@ from aeroloom.operators.normalize import float_coords, has_reading, union_all
 GRAINS = {"hour": "hour_ts", "day": "day_ts"}
 
 
+def earliest_first(order: str, lat: str, lon: str) -> Column:
+    """A number that orders complete points by time, and those of one time by a hash of the point; null if incomplete.
+
+    Its width is fixed, as a struct's is not, so aggregates that order by it are hash aggregates.
+    """
+    micros = F.unix_micros(F.col(order).cast("timestamp")).cast("decimal(17,0)")
+    point = F.xxhash64(lat, lon).cast("decimal(20,0)")
+    key = (micros * F.lit(Decimal(10 ** 20))).cast("decimal(38,0)") + point
+    return F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), key.cast("decimal(38,0)"))
+
+
 def representative(lat: str, lon: str, order: str) -> tuple[Column, Column]:
     """The earliest complete point of a group as (latitude, longitude) aggregates.
 
     Both aggregates follow the same ordering, time and then the point itself, so the two coordinates come from one row
     and a retried task gives the same one.
     """
-    when = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.struct(order, lat, lon))
+    when = earliest_first(order, lat, lon)
     return F.min_by(lat, when).alias("latitude"), F.min_by(lon, when).alias("longitude")
 
 
@@ -43,7 +55,9 @@ def rollup(long_df: DataFrame, grain: str) -> DataFrame:
         "avg_value", "min_value", "max_value", "samples")
 
 
-# Metrics aggregated side by side: six buffers each keep a pass under Spark's limit of 100 generated fields.
+#: Bins that one array of `resample_mean` holds.
+STRETCH = 65_536
+# Metrics aggregated side by side: eight buffers each keep a pass under Spark's limit of 100 generated fields.
 METRICS_PER_PASS = 10
 
 
@@ -66,10 +80,11 @@ def _rollup_pass(df: DataFrame, source: str, grain: str, wanted, ts: str) -> Dat
     wide = float_coords(df, pairs).filter(F.col(ts).isNotNull()).select(
         F.date_trunc(grain, ts).alias(out), "native_sensor_id", F.col(ts).alias("at"), F.col(lat).alias("lat"),
         F.col(lon).alias("lon"), *[numeric(F.col(m), types[m]).alias(f"v {m}") for m in wanted])
+    wide = wide.withColumn("first", earliest_first("at", "lat", "lon")).drop("at")
     aggs = []
     for m in wanted:
         v = F.col(f"`v {m}`")
-        seen = F.when(v.isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("at", "lat", "lon"))
+        seen = F.when(v.isNotNull(), F.col("first"))
         aggs += [F.min_by("lat", seen).alias(f"lat {m}"), F.min_by("lon", seen).alias(f"lon {m}"), F.sum(v).alias(f"sum {m}"),
                  F.min(v).alias(f"min {m}"), F.max(v).alias(f"max {m}"), F.count(v).alias(f"n {m}")]
     lines = F.array(*[F.struct(
@@ -87,9 +102,11 @@ def _rollup_pass(df: DataFrame, source: str, grain: str, wanted, ts: str) -> Dat
 def rollup_sources(wide: dict[str, DataFrame], grain: str, metrics=None, ts: str = "ts") -> DataFrame:
     """Rollup of all sources from their wide rows.
 
-    A sensor id belongs to one source; a metric both sources report under one id would give two rows.
+    A sensor id belongs to one source; a metric both sources report under one id would give two rows.  A source without
+    any of the ``metrics`` is not read; one at least must have some.
     """
-    return union_all(*[rollup_wide(df, source, grain, metrics, ts) for source, df in wide.items()])
+    having = {s: df for s, df in wide.items() if any(m in df.columns and (metrics is None or m in metrics) for m in vocab.METRICS[s])}
+    return union_all(*[rollup_wide(df, source, grain, metrics, ts) for source, df in having.items()])
 
 
 def observed_sensors(wide: dict[str, DataFrame]) -> DataFrame:
@@ -131,9 +148,13 @@ def resample_mean(df: DataFrame, key: str, ts: str, interval: str, exclude=()) -
     binned = (df.filter(F.col(ts).isNotNull() & F.col(key).isNotNull())
               .withColumn("bin", bin_start(F.col(ts), seconds))
               .groupBy(key, "bin").agg(*[F.avg(c).alias(c) for c in numeric]))
-    # The spine of a key is as long as its timeline, whatever its number of rows.
-    spine = (binned.groupBy(key).agg(F.min("bin").alias("first"), F.max("bin").alias("last"))
-             .select(key, F.explode(F.sequence("first", "last", F.expr(f"interval {seconds} seconds"))).alias("bin")))
+    # The spine of a key is as long as its timeline, whatever its number of rows: it is dealt out in stretches of bins, so
+    # neither an array nor a task holds all of it.
+    nth = F.floor(F.unix_seconds("bin") / seconds)
+    spans = binned.groupBy(key).agg(F.min(nth).alias("low"), F.max(nth).alias("high"))
+    stretches = spans.withColumn("from", F.explode(F.expr(f"sequence(low, high, {STRETCH}L)"))).repartition(key, "from")
+    spine = stretches.select(key, F.explode(F.sequence("from", F.least(F.col("from") + STRETCH - 1, F.col("high")))).alias("nth"))
+    spine = spine.select(key, F.timestamp_seconds(F.col("nth") * seconds).alias("bin"))
     return spine.join(binned, [key, "bin"], "left").select(key, F.col("bin").alias(ts), *numeric)
 
 

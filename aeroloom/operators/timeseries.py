@@ -223,8 +223,7 @@ def decompose(daily: DataFrame, key: str, period: int | None = None, min_days: i
     series, at most 30; series shorter than ``min_days``, or with a period under 7, give no rows
     (`decompose_status` names them).
 
-    Series are addressed by day position, and every sum is a grouped aggregate, so a key's series (one row
-    per day) is never gathered into one record.
+    Series are addressed by day position; a key's series has one row per day and is never gathered into one record.
     """
     w = Window.partitionBy(key).orderBy("day")
     sized = (daily.withColumn("i", F.row_number().over(w) - 1)
@@ -233,11 +232,13 @@ def decompose(daily: DataFrame, key: str, period: int | None = None, min_days: i
              .filter((F.col("n") >= min_days) & (F.col("p") >= 7) & (F.col("p") * 2 <= F.col("n"))))
     half = F.floor(F.col("p") / 2).cast("int")
     even = F.col("p") % 2 == 0
-    spread = sized.select(key, "n", "p", F.col("value"), F.col("i"),
-                          F.explode(F.sequence(-half, half)).alias("k"))
-    weight = F.when(even & (F.abs("k") == half), 0.5).otherwise(1.0) / F.col("p")
-    inner = (spread.withColumn("j", F.col("i") + F.col("k")).filter((F.col("j") >= half) & (F.col("j") < F.col("n") - half))
-             .groupBy(key, F.col("j").alias("i")).agg(F.sum(F.col("value") * weight).alias("inner")))
+    # Sums of a window are differences of running sums, looked up at its two ends.
+    running = sized.withColumn("running", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    low = running.select(key, (F.col("i") + half).alias("i"), (F.col("running") - F.col("value")).alias("before"), F.col("value").alias("low_value"))
+    high = running.select(key, (F.col("i") - half).alias("i"), F.col("running").alias("upto"), F.col("value").alias("high_value"))
+    ends = F.when(even, (F.col("low_value") + F.col("high_value")) / 2).otherwise(0.0)
+    inner = low.join(high, [key, "i"]).join(sized.select(key, "i", "p"), [key, "i"]).select(
+        key, "i", ((F.col("upto") - F.col("before") - ends) / F.col("p")).alias("inner"))
     with_trend = sized.join(inner, [key, "i"], "left")
     # End fits: the first p-1 inner points, and the p-1 points before the last inner one.
     first, last = half, F.col("n") - 1 - half

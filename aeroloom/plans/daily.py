@@ -121,8 +121,9 @@ def merge_range(spark: SparkSession, target: str, staging: str, start, end, sour
                 only_if_changed: bool = False) -> None:
     """Merge the staged days of a range into the star fact in one pass.
 
-    Of a key's copies the one staged last wins, by the time its file was written; within one load the larger value."""
-    staged = landing.scan_staging(spark, staging, sources, start, end).withColumn("loaded", F.col("_metadata.file_modification_time"))
+    Of a key's copies the one of the last load wins, and of one load the last by its ``seq`` (see `write_staging`); where
+    neither tells, the larger value."""
+    staged = landing.scan_staging(spark, staging, sources, start, end, versions=True)
     once = staged.filter(F.col("value").isNotNull()).groupBy("timestamp", "deployment_fk", "metric_name").agg(
-        F.max(F.struct("loaded", "value")).alias("last")).select("timestamp", "deployment_fk", "metric_name", "last.value")
+        F.max(F.struct("load", "seq", "value")).alias("last")).select("timestamp", "deployment_fk", "metric_name", "last.value")
     tables.merge_into(spark, target, once, ["timestamp", "deployment_fk", "metric_name"], only_if_changed=only_if_changed)

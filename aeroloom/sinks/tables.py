@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from aeroloom.functions.times import as_date
 from aeroloom.operators.normalize import conform
 from aeroloom.operators.rollups import dedupe_last
+from aeroloom.session import saved
 from aeroloom.sources.landing import day_range
 
 
@@ -43,6 +44,13 @@ def days_present(spark: SparkSession, path: str) -> list[str]:
     return sorted(d.getName()[3:] for d in filled)
 
 
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix``N below a path, ascending."""
+    fs, p = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
@@ -152,11 +160,12 @@ def insert_absent(target: DataFrame, source: DataFrame, keys, seq: str | None =
 
 
 def append_absent(spark: SparkSession, path: str, source: DataFrame, keys, ts: str = "timestamp", seq: str | None = None) -> None:
-    """Append the rows whose key is new; existing rows win.  Only the source's days are read."""
+    """Append the rows whose key is new; existing rows win.  The source is run once, and only its days are read."""
     rows = with_dt(source, ts)
     if not exists(spark, path):
         layout(first_of(rows, keys, seq), "dt", keys).write.partitionBy("dt").parquet(path)
         return
+    rows = saved(rows, "append-source")
     target = _only_days(spark, path, rows)
     layout(insert_absent(target, rows, keys, seq), "dt", keys).write.mode("append").partitionBy("dt").parquet(path)
 
@@ -171,7 +180,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys, value: s
                ts: str = "timestamp", only_if_changed: bool = False, policy: str = "replace") -> None:
     """Upsert into a partitioned table by rewriting the touched days.
 
-    The source is reduced to its last row per key first (by ``seq`` when given).  The merged days are written
+    The source is reduced to its last row per key first (by ``seq`` when given) and run once.  The merged days are written
     beside the table, then swapped in by partition, since a table cannot be overwritten while it is read.
     """
     rows = with_dt(source, ts)
@@ -179,6 +188,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys, value: s
     if not exists(spark, path):
         layout(rows, "dt", keys).write.partitionBy("dt").parquet(path)
         return
+    rows = saved(rows, "merge-source")
     target = _only_days(spark, path, rows)
     staged = f"{path.rstrip('/')}__merge_{uuid.uuid4().hex[:8]}"
     merged = upsert(target, rows.select(target.columns), keys, value, only_if_changed, policy=policy)
@@ -188,11 +198,45 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys, value: s
     remove(spark, staged)
 
 
-def write_staging(long_df: DataFrame, path: str, source: str, ts: str = "timestamp") -> None:
-    """Stage one source's rows, replacing its days."""
-    rows = (long_df.select(F.col(ts).cast("timestamp").alias("timestamp"), "deployment_fk", "metric_name", "value")
+def next_load(spark: SparkSession, path: str) -> int:
+    """The next number of a load into a dataset: one more than the largest taken, by an empty file per load.
+
+    A file is made by one writer only, so two loads at a time get different numbers.
+    """
+    fs, folder = _folder(spark, f"{path.rstrip('/')}/_loads")
+    fs.mkdirs(folder)
+    n = max((int(s.getPath().getName()) for s in fs.listStatus(folder)), default=0) + 1
+    while not _made(spark, f"{folder}/{n}"):
+        n += 1
+    return n
+
+
+def _made(spark: SparkSession, path: str) -> bool:
+    from py4j.protocol import Py4JJavaError
+
+    fs, p = _folder(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError:  # another writer was first
+        if fs.exists(p):
+            return False
+        raise
+    return True
+
+
+def write_staging(long_df: DataFrame, path: str, source: str, ts: str = "timestamp", seq: str | None = None) -> None:
+    """Stage one source's rows, replacing its days.
+
+    Rows carry the number of their load, and ``seq``, a number that orders the rows of one load, if there is one: of a
+    key's copies the last of the last load counts, whatever its value and whenever its file was written or moved.
+    """
+    spark = long_df.sparkSession
+    order = F.col(seq).cast("bigint") if seq else F.lit(None).cast("bigint")
+    rows = (long_df.select(F.col(ts).cast("timestamp").alias("timestamp"), "deployment_fk", "metric_name", "value", order.alias("seq"))
             .filter(F.col("timestamp").isNotNull())
-            .withColumns({"source": F.lit(source.lower()), "dt": F.to_date("timestamp")}))
+            .withColumns({"load": F.lit(next_load(spark, path)).cast("bigint"), "source": F.lit(source.lower()), "dt": F.to_date("timestamp")}))
     (layout(rows, "dt", ["deployment_fk", "metric_name"]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("source", "dt").parquet(path))
 
@@ -234,6 +278,24 @@ def write_report(df: DataFrame, path: str, keep_last: int | None = None, ts: str
     remove(spark, staged)
 
 
+def write_current(df: DataFrame, path: str, key: str = "id", ts: str = "timestamp", ties=()) -> None:
+    """Write a JSON report with one row per ``key``: rows of an earlier write stay until their key comes again.
+
+    Of a key's copies in ``df`` the last by time, then by ``ties``, counts.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn("new", F.lit(1))
+    if exists(spark, path):
+        rows = rows.unionByName(spark.read.schema(df.schema).json(path).withColumn("new", F.lit(0)))
+    order = F.struct("new", ts, *ties)
+    staged = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
+    others = [c for c in df.columns if c != key]
+    once = rows.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("row")).select(key, "row.*").select(df.columns)
+    once.write.json(staged)
+    spark.read.schema(df.schema).json(staged).write.mode("overwrite").json(path)
+    remove(spark, staged)
+
+
 def rewrite_canonical(spark: SparkSession, src: str, dst: str, schema) -> int:
     """Rewrite a Parquet folder to the canonical schema at a new path; raises when a row is lost."""
     raw = spark.read.parquet(src)

@@ -6,6 +6,7 @@ import os
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,40 @@ def _name(path: str) -> str:
     return os.path.basename(unquote(urlparse(path).path))
 
 
+HEAD_BYTES = 1 << 16
+
+
+def _heads(spark: SparkSession, files: list[str]) -> list:
+    """(path, head): the first line of every file that has one, from its first bytes, read in tasks.
+
+    Places whose scheme Arrow does not know are read by Spark, through whole files.
+    """
+    from pyarrow import fs, lib
+
+    try:
+        for scheme in {f.split("://")[0] if "://" in f else f.split(":")[0] for f in files}:
+            fs.FileSystem.from_uri(next(f for f in files if f.startswith(scheme)))
+    except (lib.ArrowInvalid, OSError):
+        lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+        return lines.filter("at = 0").groupBy("path").agg(F.first("value").alias("head")).collect()
+
+    def first_lines(batches):
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                system, place = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(place) as f:
+                    head = b""
+                    while b"\n" not in head and (more := f.read(HEAD_BYTES)):
+                        head += more
+                if head:
+                    found.append((path, head.split(b"\n")[0].rstrip(b"\r").decode("utf-8", "replace")))
+            yield pd.DataFrame(found, columns=["path", "head"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(min(len(files), 64))
+    return listed.mapInPandas(first_lines, "path string, head string").collect()
+
+
 def read_csv_union(spark: SparkSession, files, **tags) -> DataFrame | None:
     """Rows of all files, columns united by name, with ``source_file`` and the given literals.
 
@@ -37,9 +72,8 @@ def read_csv_union(spark: SparkSession, files, **tags) -> DataFrame | None:
     files = list(files)
     if not files:
         return None
-    # First lines of all files in one job; headers may hold quoted names, so each distinct one is parsed by the reader.
-    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
-    heads = lines.filter("at = 0").groupBy("path").agg(F.first("value").alias("head")).collect()
+    # Headers may hold quoted names, so each distinct one is parsed by the reader.
+    heads = _heads(spark, files)
     layouts: dict[tuple, list[str]] = {}
     columns_of: dict[str, tuple] = {}
     for r in sorted(heads):

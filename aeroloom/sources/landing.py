@@ -77,9 +77,10 @@ def resolve_staging(spark: SparkSession, tables=None, prefix: str | None = None,
     return reduce(DataFrame.unionByName, [spark.table(n).select(*columns) for n in names])
 
 
-def scan_staging(spark: SparkSession, path: str, sources=None, start=None, end=None) -> DataFrame:
-    """Staging rows of the partitioned staging dataset."""
-    df = spark.read.schema("timestamp timestamp, deployment_fk string, metric_name string, value double, "
+def scan_staging(spark: SparkSession, path: str, sources=None, start=None, end=None, versions: bool = False) -> DataFrame:
+    """Staging rows of the partitioned staging dataset; with ``versions``, the number of their load and their place in it."""
+    numbers = "load bigint, seq bigint, " if versions else ""
+    df = spark.read.schema(f"timestamp timestamp, deployment_fk string, metric_name string, value double, {numbers}"
                            "source string, dt date").parquet(path)
     if sources is not None:
         df = df.filter(F.col("source").isin(list(sources)))

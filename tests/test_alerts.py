@@ -132,3 +132,36 @@ def test_late_alerts_are_kept_apart(spark):
     streams.stream_cooldown(stream, out, state, checkpoint).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 3, 4]
     assert [r["id"] for r in spark.read.schema("type string, timestamp timestamp, id int").parquet(f"{out}-late/*").collect()] == [2]
+
+
+def test_unordered_alerts_within_the_lateness_give_the_batch_result(spark):
+    rows = make(12, 300, 60)
+    shuffled = sorted(rows, key=lambda r: (r[1].timestamp() + (r[2] * 7919) % 20000))
+    schema = "type string, timestamp timestamp, id int"
+    src, out, state, checkpoint = (scratch_path(spark, n) for n in ("alerts", "kept", "state", "checkpoint"))
+    for i in range(0, 300, 60):
+        spark.createDataFrame(shuffled[i:i + 60], schema).coalesce(1).write.mode("append").parquet(src)
+    stream = streams.read_stream(spark, src, schema, max_files=1)
+    streams.stream_cooldown(stream, out, state, checkpoint, lateness="6 hours").awaitTermination()
+    waiting = 300 - spark.read.parquet(out).count()
+    assert waiting > 0
+    streams.release_alerts(spark, stream.schema, out, state, lateness="6 hours")
+    assert spark.read.schema(schema).parquet(f"{out}-late/*").count() == 0
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == fold(rows, 60)
+
+
+def test_hours_late_and_open_rows_are_all_rows(spark):
+    schema = "timestamp timestamp, native_sensor_id string, metric_name string, value double"
+    src, out, late, state, checkpoint = (scratch_path(spark, n) for n in ("readings", "hours", "late", "state", "checkpoint"))
+    draw, total = np.random.default_rng(5), 0
+    for batch in range(5):
+        rows = [(BASE + dt.timedelta(minutes=int(m) + 60 * batch), f"s{m % 3}", "pm2_5", float(m)) for m in draw.integers(0, 400, 80)]
+        total += len(rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = streams.read_stream(spark, src, schema, max_files=1)
+    streams.stream_hourly_complete(stream, out, late, state, checkpoint, lateness="1 hour").awaitTermination()
+    out_rows = spark.read.parquet(out)
+    emitted, still = out_rows.agg(F.sum("samples")).first()[0], streams.open_hours(spark, state, "1 hour").agg(F.sum("samples")).first()[0]
+    behind = streams.late_counts(spark.read.schema(schema).parquet(f"{late}/*")).agg(F.sum("late_rows")).first()[0]
+    assert emitted + still + behind == total and min(emitted, still, behind) > 0
+    assert out_rows.groupBy("hour_ts", "native_sensor_id").count().filter("count > 1").count() == 0

@@ -82,3 +82,56 @@ def test_insert_absent_keeps_existing(spark):
     target = spark.createDataFrame([(T0, "a", "m", 1.0)], STAR)
     source = spark.createDataFrame([(T0, "a", "m", 2.0), (T0, "b", "m", 3.0), (T0, "b", "m", 3.0)], STAR)
     assert [r["deployment_fk"] for r in t.insert_absent(target, source, KEYS).collect()] == ["b"] and F
+
+
+def _staged(spark, rows, path, source, seq=None):
+    t.write_staging(spark.createDataFrame(rows, STAR + ", n bigint"), path, source, seq=seq)
+
+
+def test_the_last_load_wins_whatever_its_value_or_file_time(spark):
+    staging, moved, target = (scratch_path(spark, n) for n in ("staging", "moved", "star"))
+    _staged(spark, [(T0, "d", "m", 50.0, 1), (T0, "e", "m", 5.0, 2), (T0, "e", "m", 9.0, 1)], staging, "wu", "n")
+    _staged(spark, [(T0, "d", "m", 3.0, 1)], staging, "tsi")
+    # A copy written later and in another order does not change the winner.
+    for source in ("tsi", "wu"):
+        spark.read.parquet(staging).filter(F.col("source") == source).write.mode("append").partitionBy("source", "dt").parquet(moved)
+    for place in (staging, moved):
+        daily.merge_range(spark, target, place, "2024-01-01", "2024-01-01")
+        assert _rows(spark.read.parquet(target).select(*KEYS, "value")) == [(T0, "d", "m", 3.0), (T0, "e", "m", 5.0)]
+    assert t.next_load(spark, staging) == 3 and t.next_load(spark, staging) == 4
+
+
+def test_a_merge_runs_its_source_once(spark):
+    path = scratch_path(spark, "star")
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(T0, "d", "m", 1.0), (T0 + dt.timedelta(days=1), "d", "m", 2.0)], STAR).coalesce(1)
+    t.merge_into(spark, path, rows, KEYS)
+    for merge in (t.merge_into, t.append_absent):
+        before = runs.value
+        merge(spark, path, rows.mapInPandas(counted, rows.schema), KEYS)
+        assert runs.value - before == 2
+
+
+def test_current_alerts_by_id(spark):
+    path = scratch_path(spark, "current")
+    schema = "id string, timestamp timestamp, level string"
+    t.write_current(spark.createDataFrame([("a", T0, "high"), ("b", T0, "low"), ("a", T0 + dt.timedelta(hours=1), "low")], schema), path)
+    t.write_current(spark.createDataFrame([("b", T0 - dt.timedelta(days=1), "medium"), ("c", T0, "high")], schema), path)
+    assert {r["id"]: r["level"] for r in spark.read.schema(schema).json(path).collect()} == {"a": "low", "b": "medium", "c": "high"}
+
+
+def test_headers_take_the_first_bytes_of_a_file(spark):
+    from aeroloom.sources import history
+
+    folder = scratch_path(spark, "csv")
+    spark.range(60_000).selectExpr("id AS a", "id * 2 AS `b c`").coalesce(1).write.option("header", True).csv(folder)
+    files = history._list_csv(spark, folder)
+    heads = history._heads(spark, files)
+    assert [(r["path"], r["head"]) for r in heads] == [(files[0], "a,b c")]
+    assert history.read_csv_union(spark, files).count() == 60_000

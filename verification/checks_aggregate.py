@@ -17,7 +17,7 @@ add("a01_hourly_rollup", lambda d: rollups.hourly_rollup(d.long(), PROC_DATE).dr
     "SELECT * FROM hourly WHERE hour_ts >= timestamp '2024-01-30' AND hour_ts < timestamp '2024-01-31'", _STATS)
 add("a02_daily_rollup", lambda d: rollups.daily_rollup(d.long(), PROC_DATE).drop("geog"), "SELECT * FROM week", _STATS)
 add("a01_hourly_from_wide", lambda d: d.hourly().drop("geog"), "SELECT * FROM hourly", _STATS)
-add("a02_daily_from_wide", lambda d: d.week().drop("geog"), "SELECT * FROM week", _STATS)
+add("a02_daily_from_wide", lambda d: d.daily().drop("geog"), "SELECT * FROM daily", _STATS)
 add("a03_hourly_row_id", lambda d: rollups.rollup_with_row_id(d.long(), "hour", "sha2"),
     """SELECT hour_ts, CAST(hour_ts AS DATE) AS hour_date, native_sensor_id, metric_name, avg_value, min_value, max_value, samples,
        sha256(strftime(hour_ts, '%Y-%m-%d %H:%M:%S') || '|' || native_sensor_id || '|' || metric_name) AS row_id FROM hourly""",
@@ -79,7 +79,10 @@ add("a10_metric_coverage", lambda d: quality.metric_coverage(d.tsi(), "ts", ["pm
 _PICK = ", ".join(f"max(CASE WHEN metric_name = '{m}' THEN avg_value END) AS {m}" for m in _MATRIX)
 add("a11_metric_matrix", lambda d: reports.metric_matrix(d.enriched(), ["native_sensor_id"], _MATRIX, last_reading="day_ts"),
     f"SELECT native_sensor_id, {_PICK}, max(day_ts) AS last_reading FROM enriched GROUP BY 1", " ".join(_MATRIX))
-add("a11_latest_positions", lambda d: reports.latest_positions(d.enriched()).select("native_sensor_id", "day_ts", "metric_name", "avg_value", "latitude", "longitude"),
+add("a11_latest_positions", lambda d: reports.latest_positions(d.enriched()).select("native_sensor_id", "metric_name", "avg_value", "latitude", "longitude", "day_ts", "status"),
+    f"""SELECT native_sensor_id, metric_name, avg_value, latitude, longitude, day_ts, status FROM enriched
+        WHERE day_ts = (SELECT max(day_ts) FROM enriched) AND {_ACTIVE}""", "avg_value latitude longitude")
+add("a11_positions_by_sensor", lambda d: reports.latest_positions(d.enriched(), per_sensor=True).select("native_sensor_id", "day_ts", "metric_name", "avg_value", "latitude", "longitude"),
     f"""SELECT native_sensor_id, day_ts, metric_name, avg_value, latitude, longitude FROM (SELECT *, rank() OVER (PARTITION BY native_sensor_id
         ORDER BY day_ts DESC) AS r FROM enriched WHERE {_ACTIVE} AND latitude IS NOT NULL AND longitude IS NOT NULL) WHERE r = 1""",
     "avg_value latitude longitude")
@@ -109,7 +112,7 @@ add("a15_sensor_summary", lambda d: reports.sensor_summary(d.enriched(), WEEK),
     f"""SELECT native_sensor_id, status, count(DISTINCT metric_name)::BIGINT AS metrics_count,
         count(DISTINCT CAST(day_ts AS DATE))::BIGINT AS days_active, max(day_ts) AS last_reading, avg(samples) AS avg_samples_per_day
         FROM enriched WHERE day_ts >= '{WEEK}' GROUP BY 1, 2""", "avg_samples_per_day")
-add("a16_metric_trend", lambda d: reports.metric_trend(d.enriched(), "temperature", MONTH),
+add("a16_metric_trend", lambda d: reports.metric_trend(d.enriched(["temperature"]), "temperature", MONTH),
     f"""SELECT CAST(day_ts AS DATE) AS date, native_sensor_id, avg(avg_value) AS avg_value, min(min_value) AS min_value,
         max(max_value) AS max_value FROM enriched WHERE metric_name = 'temperature' AND day_ts >= '{MONTH}' AND {_ACTIVE} GROUP BY 1, 2""",
     "avg_value min_value max_value")
@@ -119,7 +122,7 @@ add("a16_low_samples", lambda d: reports.low_samples(d.enriched(), WEEK),
 add("a16_latest_active", lambda d: reports.latest_active(d.enriched(), MONTH),
     f"""SELECT day_ts, native_sensor_id, metric_name, avg_value, min_value, max_value, samples, latitude, longitude FROM enriched
         WHERE day_ts >= '{MONTH}' AND {_ACTIVE}""", _STATS)
-add("a17_pm25_daily", lambda d: reports.pm25_daily(d.enriched(), "pm2_5", MONTH),
+add("a17_pm25_daily", lambda d: reports.pm25_daily(d.enriched(["pm2_5"]), "pm2_5", MONTH),
     f"""SELECT CAST(day_ts AS DATE) AS date, avg(avg_value) AS avg_pm25, min(min_value) AS min_pm25, max(max_value) AS max_pm25,
         CASE WHEN avg(avg_value) <= 12 THEN 'Good' WHEN avg(avg_value) <= 35 THEN 'Moderate'
              WHEN avg(avg_value) <= 55 THEN 'Unhealthy for Sensitive' ELSE 'Unhealthy' END AS aqi_category,
@@ -134,7 +137,7 @@ add("a19_weekday_pattern", lambda d: reports.weekday_pattern(d.enriched(), MONTH
     f"""SELECT (dayofweek(day_ts) + 1)::INT AS day_of_week, dayname(any_value(day_ts)) AS day_name, metric_name,
         avg(avg_value) AS avg_value, stddev_samp(avg_value) AS std_dev FROM enriched WHERE day_ts >= '{MONTH}' AND {_ACTIVE} GROUP BY 1, 3""",
     "avg_value std_dev")
-add("a19_week_lines", lambda d: reports.week_lines(d.enriched(), "temperature", "2024-01-02"),
+add("a19_week_lines", lambda d: reports.week_lines(d.enriched(["temperature"]), "temperature", "2024-01-02"),
     f"""SELECT CAST(strftime(day_ts, '%U') AS INT) AS week, (dayofweek(day_ts) + 1)::INT AS day_of_week, avg(avg_value) AS avg_value
         FROM enriched WHERE metric_name = 'temperature' AND day_ts >= '2024-01-02' AND {_ACTIVE} GROUP BY 1, 2""", "avg_value")
 add("a20_metric_stats", lambda d: reports.metric_stats(d.enriched(), MONTH),
@@ -156,10 +159,10 @@ add("a21_reading_table", lambda d: reports.reading_table(d.enriched(), PROC_DATE
     f"""SELECT native_sensor_id, metric_name, avg(avg_value) AS avg_value, min(min_value) AS min_value, max(max_value) AS max_value,
         sum(samples)::BIGINT AS samples FROM enriched WHERE CAST(day_ts AS DATE) = date '{PROC_DATE}' AND {_ACTIVE} GROUP BY 1, 2""",
     "avg_value min_value max_value")
-add("a21_metric_range", lambda d: reports.metric_range(d.enriched(), "temperature", MONTH),
+add("a21_metric_range", lambda d: reports.metric_range(d.enriched(["temperature"]), "temperature", MONTH),
     f"""SELECT native_sensor_id, min(min_value) AS min_value, avg(avg_value) AS avg_value, max(max_value) AS max_value, count(*)::BIGINT AS readings
         FROM enriched WHERE metric_name = 'temperature' AND day_ts >= '{MONTH}' AND {_ACTIVE} GROUP BY 1""", "avg_value min_value max_value")
-add("a21_sample_counts", lambda d: reports.sample_counts(d.enriched(), "temperature", MONTH),
+add("a21_sample_counts", lambda d: reports.sample_counts(d.enriched(["temperature"]), "temperature", MONTH),
     f"""SELECT CAST(day_ts AS DATE) AS date, native_sensor_id, avg(samples) AS avg_samples FROM enriched
         WHERE metric_name = 'temperature' AND day_ts >= '{MONTH}' AND {_ACTIVE} GROUP BY 1, 2""", "avg_samples")
 add("a21_metric_scatter", lambda d: reports.metric_scatter(d.enriched(), MONTH, "temperature", "humidity"),

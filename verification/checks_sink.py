@@ -206,21 +206,29 @@ add("k14_ensure_columns", lambda d: normalize.ensure_columns(d.id_map(), "status
 def _laid_out(d):
     path = scratch_path(d.spark, "long")
     t.layout(d.long().withColumn("dt", F.to_date("timestamp")).drop("geog")).write.partitionBy("dt").parquet(path)
-    return d.spark.read.parquet(path).filter("dt = date'2024-01-15'")
+    return d.spark.read.parquet(path)
 
 
-add("k15_layout", _laid_out, "SELECT *, CAST(timestamp AS DATE) AS dt FROM long WHERE CAST(timestamp AS DATE) = date '2024-01-15'", "value latitude longitude")
+add("k15_layout", _laid_out, "SELECT *, CAST(timestamp AS DATE) AS dt FROM long", "value latitude longitude")
 
 
 def _viewed(d):
+    """Rows and sensors of each of the ten views."""
     frames = views.serving_views(d.long(), d.daily(), d.id_map(), d.canonical(), d.curated())
-    t.register_views(d.spark, frames)
-    return d.spark.sql("""SELECT sensor_source, count(*) AS n, count(DISTINCT sensor_id) AS ids FROM all_sensors_daily_enriched
-                          JOIN sensor_location_current USING (native_sensor_id) GROUP BY 1""")
-
-
+    sensor = lambda name: "sensor_source" if name == "sensor_source_summary" else "native_sensor_id"
+    return d.spark.sql(" UNION ALL ".join(f"SELECT '{name}' AS view, count(*) AS n, count(DISTINCT {sensor(name)}) AS ids FROM {name}"
+                                          for name in t.register_views(d.spark, frames)))
+
+
+_VIEWS = {"sensor_canonical_latest": "canonical", "sensor_location_current": "current_loc", "sensor_readings_daily_enriched": "enriched",
+          "sensor_readings_long_enriched": """(SELECT l.native_sensor_id FROM long l LEFT JOIN id_map m ON l.native_sensor_id = m.native_sensor_id
+              AND (m.effective_start_date IS NULL OR CAST(l.timestamp AS DATE) >= m.effective_start_date)
+              AND (m.effective_end_date IS NULL OR CAST(l.timestamp AS DATE) <= m.effective_end_date))""",
+          "tsi_sensor_list": "tsi_list", "wu_sensor_list": "wu_list", "tsi_daily_enriched": "(SELECT * FROM all_enriched WHERE sensor_source = 'TSI')",
+          "wu_daily_enriched": "(SELECT * FROM all_enriched WHERE sensor_source = 'WU')", "all_sensors_daily_enriched": "all_enriched",
+          "sensor_source_summary": "(SELECT DISTINCT sensor_source AS native_sensor_id FROM all_enriched)"}
 add("k16_register_views", _viewed,
-    "SELECT sensor_source, count(*)::BIGINT AS n, count(DISTINCT sensor_id)::BIGINT AS ids FROM all_enriched GROUP BY 1")
+    " UNION ALL ".join(f"SELECT '{v}' AS view, count(*)::BIGINT AS n, count(DISTINCT native_sensor_id)::BIGINT AS ids FROM {q}" for v, q in _VIEWS.items()))
 
 
 def _reported(d):
@@ -236,17 +244,34 @@ add("k17_write_report", _reported,
        UNION ALL SELECT * FROM history WHERE event_id % 2 = 1) ORDER BY timestamp DESC, event_id DESC LIMIT 1000""", "pm25")
 
 
+def _current(d):
+    """Alerts by id, written twice: an id that comes again takes its new row."""
+    path = scratch_path(d.spark, "current")
+    rows = d.history().selectExpr("concat('a', event_id % 500) AS id", "CAST(timestamp AS TIMESTAMP) AS timestamp", "event_id", "pm25")
+    t.write_current(rows.filter("event_id % 3 = 0"), path, ties=["event_id"])
+    t.write_current(rows.filter("event_id % 3 = 1"), path, ties=["event_id"])
+    return d.spark.read.schema(rows.schema).json(path).select("id", "event_id", "pm25")
+
+
+add("k17_current_alerts", _current,
+    """SELECT id, event_id, pm25 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id % 3 DESC, timestamp DESC, event_id DESC) AS rn
+       FROM (SELECT 'a' || (event_id % 500) AS id, * FROM history WHERE event_id % 3 < 2)) WHERE rn = 1""", "pm25")
+
+
 # --- backfill ---
-def _backfilled(d, table, schema, start="2024-01-20", end=PROC_DATE):
+FIRST_DAY = "2024-01-01"
+
+
+def _backfilled(d, table, schema, start=FIRST_DAY, end=PROC_DATE):
     warehouse = scratch_path(d.spark, "warehouse")
     daily_plan.backfill(d.spark, landed(d), warehouse, start, end)
     return d.spark.read.schema(schema).parquet(f"{warehouse}/{table}").drop("geog", "dt")
 
 
 add("b01_backfill_hourly", lambda d: _backfilled(d, "sensor_readings_hourly", daily_plan.HOURLY_SCHEMA),
-    "SELECT * FROM hourly WHERE hour_ts >= timestamp '2024-01-20'", _STATS)
+    "SELECT * FROM hourly", _STATS)
 add("b01_backfill_daily", lambda d: _backfilled(d, "sensor_readings_daily", daily_plan.DAILY_SCHEMA),
-    "SELECT * FROM daily WHERE day_ts >= timestamp '2024-01-20'", _STATS)
+    "SELECT * FROM daily", _STATS)
 
 
 def _materialized(d):
@@ -254,64 +279,84 @@ def _materialized(d):
     full, part, warehouse = landed(d), scratch_path(d.spark, "landing"), scratch_path(d.spark, "warehouse")
     rows = d.tsi().withColumnRenamed("ts", "timestamp").filter("to_date(timestamp) <> date'2024-01-25'")
     t.write_landing(rows, part, "TSI")
-    daily_plan.materialize_range(d.spark, part, warehouse, "2024-01-24", "2024-01-26", ["TSI"], fallback_root=full)
+    daily_plan.materialize_range(d.spark, part, warehouse, FIRST_DAY, PROC_DATE, ["TSI"], fallback_root=full)
     return d.spark.read.parquet(daily_plan.raw_path(warehouse, "TSI")).select("ts", "native_sensor_id", *TSI_FED)
 
 
 add("b02_materialize_range", _materialized,
-    f"SELECT ts, native_sensor_id, {', '.join(TSI_FED)} FROM tsi WHERE CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26'", " ".join(TSI_FED))
+    f"SELECT ts, native_sensor_id, {', '.join(TSI_FED)} FROM tsi", " ".join(TSI_FED))
 
 
 def _merged_range(d):
-    path, staging = scratch_path(d.spark, "star"), _stage(d)
-    t.merge_into(d.spark, path, _facts(d).withColumn("value", F.lit(0.0)), _KEYS)
-    daily_plan.merge_range(d.spark, path, staging, "2024-01-12", "2024-01-18")
+    """All days staged twice under either source: the second load, with lower values and copies within it, is the one that counts."""
+    path, staging = scratch_path(d.spark, "star"), scratch_path(d.spark, "staging")
+    t.merge_into(d.spark, path, _facts(d).withColumn("value", F.lit(1e9)), _KEYS)
+    t.write_staging(_facts(d).withColumn("value", F.lit(1e6)), staging, "TSI")
+    t.write_staging(_copies(d), staging, "WU", seq="event_id")
+    daily_plan.merge_range(d.spark, path, staging, FIRST_DAY, PROC_DATE)
     return d.spark.read.parquet(path).select(*_KEYS, "value")
 
 
-add("b03_merge_range", _merged_range,
-    f"""SELECT timestamp, deployment_fk, metric_name, CASE WHEN CAST(timestamp AS DATE) BETWEEN date '2024-01-12' AND date '2024-01-18' THEN value
-        ELSE 0 END AS value FROM {_ONE}""", "value")
+add("b03_merge_range", _merged_range, f"SELECT timestamp, deployment_fk, metric_name, value FROM {_ONE}", "value")
 
 
 def _misfiled(d):
-    """Rows filed under other days than their own: those of the range go to their day, the others are kept apart."""
+    """Rows filed under other days than their own, some without a time: the others go to their day, these are kept apart."""
     root, warehouse = scratch_path(d.spark, "landing"), scratch_path(d.spark, "warehouse")
     rows = d.tsi().withColumnRenamed("ts", "timestamp").withColumns(
         {"source": F.lit("TSI"), "agg": F.lit("raw"), "dt": F.when(F.hour("timestamp") < 6, F.date_add(F.to_date("timestamp"), -1)).otherwise(F.to_date("timestamp"))})
+    rows = rows.withColumn("timestamp", F.when(F.minute("timestamp") != 7, F.col("timestamp")))
     rows.write.partitionBy("source", "agg", "dt").parquet(root)
-    daily_plan.materialize_range(d.spark, root, warehouse, "2024-01-24", "2024-01-26", ["TSI"])
+    daily_plan.materialize_range(d.spark, root, warehouse, "2023-12-31", PROC_DATE, ["TSI"])
     kept = d.spark.read.parquet(daily_plan.raw_path(warehouse, "TSI")).withColumn("kind", F.lit("kept"))
     left = d.spark.read.parquet(daily_plan.rejected_path(warehouse, "TSI")).withColumn("kind", F.lit("rejected"))
     return kept.unionByName(left).select("ts", "native_sensor_id", "kind", F.col("dt").cast("date").alias("dt"), *TSI_FED)
 
 
 add("b02_rows_of_other_days", _misfiled,
-    f"""SELECT ts, native_sensor_id, CASE WHEN CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26' THEN 'kept' ELSE 'rejected' END AS kind,
-        CASE WHEN CAST(ts AS DATE) BETWEEN date '2024-01-24' AND date '2024-01-26' THEN CAST(ts AS DATE) ELSE folder END AS dt, {', '.join(TSI_FED)}
-        FROM (SELECT *, CAST(ts AS DATE) - CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS folder FROM tsi)
-        WHERE folder BETWEEN date '2024-01-24' AND date '2024-01-26'""", " ".join(TSI_FED))
+    f"""SELECT CASE WHEN minute(ts) <> 7 THEN ts END AS ts, native_sensor_id, CASE WHEN minute(ts) <> 7 THEN 'kept' ELSE 'rejected' END AS kind,
+        CAST(CASE WHEN minute(ts) <> 7 THEN ts WHEN hour(ts) < 6 THEN ts - interval 1 day ELSE ts END AS DATE) AS dt, {', '.join(TSI_FED)} FROM tsi""", " ".join(TSI_FED))
 
 
 # --- ingest and analysis ---
 def _ingested(d):
-    """Telemetry files taken in for ten days, then read back from staging."""
+    """Telemetry files taken in for all days, then read back from staging."""
     from aeroloom.plans import ingest
     from aeroloom.sources import payloads
     from verification.checks_source import _tsi_files
 
     root, staging, log = (scratch_path(d.spark, n) for n in ("landing", "staging", "log"))
-    ingest.ingest({"TSI": payloads.read_tsi_json(d.spark, _tsi_files(d))}, root, staging, log, "2024-01-10", "2024-01-19")
+    ingest.ingest({"TSI": payloads.read_tsi_json(d.spark, _tsi_files(d))}, root, staging, log, FIRST_DAY, PROC_DATE)
     logged = d.spark.read.parquet(log).select("row_count")
     return landing.scan_staging(d.spark, staging).select("timestamp", "deployment_fk", "metric_name", "value", "source").withColumn("row_count", logged.scalar())
 
 
 add("b04_ingest", _ingested,
     "SELECT timestamp, native_sensor_id AS deployment_fk, metric_name, value, 'tsi' AS source, (SELECT count(*)::BIGINT FROM "
-    "(SELECT * FROM sparse WHERE event_id % 13 <> 0 AND CAST(timestamp AS DATE) BETWEEN date '2024-01-10' AND date '2024-01-19')) AS row_count FROM ("
+    "(SELECT * FROM sparse WHERE event_id % 13 <> 0 AND CAST(timestamp AS DATE) BETWEEN date '2024-01-01' AND date '2024-01-30')) AS row_count FROM ("
     + " UNION ALL ".join(f"SELECT timestamp, native_sensor_id, '{name}' AS metric_name, {col} AS value FROM sparse WHERE event_id % 13 <> 0 AND {col} IS NOT NULL"
                          for name, col in (("pm2_5", "pm25"), ("temperature", "temperature"), ("humidity", "humidity")))
-    + ") WHERE CAST(timestamp AS DATE) BETWEEN date '2024-01-10' AND date '2024-01-19'", "value")
+    + ") WHERE CAST(timestamp AS DATE) BETWEEN date '2024-01-01' AND date '2024-01-30'", "value")
+
+
+def _ingested_by_hour(d):
+    """The same files landed and staged as hourly means, with the run's log."""
+    from aeroloom.plans import ingest
+    from aeroloom.sources import payloads
+    from verification.checks_source import _tsi_files
+
+    root, staging, log = (scratch_path(d.spark, n) for n in ("landing", "staging", "log"))
+    ingest.ingest({"TSI": payloads.read_tsi_json(d.spark, _tsi_files(d))}, root, staging, log, FIRST_DAY, PROC_DATE, interval="h")
+    run = d.spark.read.parquet(log).filter("length(run_id) = 32 AND run_finished >= run_started AND status = 'success'").first()
+    rows = landing.scan_staging(d.spark, staging).select("timestamp", "deployment_fk", "metric_name", "value")
+    return rows.withColumns({"row_count": F.lit(run["row_count"]), "agg_interval": F.lit(run["agg_interval"]), "written": F.lit(run["written"])})
+
+
+_HOURS = "(SELECT date_trunc('hour', timestamp)::TIMESTAMP AS timestamp, native_sensor_id, avg(pm25) AS pm25, avg(temperature) AS temperature, avg(humidity) AS humidity FROM sparse WHERE event_id % 13 <> 0 GROUP BY 1, 2)"
+add("b04_ingest_by_hour", _ingested_by_hour,
+    f"SELECT *, (SELECT sum(n)::BIGINT FROM (SELECT date_diff('hour', min(timestamp), max(timestamp)) + 1 AS n FROM {_HOURS} GROUP BY native_sensor_id)) AS row_count, 'h' AS agg_interval, true AS written FROM ("
+    + " UNION ALL ".join(f"SELECT timestamp, native_sensor_id AS deployment_fk, '{name}' AS metric_name, {col} AS value FROM {_HOURS} WHERE {col} IS NOT NULL"
+                         for name, col in (("pm2_5", "pm25"), ("temperature", "temperature"), ("humidity", "humidity"))) + ")", "value")
 
 
 def _analysed(d):

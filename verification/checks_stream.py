@@ -53,6 +53,28 @@ def _cooled(d):
 add("r02_stream_cooldown", _cooled, f"SELECT k AS type, timestamp, id, native_sensor_id, level, value FROM {_KEPT('type', '')}", "value")
 
 
+def _in_four(d, name="events"):
+    """The events in four files, one after the other, each from the whole month: streamed, they come out of order."""
+    path = scratch_path(d.spark, "four")
+    for k in range(4):
+        d.table("events").filter(f"event_id % 4 = {k}").coalesce(1).write.mode("append").parquet(path)
+    return streams.read_stream(d.spark, path, d.table("events").schema, max_files=1)
+
+
+def _cooled_unordered(d):
+    """Within the declared lateness, alerts out of order give what a batch run gives."""
+    out, state, checkpoint = (scratch_path(d.spark, n) for n in ("kept", "state", "checkpoint"))
+    rows = _in_four(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id",
+                                  "value AS pm25", "CAST(event_id % 70 - 25 AS DOUBLE) AS temperature", "CAST(event_id % 101 AS DOUBLE) AS humidity")
+    found = al.threshold_alerts(rows)
+    streams.stream_cooldown(found, out, state, checkpoint, keys=["type"], lateness="40 days").awaitTermination()
+    streams.release_alerts(d.spark, found.schema, out, state, keys=["type"], lateness="40 days")
+    return d.spark.read.schema(found.schema).parquet(f"{out}/*").select("type", "timestamp", "id", "native_sensor_id", "level", "value")
+
+
+add("r02_stream_cooldown_unordered", _cooled_unordered, f"SELECT k AS type, timestamp, id, native_sensor_id, level, value FROM {_KEPT('type', '')}", "value")
+
+
 def _long_stream(d):
     wide = _events(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id", "event_type AS metric_name", "value",
                                  "36.0D + (user_id % 7)*0.01D AS latitude", "-78.9D AS longitude")
@@ -68,6 +90,31 @@ add("r03_stream_hourly", lambda d: _written(d, streams.stream_hourly(_long_strea
        WHERE hour_ts + interval 1 hour <= (SELECT date_trunc('millisecond', max(ts)) - interval 2 hour FROM events)""", "avg_value min_value max_value latitude longitude geog_lat geog_lon")
 
 
+def _hours_and_late(d):
+    """Rows that came out of order by more than two hours are counted apart: with the hours put out and those still open, none is lost."""
+    out, late, state, checkpoint = (scratch_path(d.spark, n) for n in ("hours", "late", "state", "checkpoint"))
+    rows = _in_four(d).selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "concat('d', CAST(user_id AS STRING)) AS native_sensor_id", "event_type AS metric_name", "value",
+                                  "36.0D + (user_id % 7)*0.01D AS latitude", "-78.9D AS longitude")
+    streams.stream_hourly_complete(rows, out, late, state, checkpoint).awaitTermination()
+    keys = ["hour_ts", "native_sensor_id", "metric_name"]
+    still = streams.open_hours(d.spark, state)
+    hours = d.spark.read.schema(still.schema).parquet(f"{out}/*").unionByName(still)
+    counted = streams.late_counts(d.spark.read.schema(rows.schema).parquet(f"{late}/*"))
+    return (hours.select(F.lit("hour").alias("kind"), *keys, F.col("samples").alias("n"), "avg_value", "min_value", "max_value", "latitude", "longitude")
+            .unionByName(counted.select(F.lit("late").alias("kind"), *keys, F.col("late_rows").alias("n")), allowMissingColumns=True))
+
+
+_SEEN = "(SELECT " + ", ".join(f"max(ts) FILTER (event_id % 4 <= {k}) - interval 2 hour AS w{k}" for k in range(3)) + " FROM events)"
+_TIMED = f"""(SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_ts, 'd' || CAST(user_id AS VARCHAR) AS native_sensor_id, event_type AS metric_name, value, user_id,
+    CASE event_id % 4 WHEN 1 THEN date_trunc('hour', ts) + interval 1 hour <= w0 WHEN 2 THEN date_trunc('hour', ts) + interval 1 hour <= w1
+      WHEN 3 THEN date_trunc('hour', ts) + interval 1 hour <= w2 ELSE false END AS late FROM events, {_SEEN})"""
+add("r03_stream_hourly_complete", _hours_and_late,
+    f"""SELECT 'hour' AS kind, hour_ts, native_sensor_id, metric_name, count(*)::BIGINT AS n, avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value,
+        min(36.0::DOUBLE + (user_id % 7)*0.01::DOUBLE) AS latitude, -78.9::DOUBLE AS longitude FROM {_TIMED} WHERE NOT late GROUP BY 2, 3, 4
+        UNION ALL SELECT 'late', hour_ts, native_sensor_id, metric_name, count(*)::BIGINT, NULL, NULL, NULL, NULL, NULL FROM {_TIMED} WHERE late GROUP BY 2, 3, 4""",
+    "avg_value min_value max_value latitude longitude")
+
+
 def _landed(d):
     root, checkpoint = scratch_path(d.spark, "stream-landing"), scratch_path(d.spark, "checkpoint")
     pick = lambda kind, name: f"CASE WHEN event_type='{kind}' THEN value END AS {name}"

@@ -95,6 +95,30 @@ _DECOMPOSED = f"""SELECT d.metric_name, day, value, p AS period, trend, s.m - g.
     JOIN {_PH} s ON s.metric_name = d.metric_name AND s.phase = d.i % 7
     JOIN (SELECT metric_name, avg(m) AS m FROM {_PH} GROUP BY 1) g ON g.metric_name = d.metric_name"""
 add("w08_decompose", lambda d: t.decompose(_series(d), "metric_name"), _DECOMPOSED, "value trend seasonal resid")
+
+
+def _long_series(d):
+    """Sixty days of mean quantities per return flag."""
+    return d.table("lineitem").selectExpr("l_returnflag AS metric_name", "date_add(date'2024-01-01', CAST(datediff(l_shipdate, date'1995-01-01') % 60 AS INT)) AS day",
+                                          "l_quantity AS q").groupBy("metric_name", "day").agg(F.avg("q").alias("value"))
+
+
+# An even period of 14 over 60 days: seven days on either side, the two ends by half.
+_ES = """(SELECT metric_name, day, value, row_number() OVER (PARTITION BY metric_name ORDER BY day) - 1 AS i, count(*) OVER (PARTITION BY metric_name) AS n
+    FROM (SELECT l_returnflag AS metric_name, date '2024-01-01' + CAST(date_diff('day', date '1995-01-01', CAST(l_shipdate AS DATE)) % 60 AS INT) AS day,
+    avg(l_quantity) AS value FROM lineitem GROUP BY 1, 2))"""
+_ET = f"""(SELECT *, CASE WHEN i >= 7 AND i < n - 7 THEN (sum(value) OVER (PARTITION BY metric_name ORDER BY i ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)
+    + (lag(value, 7) OVER (PARTITION BY metric_name ORDER BY i) + lead(value, 7) OVER (PARTITION BY metric_name ORDER BY i)) / 2) / 14 END AS inner_trend FROM {_ES})"""
+_EFIT = f"""(SELECT metric_name, regr_slope(y1, i) AS hs, regr_intercept(y1, i) AS hi, regr_slope(y2, i) AS s2, regr_intercept(y2, i) AS i2
+    FROM (SELECT *, CASE WHEN i >= 7 AND i < 20 THEN inner_trend END AS y1, CASE WHEN i >= n - 21 AND i < n - 8 THEN inner_trend END AS y2
+    FROM {_ET}) GROUP BY 1)"""
+_ED = f"""(SELECT t.metric_name, day, value, i, CASE WHEN i < 7 THEN hs * i + hi WHEN i > n - 8 THEN s2 * i + i2 ELSE inner_trend END AS trend
+    FROM {_ET} t JOIN {_EFIT} f USING (metric_name))"""
+_EPH = f"(SELECT metric_name, i % 14 AS phase, avg(value - trend) AS m FROM {_ED} GROUP BY 1, 2)"
+add("w08_decompose_even", lambda d: t.decompose(_long_series(d), "metric_name", period=14),
+    f"""SELECT d.metric_name, day, value, 14 AS period, trend, s.m - g.m AS seasonal, value - trend - (s.m - g.m) AS resid FROM {_ED} d
+    JOIN {_EPH} s ON s.metric_name = d.metric_name AND s.phase = d.i % 14
+    JOIN (SELECT metric_name, avg(m) AS m FROM {_EPH} GROUP BY 1) g ON g.metric_name = d.metric_name""", "value trend seasonal resid")
 add("w09_trend_slope", lambda d: t.trend_slope(t.decompose(_series(d), "metric_name"), "metric_name"),
     f"""SELECT *, CASE WHEN trend_slope > 0.1 THEN 'increasing' WHEN trend_slope < -0.1 THEN 'decreasing' ELSE 'stable' END AS trend_direction
         FROM (SELECT metric_name, (arg_max(trend, day) - arg_min(trend, day)) / count(*) AS trend_slope,

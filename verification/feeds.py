@@ -77,9 +77,9 @@ class Feeds:
     def hourly(self) -> DataFrame:
         return rollups.rollup_sources(self.wide(), "hour")
 
-    def daily(self) -> DataFrame:
-        """Daily rollup of the whole month."""
-        return rollups.rollup_sources(self.wide(), "day")
+    def daily(self, metrics=None) -> DataFrame:
+        """Daily rollup of the whole month; of the listed metrics alone, if given."""
+        return rollups.rollup_sources(self.wide(), "day", metrics)
 
     def week(self) -> DataFrame:
         """Daily rollup of the seven days up to the processing date."""
@@ -109,8 +109,8 @@ class Feeds:
     def current(self) -> DataFrame:
         return locations.current_locations(rollups.observed_sensors(self.wide()), self.canonical(), self.curated())
 
-    def enriched(self) -> DataFrame:
-        return views.enriched(self.daily(), self.id_map(), self.current())
+    def enriched(self, metrics=None) -> DataFrame:
+        return views.enriched(self.daily(metrics), self.id_map(), self.current())
 
     def sensors(self) -> DataFrame:
         """Star: sensors of both kinds."""
