@@ -3,20 +3,14 @@
 Sets are hashed shingles.  Sizes are cut into bands; a set belongs to the band of its size and, near the upper edge, is
 too large for the next smaller partner's band to be missed: band j takes sizes from L(j) to just over L(j+1) divided by
 the threshold, so any linked pair shares the band of its smaller set.  Linked sets of band j differ in at most k(j)
-elements.  The hashed domain is dealt into n(j) = k(j) + 1 + `SPARE` partitions, so at least 1 + `SPARE` of them hold
-the same elements of both sets.  A signature is a band, a partition and the elements there; linked sets share one.
-A set skips the signatures of up to `SPARE` empty partitions, for one shared partition is left in any case.
-
-Equal sets are one class from the start.  Candidates are found in two rounds, both exact about links:
-
-1. in each group of equal signatures, every member is compared with the group's smallest member, and what links is
-   joined into components: copies of one text need as many comparisons as there are copies;
-2. groups that still hold members of different components are looked through inside tasks, in blocks if a group is
-   large.  Pairs that may link are taken for links, and as many as connect their members are compared exactly.  What
-   proves wrong is struck out and the groups are looked through again, until no pair is left to try.
-
-A parity sketch of each set, some bits per element, bounds the difference of two sets from below.  It rules out most
-candidates in both rounds, so whole sets move for the others alone.
+elements.  The hashed domain is dealt into n1 = k(j) // 2 + 1 groups of n2 partitions each: two linked sets differ in at
+most one element of some group, and so in at most one of its partitions.  A signature is a band, a group and the elements
+of all its partitions but one; each of the n2 subsets is enumerated, and linked sets share at least one.  n2 is
+larger in bands of small sets, where a subset would else hold too few elements.
+
+A sketch of a set is a 32-bit sum of each partition's elements.  Two sets differ in at least as many elements as sums, which
+rules out most candidates, and the sums name the first signature that two sets share: there alone a pair is looked at.
+Candidates then go the way of `links`: stars, components, cells, all confirmed on full sets.  No link is lost.
 """
 
 from __future__ import annotations
@@ -29,15 +23,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from aeroloom.llm import files, text as T
+from aeroloom.llm.links import Method, common_of_short, components, linked, linked_classes, shingle_sets
 
-SPARE = 2
-RATIO = 1.4
-#: Members of a group that one task settles; larger groups are settled in pairs of blocks of this size.
-BLOCK = 4096
-
+__all__ = ["bands", "Bands", "components", "linked", "partition_sums", "signatures", "similar_classes"]
 
-def bands(threshold: tuple[int, int], largest: int) -> list[tuple[int, int, int, int]]:
-    """(band, smallest size, largest size, partitions) for sets of up to ``largest`` elements; threshold = (p, q) is p / q."""
+RATIO = 1.4
+#: Partitions of a group, and the most differences of a band for which it has the larger number.
+GROUP, SMALL_GROUP, SMALL = 3, 6, 8
+#: One signature in so many serves for stars.
+STARS = 7
+#: Members of a group of equal signatures that one task looks through; larger ones go in pairs of blocks of this size.
+BLOCK = 2048
+#: Bits of a place (band and number of the signature) below the band.
+PLACE_BITS = 24
+
+
+def bands(threshold: tuple[int, int], largest: int) -> list[tuple[int, int, int, int, int]]:
+    """(band, smallest size, largest size, n1, n2) for sets of up to ``largest`` elements; threshold = (p, q) is p / q."""
     p, q = threshold
     out, low, j = [], 1, 0
     while low <= largest:
@@ -45,8 +47,8 @@ def bands(threshold: tuple[int, int], largest: int) -> list[tuple[int, int, int,
         top = (high - 1) * q // p
         # With s elements in both sets together, at least p / (p + q) of s are common; rounding makes this rise and fall.
         most = high - 1 + top
-        differ = max(s - 2 * -(-p * s // (p + q)) for s in range(max(2, most - 2 * (p + q)), most + 1))
-        out.append((j, low, top, max(differ, 0) + 1 + SPARE))
+        differ = max(0, *(s - 2 * -(-p * s // (p + q)) for s in range(max(2, most - 2 * (p + q)), most + 1)))
+        out.append((j, low, top, differ // 2 + 1, SMALL_GROUP if differ <= SMALL else GROUP))
         low, j = high, j + 1
     return out
 
@@ -57,315 +59,148 @@ class Bands:
     def __init__(self, threshold: tuple[int, int]):
         self.threshold, self.largest, self.table = threshold, 0, []
 
-    def of(self, size: int) -> list[tuple[int, int]]:
-        """(band, partitions) of the bands that a set of ``size`` belongs to."""
+    def of(self, size: int) -> list[tuple[int, int, int]]:
+        """(band, n1, n2) of the bands that a set of ``size`` belongs to."""
+        self._grow(size)
+        return [(j, n1, n2) for j, low, top, n1, n2 in self.table if low <= size <= top]
+
+    def shape(self, band: int) -> tuple[int, int]:
+        """n1 and n2 of a band."""
+        while len(self.table) <= band:
+            self._grow(2 * max(self.largest, 32))
+        return self.table[band][3:]
+
+    def _grow(self, size: int) -> None:
         if size > self.largest:
             self.largest = max(64, 2 * size)
             self.table = bands(self.threshold, self.largest)
-        return [(j, n) for j, low, top, n in self.table if low <= size <= top]
 
 
-def signatures(elements: np.ndarray, where: Bands) -> np.ndarray:
-    """64-bit signatures of one set (distinct 64-bit hashes)."""
-    out = []
-    for band, n in where.of(len(elements)):
-        part = ((elements >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        part = part.astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        used, first = np.unique(part[order], return_index=True)
-        # The elements of a partition as a sum of their mixed hashes: no order, and 64 bits.
-        total = np.add.reduceat(T.mix64(elements[order]), first)
-        salt = np.uint64((band + 1) << 40)
-        out.append(T.mix64(total ^ T.mix64(salt + used.astype(np.uint64))))
-        if n - len(used) > SPARE:
-            empty = np.setdiff1d(np.arange(n), used)
-            out.append(T.mix64(T.mix64(salt + empty.astype(np.uint64))))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
-
-
-def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
-    """Distinct shingle hashes of each text, ascending; A-Z count as a-z.  A text without words has none."""
-    out = []
-    for lo, hi in T.chunks(texts):
-        cp, offsets = T.code_points(texts[lo:hi])
-        cp = T.lower_ascii(cp)
-        starts, ends, first = T.word_spans(T.plain_words(cp), offsets)
-        words = T.span_hashes(cp, starts, ends)
-        out += [np.unique(T.shingle_hashes(words[first[i]:first[i + 1]], size)) for i in range(hi - lo)]
-    return out
+def partition_sums(elements: np.ndarray, n: int) -> np.ndarray:
+    """A 32-bit sum of the elements of each of ``n`` partitions of the domain; ``elements`` ascend."""
+    part = ((elements >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    cut = np.searchsorted(part, np.arange(n + 1, dtype=np.uint64))
+    with np.errstate(over="ignore"):
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix64(elements), dtype=np.uint64)])
+        return (T.mix64(running[cut[1:]] - running[cut[:-1]]) >> np.uint64(32)).astype(np.uint32)
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: tuple[int, int]) -> bool:
-    """Whether q * |A and B| >= p * |A or B| for the threshold p / q."""
-    p, q = threshold
-    small, large = sorted((len(a), len(b)))
-    if small == 0 or q * small < p * large:
-        return False
-    both = small + large - len(np.union1d(a, b)) if small < 64 else _common(a, b)
-    return q * both >= p * (small + large - both)
+def subset_keys(sums: np.ndarray, band: int, n2: int) -> np.ndarray:
+    """64-bit signatures: for each group of ``n2`` sums and each of them, a hash of the others and their place."""
+    each = T.mix64(sums.astype(np.uint64) ^ (np.arange(len(sums), dtype=np.uint64) << np.uint64(32))).reshape(-1, n2)
+    with np.errstate(over="ignore"):
+        rest = each.sum(axis=1, dtype=np.uint64)[:, None] - each
+    return T.mix64(rest.ravel() ^ T.mix64(np.arange(len(sums), dtype=np.uint64) + np.uint64((band + 1) << 40)))
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
-
-
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+def signatures(elements: np.ndarray, where: Bands) -> np.ndarray:
+    """All signatures of one set (distinct 64-bit hashes, ascending)."""
+    found = [subset_keys(partition_sums(elements, n1 * n2), band, n2) for band, n1, n2 in where.of(len(elements))]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def describe(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (two 64-bit sums that name the set; null for the empty set) and sketch of every document."""
-    T.small_batches(docs.sparkSession)
+def sketches(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """doc_id, n_shingles, set_key (two 64-bit sums; null for the empty set), bands and partition sums of every document."""
+    p, q = threshold
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where = Bands(threshold)
         for batch in batches:
-            sets = shingle_sets([t if isinstance(t, str) else "" for t in batch["text"]], size)
-            with np.errstate(over="ignore"):
-                one = np.array([T.mix64(s).sum(dtype=np.uint64) for s in sets], np.uint64)
-                two = np.array([T.mix64(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64) for s in sets], np.uint64)
-            n = [len(s) for s in sets]
-            key = [f"{x:016x}{y:016x}" if k else None for x, y, k in zip(one.tolist(), two.tolist(), n)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "n_shingles": n, "set_key": key, "sketch": [sketch(s) for s in sets]})
+            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+            for lo, hi in T.chunks(texts):
+                sets = shingle_sets(texts[lo:hi], size)
+                with np.errstate(over="ignore"):
+                    names = [f"{int(T.mix64(s).sum(dtype=np.uint64)):016x}{int(T.mix64(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)):016x}"
+                             if len(s) else None for s in sets]
+                # Where not even a set with one element more links, equal sets alone do, and those are one already.
+                of = [where.of(len(s)) if len(s) * q >= (len(s) + 1) * p else [] for s in sets]
+                held = [[partition_sums(s, n1 * n2).astype("<u4").tobytes() for _, n1, n2 in b] for s, b in zip(sets, of)]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[lo:hi].array, "n_shingles": [len(s) for s in sets], "set_key": names,
+                                    "classes": [[j for j, _, _ in b] for b in of], "sketches": held})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_shingles long, set_key string, sketch binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInPandas(run, "doc_id long, n_shingles long, set_key string, classes array<int>, sketches array<binary>")
 
 
-def _signature_rows(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """(sig, doc_id) of the sets of ``doc_id, text``."""
+def _signature_rows(held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(sig, place, rep) of (rep, cls, sketch), dealt by sig.
 
+    A set has a row per signature, six at least, so even a group of all sets has no more than a sixth of the rows, and
+    of longer texts far less."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where = Bands(threshold)
         for batch in batches:
-            ids, texts = batch["doc_id"].to_numpy(np.int64), batch["text"].tolist()
-            for lo, hi in T.chunks(texts):
-                sigs = [signatures(s, where) for s in shingle_sets(texts[lo:hi], size)]
-                yield pd.DataFrame({"sig": _signed(np.concatenate(sigs)), "doc_id": np.repeat(ids[lo:hi], [len(s) for s in sigs])})
-
-    return docs.mapInPandas(run, "sig long, doc_id long")
-
-
-def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of M slots, M a power of two and at least one per element.
+            bands_of, raw, reps = batch["cls"].tolist(), batch["sketch"].tolist(), batch["rep"].to_numpy(np.int64)
+            for lo in range(0, len(raw), 256):
+                sums = [np.frombuffer(r, "<u4") for r in raw[lo:lo + 256]]
+                keys = [subset_keys(s, b, where.shape(b)[1]) for s, b in zip(sums, bands_of[lo:lo + 256])]
+                lengths = [len(k) for k in keys]
+                place = [(np.arange(n) & ((1 << PLACE_BITS) - 1)) + (b << PLACE_BITS) for n, b in zip(lengths, bands_of[lo:lo + 256])]
+                yield pd.DataFrame({"sig": np.concatenate(keys).view(np.int64), "place": np.concatenate(place), "rep": np.repeat(reps[lo:lo + 256], lengths)})
 
-    The sketches of two sets differ in no more slots than the sets differ in elements.  Folded in half by exclusive or,
-    a sketch is the one with M / 2 slots."""
-    slots = max(64, 1 << int(len(elements) - 1).bit_length()) if len(elements) else 64
-    odd = np.bincount((elements & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return held.select("rep", "cls", "sketch").mapInPandas(run, "sig long, place int, rep long").repartition(files.parts(held.sparkSession), "sig")
 
 
-def unfold(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of 64-bit words, all folded to the shortest one's slots."""
-    width = min(map(len, sketches)) // 8
-    out = np.zeros((len(sketches), width), np.uint64)
-    for i, raw in enumerate(sketches):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(raw, "<u8").reshape(-1, width), axis=0)
-    return out
-
-
-def _not_ruled_out(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) that sizes and sketches let link."""
+def _possible(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (cls, a, b) whose sizes and sums let them link."""
     p, q = threshold
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n, m = batch["n"].to_numpy(np.int64), batch["m"].to_numpy(np.int64)
-            differ = np.zeros(len(batch), np.int64)
-            for i, pair in enumerate(zip(batch["x"], batch["y"])):
-                x, y = unfold(list(pair))
-                differ[i] = np.bitwise_count(x ^ y).sum()
+            differ = np.array([(np.frombuffer(x, "<u4") != np.frombuffer(y, "<u4")).sum() for x, y in zip(batch["x"], batch["y"])], np.int64)
             yield batch.loc[(q * np.minimum(n, m) >= p * np.maximum(n, m)) & (differ * (p + q) <= (n + m) * (q - p)), ["a", "b"]]
 
-    joined = (pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("x"), "n"), "a")
-              .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("m")), "b"))
-    return joined.select("a", "b", "x", "y", "n", "m").mapInPandas(run, "a long, b long")
+    left = held.select("cls", F.col("rep").alias("a"), "n", F.col("sketch").alias("x"))
+    right = held.select("cls", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    return (pairs.join(left, ["cls", "a"]).join(right, ["cls", "b"]).select("a", "b", "n", "m", "x", "y")
+            .mapInPandas(run, "a long, b long").distinct())
 
 
-def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """(rep, elements) of ``doc_id, text``: the set itself, as little-endian 64-bit numbers."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = shingle_sets(batch["text"].tolist(), size)
-            yield pd.DataFrame({"rep": batch["doc_id"].array, "elements": [s.astype("<u8").tobytes() for s in sets]})
-
-    return texts.mapInPandas(run, "rep long, elements binary")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link, made anew from the texts of their documents."""
-    spark = pairs.sparkSession
-    # Spark may sift the texts by a Bloom filter of the wanted ids before it deals them; by itself it does so for large
-    # tables only.  The number of the round is a condition that makes it take the ids for selective.
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16MB")
-    ids = files.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().withColumn("wanted", F.lit(1)), "wanted-ids")
-    sets = files.written(_sets(texts.join(ids.where("wanted = 1").select("doc_id"), "doc_id", "left_semi"), size), "sets")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ok = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), threshold) for x, y in zip(batch["x"], batch["y"])]
-            yield batch.loc[ok, ["a", "b"]]
-
-    joined = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("y")), "b")
-              .join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("x")), "a"))
-    # A doc_id with several texts links if one of them does.
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct()
-
-
-def components(links: DataFrame, rounds: int = 200) -> DataFrame:
-    """(node, root): the smallest node that each node of the links (a, b) reaches.
-
-    Alternates stars: every node's larger neighbours are tied to its smallest neighbour, then its smaller ones, until
-    nothing changes.  Each round is written to the shared folder, so its lineage ends there.
-    """
-    edges = files.written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    if edges.isEmpty():
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    before = None
-    for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # Larger neighbours to the smallest one.
-        large = files.written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
-        # Smaller neighbours, and the node itself, to the smallest one.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = files.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
-
-
-def _promising(cells: DataFrame, threshold: tuple[int, int], most: int) -> DataFrame:
-    """Pairs (cell, a, b) that may link members of different components within each cell (cell, side, rep, root, n, sketch, failed).
-
-    A cell is a group, or two blocks of a large one; then only pairs of one block with the other are looked at.  Pairs
-    that the sketches don't rule out are taken for links: a member gives no more than ``most`` for each other component,
-    and is then of it.  ``failed`` lists the smaller partners with which a member has been compared in vain.  Cells come in
-    order, so that a batch holds many of the small ones."""
+def _look(cell: pd.DataFrame, threshold: tuple[int, int], short: bool) -> list[tuple[int, int]]:
+    """Pairs of different components in one cell that pass sums and set comparison; what passes is of one component then."""
     p, q = threshold
-
-    def settle(cell, side, rep, root, n, sketches, failed) -> list[tuple]:
-        bits, label = unfold(sketches), np.unique(root, return_inverse=True)[1]
-        two, found = len(np.unique(side)) > 1, []
-        for i in range(1, len(rep)):
-            both = n[i] + n[:i]
-            fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
-            if two:
-                fit &= side[:i] != side[i]
-            if failed[i] is not None:
-                fit &= ~np.isin(rep[:i], failed[i])
-            near = np.flatnonzero(fit)
-            if len(near) == 0:
+    mark, kind = int(cell["mark"].iloc[0]), "<u4" if short else "<u8"
+    n2 = Bands(threshold).shape(mark >> PLACE_BITS)[1]
+    rep, n, side = (cell[c].to_numpy(np.int64) for c in ("rep", "n", "side"))
+    label = np.unique(cell["root"].to_numpy(), return_inverse=True)[1]
+    held = np.frombuffer(b"".join(cell["sketch"]), "<u4").reshape(len(cell), -1, n2)
+    raw, two, found = cell["elements"].tolist(), len(np.unique(side)) > 1, []
+    for i in range(1, len(rep)):
+        fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
+        if two:
+            fit &= side[:i] != side[i]
+        near = np.flatnonzero(fit)
+        if len(near) == 0:
+            continue
+        unlike = held[near] != held[i]
+        per_group = unlike.sum(axis=2)
+        near, unlike, per_group = (x[per_group.sum(axis=1) * (p + q) <= (n[near] + n[i]) * (q - p)] for x in (near, unlike, per_group))
+        if len(near) == 0:
+            continue
+        # The first signature that both have: of the first group with at most one unlike sum, without that one.
+        group = (per_group <= 1).argmax(axis=1)
+        without = unlike[np.arange(len(near)), group].argmax(axis=1)
+        near = near[((group * n2 + without) & ((1 << PLACE_BITS) - 1)) == (mark & ((1 << PLACE_BITS) - 1))]
+        own = np.frombuffer(raw[i], kind)
+        for j in near.tolist():
+            if label[j] == label[i]:
                 continue
-            differ = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            near = near[differ * (p + q) <= both[near] * (q - p)]
-            for other in np.unique(label[near]):
-                found += [(cell, int(rep[j]), int(rep[i])) for j in near[label[near] == other][:most]]
-            label[np.isin(label, label[near])] = label[i]
-        return found
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            whole = pd.concat([*held, batch], ignore_index=True) if held else batch
-            last = whole["cell"].iloc[-1] if len(whole) else None
-            ready = whole[whole["cell"] != last]
-            held = [whole[whole["cell"] == last]]
-            if len(ready):
-                yield look(ready)
-        if held and len(held[0]):
-            yield look(held[0])
-
-    def look(pdf: pd.DataFrame) -> pd.DataFrame:
-        cell = pdf["cell"].to_numpy()
-        cut = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-        side, rep, root, n = (pdf[c].to_numpy(np.int64) for c in ("side", "rep", "root", "n"))
-        sketches, failed, found = pdf["sketch"].tolist(), pdf["failed"].tolist(), []
-        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            found += settle(cell[lo], side[lo:hi], rep[lo:hi], root[lo:hi], n[lo:hi], sketches[lo:hi], failed[lo:hi])
-        return pd.DataFrame(found, columns=["cell", "a", "b"])
-
-    dealt = cells.repartition(files.parts(cells.sparkSession), "cell").sortWithinPartitions("cell", "rep")
-    return dealt.select("cell", "side", "rep", "root", "n", "sketch", "failed").mapInPandas(run, "cell string, a long, b long")
-
-
-def _cells(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, side, rep, root) of the groups (sig, rep) that hold several components; groups with the same members once.
-
-    Groups of two are settled: their one pair has been compared."""
-    rooted = members.select("sig", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    rooted = files.written(rooted.select("sig", "rep", "root"), "rooted")
-    groups = (rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"), F.min("rep").alias("least"))
-              .where("lo != hi AND n > 2").groupBy("n", "who", "least").agg(F.min("sig").alias("sig")).select("sig", "n"))
-    return (rooted.join(groups, "sig").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-            # A member of block i meets every block j: it goes to the cell of the two.
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(F.concat_ws(":", "sig", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), F.col("block").alias("side"), "rep", "root"))
+            common = common_of_short(own, np.frombuffer(raw[j], kind), int(n[i]), int(n[j]))
+            if q * common >= p * (n[i] + n[j] - common):
+                found.append((int(rep[j]), int(rep[i])))
+                label[label == label[j]] = label[i]
+    return found
 
 
 def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (``doc_id, text``).
+    """doc_id, n_shingles and component_id of every row of ``docs`` (``doc_id, text``; other columns don't matter).
 
     Two documents link when their shingle sets have a Jaccard similarity of at least the threshold p / q; the component
     is named by its smallest doc_id.  A document without words links with nothing.  A null doc_id takes no part and
     keeps a null component; rows with one doc_id are each described, and are one node.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    n = files.parts(spark)
-    T.small_batches(spark)
-    described = files.written(describe(docs, size), "described")
-    known = described.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    # Each set once: its smallest doc_id stands for all its copies.
-    reps = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    stands = files.written(known.select("doc_id", "set_key").distinct().join(reps, "set_key"), "representatives")
-    # One sketch per representative; a repeated doc_id that stands for several sets keeps them all.
-    sketches = files.written(known.select("doc_id", "set_key", "sketch", F.col("n_shingles").alias("n"))
-                             .join(reps.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"], "left_semi")
-                             .select(F.col("doc_id").alias("rep"), "n", "sketch").distinct(), "sketches")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = _signature_rows(texts, size, threshold).repartition(n, "sig")
-    shared = rows.groupBy("sig").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("sig")
-    found = files.written(rows.join(shared, "sig"), "shared-signatures")
-    of_sets = files.written(found.join(stands.select("doc_id", "rep"), "doc_id").select("sig", "rep").distinct(), "signatures-of-sets")
-    pivots = of_sets.groupBy("sig").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot != top").drop("top")
-    members = files.written(of_sets.join(pivots, "sig"), "members")
-    # Round 1: each member with the smallest of its group.
-    pairs = members.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = files.written(_not_ruled_out(pairs, sketches, threshold).distinct(), "pairs")
-    # One doc_id with several texts is one node: it ties the sets that it stands in.
-    tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
-            .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
-    links = files.written(_verified(pairs, texts, size, threshold).unionByName(tied), "links")
-    roots = components(links)
-    # Round 2: groups that still hold several components, until no pair is left to try.
-    vain = files.written(pairs.join(links, ["a", "b"], "left_anti"), "no-links")
-    cells, most = files.written(_cells(members, roots), "cells"), 16
-    while True:
-        struck = vain.groupBy(F.col("b").alias("rep")).agg(F.collect_set("a").alias("failed"))
-        tried = files.written(_promising(cells.join(sketches, "rep").join(struck, "rep", "left"), threshold, most), "tried")
-        if tried.isEmpty():
-            break
-        pairs = files.written(tried.select("a", "b").distinct(), "pairs")
-        more = files.written(_verified(pairs, texts, size, threshold), "more-links")
-        wrong = pairs.join(more, ["a", "b"], "left_anti")
-        vain = files.written(vain.unionByName(wrong), "no-links")
-        if not more.isEmpty():
-            links = files.written(links.unionByName(more), "links")
-            roots = components(links)
-        # A cell whose pairs have all proved right is settled.  The others are looked through again, with more pairs each time.
-        again = cells.join(tried.join(wrong, ["a", "b"], "left_semi").select("cell").distinct(), "cell", "left_semi").drop("root")
-        again = again.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        again = files.written(again.select("cell", "side", "rep", "root"), "cells")
-        mixed = again.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("cell")
-        cells, most = files.written(again.join(mixed, "cell", "left_semi"), "cells"), most * 16
-    named = (stands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-             .select("doc_id", F.coalesce("root", "rep").alias("component_id")).distinct())
-    out = described.join(named, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    method = Method("setjoin", lambda d: sketches(d, size, threshold), lambda held: _signature_rows(held, threshold),
+                    lambda pairs, held: _possible(pairs, held, threshold), lambda cell, short: _look(cell, threshold, short),
+                    "place", f"place >> {PLACE_BITS}", f"(place & {(1 << PLACE_BITS) - 1}) % {STARS} = 0", BLOCK)
+    return linked_classes(docs, method, size, threshold)

@@ -110,12 +110,31 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(got.get(i, i) == 0 for i in range(41)) and all(got.get(i, i) == 100 for i in range(100, 130)) and got[500] == 400
 
 
-def test_sketches_bound_the_difference():
+def test_sums_bound_the_difference():
+    """Sets differ in at least as many elements as partition sums."""
     rng = np.random.default_rng(8)
     for _ in range(300):
         a = np.unique(rng.integers(0, 2 ** 63, rng.integers(1, 400)).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.integers(0, len(a)):], rng.integers(0, 2 ** 63, rng.integers(0, 400)).astype(np.uint64)]))
+        n = int(rng.integers(1, 200))
         if len(b):
-            x, y = setjoin.unfold([setjoin.sketch(a), setjoin.sketch(b)])
-            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
-            assert len(setjoin.sketch(a)) * 8 >= len(a)
+            assert (setjoin.partition_sums(a, n) != setjoin.partition_sums(b, n)).sum() <= len(np.setxor1d(a, b))
+
+
+def test_a_pair_has_one_place():
+    """The first common place that `_look` names is that of a signature both sets have."""
+    rng, seen = np.random.default_rng(9), 0
+    for n in (8, 15, 60, 300):
+        for _ in range(60):
+            base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            a, b = base, np.unique(np.concatenate([base[n // 20 + 1:], rng.integers(0, 2 ** 63, n // 20).astype(np.uint64)]))
+            where = setjoin.Bands((17, 20))
+            for band, n1, n2 in where.of(len(b)):
+                x, y = (setjoin.partition_sums(s, n1 * n2) for s in (a, b))
+                common = np.flatnonzero(setjoin.subset_keys(x, band, n2) == setjoin.subset_keys(y, band, n2))
+                unlike = (x != y).reshape(-1, n2)
+                group = int((unlike.sum(axis=1) <= 1).argmax())
+                if len(common):
+                    assert group * n2 + int(unlike[group].argmax()) == common[0]
+                    seen += 1
+    assert seen > 200
