@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -60,6 +61,14 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files behind tables that are written.
+
+    It does so when the driver collects its garbage, which one with much free memory may not do for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -8,14 +8,12 @@ count of zeros worth telling apart.  A set whose partners may be of the next cla
 
 1. Every `ROWS` registers make a band; sets with equal bands are candidates.  Sets of a similarity of 0.85 miss each other
    in all `BANDS` bands with a probability of 2.4e-7, and are lost by the estimate below with about 1e-9.
-2. Stars: in the first `STAR_BANDS` bands, each member of a group of equal bands is paired with the group's smallest.
-   Agreeing registers, less those expected to agree by chance, estimate the similarity; pairs that are `SIGMAS` standard
-   deviations below the threshold go, the rest are confirmed on their full sets.  Links make components.
-3. Cells: groups of any band that hold several components are looked through inside tasks, large ones in blocks.  Members
-   of one component are not compared.  A pair is looked at in its first common band alone: by estimate, then by 32-bit
-   forms of its sets.  What passes is confirmed on the full sets as before.
-
-So copies and near copies cost a pair per member and band, not one per pair, and pairs leave a task only if they link.
+2. Agreeing registers, less those expected to agree by chance, estimate the similarity; pairs that are `SIGMAS` standard
+   deviations below the threshold go.
+3. The rest goes the way of `links`: stars in the first `STAR_BANDS` bands, components, cells in which a pair is looked at in
+   its first common band alone, all confirmed on full sets.
+
+So copies and near copies cost a pair per member and band, not one per pair, and pairs leave a task only if they may link.
 """
 
 from __future__ import annotations
@@ -27,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from aeroloom.llm import files, text as T
-from aeroloom.llm.links import Method, common_of_short, linked_classes, shingle_sets
+from aeroloom.llm.links import Method, linked_classes, shingle_sets
 
 ROWS, BANDS = 8, 48
 REGISTERS = ROWS * BANDS
@@ -166,37 +164,18 @@ def _estimated(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) ->
             .mapInPandas(run, "a long, b long").distinct())
 
 
-def _look(cell: pd.DataFrame, threshold: tuple[int, int], slack: bool) -> list[tuple[int, int]]:
-    """Pairs of different components in one cell that pass estimate and set comparison; what passes is of one component then.
+def _near(cell: pd.DataFrame, threshold: tuple[int, int]):
+    """Which members of one cell the estimate allows to link, of the pairs whose first common band is the cell's."""
+    least, band = least_estimate(threshold), int(cell["mark"].iloc[0]) & 63
+    held, n, cls = _unpacked(cell["sketch"]), cell["n"].to_numpy(np.int64), cell["cls"].to_numpy()
 
-    Sets are compared by 32-bit hashes, counted so that a link is never missed, or (``slack`` False) by whole ones."""
-    p, q = threshold
-    least, kind = least_estimate(threshold), "<u4" if slack else "<u8"
-    band, cls = int(cell["mark"].iloc[0]) & 63, cell["cls"].to_numpy()
-    rep, n, side = (cell[c].to_numpy(np.int64) for c in ("rep", "n", "side"))
-    label = np.unique(cell["root"].to_numpy(), return_inverse=True)[1]
-    held, raw, two, found = _unpacked(cell["sketch"]), cell["elements"].tolist(), len(np.unique(side)) > 1, []
-    for i in range(1, len(rep)):
-        fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
-        if two:
-            fit &= side[:i] != side[i]
-        near = np.flatnonzero(fit)
-        if len(near) == 0:
-            continue
+    def near_of(i: int, near: np.ndarray) -> np.ndarray:
         same = held[near] == held[i]
-        # The first band in which all registers agree is the pair's own.
         mine = same.reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
         filled = ((held[near] > 0) | (held[i] > 0)).sum(axis=1)
-        near = near[mine & (estimate((same & (held[i] > 0)).sum(axis=1), filled, n[near], np.full(len(near), n[i]), cls[near]) >= least)]
-        own = np.frombuffer(raw[i], kind)
-        for j in near.tolist():
-            if label[j] == label[i]:
-                continue
-            common = common_of_short(own, np.frombuffer(raw[j], kind), int(n[i]), int(n[j]))
-            if q * common >= p * (n[i] + n[j] - common):
-                found.append((int(rep[j]), int(rep[i])))
-                label[label == label[j]] = label[i]
-    return found
+        return near[mine & (estimate((same & (held[i] > 0)).sum(axis=1), filled, n[near], np.full(len(near), n[i]), cls[near]) >= least)]
+
+    return near_of
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -208,6 +187,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     each described, and are one node.  An empty table gives no rows.
     """
     method = Method("hmh", lambda d: sketches(d, size, threshold), _band_rows, lambda pairs, held: _estimated(pairs, held, threshold),
-                    lambda cell, short: _look(cell, threshold, short), MARK, CLASS, f"({MARK} & 63) < {STAR_BANDS}", BLOCK)
+                    lambda cell: _near(cell, threshold), MARK, CLASS, f"({MARK} & 63) < {STAR_BANDS}", BLOCK, one_place=True)
     out = linked_classes(docs, method, size, threshold)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))

@@ -3,10 +3,13 @@
 A method gives each set sketches by class and signatures; sets with one signature are a group of candidates.
 
 1. Stars: in some of the groups, each member is paired with the group's smallest.  Pairs that the sketches allow are
-   confirmed on their full sets, and links make components.
-2. Cells: groups that still hold several components are looked through inside tasks, large ones in pairs of blocks.  Members
-   of one component are not compared, each pair is looked at in one of its groups alone, and what passes (by sketch, then
-   by 32-bit forms of the sets) is confirmed like the others.
+   confirmed on their full sets, and links make components.  In all groups that still hold several components, members
+   are then paired with the smallest and the largest, where these are of another component.  That settles groups of three.
+2. Cells: larger groups that still hold several components are looked through inside tasks, very large ones in pairs of
+   blocks.  Members of one component are not compared.  Each pair is looked at in one of its groups alone, or else groups
+   of the same members are one cell.  Pairs that the sketches allow are confirmed like the others.  A cell with a member that
+   has more than `FEW` such partners is looked through again with short forms of the sets, where what passes counts as one
+   component from then on; and once more with whole sets if a short form has misled.
 
 So copies and near copies cost a pair per member and group, not one per pair, and pairs leave a task only if they link.
 Whole sets move for pairs and mixed groups alone, and are made from their texts once.
@@ -64,11 +67,27 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInPandas(run, "rep long, elements binary")
 
 
+def short_form(elements: np.ndarray) -> bytes:
+    """The distinct low bytes of a set's elements, as many as leave few of them alike: two to four per element."""
+    width = 2 if len(elements) < 256 else 3 if len(elements) < 1 << 16 else 4
+    low = np.unique(elements & np.uint64((1 << (8 * width)) - 1)).astype("<u4")
+    return bytes([width]) + low.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def read_form(raw: bytes, short: bool) -> np.ndarray:
+    """Elements, ascending, of a short form or of a whole set."""
+    if not short:
+        return np.frombuffer(raw, "<u8")
+    out = np.zeros(((len(raw) - 1) // raw[0], 4), np.uint8)
+    out[:, :raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
+    return out.view("<u4").ravel()
+
+
 def shortened(rows: DataFrame) -> DataFrame:
-    """The same rows with the distinct lower halves of their elements."""
+    """The same rows with their elements in short form."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(elements=[np.unique(np.frombuffer(e, "<u8").astype("<u4")).tobytes() for e in batch["elements"]])
+            yield batch.assign(elements=[short_form(np.frombuffer(e, "<u8")) for e in batch["elements"]])
 
     return rows.mapInPandas(run, rows.schema)
 
@@ -118,12 +137,19 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def common_of_short(a: np.ndarray, b: np.ndarray, n: int, m: int) -> int:
     """Common elements of two sets of n and m elements, at most, from their distinct short forms."""
+    if len(a) and len(b) and (n < 256) != (m < 256) or (n < 1 << 16) != (m < 1 << 16):
+        width = 2 if min(n, m) < 256 else 3  # forms of two widths meet in the shorter
+        a, b = (np.unique(x & np.uint32((1 << (8 * width)) - 1)) if x.dtype.itemsize == 4 else x for x in (a, b))
     small, large = (a, b) if len(a) < len(b) else (b, a)
     common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
     # Elements that fell together in the short form may all be common.
     return min(common + max(n - len(a), m - len(b)), n, m)
 
 
+#: Partners that a member of a cell may have by sketches alone.
+FEW = 16
+
+
 @dataclass
 class Method:
     """A way to find candidates."""
@@ -135,21 +161,50 @@ class Method:
     signatures: Callable[[DataFrame], DataFrame]
     #: pairs (cls, a, b) and sketches -> those of (a, b) that may link.
     possible: Callable[[DataFrame, DataFrame], DataFrame]
-    #: rows of one cell, whether its sets are short -> pairs that pass.
-    look: Callable[[pd.DataFrame, bool], list[tuple[int, int]]]
+    #: rows of one cell -> function of a member's place and those of others before it, giving the others that may link with it.
+    near: Callable[[pd.DataFrame], Callable[[int, np.ndarray], np.ndarray]]
     #: SQL over signature rows: what a cell must know of its signature, the class, and whether stars are made of it.
     mark: str
     cls: str
     star: str
     #: Members of a group that one task looks through; larger groups go in pairs of blocks of this size.
     block: int
+    #: Whether ``look`` takes each pair in one of its groups alone, so that no group may be left out for another.
+    one_place: bool
+    #: What of the sketches the comparisons need.
+    lighten: Callable[[DataFrame], DataFrame] = lambda held: held
+
+
+def _groups(method: Method, held: DataFrame) -> DataFrame:
+    """(sig, rep, low, mark, cls, star): signatures that two sets at least have, with the least of them."""
+    rows = method.signatures(held)
+    # Both branches read all columns, so the rows are dealt once.
+    pivots = (rows.groupBy("sig").agg(F.min("rep").alias("low"), F.max("rep").alias("top"), F.min(F.expr(method.cls)).alias("least_cls"))
+              .where("low != top AND least_cls >= 0").drop("least_cls", "top"))
+    return rows.join(pivots, "sig").select("sig", "rep", "low", F.expr(method.mark).alias("mark"), F.expr(method.cls).alias("cls"), F.expr(method.star).alias("star"))
+
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """The groups of (sig, rep, root) that hold several components, with their ends and what names their members."""
+    return (members.groupBy("sig").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"),
+        F.min("rep").alias("low"), F.max("rep").alias("top"), F.min_by("root", "rep").alias("low_root"), F.max_by("root", "rep").alias("top_root"))
+        .where("lo != hi").drop("lo", "hi"))
 
-def _cells(method: Method, groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, side, mark, cls, rep, root) of the groups that hold several components, in blocks."""
-    members = files.written(rooted(groups, roots), f"{method.name}-rooted")
-    mixed = (members.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo != hi").select("sig", F.ceil(F.col("n") / method.block).cast("int").alias("blocks")))
+
+def _ends(members: DataFrame) -> DataFrame:
+    """Pairs (cls, a, b) of members with the ends of their groups, where these are of another component."""
+    ends = F.array(F.struct(F.col("low").alias("end"), F.col("low_root").alias("end_root")), F.struct(F.col("top").alias("end"), F.col("top_root").alias("end_root")))
+    pairs = members.join(_mixed(members), "sig").select("cls", "rep", "root", F.explode(ends).alias("e")).where("root != e.end_root")
+    return pairs.select("cls", F.least("rep", "e.end").alias("a"), F.greatest("rep", "e.end").alias("b")).distinct()
+
+
+def _cells(method: Method, members: DataFrame) -> DataFrame:
+    """(cell, side, mark, cls, rep, root) of the groups of four and more that hold several components, in blocks."""
+    mixed = _mixed(members).where("n > 3")
+    if not method.one_place:
+        mixed = mixed.groupBy("n", "who", "low").agg(F.min("sig").alias("sig"))
+    mixed = mixed.select("sig", F.ceil(F.col("n") / method.block).cast("int").alias("blocks"))
     # A member of block i meets every block j: it goes to the cell of the two.
     return (members.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -157,10 +212,37 @@ def _cells(method: Method, groups: DataFrame, roots: DataFrame) -> DataFrame:
                     "mark", "cls", "rep", "root"))
 
 
-def _passing(method: Method, cells: DataFrame, short: bool) -> DataFrame:
-    """Pairs (a, b) of all cells (cell, side, mark, cls, rep, root, n, sketch, elements); each cell lies in one task, in order."""
-    look_at = method.look
+def _look(cell: pd.DataFrame, method: Method, threshold: tuple[int, int], form: str) -> list[tuple]:
+    """Pairs (a, b) of different components in one cell that may link, by sketches or by sets; (None, None) if those are too many."""
+    p, q = threshold
+    rep, n, side = (cell[c].to_numpy(np.int64) for c in ("rep", "n", "side"))
+    label = np.unique(cell["root"].to_numpy(), return_inverse=True)[1]
+    near_of, two, found = method.near(cell), len(np.unique(side)) > 1, []
+    raw = cell["elements"].tolist() if form != "sketch" else []
+    for i in range(1, len(rep)):
+        fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
+        if two:
+            fit &= side[:i] != side[i]
+        near = np.flatnonzero(fit)
+        near = near_of(i, near) if len(near) else near
+        if form == "sketch":
+            if len(near) > FEW:
+                return [(None, None)]
+            found += [(int(rep[j]), int(rep[i])) for j in near]
+            continue
+        own = read_form(raw[i], form == "short") if len(near) else None
+        for j in near.tolist():
+            if label[j] == label[i]:
+                continue
+            common = common_of_short(own, read_form(raw[j], form == "short"), int(n[i]), int(n[j]))
+            if q * common >= p * (n[i] + n[j] - common):
+                found.append((int(rep[j]), int(rep[i])))
+                label[label == label[j]] = label[i]
+    return found
 
+
+def _passing(method: Method, cells: DataFrame, threshold: tuple[int, int], form: str) -> DataFrame:
+    """(cell, a, b) of all cells (cell, side, mark, cls, rep, root, n, sketch, and elements by ``form``); each cell lies in one task, in order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: pd.DataFrame | None = None
         for batch in batches:
@@ -174,11 +256,13 @@ def _passing(method: Method, cells: DataFrame, short: bool) -> DataFrame:
             yield look(rest)
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pair for _, cell in rows.groupby("cell", sort=False) for pair in look_at(cell, short)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        found = [(name, *pair) for name, cell in rows.groupby("cell", sort=False) for pair in _look(cell, method, threshold, form)]
+        out = pd.DataFrame(found, columns=["cell", "a", "b"])
+        return out.astype({"a": "Int64", "b": "Int64"})
 
     dealt = cells.repartition(files.parts(cells.sparkSession), "cell").sortWithinPartitions("cell", "rep")
-    return dealt.select("cell", "side", "mark", "cls", "rep", "root", "n", "sketch", "elements").mapInPandas(run, "a long, b long").distinct()
+    columns = ["cell", "side", "mark", "cls", "rep", "root", "n", "sketch", *(["elements"] if form != "sketch" else [])]
+    return dealt.select(columns).mapInPandas(run, "cell string, a long, b long")
 
 
 def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[int, int]) -> DataFrame:
@@ -195,34 +279,49 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
                          .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("classes", "sketches")).alias("s"))
                          .select("rep", "n", F.col("s.classes").alias("cls"), F.col("s.sketches").alias("sketch")), f"{name}-held")
     files.drop(sketched)
-    rows = method.signatures(held)
-    pivots = rows.groupBy("sig").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a != top").drop("top")
-    shared = rows.join(pivots, "sig").select("sig", "rep", "a", F.expr(method.mark).alias("mark"), F.expr(method.cls).alias("cls"), F.expr(method.star).alias("star"))
-    groups = files.written(shared, f"{name}-groups")
+    groups = files.written(_groups(method, held), f"{name}-groups")
+    files.release(docs.sparkSession)
     # Only sets that share a signature are made, once, and keep their sketches.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     wanted = files.written(groups.select("rep").distinct(), f"{name}-candidates")
     sets = files.written(sets_of(texts, wanted, size), f"{name}-sets")
-    candidates = files.written(held.join(wanted, "rep", "left_semi"), f"{name}-candidate-sketches")
+    candidates = files.written(method.lighten(held.join(wanted, "rep", "left_semi")), f"{name}-candidate-sketches")
     files.drop(held)
+    files.release(docs.sparkSession)
     # Stars.
-    pairs = groups.where("star AND rep != a").select("cls", "a", F.col("rep").alias("b")).distinct()
+    pairs = groups.where("star AND rep != low").select("cls", F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = files.written(method.possible(pairs, candidates), f"{name}-pairs")
     # One doc_id with several texts is one node: it ties the sets that it stands in.
     tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
             .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
     links = files.written(confirmed(pairs, sets, threshold).unionByName(tied), f"{name}-links")
     roots = components(links)
-    # Cells: by short sets, and by whole ones if a short one has misled.
-    cells = files.written(_cells(method, groups.select("sig", "rep", "mark", "cls"), roots), f"{name}-cells")
-    loads = candidates.join(sets, "rep").join(cells.select("rep").distinct(), "rep", "left_semi")
-    for short in (True, False):
-        tried = files.written(_passing(method, cells.join(shortened(loads) if short else loads, ["rep", "cls"]), short), f"{name}-passing")
-        more = files.written(confirmed(tried, sets, threshold), f"{name}-more-links")
-        if tried.join(more, ["a", "b"], "left_anti").isEmpty():
+    members = files.written(rooted(groups.select("sig", "rep", "mark", "cls"), roots), f"{name}-members")
+    files.drop(groups)
+    more = files.written(confirmed(files.written(method.possible(_ends(members), candidates), f"{name}-end-pairs"), sets, threshold), f"{name}-end-links")
+    links = links.unionByName(more)
+    roots = components(links)
+    members = files.written(rooted(members.drop("root"), roots), f"{name}-members")
+    files.release(docs.sparkSession)
+    cells = files.written(_cells(method, members), f"{name}-cells")
+    files.drop(members)
+    for form in ("sketch", "short", "whole"):
+        loads = candidates
+        if form != "sketch":
+            loads = candidates.join(cells.select("rep").distinct(), "rep", "left_semi").join(sets, "rep")
+            loads = shortened(loads) if form == "short" else loads
+        tried = files.written(_passing(method, cells.join(loads, ["rep", "cls"]), threshold, form), f"{name}-passing")
+        more = files.written(confirmed(tried.where("a IS NOT NULL").select("a", "b").distinct(), sets, threshold), f"{name}-more-links")
+        links = links.unionByName(more)
+        if form == "sketch":
+            again = tried.where("a IS NULL").select("cell").distinct()
+        else:  # what passed and proved wrong may have hidden a link
+            again = tried.join(more, ["a", "b"], "left_anti").select("cell").distinct()
+        cells = files.written(cells.join(again, "cell", "left_semi"), f"{name}-cells")
+        if form == "whole" or cells.isEmpty():
             break
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        cells = files.written(rooted(cells.drop("root"), components(links)), f"{name}-cells")
+    roots = components(links)
     named = rooted(stands.select("doc_id", "rep"), roots).groupBy("doc_id").agg(F.min("root").alias("component_id"))
     out = described.select("doc_id", "n_shingles").join(named, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

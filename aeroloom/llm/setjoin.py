@@ -9,8 +9,8 @@ of all its partitions but one; each of the n2 subsets is enumerated, and linked
 larger in bands of small sets, where a subset would else hold too few elements.
 
 A sketch of a set is a 32-bit sum of each partition's elements.  Two sets differ in at least as many elements as sums, which
-rules out most candidates, and the sums name the first signature that two sets share: there alone a pair is looked at.
-Candidates then go the way of `links`: stars, components, cells, all confirmed on full sets.  No link is lost.
+rules out most candidates.  Candidates go the way of `links`: stars in every group, components, cells, all confirmed on full
+sets.  No link is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from aeroloom.llm import files, text as T
-from aeroloom.llm.links import Method, common_of_short, components, linked, linked_classes, shingle_sets
+from aeroloom.llm.links import Method, components, linked, linked_classes, shingle_sets
 
 __all__ = ["bands", "Bands", "components", "linked", "partition_sums", "signatures", "similar_classes"]
 
@@ -34,8 +34,6 @@ GROUP, SMALL_GROUP, SMALL = 3, 6, 8
 STARS = 7
 #: Members of a group of equal signatures that one task looks through; larger ones go in pairs of blocks of this size.
 BLOCK = 2048
-#: Bits of a place (band and number of the signature) below the band.
-PLACE_BITS = 24
 
 
 def bands(threshold: tuple[int, int], largest: int) -> list[tuple[int, int, int, int, int]]:
@@ -123,22 +121,29 @@ def sketches(docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFram
 
 
 def _signature_rows(held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(sig, place, rep) of (rep, cls, sketch), dealt by sig.
+    """(sig, rep, cls) of (rep, cls, sketch), dealt by sig.
 
     A set has a row per signature, six at least, so even a group of all sets has no more than a sixth of the rows, and
     of longer texts far less."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where = Bands(threshold)
         for batch in batches:
-            bands_of, raw, reps = batch["cls"].tolist(), batch["sketch"].tolist(), batch["rep"].to_numpy(np.int64)
+            bands_of, raw, reps = batch["cls"].to_numpy(), batch["sketch"].tolist(), batch["rep"].to_numpy(np.int64)
             for lo in range(0, len(raw), 256):
-                sums = [np.frombuffer(r, "<u4") for r in raw[lo:lo + 256]]
-                keys = [subset_keys(s, b, where.shape(b)[1]) for s, b in zip(sums, bands_of[lo:lo + 256])]
+                keys = [subset_keys(np.frombuffer(r, "<u4"), b, where.shape(b)[1]) for r, b in zip(raw[lo:lo + 256], bands_of[lo:lo + 256].tolist())]
                 lengths = [len(k) for k in keys]
-                place = [(np.arange(n) & ((1 << PLACE_BITS) - 1)) + (b << PLACE_BITS) for n, b in zip(lengths, bands_of[lo:lo + 256])]
-                yield pd.DataFrame({"sig": np.concatenate(keys).view(np.int64), "place": np.concatenate(place), "rep": np.repeat(reps[lo:lo + 256], lengths)})
+                yield pd.DataFrame({"sig": np.concatenate(keys).view(np.int64), "cls": np.repeat(bands_of[lo:lo + 256], lengths), "rep": np.repeat(reps[lo:lo + 256], lengths)})
 
-    return held.select("rep", "cls", "sketch").mapInPandas(run, "sig long, place int, rep long").repartition(files.parts(held.sparkSession), "sig")
+    return held.select("rep", "cls", "sketch").mapInPandas(run, "sig long, cls int, rep long").repartition(files.parts(held.sparkSession), "sig")
+
+
+def _one_byte(held: DataFrame) -> DataFrame:
+    """The same rows with one byte of each sum: unlike bytes are unlike sums."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(sketch=[np.frombuffer(s, "<u4").astype(np.uint8).tobytes() for s in batch["sketch"]])
+
+    return held.mapInPandas(run, held.schema)
 
 
 def _possible(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -148,7 +153,7 @@ def _possible(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n, m = batch["n"].to_numpy(np.int64), batch["m"].to_numpy(np.int64)
-            differ = np.array([(np.frombuffer(x, "<u4") != np.frombuffer(y, "<u4")).sum() for x, y in zip(batch["x"], batch["y"])], np.int64)
+            differ = np.array([(np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)).sum() for x, y in zip(batch["x"], batch["y"])], np.int64)
             yield batch.loc[(q * np.minimum(n, m) >= p * np.maximum(n, m)) & (differ * (p + q) <= (n + m) * (q - p)), ["a", "b"]]
 
     left = held.select("cls", F.col("rep").alias("a"), "n", F.col("sketch").alias("x"))
@@ -157,40 +162,15 @@ def _possible(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) ->
             .mapInPandas(run, "a long, b long").distinct())
 
 
-def _look(cell: pd.DataFrame, threshold: tuple[int, int], short: bool) -> list[tuple[int, int]]:
-    """Pairs of different components in one cell that pass sums and set comparison; what passes is of one component then."""
+def _near(cell: pd.DataFrame, threshold: tuple[int, int]):
+    """Which members of one cell the sums allow to link."""
     p, q = threshold
-    mark, kind = int(cell["mark"].iloc[0]), "<u4" if short else "<u8"
-    n2 = Bands(threshold).shape(mark >> PLACE_BITS)[1]
-    rep, n, side = (cell[c].to_numpy(np.int64) for c in ("rep", "n", "side"))
-    label = np.unique(cell["root"].to_numpy(), return_inverse=True)[1]
-    held = np.frombuffer(b"".join(cell["sketch"]), "<u4").reshape(len(cell), -1, n2)
-    raw, two, found = cell["elements"].tolist(), len(np.unique(side)) > 1, []
-    for i in range(1, len(rep)):
-        fit = (label[:i] != label[i]) & (q * np.minimum(n[i], n[:i]) >= p * np.maximum(n[i], n[:i]))
-        if two:
-            fit &= side[:i] != side[i]
-        near = np.flatnonzero(fit)
-        if len(near) == 0:
-            continue
-        unlike = held[near] != held[i]
-        per_group = unlike.sum(axis=2)
-        near, unlike, per_group = (x[per_group.sum(axis=1) * (p + q) <= (n[near] + n[i]) * (q - p)] for x in (near, unlike, per_group))
-        if len(near) == 0:
-            continue
-        # The first signature that both have: of the first group with at most one unlike sum, without that one.
-        group = (per_group <= 1).argmax(axis=1)
-        without = unlike[np.arange(len(near)), group].argmax(axis=1)
-        near = near[((group * n2 + without) & ((1 << PLACE_BITS) - 1)) == (mark & ((1 << PLACE_BITS) - 1))]
-        own = np.frombuffer(raw[i], kind)
-        for j in near.tolist():
-            if label[j] == label[i]:
-                continue
-            common = common_of_short(own, np.frombuffer(raw[j], kind), int(n[i]), int(n[j]))
-            if q * common >= p * (n[i] + n[j] - common):
-                found.append((int(rep[j]), int(rep[i])))
-                label[label == label[j]] = label[i]
-    return found
+    held, n = np.frombuffer(b"".join(cell["sketch"]), np.uint8).reshape(len(cell), -1), cell["n"].to_numpy(np.int64)
+
+    def near_of(i: int, near: np.ndarray) -> np.ndarray:
+        return near[(held[near] != held[i]).sum(axis=1) * (p + q) <= (n[near] + n[i]) * (q - p)]
+
+    return near_of
 
 
 def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -201,6 +181,6 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     keeps a null component; rows with one doc_id are each described, and are one node.  An empty table gives no rows.
     """
     method = Method("setjoin", lambda d: sketches(d, size, threshold), lambda held: _signature_rows(held, threshold),
-                    lambda pairs, held: _possible(pairs, held, threshold), lambda cell, short: _look(cell, threshold, short),
-                    "place", f"place >> {PLACE_BITS}", f"(place & {(1 << PLACE_BITS) - 1}) % {STARS} = 0", BLOCK)
+                    lambda pairs, held: _possible(pairs, held, threshold), lambda cell: _near(cell, threshold),
+                    "0", "cls", f"pmod(sig, {STARS}) = 0", BLOCK, one_place=False, lighten=_one_byte)
     return linked_classes(docs, method, size, threshold)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aeroloom.llm import hyperminhash as H, queries, text as T
+from aeroloom.llm import hyperminhash as H, links, queries, text as T
 from tests.llm.conftest import SF
 from tests.llm.test_setjoin import brute, edited
 
@@ -90,11 +90,12 @@ def test_cells_alone_find_all_links(docs_of, monkeypatch):
     same(H.near_duplicates(docs_of(rows)), rows, 5, 4, 5)
 
 
-def test_a_short_set_that_misleads_is_not_the_end(docs_of, monkeypatch):
-    """With short forms that call every candidate a link, whole sets decide."""
-    plain = H._look
+@pytest.mark.parametrize("few", [0, 16])
+def test_short_sets_that_mislead_are_not_the_end(docs_of, monkeypatch, few):
+    """With short forms that call half of the candidates links, whole sets decide; with no partners allowed by sketches, all cells take them."""
     monkeypatch.setattr(H, "STAR_BANDS", 0)
-    monkeypatch.setattr(H, "_look", lambda cell, threshold, slack: plain(cell, (7, 10) if slack else threshold, slack))
+    monkeypatch.setattr(links, "FEW", few)
+    monkeypatch.setattr(links, "common_of_short", lambda a, b, n, m, count=links.common_of_short: count(a, b, n, m) + (a.dtype.itemsize == 4) * (n // 20))
     draw, rows = random.Random(7), []
     base = [f"w{draw.randrange(50000)}" for _ in range(60)]
     rows += [(i, edited(draw, base, i % 4)) for i in range(40)]

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from aeroloom.llm import queries, setjoin
+from aeroloom.llm import links, queries, setjoin
 from tests.llm.conftest import SF
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -121,20 +121,23 @@ def test_sums_bound_the_difference():
             assert (setjoin.partition_sums(a, n) != setjoin.partition_sums(b, n)).sum() <= len(np.setxor1d(a, b))
 
 
-def test_a_pair_has_one_place():
-    """The first common place that `_look` names is that of a signature both sets have."""
-    rng, seen = np.random.default_rng(9), 0
-    for n in (8, 15, 60, 300):
-        for _ in range(60):
-            base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
-            a, b = base, np.unique(np.concatenate([base[n // 20 + 1:], rng.integers(0, 2 ** 63, n // 20).astype(np.uint64)]))
-            where = setjoin.Bands((17, 20))
-            for band, n1, n2 in where.of(len(b)):
-                x, y = (setjoin.partition_sums(s, n1 * n2) for s in (a, b))
-                common = np.flatnonzero(setjoin.subset_keys(x, band, n2) == setjoin.subset_keys(y, band, n2))
-                unlike = (x != y).reshape(-1, n2)
-                group = int((unlike.sum(axis=1) <= 1).argmax())
-                if len(common):
-                    assert group * n2 + int(unlike[group].argmax()) == common[0]
-                    seen += 1
-    assert seen > 200
+def test_short_forms_never_miss_a_common_element():
+    rng = np.random.default_rng(10)
+    for n, m in ((5, 6), (200, 240), (250, 260), (300, 300), (2000, 2300), (65_000, 66_000), (70_000, 70_000)):
+        base = np.unique(rng.integers(0, 2 ** 63, n + m).astype(np.uint64))
+        a, b = np.sort(rng.choice(base, n, replace=False)), np.sort(rng.choice(base, m, replace=False))
+        common = len(np.intersect1d(a, b))
+        whole = links.common_of_short(*(links.read_form(x.tobytes(), False) for x in (a, b)), len(a), len(b))
+        short = links.common_of_short(*(links.read_form(links.short_form(x), True) for x in (a, b)), len(a), len(b))
+        assert whole == common <= short <= common + 0.02 * n + 2
+
+
+@pytest.mark.parametrize("few", [0, 2])
+def test_cells_with_many_partners_take_sets(docs_of, monkeypatch, few):
+    monkeypatch.setattr(links, "FEW", few)
+    monkeypatch.setattr(setjoin, "STARS", 1 << 40)
+    draw, rows = random.Random(11), []
+    for _ in range(3):
+        base = [f"w{draw.randrange(50000)}" for _ in range(70)]
+        rows += [(len(rows) + i, edited(draw, base, i % 5)) for i in range(30)]
+    same(setjoin.similar_classes(docs_of(rows)), rows, 5, 4, 5)
