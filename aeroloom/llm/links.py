@@ -12,7 +12,7 @@ A method gives each set sketches by class and signatures; sets with one signatur
    component from then on; and once more with whole sets if a short form has misled.
 
 So copies and near copies cost a pair per member and group, not one per pair, and pairs leave a task only if they link.
-Whole sets move for pairs and mixed groups alone, and are made from their texts once.
+Whole sets are made, from their texts, for pairs that the sketches allow and for the cells that need them.
 """
 
 from __future__ import annotations
@@ -92,8 +92,10 @@ def shortened(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, rows.schema)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets link."""
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int], name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets link, as a written table; sets are made for the pairs' documents alone."""
+    sets = files.written(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), size), f"{name}-sets")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ok = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), threshold) for x, y in zip(batch["x"], batch["y"])]
@@ -102,7 +104,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     joined = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("y")), "b")
               .join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("x")), "a"))
     # A doc_id with several texts links if one of them does.
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct()
+    out = files.written(joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct(), name)
+    files.drop(sets)
+    files.release(docs.sparkSession)
+    return out
 
 
 def components(links: DataFrame, rounds: int = 200) -> DataFrame:
@@ -281,10 +286,9 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
     files.drop(sketched)
     groups = files.written(_groups(method, held), f"{name}-groups")
     files.release(docs.sparkSession)
-    # Only sets that share a signature are made, once, and keep their sketches.
+    # Only sets that share a signature keep their sketches.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     wanted = files.written(groups.select("rep").distinct(), f"{name}-candidates")
-    sets = files.written(sets_of(texts, wanted, size), f"{name}-sets")
     candidates = files.written(method.lighten(held.join(wanted, "rep", "left_semi")), f"{name}-candidate-sketches")
     files.drop(held)
     files.release(docs.sparkSession)
@@ -294,11 +298,12 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
     # One doc_id with several texts is one node: it ties the sets that it stands in.
     tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
             .join(stands.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a != b").select("a", "b"))
-    links = files.written(confirmed(pairs, sets, threshold).unionByName(tied), f"{name}-links")
+    links = files.written(confirmed(pairs, texts, size, threshold, f"{name}-star-links").unionByName(tied), f"{name}-links")
     roots = components(links)
     members = files.written(rooted(groups.select("sig", "rep", "mark", "cls"), roots), f"{name}-members")
     files.drop(groups)
-    more = files.written(confirmed(files.written(method.possible(_ends(members), candidates), f"{name}-end-pairs"), sets, threshold), f"{name}-end-links")
+    ends = files.written(method.possible(_ends(members), candidates), f"{name}-end-pairs")
+    more = confirmed(ends, texts, size, threshold, f"{name}-end-links")
     links = links.unionByName(more)
     roots = components(links)
     members = files.written(rooted(members.drop("root"), roots), f"{name}-members")
@@ -308,10 +313,10 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
     for form in ("sketch", "short", "whole"):
         loads = candidates
         if form != "sketch":
-            loads = candidates.join(cells.select("rep").distinct(), "rep", "left_semi").join(sets, "rep")
-            loads = shortened(loads) if form == "short" else loads
+            sets = sets_of(texts, cells.select("rep"), size)
+            loads = candidates.join(shortened(sets) if form == "short" else sets, "rep")
         tried = files.written(_passing(method, cells.join(loads, ["rep", "cls"]), threshold, form), f"{name}-passing")
-        more = files.written(confirmed(tried.where("a IS NOT NULL").select("a", "b").distinct(), sets, threshold), f"{name}-more-links")
+        more = confirmed(tried.where("a IS NOT NULL").select("a", "b").distinct(), texts, size, threshold, f"{name}-more-links")
         links = links.unionByName(more)
         if form == "sketch":
             again = tried.where("a IS NULL").select("cell").distinct()
