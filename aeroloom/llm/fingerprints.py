@@ -20,76 +20,88 @@ from aeroloom.llm import files, text as T
 SAMPLES = 64
 #: Terms looked at together; for 64 samples the arrays of a block stay near a core's cache.
 BLOCK = 800
+#: Where the samples' seeds begin.
+SEED = 0xA0761D6478BD642F
+#: Part of a bound that makes up for rounding in single precision.
+SLACK = 1e-5
 
 
 def _hash(terms: np.ndarray, samples: int) -> np.ndarray:
-    """A 64-bit hash of each (sample, term)."""
-    return T.mix64(terms ^ T.mix64(np.arange(1, samples + 1, dtype=np.uint64))[:, None])
+    """A 64-bit hash of each (sample, term); the samples' seeds are far from the mixed small numbers that terms may be."""
+    seeds = T.mix64(np.arange(1, samples + 1, dtype=np.uint64) + np.uint64(SEED))
+    return T.mix64(terms ^ seeds[:, None])
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """ln a of terms of weight 1: a is -ln(1 - v), exponential, and grows with the hash."""
+    v = np.minimum((hashes.astype(np.float64) + 0.5) * 2.0 ** -64, 1 - 2.0 ** -53)
+    return np.log(-np.log1p(-v))
 
 
 def _draws(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c and b of each hash, in double precision.
 
-    Each of the four uniforms behind r and c has its upper 16 bits from the hash and 16 more from a second one.
+    With three exponentials x, y and q, c = x + y is Gamma(2, 1) and s = ln(c / x) is exponential and does not depend on
+    c; so r = s + q is Gamma(2, 1), and b = q / r is uniform and does not depend on r.  x is taken from all bits of the
+    hash, of which the upper half decides it; q begins with the lower half, and the rest is from a second hash.
     """
     more = T.mix64(hashes ^ np.uint64(0x9E3779B97F4A7C15))
-    b = (T.mix64(more ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)) / 2.0 ** 53
-    quarter = np.arange(0, 64, 16, dtype=np.uint64)[:, None]
-    upper, lower = (x >> quarter & np.uint64(0xFFFF) for x in (hashes, more))
-    u = (upper + lower / 65536 + 2.0 ** -17) / 65536
-    gamma = -np.log(u[::2] * u[1::2])
-    return gamma[0], np.log(gamma[1]), b
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    y = -np.log(((more >> half).astype(np.float64) + 0.5) * 2.0 ** -32)
+    q = -np.log(((hashes & low).astype(np.float64) + ((more & low).astype(np.float64) + 0.5) * 2.0 ** -32) * 2.0 ** -32)
+    log_x = _least(hashes)
+    log_c = np.log(np.exp(log_x) + y)
+    r = log_c - log_x + q
+    return r, log_c, q / r
 
 
 def _bounds(hashes: np.ndarray) -> np.ndarray:
-    """(1 - u2 u3) u0 u1 of each hash, or a little less, from the upper 16 bits of the uniforms."""
-    scale, one, low = np.float32(2.0 ** -32), np.float32(1), np.uint32(0xFFFF)
+    """v e^-q of each hash, or a little less: no a is below this over the weight."""
     real = lambda x: x.view(np.int32).astype(np.float32)  # noqa: E731  (faster than from unsigned numbers)
-    right, left = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32)
-    x, y = real(right >> np.uint32(16)), real(right & low)
-    x += one
-    y += one
-    x *= y
-    x *= scale
-    np.subtract(np.float32(1 - 2e-7), x, out=x)  # two parts in ten million make up for rounding
-    x *= real(left >> np.uint32(16))
-    x *= real(left & low)
-    x *= scale
-    return x
+    left = real((hashes >> np.uint64(33)).astype(np.uint32))
+    left *= real(hashes.astype(np.uint32) >> np.uint32(1))
+    left *= np.float32(2.0 ** -62 * (1 - SLACK))
+    return left
 
 
 def signature(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """16-bit digest of each sample of one weighted set (distinct 64-bit terms, weights above 0).
 
-    Every term has its own draws for every sample.  With r and c the negated logarithms of u0 u1 and u2 u3, no a is less
-    than (1 - u2 u3) u0 u1 / w, as -ln x >= 1 - x and r (t - b) <= ln w.  Only terms whose bound is not above an a that
-    was found already can be the least; logarithms are taken of those alone.
+    Every term has its own draws for every sample.  At weight 1, t is 0 and a is x, so among such terms the least hash is
+    the least a.  For other weights r (t - b) <= ln w gives a >= x e^-q / w, and x is at least the share v of the hash in
+    its range.  Only terms whose bound is not above an a that was found already can be the least; logarithms are taken of
+    those alone.
     """
     best, chosen, level = np.full(samples, np.inf), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
-    for lo in range(0, len(terms), BLOCK):
-        k, w = terms[lo:lo + BLOCK], weights[lo:lo + BLOCK]
-        n, log_w = len(k), np.log(w)
-        hashes = _hash(k, samples)
+    single = weights == 1
+    k = terms[single]
+    if len(k):
+        chosen = np.min([_hash(k[lo:lo + BLOCK], samples).min(axis=1) for lo in range(0, len(k), BLOCK)], axis=0)
+        best = _least(chosen)
+    k, w = terms[~single], weights[~single]
+    order = np.argsort(-w, kind="stable")
+    k, w = k[order], w[order]
+    for lo in range(0, len(k), BLOCK):
+        hashes, log_w = _hash(k[lo:lo + BLOCK], samples), np.log(w[lo:lo + BLOCK])
+        n = len(log_w)
         bound = _bounds(hashes)
-        if log_w.any():
-            bound /= w.astype(np.float32)
+        bound /= w[lo:lo + BLOCK].astype(np.float32)
 
         def compete(at: np.ndarray) -> None:
-            """The pairs at ascending places ``at`` of the block; of equal ones the first wins."""
-            row = at // n
-            i = at - row * n
-            r, log_c, b = _draws(hashes.ravel()[at])
-            t = np.floor(log_w[i] / r + b)
+            """The pairs at ascending places ``at`` of the block."""
+            row, found = at // n, hashes.ravel()[at]
+            r, log_c, b = _draws(found)
+            t = np.floor(log_w[at - row * n] / r + b)
             value = log_c - r * (t - b) - r
             starts = np.flatnonzero(np.diff(row, prepend=-1))
             least = np.minimum.reduceat(value, starts)
             won = np.flatnonzero((value == np.repeat(least, np.diff(starts, append=len(at)))) & (value < best[row]))[::-1]
             at = row[won]
-            best[at], chosen[at], level[at] = value[won], k[i[won]], t[won]
+            best[at], chosen[at], level[at] = value[won], found[won], t[won]
 
-        if lo == 0:
+        if np.isinf(best[0]):
             compete(bound.argmin(axis=1) + np.arange(samples) * n)
-        rest = np.flatnonzero(bound <= (np.exp(best) * (1 + 1e-5)).astype(np.float32)[:, None])
+        rest = np.flatnonzero(bound <= np.exp(best).astype(np.float32)[:, None])
         if len(rest):
             compete(rest)
     return (T.mix64(chosen ^ T.mix64(level.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16)

@@ -1,6 +1,8 @@
 """Weighted-sampling fingerprints: collision rate, order of documents, odd rows."""
 
 import hashlib
+import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -77,12 +79,55 @@ def test_every_term_has_its_own_draws():
     assert np.abs(off).max() < 0.08  # the standard deviation is 0.022
 
 
-def test_terms_ruled_out_by_their_bounds_are_never_the_least():
+def mixed(x):
+    """The splitmix finaliser on Python's integers."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2 ** 64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2 ** 64
+    return x ^ x >> 31
+
+
+def plain_signature(weights, samples):
+    """The least a of all terms by the formula alone, one term and sample at a time."""
+    out = []
+    for d in range(1, samples + 1):
+        best = None
+        for k, w in weights.items():
+            h = mixed(k ^ mixed(d + 0xA0761D6478BD642F))
+            more = mixed(h ^ 0x9E3779B97F4A7C15)
+            x = -math.log1p(-(h + 0.5) / 2 ** 64)
+            y = -math.log(((more >> 32) + 0.5) / 2 ** 32)
+            q = -math.log((h % 2 ** 32 + (more % 2 ** 32 + 0.5) / 2 ** 32) / 2 ** 32)
+            c = x + y
+            r = math.log(c / x) + q
+            t = math.floor(math.log(w) / r + q / r)
+            a = math.log(c) - r * (t - q / r) - r
+            best = min(best or (a, h, t), (a, h, t))
+        out.append(mixed(best[1] ^ mixed(best[2] % 2 ** 64)) >> 48)
+    return out
+
+
+def test_signature_against_the_plain_formula():
     rng = np.random.default_rng(4)
-    for n in (1, 5, 300, 2000):
-        k, w = np.unique(T.mix64(np.arange(n, dtype=np.uint64))), rng.choice([0.3, 1.0, 1.0, 2.0, 70.5], n)
-        r, log_c, b = (x.reshape(64, n) for x in fingerprints._draws(fingerprints._hash(k, 64).ravel()))
-        t = np.floor(np.log(w) / r + b)
-        i = (log_c - r * (t - b) - r).argmin(axis=1)
-        plain = T.mix64(k[i] ^ T.mix64(t[np.arange(64), i].astype(np.int64).astype(np.uint64))) >> np.uint64(48)
-        assert (fingerprints.signature(k, w) == plain).all()
+    for n, of in ((1, [1.0]), (1, [0.3]), (5, [2.0, 7.0]), (300, [0.3, 1.0, 1.0, 2.0, 70.5]), (900, [1.0]), (2000, [1.0, 1.0, 1.0, 2.0, 3.0])):
+        k, w = np.unique(T.mix64(np.arange(n, dtype=np.uint64))), rng.choice(of, n)
+        assert fingerprints.signature(k, w, 16).tolist() == plain_signature(dict(zip(k.tolist(), w.tolist())), 16)
+
+
+def test_texts_against_the_plain_formula():
+    texts = ["one two three two one two", "", "same same same", "a\tb\nc " * 40, "x"]
+    for text, got in zip(texts, fingerprints.signatures(texts, 8).tolist()):
+        words = text.split()
+        spans = [int(T.span_hashes(T.code_points([w])[0], np.array([0]), np.array([len(w)]))[0]) for w in words]
+        pairs = [mixed(mixed(a) * 0x100000001B3 + b & 2 ** 64 - 1) for a, b in zip(spans, spans[1:])]
+        assert got == plain_signature(dict(Counter(spans + pairs)) or {1: 1}, 8)
+
+
+def test_draws_have_their_distributions():
+    """r and c Gamma(2, 1), b uniform, none correlated with another."""
+    r, log_c, b = fingerprints._draws(T.mix64(np.arange(400_000, dtype=np.uint64)))
+    c = np.exp(log_c)
+    for x, mean, variance in ((r, 2, 2), (c, 2, 2), (b, 0.5, 1 / 12)):
+        assert abs(x.mean() - mean) < 0.012 and abs(x.var() - variance) < 0.03
+    # Gamma(2, 1) has 1 - 2/e of its mass below 1.
+    assert abs((r < 1).mean() - (1 - 2 / math.e)) < 0.004 and abs((c < 1).mean() - (1 - 2 / math.e)) < 0.004
+    assert np.abs(np.corrcoef([r, log_c, b, r * b, np.log(r)])[[0, 0, 1, 1, 2], [1, 2, 2, 3, 4]]).max() < 0.008
