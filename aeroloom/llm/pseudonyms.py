@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from aeroloom.llm import text as T
+
 ROUNDS = 10
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31; 17 * 4297
@@ -301,13 +303,13 @@ def pseudonymise(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
     validation stays.  A null text stays null, an empty one empty.  ``inverse`` with the same key turns pseudonyms back
     (but for mm/dd/yyyy dates, whose pseudonyms may read as dd/mm/yyyy).
     """
-    found = F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))
-    between = F.split("text", _ANY, -1)
+    found, new, between = (T.free_name(docs.columns, n) for n in ("found", "new", "between"))
+    any_found = F.size(F.col(found)) > 0
     # zip_with would lose the last stretch, which has no match behind it.
-    rebuilt = F.array_join(F.transform(F.arrays_zip(F.col("__between").alias("b"), F.col("__new").alias("n")),
+    rebuilt = F.array_join(F.transform(F.arrays_zip(F.col(between).alias("b"), F.col(new).alias("n")),
                                        lambda z: F.concat(z["b"], F.coalesce(z["n"], F.lit("")))), "")
-    return (docs.withColumn("__found", found)
-            .withColumn("__new", F.when(F.size("__found") > 0, F.transform("__found", lambda m: pseudonym(m, key, inverse))))
-            .withColumn("__between", F.when(F.size("__found") > 0, between))
-            .withColumn("text", F.when(F.size("__found") > 0, rebuilt).otherwise(F.col("text")))
-            .drop("__found", "__new", "__between"))
+    return (docs.withColumn(found, F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
+            .withColumn(new, F.when(any_found, F.transform(F.col(found), lambda m: pseudonym(m, key, inverse))))
+            .withColumn(between, F.when(any_found, F.split("text", _ANY, -1)))
+            .withColumn("text", F.when(any_found, rebuilt).otherwise(F.col("text")))
+            .drop(found, new, between))

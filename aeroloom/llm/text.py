@@ -27,6 +27,14 @@ def small_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with as many underscores behind it as make it differ from all ``columns`` (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values (the splitmix finaliser)."""
     x = np.asarray(x, U64)

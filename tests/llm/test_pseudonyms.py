@@ -72,7 +72,7 @@ def test_what_is_not_valid_stays(docs_of):
 
 def test_round_trip_and_other_columns(spark, docs_of):
     text = "Ä 4041894974608795, mail x.1@a9.example.com; +4915112345678 token: \"abcDEF123456\" 1.2.3.4 123-45-6789 31/12/1999\n" * 3
-    docs = docs_of([(1, text), (1, text), (None, text), (2, None), (3, text * 50)]).withColumn("found", F.lit("clash"))
+    docs = docs_of([(1, text), (1, text), (None, text), (2, None), (3, text * 50)]).withColumns({n: F.lit("clash") for n in ("found", "New", "between", "__found", "__new", "b", "n")})
     hidden = pseudonyms.pseudonymise(docs, KEY)
     assert hidden.columns == docs.columns and "4041894974608795" not in "".join(r.text or "" for r in hidden.collect())
     assert sorted(map(str, pseudonyms.pseudonymise(hidden, KEY, inverse=True).collect())) == sorted(map(str, docs.collect()))
