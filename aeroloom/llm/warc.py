@@ -151,13 +151,17 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
     pages = pages.drop("payload", "payload_bytes", "payload_digest", "refers_to")
     rows = (pages.withColumn("payload", F.coalesce("html", F.lit("")).cast("binary"))
             .withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256)))
+    key, first = T.free_name(rows.columns, "key"), T.free_name(rows.columns, "first")
+    # Payloads too short to be referred to (empty and boilerplate pages among them) get keys of their own, which spread them.
+    long_enough = F.col("payload_bytes") >= LEAST_REVISIT
+    keyed = rows.withColumn(key, F.when(long_enough, F.col("payload_digest")).otherwise(F.concat(F.lit("short "), F.xxhash64("page_id", "url"))))
     # One row per digest that occurs twice, combined before the shuffle; the pages' own texts are not in it.
-    firsts = (rows.where(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest")
-              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL").drop("n"))
-    marked = rows.join(firsts, "payload_digest", "left")
+    firsts = (rows.where(long_enough).groupBy(F.col("payload_digest").alias(key))
+              .agg(F.min("page_id").alias(first), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).where(F.col(first).isNotNull()).drop("n"))
+    marked = keyed.join(firsts, key, "left")
     # A repeated page_id is one page twice: neither row refers to itself.
-    return marked.withColumn("refers_to", F.when(F.col("first") != F.col("page_id"), F.col("first"))
-                             .when(F.col("page_id").isNull(), F.col("first"))).drop("first")
+    return marked.withColumn("refers_to", F.when(F.col(first) != F.col("page_id"), F.col(first))
+                             .when(F.col("page_id").isNull(), F.col(first))).drop(key, first)
 
 
 def write_archives(marked: DataFrame, folder: str, roll: int = ROLL) -> DataFrame:

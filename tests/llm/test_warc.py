@@ -22,7 +22,7 @@ def pages(spark):
     big = "<p>" + "é🎉" * 200_000
     rows = [(1, "u", None), (2, None, ""), (3, "u\r\nx: y", "short"), (4, "u", "short"), (9, "u", "a" * 100), (7, "u", "a" * 100), (8, "u", "a" * 100),
             (10, "u", "é" * 50), (11, "u", "é" * 50), (12, "u", "b" * 99), (13, "u", "b" * 99), (14, "u", big), (15, "u", big), (16, "u", "WARC/1.1\r\n\r\n" * 30)]
-    return rows, spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, payload string")
+    return rows, spark.createDataFrame([(*r, *["clash"] * 5) for r in rows], "page_id long, url string, html string, payload string, first string, key string, Key_ string, n string")
 
 
 def test_odd_pages(spark, pages):
@@ -39,6 +39,12 @@ def test_odd_pages(spark, pages):
         assert (r.record_type, r.refers_to) == (("response", None) if first == i else ("revisit", first))
 
 
+def test_other_columns_stay_and_short_payloads_spread(spark, pages):
+    marked = warc.mark_revisits(pages[1])
+    assert set(marked.columns) == {*pages[1].columns, "payload_bytes", "payload_digest", "refers_to"}
+    assert {(r["first"], r["key"], r["Key_"], r["n"]) for r in marked.select("first", "key", "Key_", "n").collect()} == {("clash",) * 4}
+
+
 def test_no_pages(spark, pages):
     archives = warc.write_archives(warc.mark_revisits(pages[1].where("false")), files.fresh(spark, "w"))
     assert warc.read_archives(warc.normalise_archives(archives, files.fresh(spark, "m"))).collect() == []
