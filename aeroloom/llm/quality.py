@@ -22,6 +22,8 @@ SIGNS = [c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()]
 KINDS = ["lower", "upper", "far letter", "digit", "blank", "line end", "other"]
 WORDS = ["chars", "words", "mean length", "distinct", "repeats", "top word", "short lines", "ends in sign", "long words"]
 WIDTH = len(SIGNS) + len(KINDS) + len(WORDS)
+#: Rows of either sample below which the class prior is not estimated.
+LEAST_FOR_PRIOR = 40
 _map: list[np.ndarray] = []
 
 
@@ -108,6 +110,61 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -30, 30)))
 
 
+def risk(f: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """Non-negative unbiased risk of the logits ``f``, and the gradient to descend along, with respect to ``f``.
+
+    Where the share of the unknown negatives turns negative, the gradient is that of raising this share alone.
+    """
+    n_p = is_p.sum()
+    n_u = len(f) - n_p
+    s = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
+    as_negative = np.logaddexp(0, f)  # its derivative is s; that of the loss as a positive is s - 1
+    rest = as_negative[~is_p].mean() - prior * as_negative[is_p].mean()
+    g = np.empty_like(f)
+    if rest >= 0:
+        g[is_p] = -prior / n_p
+        g[~is_p] = s[~is_p] / n_u
+    else:
+        g[is_p], g[~is_p] = prior / n_p * s[is_p], -s[~is_p] / n_u
+    return float(prior * np.logaddexp(0, -f[is_p]).mean() + max(0.0, rest)), g
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, doubt: float = 0.1) -> float:
+    """Share of positives among the unlabelled scores, from the scores of both that were not fitted on.
+
+    Above any limit, the unlabelled mass is at least the prior times the positive mass, so the least ratio of the two is an
+    upper bound of the prior, and is the prior where the scores above the limit are pure.  The limit is the one whose ratio, with
+    the error that ``doubt`` allows for both masses, is least: high limits with few rows do not decide.
+    """
+    p, u = np.sort(positive), np.sort(unlabelled)
+    limits = np.unique(p)
+    of_p = 1 - np.searchsorted(p, limits) / len(p)
+    of_u = 1 - np.searchsorted(u, limits) / len(u)
+    error = np.sqrt(np.log(4 / doubt) / 2) * (1 / np.sqrt(len(p)) + 1 / np.sqrt(len(u)))
+    best = ((of_u + error) / of_p).argmin()
+    return float(min(0.98, max(0.02, of_u[best] / of_p[best])))
+
+
+def fit_with_prior(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+    """`fit` with the class prior that both samples give.
+
+    Each half of the rows is fitted twice, with an even prior and with the prior that the first network's scores of the other
+    half give; the scores of the second give the half's estimate, and the prior is the mean of both.  A few rows give no
+    estimate, and the even prior stays.  The result does not depend on the order of the rows.
+    """
+    p, u = (x[np.lexsort(x.T)] for x in (positive, unlabelled))
+    if min(len(p), len(u)) < LEAST_FOR_PRIOR:
+        return fit(p, u, 0.5)
+    found = []
+    for i in (0, 1):
+        prior = 0.5
+        for _ in range(2):
+            half = fit(p[i::2], u[i::2], prior, rounds=200)
+            prior = estimate_prior(half.logits(p[1 - i::2]), half.logits(u[1 - i::2]))
+        found.append(prior)
+    return fit(p, u, sum(found) / 2)
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, rounds: int = 500, rate: float = 0.02, seed: int = 5) -> Model:
     """Minimise the non-negative unbiased risk by Adam over all rows of both samples."""
     rng = np.random.default_rng(seed)
@@ -122,16 +179,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int
         w1, b1, w2, b2 = params
         h = np.tanh(z @ w1 + b1)
         f = h @ w2 + b2[0]
-        s = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
-        loss_neg = np.logaddexp(0, f)  # logistic loss of calling it negative
-        rest = loss_neg[~is_p].mean() - prior * loss_neg[is_p].mean()
-        # d l(f)/df = s - 1, d l(-f)/df = s
-        g = np.empty_like(f)
-        if rest >= 0:
-            g[is_p] = prior / n_p * ((s[is_p] - 1) - s[is_p])
-            g[~is_p] = s[~is_p] / n_u
-        else:
-            g[is_p], g[~is_p] = prior / n_p * s[is_p], -s[~is_p] / n_u
+        g = risk(f, is_p, prior)[1]
         gh = np.outer(g, w2) * (1 - h * h)
         grads = [z.T @ gh + 1e-4 * w1, gh.sum(axis=0), h.T @ g + 1e-4 * w2, np.array([g.sum()])]
         for i, d in enumerate(grads):
@@ -161,21 +209,18 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 8000, unlabelled:
     """Fit on ``docs`` (``doc_id, text``) with ``labels`` (``doc_id, quality``); give it the training part of both only.
 
     Trusted positives are documents with a label 1; the unlabelled sample is drawn from all documents as they come.  Both
-    are bounded by the two parameters and drawn by a hash of doc_id.  The class prior is estimated by the share of 1
-    among labelled documents, smoothed; labels of 0 serve for nothing else.  Null labels, and labels of unknown
-    documents, take no part.  Without a positive or a document the model scores everything 0.5.
+    are bounded by the two parameters and drawn by a hash of doc_id.  The class prior is estimated from these two samples;
+    labels of 0 serve for nothing.  Null labels, and labels of unknown documents, take no part.  Without a positive or a
+    document the model scores everything 0.5.
     """
     T.small_batches(docs.sparkSession)
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    tally = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    ones = tally.get(1, 0)
-    prior = min(0.98, (ones + 1) / (sum(tally.values()) + 2))
+    ones = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality")).where(F.col("quality") == 1)
     rows = docs.select("doc_id", "text")
-    p = _sample(rows.join(known.where("quality = 1").select("doc_id"), "doc_id", "left_semi"), positives, seed)
+    p = _sample(rows.join(ones.select("doc_id"), "doc_id", "left_semi"), positives, seed)
     u = _sample(rows, unlabelled, seed + 1)
     if len(p) == 0 or len(u) == 0:
-        return Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros((WIDTH, 1)), np.zeros(1), np.zeros(1), 0.0, prior)
-    return fit(p, u, prior)
+        return Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros((WIDTH, 1)), np.zeros(1), np.zeros(1), 0.0, 0.5)
+    return fit_with_prior(p, u)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

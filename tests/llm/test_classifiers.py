@@ -80,6 +80,43 @@ def test_risk_stays_non_negative_and_separates():
     assert model.score(rng.normal(1, 1, (500, 4))).mean() > 0.85 and model.score(rng.normal(-1, 1, (500, 4))).mean() < 0.25
 
 
+def test_risk_and_its_gradient_against_the_plain_formula():
+    rng = np.random.default_rng(6)
+    is_p = np.arange(12) < 5
+
+    def plain(f, prior):
+        """The positives' part, and that of the unknown negatives."""
+        mean = lambda values: sum(values) / len(values)
+        p, u = [float(x) for x in f[is_p]], [float(x) for x in f[~is_p]]
+        return (prior * mean([math.log(1 + math.exp(-x)) for x in p]),
+                mean([math.log(1 + math.exp(x)) for x in u]) - prior * mean([math.log(1 + math.exp(x)) for x in p]))
+
+    turned = 0
+    for _ in range(40):
+        f, prior = rng.normal(0, 2, 12), rng.uniform(0.1, 0.9)
+        of_p, rest = plain(f, prior)
+        value, g = quality.risk(f, is_p, prior)
+        assert abs(value - (of_p + max(0, rest))) < 1e-9
+        turned += rest < 0
+        for i in range(12):
+            ends = [plain(f + d * (np.arange(12) == i), prior) for d in (-1e-5, 1e-5)]
+            each = [sum(e) if rest >= 0 else -e[1] for e in ends]
+            assert abs(g[i] - (each[1] - each[0]) / 2e-5) < 1e-5
+    assert 0 < turned < 40
+
+
+def test_prior_from_positives_and_unlabelled_rows():
+    rng = np.random.default_rng(8)
+    for prior in (0.3, 0.6, 0.9):
+        n = int(3000 * prior)
+        good, bad = rng.normal(1, 1, (900 + n, 4)), rng.normal(-1, 1, (3000 - n, 4))
+        mixed = rng.permutation(np.concatenate([good[900:], bad]))
+        model = quality.fit_with_prior(good[:900], mixed)
+        assert abs(model.prior - prior) < 0.06
+    again = quality.fit_with_prior(rng.permutation(good[:900]), rng.permutation(mixed))
+    assert again.prior == model.prior and (again.w1 == model.w1).all()
+
+
 def test_quality_of_odd_rows(spark, docs_of):
     docs = docs_of(ODD).withColumn("quality_score", F.lit("clash"))
     labels = spark.createDataFrame([(5, 1), (6, 1), (6, 1), (3, None), (99, 1), (None, 1), (4, 0)], "doc_id long, quality int")
