@@ -89,3 +89,22 @@ def test_query_recall(spark):
             s[ids.index(i)] = -np.inf
             hits += len(found[i] & {ids[j] for j in np.argsort(-s, kind="stable")[:20]})
     assert hits >= 0.9 * 20 * len(found) and len(got) == 20 * len(found)
+
+
+def test_recall_of_unseen_queries_over_many_parts(spark):
+    """The given vectors in 20 parts or more, of which the search leaves some out; no query is among the rows fitted on."""
+    rows = nearest.usable(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).cache()
+    seen = rows.where("vec_id % 20 != 0")
+    model = nearest.fit(seen, sample=1500, part_size=60)
+    assert model.parts >= 20 and model.probes < model.parts
+    got = nearest.search(rows, rows.where("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "vec"), model, 20).collect()
+    held = rows.collect()
+    ids, x = np.array([r.vec_id for r in held]), np.array([r.vec for r in held], float)
+    found, hits, queries_of = {}, 0, [i for i in ids if i % 20 == 0]
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    for i in queries_of:
+        s = x @ x[ids == i][0]
+        s[ids == i] = -np.inf
+        hits += len(found[i] & set(ids[np.argsort(-s, kind="stable")[:20]].tolist()))
+    assert hits >= 0.9 * 20 * len(queries_of)
