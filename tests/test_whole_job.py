@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from aeroloom.operators import reports
+from aeroloom.operators import quality, reports
 from verification import catalog
 
 
@@ -20,3 +20,15 @@ def test_latest_positions_keeps_sensors_that_fell_silent(spark):
     df = spark.createDataFrame(rows, "native_sensor_id string, metric_name string, day_ts timestamp, avg_value double").withColumns(
         {"latitude": F.lit(1.0), "longitude": F.lit(2.0), "status": F.lit("active")})
     assert {(r[0], r["avg_value"]) for r in reports.latest_positions(df, per_sensor=True).collect()} == {("a", 1.0), ("silent", 3.0)}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_set_diff_counts_the_large_side_before_its_shuffle(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "k string")
+    b = spark.range(1000).select(F.when(F.col("id") > 0, F.lit("y")).alias("k"))
+    assert [r["k"] for r in quality.set_diff(a, b).collect()] == ["x"]
+    large = _plan(quality.set_diff(a, b)).split("LeftAnti")[1]
+    assert "partial_count" in large
