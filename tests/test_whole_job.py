@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from aeroloom.operators import quality, reports
+from aeroloom.operators import quality, reports, rollups
 from verification import catalog
 
 
@@ -32,3 +32,19 @@ def test_set_diff_counts_the_large_side_before_its_shuffle(spark):
     assert [r["k"] for r in quality.set_diff(a, b).collect()] == ["x"]
     large = _plan(quality.set_diff(a, b)).split("LeftAnti")[1]
     assert "partial_count" in large
+
+
+def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
+    """Earliest complete point; at one time the one with the least hash: the choice of the wider key."""
+    base = dt.datetime(2024, 1, 1, 5)
+    rows = [("a", base + dt.timedelta(microseconds=s), float(p), float(-p)) for p in range(40) for s in (3, 7)]
+    rows += [("b", base, None, 1.0), ("b", base + dt.timedelta(minutes=59), 2.0, 3.0), ("c", base, 1.0, None)]
+    long = spark.createDataFrame(rows, "native_sensor_id string, timestamp timestamp, latitude double, longitude double").withColumns(
+        {"metric_name": F.lit("temperature"), "value": F.lit(1.0)})
+    wide = long.select(F.col("timestamp").alias("ts"), "native_sensor_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("value").alias("temperature"))
+    lat, lon = rollups.representative("latitude", "longitude", "timestamp")
+    expected = sorted(tuple(r) for r in long.groupBy("native_sensor_id").agg(lat, lon).collect())
+    for grain in ("hour", "day"):
+        for made in (rollups.rollup(long, grain), rollups.rollup_wide(wide, "WU", grain)):
+            assert sorted(tuple(r) for r in made.select("native_sensor_id", "latitude", "longitude").collect()) == expected
+            assert "decimal" not in _plan(made)
