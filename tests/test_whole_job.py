@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from aeroloom.operators import quality, reports, rollups
+from aeroloom.plans import views
 from verification import catalog
 
 
@@ -34,6 +36,32 @@ def test_set_diff_counts_the_large_side_before_its_shuffle(spark):
     assert "partial_count" in large
 
 
+ROLLED = "day_ts timestamp, native_sensor_id string, metric_name string, samples bigint"
+
+
+def _rolled(spark, rows):
+    return spark.createDataFrame([(dt.datetime(2024, 1, 1), *r) for r in rows], ROLLED)
+
+
+@pytest.mark.parametrize("extra", [[], [(None, "pm10", 1)], [(None, "wind_speed_avg", 1)], [("p", "pm2_5", 1)],
+                                   [("p", "pm2_5", 1), (None, "precip_total", 2)], [("p", "pm2_5", 0), (None, "precip_total", 2)]])
+def test_source_lists_follow_in_and_not_in(spark, extra):
+    rows = [("KNCDURHA1", "temperature", 0), ("w", "wind_speed_avg", 3), ("idle", "wind_speed_avg", 0), ("none", None, None), *extra]
+    tsi = {k for k, m, n in rows if m in ("pm2_5", "pm10") and n}
+    listed = {k for k, m, n in rows if m in ("wind_speed_avg", "precip_total") and n}
+    weather = set() if None in tsi else {k for k in listed if k not in tsi and (k is not None or not tsi)}
+    weather |= {k for k, _, _ in rows if k and k.startswith("KNCDURHA")}
+    made = sorted(((r[0] or "", r[1]) for r in views.classify_sources(_rolled(spark, rows)).collect()))
+    assert made == sorted([(k or "", "TSI") for k in tsi] + [(k or "", "WU") for k in weather])
+    assert {r[0] for r in views.wu_sensor_list(_rolled(spark, rows)).collect()} == weather
+
+
+def test_classification_reads_the_rollup_once_and_only_its_counts(spark):
+    plan = _plan(catalog.QUERIES["c11_classify_sources"](spark, "/root/testdata/sf0.001"))
+    assert "min_by" not in plan and "min(v" not in plan
+    assert plan.count("FileScan") <= 6  # the printed plan names the scalar of NOT IN twice
+
+
 def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
     """Earliest complete point; at one time the one with the least hash: the choice of the wider key."""
     base = dt.datetime(2024, 1, 1, 5)
