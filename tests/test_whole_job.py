@@ -62,6 +62,20 @@ def test_classification_reads_the_rollup_once_and_only_its_counts(spark):
     assert plan.count("FileScan") <= 6  # the printed plan names the scalar of NOT IN twice
 
 
+def test_summary_of_both_kinds_aggregates_counts_alone(spark):
+    plan = _plan(catalog.QUERIES["a22_source_summary"](spark, "/root/testdata/sf0.001"))
+    assert "min_by" not in plan and plan.count("FileScan") <= 20
+
+
+def test_all_enriched_has_a_sensor_of_both_kinds_twice(spark):
+    rows = _rolled(spark, [("KNCDURHA1", "pm2_5", 1), ("d1", "pm10", 2), ("x", "humidity", 1)]).withColumns(
+        {c: F.lit(1.0) for c in ("avg_value", "min_value", "max_value", "latitude", "longitude")})
+    ids = spark.createDataFrame([], "native_sensor_id string, sensor_id string, effective_start_date date, effective_end_date date")
+    current = spark.createDataFrame([], "native_sensor_id string, latitude double, longitude double, geog struct<longitude: double, latitude: double>, status string, effective_date date")
+    got = sorted((r["native_sensor_id"], r["sensor_source"], r["sensor_category"]) for r in views.all_daily_enriched(rows, ids, current).collect())
+    assert got == [("KNCDURHA1", "TSI", "Air Quality"), ("KNCDURHA1", "WU", "Weather"), ("d1", "TSI", "Air Quality")]
+
+
 def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
     """Earliest complete point; at one time the one with the least hash: the choice of the wider key."""
     base = dt.datetime(2024, 1, 1, 5)
