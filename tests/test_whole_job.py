@@ -90,3 +90,8 @@ def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
         for made in (rollups.rollup(long, grain), rollups.rollup_wide(wide, "WU", grain)):
             assert sorted(tuple(r) for r in made.select("native_sensor_id", "latitude", "longitude").collect()) == expected
             assert "decimal" not in _plan(made)
+
+
+def test_views_stand_on_written_tables(spark):
+    plan = _plan(catalog.QUERIES["k16_register_views"](spark, "/root/testdata/sf0.001"))
+    assert "/daily-" in plan and "/canonical-" in plan
