@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from aeroloom.operators import quality, reports, rollups
 from aeroloom.plans import views
-from verification import catalog
+from verification import catalog, checks_stream
+from verification.feeds import Feeds
+from verification.run import compare, duck
 
 
 def test_latest_positions_ranks_every_sensor():
@@ -95,3 +97,13 @@ def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
 def test_views_stand_on_written_tables(spark):
     plan = _plan(catalog.QUERIES["k16_register_views"](spark, "/root/testdata/sf0.001"))
     assert "/daily-" in plan and "/canonical-" in plan
+
+
+@pytest.mark.parametrize("name", ["r02_stream_cooldown_unordered", "r03_stream_hourly_complete"])
+def test_loads_of_several_files_stay_whole(spark, monkeypatch, name):
+    """A load split over files is still one batch, so the loads come out of order as they did."""
+    monkeypatch.setattr(checks_stream, "FILE_ROWS", 50)
+    sf = "/root/testdata/sf0.01"
+    loads = checks_stream._in_four(Feeds(spark, sf))
+    assert loads.isStreaming
+    assert compare(catalog.QUERIES[name](spark, sf).toPandas(), duck(sf).execute(catalog.ORACLES[name]).fetchdf()) == ""

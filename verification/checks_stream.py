@@ -53,12 +53,22 @@ def _cooled(d):
 add("r02_stream_cooldown", _cooled, f"SELECT k AS type, timestamp, id, native_sensor_id, level, value FROM {_KEPT('type', '')}", "value")
 
 
+#: Rows of one file of `_in_four`, about.
+FILE_ROWS = 250_000
+
+
 def _in_four(d, name="events"):
-    """The events in four files, one after the other, each from the whole month: streamed, they come out of order."""
-    path = scratch_path(d.spark, "four")
+    """The events in four loads, one after the other, each from the whole month: streamed load by load, they come out of order.
+
+    A load has as many files as the others, one if any load is small, so that several tasks write and read it.
+    """
+    path, table = scratch_path(d.spark, "four"), d.table(name)
+    rows = {r[0]: r[1] for r in table.groupBy((F.col("event_id") % 4).alias("k")).count().collect()}
+    files = max(1, min(rows.get(k, 0) for k in range(4)) // FILE_ROWS)
     for k in range(4):
-        d.table("events").filter(f"event_id % 4 = {k}").coalesce(1).write.mode("append").parquet(path)
-    return streams.read_stream(d.spark, path, d.table("events").schema, max_files=1)
+        load = table.filter(f"event_id % 4 = {k}")
+        (load.coalesce(1) if files == 1 else load.repartition(files)).write.mode("append").parquet(path)
+    return streams.read_stream(d.spark, path, table.schema, max_files=files)
 
 
 def _cooled_unordered(d):
