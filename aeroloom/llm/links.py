@@ -55,16 +55,19 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(rep, elements) of the wanted documents, made anew from their texts."""
+def sets_of(docs: DataFrame, wanted: DataFrame, size: int, short: bool = False) -> DataFrame:
+    """(rep, elements) of the wanted documents, made anew from their texts; with ``short``, in short form."""
+    # Written first: Spark knows how few they are before it deals the texts.
+    ids = files.written(wanted.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
             for lo, hi in T.chunks(texts):
-                raw = [s.astype("<u8").tobytes() for s in shingle_sets(texts[lo:hi], size)]
+                raw = [short_form(s) if short else s.astype("<u8").tobytes() for s in shingle_sets(texts[lo:hi], size)]
                 yield pd.DataFrame({"rep": batch["doc_id"].iloc[lo:hi].array, "elements": raw})
 
-    return docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInPandas(run, "rep long, elements binary")
+    return docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(run, "rep long, elements binary")
 
 
 def short_form(elements: np.ndarray) -> bytes:
@@ -83,15 +86,6 @@ def read_form(raw: bytes, short: bool) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-def shortened(rows: DataFrame) -> DataFrame:
-    """The same rows with their elements in short form."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(elements=[short_form(np.frombuffer(e, "<u8")) for e in batch["elements"]])
-
-    return rows.mapInPandas(run, rows.schema)
-
-
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int], name: str) -> DataFrame:
     """Those of the pairs (a, b) whose full sets link, as a written table; sets are made for the pairs' documents alone."""
     sets = files.written(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), size), f"{name}-sets")
@@ -190,22 +184,39 @@ def _groups(method: Method, held: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """The groups of (sig, rep, root) that hold several components, with their ends and what names their members."""
+    """The groups of (sig, rep, root, cls) that hold several components, with their ends and what names their members.
+
+    It reads the columns that its callers join to it, so that Spark deals the members once for both."""
     return (members.groupBy("sig").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"),
-        F.min("rep").alias("low"), F.max("rep").alias("top"), F.min_by("root", "rep").alias("low_root"), F.max_by("root", "rep").alias("top_root"))
-        .where("lo != hi").drop("lo", "hi"))
+        F.min("rep").alias("low"), F.max("rep").alias("top"), F.min_by("root", "rep").alias("low_root"), F.max_by("root", "rep").alias("top_root"),
+        F.min("cls").alias("least_cls")).where("lo != hi AND least_cls >= 0").drop("lo", "hi", "least_cls"))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) in one of the classes (cls, a, b) where it comes: what one class rules out, cannot link in any.
+
+    The last class has the most sums."""
+    return pairs.groupBy("a", "b").agg(F.max("cls").alias("cls")).select("cls", "a", "b")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members dealt by their group: what is counted per group and joined to it again moves no row a second time."""
+    # A filter that one branch alone needs would keep the branches apart; no root is null.
+    return members.where("root IS NOT NULL").repartition(files.parts(members.sparkSession), "sig").select("sig", "rep", "root", "mark", "cls")
 
 
 def _ends(members: DataFrame) -> DataFrame:
     """Pairs (cls, a, b) of members with the ends of their groups, where these are of another component."""
+    members = _dealt(members)
     ends = F.array(F.struct(F.col("low").alias("end"), F.col("low_root").alias("end_root")), F.struct(F.col("top").alias("end"), F.col("top_root").alias("end_root")))
     pairs = members.join(_mixed(members), "sig").select("cls", "rep", "root", F.explode(ends).alias("e")).where("root != e.end_root")
-    return pairs.select("cls", F.least("rep", "e.end").alias("a"), F.greatest("rep", "e.end").alias("b")).distinct()
+    return _once(pairs.select("cls", F.least("rep", "e.end").alias("a"), F.greatest("rep", "e.end").alias("b")))
 
 
 def _cells(method: Method, members: DataFrame) -> DataFrame:
     """(cell, side, mark, cls, rep, root) of the groups of four and more that hold several components, in blocks."""
+    members = _dealt(members)
     mixed = _mixed(members).where("n > 3")
     if not method.one_place:
         mixed = mixed.groupBy("n", "who", "low").agg(F.min("sig").alias("sig"))
@@ -289,11 +300,11 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
     # Only sets that share a signature keep their sketches.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     wanted = files.written(groups.select("rep").distinct(), f"{name}-candidates")
-    candidates = files.written(method.lighten(held.join(wanted, "rep", "left_semi")), f"{name}-candidate-sketches")
+    candidates = files.written(method.lighten(held).join(wanted, "rep", "left_semi"), f"{name}-candidate-sketches")
     files.drop(held)
     files.release(docs.sparkSession)
     # Stars.
-    pairs = groups.where("star AND rep != low").select("cls", F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = _once(groups.where("star AND rep != low").select("cls", F.col("low").alias("a"), F.col("rep").alias("b")))
     pairs = files.written(method.possible(pairs, candidates), f"{name}-pairs")
     # One doc_id with several texts is one node: it ties the sets that it stands in.
     tied = (stands.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
@@ -313,8 +324,7 @@ def linked_classes(docs: DataFrame, method: Method, size: int, threshold: tuple[
     for form in ("sketch", "short", "whole"):
         loads = candidates
         if form != "sketch":
-            sets = sets_of(texts, cells.select("rep"), size)
-            loads = candidates.join(shortened(sets) if form == "short" else sets, "rep")
+            loads = candidates.join(sets_of(texts, cells.select("rep"), size, short=form == "short"), "rep")
         tried = files.written(_passing(method, cells.join(loads, ["rep", "cls"]), threshold, form), f"{name}-passing")
         more = confirmed(tried.where("a IS NOT NULL").select("a", "b").distinct(), texts, size, threshold, f"{name}-more-links")
         links = links.unionByName(more)

@@ -32,6 +32,8 @@ RATIO = 1.4
 GROUP, SMALL_GROUP, SMALL = 3, 6, 8
 #: One signature in so many serves for stars.
 STARS = 7
+#: A document has some hundred signature rows, so these take as many times the partitions that Spark is set to.
+SPREAD = 2
 #: Members of a group of equal signatures that one task looks through; larger ones go in pairs of blocks of this size.
 BLOCK = 2048
 
@@ -134,7 +136,7 @@ def _signature_rows(held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
                 lengths = [len(k) for k in keys]
                 yield pd.DataFrame({"sig": np.concatenate(keys).view(np.int64), "cls": np.repeat(bands_of[lo:lo + 256], lengths), "rep": np.repeat(reps[lo:lo + 256], lengths)})
 
-    return held.select("rep", "cls", "sketch").mapInPandas(run, "sig long, cls int, rep long").repartition(files.parts(held.sparkSession), "sig")
+    return held.select("rep", "cls", "sketch").mapInPandas(run, "sig long, cls int, rep long").repartition(SPREAD * files.parts(held.sparkSession), "sig")
 
 
 def _one_byte(held: DataFrame) -> DataFrame:

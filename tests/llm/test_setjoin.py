@@ -141,3 +141,38 @@ def test_cells_with_many_partners_take_sets(docs_of, monkeypatch, few):
         base = [f"w{draw.randrange(50000)}" for _ in range(70)]
         rows += [(len(rows) + i, edited(draw, base, i % 5)) for i in range(30)]
     same(setjoin.similar_classes(docs_of(rows)), rows, 5, 4, 5)
+
+
+def test_a_pair_of_several_bands_is_compared_in_one(docs_of, monkeypatch):
+    """Sets near the edge of two bands share signatures in both; the sketches of either can rule the pair out."""
+    draw, seen, before = random.Random(3), [], setjoin._possible
+    rows = []
+    for i in range(40):
+        words = [f"w{i}-{k}" for k in range(draw.randrange(40, 160))]
+        rows += [(3 * i + k, edited(draw, words, k)) for k in range(3)]
+
+    def possible(pairs, held, threshold):
+        seen.append([(r.a, r.b) for r in pairs.collect()])
+        return before(pairs, held, threshold)
+
+    monkeypatch.setattr(setjoin, "_possible", possible)
+    same(setjoin.similar_classes(docs_of(rows), 4, (17, 20)), rows, 4, 17, 20)
+    assert seen[0] and all(len(pairs) == len(set(pairs)) for pairs in seen)
+
+
+def test_sets_are_made_in_one_pass_of_few_known_documents(spark, docs_of):
+    docs = docs_of([(i, f"a b c {i}") for i in range(50)]).select("doc_id", "text")
+    wanted = spark.range(0, 50, 7).selectExpr("id AS rep").unionByName(spark.range(0, 50, 14).selectExpr("id AS rep"))
+    made = links.sets_of(docs, wanted, 2, short=True)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "HashAggregate" not in plan
+    assert {r.rep: bytes(r.elements) for r in made.collect()} == {
+        i: links.short_form(links.shingle_sets([f"a b c {i}"], 2)[0]) for i in range(0, 50, 7)}
+
+
+def test_members_are_dealt_once_for_counts_and_pairs(spark):
+    members = spark.createDataFrame([(s, r, r // 2, 0, 1) for s in range(20) for r in range(s, s + 5)], "sig long, rep long, root long, mark int, cls int")
+    pairs = links._ends(members)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    assert found == {(min(r, e), max(r, e)) for s in range(20) for r in range(s, s + 5) for e in (s, s + 4) if r // 2 != e // 2}
+    assert "Reused" in pairs._jdf.queryExecution().executedPlan().toString()
