@@ -181,3 +181,23 @@ def test_profile_covers_every_numeric_column(spark):
     df = spark.range(3).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(60)])
     rows = {r["column_name"]: r for r in rollups.profile(df).collect()}
     assert len(rows) == 60 and all(rows[f"c{i}"]["max_value"] == i + 2 for i in range(60))
+
+
+def test_a_response_is_parsed_once_and_its_odd_observations_stay(spark):
+    """One step parses a response; a list with something else than objects still gives a row per element."""
+    good = '{"stationID":"a","tempAvg":1,"qcStatus":1,"metric":{"tempAvg":2.5},"imperial":{"tempAvg":9,"qcStatus":null}}'
+    odd = {"null": (None, None, None), "5": (None, None, None), '"x"': (None, None, None), "[1]": (None, None, None),
+           '{"stationID":"b","imperial":5,"tempAvg":7}': ("b", 7.0, None), '{"metric":[1],"stationID":"c","tempAvg":"7"}': ("c", 7.0, None),
+           '{"stationID":"n","metric":{"tempAvg":null},"tempAvg":3}': ("n", None, None)}
+    rows = [(i, '{"observations":[' + f"{good},{text},{good}" + "]}") for i, text in enumerate(odd)] + [(98, "junk"), (99, '{"observations":null}'), (97, None)]
+    made = payloads.parse_wu_payloads(spark.createDataFrame(rows, "i int, value string"), fields={"stationID": "string", "tempAvg": "double", "qcStatus": "bigint"})
+    assert sorted(map(repr, (tuple(r) for r in made.collect()))) == sorted(
+        map(repr, (r for i, want in enumerate(odd.values()) for r in ((i, "a", 2.5, None), (i, *want), (i, "a", 2.5, None)))))
+    steps = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "from_json" in line]
+    assert len(steps) == 1
+
+
+def test_numbers_that_json_does_not_know_are_read(spark):
+    text = '{"observations":[{"metric":{"tempAvg":-Infinity},"tempHigh":Infinity}]}'
+    made = payloads.parse_wu_payloads(spark.createDataFrame([(text,)], "value string"), fields={"tempAvg": "double", "tempHigh": "double"})
+    assert tuple(made.first()) == (float("-inf"), float("inf"))
