@@ -49,3 +49,22 @@ def test_one_stray_time_does_not_make_one_long_array(spark):
     assert hours.count() == n and hours.filter("v IS NOT NULL").count() == 3
     ends = hours.groupBy("k").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count_distinct("ts").alias("n")).orderBy("k").collect()
     assert [(r["k"], r["a"], r["b"], r["n"]) for r in ends] == [("s", dt.datetime(1970, 1, 1), BASE, n - 1), ("t", BASE, BASE, 1)]
+
+
+@pytest.mark.parametrize("grain", ["hour", "day"])
+def test_row_id_rollup_keeps_no_map_of_groups_before_the_shuffle(spark, grain):
+    """Rows are dealt by hour or day, sensor and metric and aggregated once there; one exchange in all."""
+    base = dt.datetime(2024, 1, 1, 5)
+    rows = [(base + dt.timedelta(minutes=m), "a", "m", float(m)) for m in (0, 30, 59, 60)] + [(base, None, "m", 1.0), (None, "a", "m", 9.0), (base, "a", "n", None)]
+    long = spark.createDataFrame(rows, "timestamp timestamp, native_sensor_id string, metric_name string, value double").withColumns(
+        {c: F.lit(1.0) for c in ("latitude", "longitude")})
+    made = rollups.rollup_with_row_id(long, grain, "sha2")
+    got = {(str(r[f"{grain}_ts"]), r["native_sensor_id"], r["metric_name"]): (r["avg_value"], r["min_value"], r["max_value"], r["samples"]) for r in made.collect()}
+    want = {(t, None, "m"): (1.0, 1.0, 1.0, 1) for t in [str(base if grain == "hour" else base.replace(hour=0))]}
+    first = next(iter(want))[0]
+    want |= {(first, "a", "n"): (None, None, None, 1), ("None", "a", "m"): (9.0, 9.0, 9.0, 1)}
+    want |= ({(first, "a", "m"): (89 / 3, 0.0, 59.0, 3), (str(base.replace(hour=6)), "a", "m"): (60.0, 60.0, 60.0, 1)} if grain == "hour"
+             else {(first, "a", "m"): (149 / 4, 0.0, 60.0, 4)})
+    assert got == want
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan.split("Exchange")[1]
