@@ -135,3 +135,20 @@ def test_headers_take_the_first_bytes_of_a_file(spark):
     heads = history._heads(spark, files)
     assert [(r["path"], r["head"]) for r in heads] == [(files[0], "a,b c")]
     assert history.read_csv_union(spark, files).count() == 60_000
+
+
+def test_landing_sorts_set_cells_alone_and_writes_every_column(spark, monkeypatch, tmp_path):
+    """Columns of a wide row are mostly null: they go through shuffle and sort as one list, and come out as they were."""
+    names = [f"c{i}" for i in range(30)]
+    values = [None, float("nan"), -0.0, float("inf"), 1.5]
+    rows = [(f"2024-01-0{1 + n % 3} 00:00:00", f"s{n % 4}", n, *[values[(n * 7 + i * 3) % 5] if (n + i) % 4 else None for i in range(30)]) for n in range(40)]
+    rows.append(("2024-01-01 00:00:00", "empty", 40, *[None] * 30))
+    df = spark.createDataFrame(rows, "timestamp string, native_sensor_id string, n int, " + ", ".join(f"{c} double" for c in names))
+    laid = []
+    layout = t.layout
+    monkeypatch.setattr(t, "layout", lambda rows, *a: laid.append(rows) or layout(rows, *a))
+    t.write_landing(df, str(tmp_path), "TSI")
+    assert len(laid[0].columns) < 10
+    back = spark.read.parquet(str(tmp_path))
+    assert [c for c in back.columns if c in df.columns] == df.columns
+    assert {r["n"]: repr(tuple(r[c] for c in names)) for r in back.collect()} == {r[2]: repr(tuple(r[3:])) for r in rows}
