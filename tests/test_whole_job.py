@@ -78,6 +78,27 @@ def test_all_enriched_has_a_sensor_of_both_kinds_twice(spark):
     assert got == [("KNCDURHA1", "TSI", "Air Quality"), ("KNCDURHA1", "WU", "Weather"), ("d1", "TSI", "Air Quality")]
 
 
+@pytest.mark.parametrize("name", ["c12_all_enriched", "a22_source_summary"])
+def test_both_kinds_run_the_rollup_once(spark, name):
+    """Beside the rows themselves only those without an id are aggregated, for the nulls of NOT IN."""
+    plan = _plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    marks = [line for line in plan.splitlines() if "partial_bit_or" in line]
+    assert marks and all("keys=[]" in line for line in marks)
+
+
+@pytest.mark.parametrize("extra", [[], [(None, "pm10", 1)], [(None, "wind_speed_avg", 1)], [("p", "pm2_5", 0), (None, "precip_total", 2)],
+                                   [("p", "pm2_5", 1), ("p", "wind_speed_avg", 1)], [(None, "pm10", 0), (None, None, None)]])
+def test_all_enriched_follows_the_source_lists(spark, extra):
+    rows = [("KNCDURHA1", "temperature", 0), ("KNCDURHA2", "temperature", 1), ("w", "wind_speed_avg", 3), ("w", "wind_speed_avg", 3), *extra]
+    daily = _rolled(spark, rows).withColumns({c: F.lit(1.0) for c in ("avg_value", "min_value", "max_value", "latitude", "longitude")})
+    ids = spark.createDataFrame([], "native_sensor_id string, sensor_id string, effective_start_date date, effective_end_date date")
+    current = spark.createDataFrame([], "native_sensor_id string, latitude double, longitude double, geog struct<longitude: double, latitude: double>, status string, effective_date date")
+    kinds = views.classify_sources(daily)
+    expected = daily.filter("samples > 0").join(kinds, "native_sensor_id").select("native_sensor_id", "metric_name", "samples", "sensor_source")
+    got = views.all_daily_enriched(daily, ids, current).select(expected.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_points_are_chosen_as_before_by_a_key_without_decimals(spark):
     """Earliest complete point; at one time the one with the least hash: the choice of the wider key."""
     base = dt.datetime(2024, 1, 1, 5)
