@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aeroloom import vocab
 from aeroloom.functions import air, times
-from aeroloom.functions.numbers import exact_round, fixed, numeric
+from aeroloom.functions.numbers import exact_round, fixed, numeric, round_double
 from aeroloom.operators import filters, joins, normalize as n, quality, rollups
 from aeroloom.session import scratch_path
 from aeroloom.sources import catalogs, history, landing, payloads
@@ -201,3 +201,13 @@ def test_numbers_that_json_does_not_know_are_read(spark):
     text = '{"observations":[{"metric":{"tempAvg":-Infinity},"tempHigh":Infinity}]}'
     made = payloads.parse_wu_payloads(spark.createDataFrame([(text,)], "value string"), fields={"tempAvg": "double", "tempHigh": "double"})
     assert tuple(made.first()) == (float("-inf"), float("inf"))
+
+
+def test_round_double_is_the_round_of_spark(spark):
+    """Ties, values next to them, large ones, signs of zero and what is no number."""
+    near = [k / 1e5 + half + d for k in (-12345678, -3, 0, 7, 9999999) for half in (0.0, 5e-6, -5e-6) for d in (0.0, 1e-13, -1e-13, 1e-9)]
+    values = [*near, 0.0, -0.0, -1e-9, 1e-5, 36.005, 1e300, -1e10, 123456789.123456789, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 2, 5):
+        both = df.select(F.round("x", digits).cast("string").alias("a"), round_double(F.col("x"), digits).cast("string").alias("b"))
+        assert [r for r in both.collect() if r.a != r.b] == []
