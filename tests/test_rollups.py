@@ -68,3 +68,22 @@ def test_row_id_rollup_keeps_no_map_of_groups_before_the_shuffle(spark, grain):
     assert got == want
     plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange") == 1 and "HashAggregate" not in plan.split("Exchange")[1]
+
+
+def test_backfill_keeps_no_map_of_hours_before_the_shuffle(spark, monkeypatch):
+    """The hourly rollup of a run deals its rows by group and has the rows of the plain one; that of days still combines map-side."""
+    from aeroloom.plans import daily
+    from aeroloom.session import scratch_path
+
+    rows = [(BASE + dt.timedelta(minutes=m), k, float(m), None if m == 60 else 36.0 + m, -78.0) for m in (0, 30, 59, 60, 1500) for k in ("a", None)]
+    raw = spark.createDataFrame(rows, "timestamp timestamp, native_sensor_id string, temperature double, lat double, lon double")
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    daily.tables.write_landing(raw, landing, "WU")
+    plans, plain = {}, rollups.rollup
+    monkeypatch.setattr(daily.rollups, "rollup", lambda df, grain, *a, **k: plans.setdefault(grain, plain(df, grain, *a, **k)))
+    daily.backfill(spark, landing, warehouse, "2024-01-01", "2024-01-02", ["WU"])
+    below = {g: made._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1] for g, made in plans.items()}
+    assert "Aggregate" not in below["hour"] and "Aggregate" in below["day"]
+    made = spark.read.schema(daily.HOURLY_SCHEMA).parquet(f"{warehouse}/sensor_readings_hourly").drop("dt")
+    long = spark.read.schema(daily.LONG_SCHEMA).parquet(f"{warehouse}/sensor_readings_long").drop("dt")
+    assert made.count() == 6 and sorted(map(str, made.collect())) == sorted(map(str, plain(long, "hour").collect()))
