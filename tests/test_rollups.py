@@ -87,3 +87,70 @@ def test_backfill_keeps_no_map_of_hours_before_the_shuffle(spark, monkeypatch):
     made = spark.read.schema(daily.HOURLY_SCHEMA).parquet(f"{warehouse}/sensor_readings_hourly").drop("dt")
     long = spark.read.schema(daily.LONG_SCHEMA).parquet(f"{warehouse}/sensor_readings_long").drop("dt")
     assert made.count() == 6 and sorted(map(str, made.collect())) == sorted(map(str, plain(long, "hour").collect()))
+
+
+def _odd_long(spark):
+    """Known and unknown names of metrics, none at all, readings without sensor, value or point, several of one hour and of the next day."""
+    rows = [(BASE + dt.timedelta(minutes=m), k, n, None if m == 59 else float(m), None if m == 60 else 36.0 + m, -78.0)
+            for m in (0, 30, 59, 60, 1500) for k in ("a", "b", None) for n in ("pm2_5", "humidity", "other", None)]
+    return spark.createDataFrame(rows, "timestamp timestamp, native_sensor_id string, metric_name string, value double, latitude double, longitude double")
+
+
+def _texts(df, *cols):
+    return sorted(str(r) for r in (df.select(*cols) if cols else df).collect())
+
+
+def test_numbered_metrics_come_back(spark):
+    from aeroloom.operators import normalize
+
+    long = _odd_long(spark)
+    light = normalize.numbered(long)
+    assert light.columns[-3:] == [normalize.NAME_PARTS[0], "value", normalize.NAME_PARTS[1]] and "metric_name" not in light.columns
+    assert {r[0] for r in light.select(normalize.NAME_PARTS[0]).collect()} == {"other", None}
+    assert _texts(normalize.named(light), *long.columns) == _texts(long)
+
+
+@pytest.mark.parametrize("grain", ["hour", "day"])
+def test_dealt_rollup_sends_light_rows_and_holds_no_groups(spark, grain):
+    """The rows of the plain rollup from one exchange of rows without names, hours and points, and aggregates over sorted rows."""
+    long = _odd_long(spark)
+    made, plain = rollups.rollup(long, grain, dealt=True), rollups.rollup(long, grain)
+    assert _texts(made, *plain.columns) == _texts(plain)
+    assert made.filter(~F.col("dt").eqNullSafe(F.to_date(f"{grain}_ts"))).count() == 0
+    plan = rollups.rollup(long, grain, dealt=True)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange")
+    assert "rangepartitioning" in below and "HashAggregate" not in plan and above.count("SortAggregate") == 2 and above.count("Sort [") == 1
+    assert f"AS {grain}_ts" not in below and "geog" not in below and "AS first" not in below
+
+
+def test_hours_of_a_run_are_shuffled_once_and_no_shuffle_stays(spark, monkeypatch):
+    """The hourly table is written as it was aggregated, in order of sensor and metric within each day, and the files of all shuffles go
+    with the write that made them."""
+    import time
+
+    from aeroloom.plans import daily
+    from aeroloom.session import scratch_path
+
+    def shuffles():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    rows = [(BASE + dt.timedelta(minutes=m), k, float(m), 1.0, 36.0, -78.0) for m in range(0, 2800, 7) for k in ("b", "a")]
+    raw = spark.createDataFrame(rows, "timestamp timestamp, native_sensor_id string, temperature double, humidity double, lat double, lon double")
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    laid, layout, before, key = [], daily.tables.layout, shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(daily.tables, "layout", lambda df, *a: laid.append(df.columns) or layout(df, *a))
+    had = spark.conf.get(key)
+    daily.tables.write_landing(raw, landing, "WU")
+    daily.backfill(spark, landing, warehouse, "2024-01-01", "2024-01-02", ["WU"])
+    assert spark.conf.get(key) == had
+    assert any("day_ts" in c for c in laid) and not any("hour_ts" in c or "geog" in c or "metric_name" in c for c in laid)
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    hourly = spark.read.schema(daily.HOURLY_SCHEMA).parquet(f"{warehouse}/sensor_readings_hourly")
+    order = [(r["file"], r["native_sensor_id"], r["metric_name"], r["hour_ts"]) for r in hourly.select("*", F.input_file_name().alias("file")).collect()]
+    assert len(order) == 47 * 4 and all(a < b for a, b in zip(order, order[1:], strict=False) if a[0] == b[0])
+    assert hourly.filter("geog.latitude = latitude AND geog.longitude = longitude").count() == 47 * 4
