@@ -154,3 +154,19 @@ def test_hours_of_a_run_are_shuffled_once_and_no_shuffle_stays(spark, monkeypatc
     order = [(r["file"], r["native_sensor_id"], r["metric_name"], r["hour_ts"]) for r in hourly.select("*", F.input_file_name().alias("file")).collect()]
     assert len(order) == 47 * 4 and all(a < b for a, b in zip(order, order[1:], strict=False) if a[0] == b[0])
     assert hourly.filter("geog.latitude = latitude AND geog.longitude = longitude").count() == 47 * 4
+
+
+@pytest.mark.parametrize("grain", ["hour", "day"])
+def test_row_id_rollup_sends_numbers_of_metrics_to_a_given_number_of_tasks(spark, grain):
+    """Rows of one hour and sensor stay side by side, their metrics as numbers; Spark does not join tasks by their bytes."""
+    from aeroloom.operators import normalize
+
+    long, out = _odd_long(spark), f"{grain}_ts"
+    made, plain = rollups.rollup_with_row_id(long, grain), rollups.rollup(long, grain)
+    cols = [out, "native_sensor_id", "metric_name", "avg_value", "min_value", "max_value", "samples"]
+    assert _texts(made, *cols) == _texts(plain, *cols)
+    exchange = next(x for x in made._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    assert "REPARTITION_BY_NUM" in exchange and f", {parts})" in exchange
+    assert ("metric number" in exchange) == (grain == "day") and "metric_name" not in exchange
+    assert normalize.NAME_PARTS[1] in made._jdf.queryExecution().optimizedPlan().toString()
